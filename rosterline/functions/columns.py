@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Spark's dayofweek numbers for Sunday and Saturday, and the word pattern.
 WEEKEND = (1, 7)
-WORD = r"(?U)\b\w+\b"
+WORD = r"(?U)\w+"
 
 
 def as_column(value: str | Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,10 +17,7 @@ def same_keys(left: str, right: str, keys: Sequence[str]) -> Column:
 
 def any_differs(left: str, right: str, types: dict[str, str]) -> Column:
     """True when any column differs, nulls included, after casting both sides to one type."""
-    return reduce(
-        or_,
-        (
-            ~F.col(f"{left}.{c}").cast(t).eqNullSafe(F.col(f"{right}.{c}").cast(t))
-            for c, t in types.items()
-        ),
+    pairs = (
+        f"NOT (CAST({left}.`{c}` AS {t}) <=> CAST({right}.`{c}` AS {t}))" for c, t in types.items()
     )
+    return F.expr(" OR ".join(pairs))

@@ -31,8 +31,13 @@ def encode(df: DataFrame, schema: StructType = MESSAGE, key: str = "sender") ->
     )
 
 
-def short_list(words: DataFrame, limit: int = INLINE_WORDS) -> list[str] | None:
+Words = DataFrame | list[str]
+
+
+def short_list(words: Words, limit: int = INLINE_WORDS) -> list[str] | None:
     """The words when there are at most limit of them, else None; takes at most limit + 1."""
+    if isinstance(words, list):
+        return words
     if limit <= 0:
         return None
     column = words.columns[0]
@@ -50,8 +55,8 @@ def _has_only(tokens: Column, words: list[str]) -> Column:
 
 def keep_flagged(
     df: DataFrame,
-    marked: DataFrame,
-    vocab: DataFrame,
+    marked: Words,
+    vocab: Words,
     text: str = "message",
     fold: str = "upper",
     inline_marked: int = INLINE_WORDS,
@@ -76,11 +81,14 @@ def keep_flagged(
         candidates = df.filter(_has_any(tokens, marks))
     else:
         candidates = df.filter(F.col(text).isNotNull())
+    # Two steps: in one, Spark would take the digest again for every exploded word.
     words = candidates.select(
-        digest.alias("text_digest"), F.explode(F.array_distinct(tokens)).alias("word")
-    )
+        digest.alias("text_digest"), F.array_distinct(tokens).alias("words")
+    ).select("text_digest", F.explode("words").alias("word"))
 
-    def listed(source: DataFrame, flag: str) -> DataFrame:
+    def listed(source: Words, flag: str) -> DataFrame:
+        if isinstance(source, list):
+            source = df.sparkSession.createDataFrame([(w,) for w in source], "word string")
         named = source.select(F.col(source.columns[0]).alias("word")).dropna().distinct()
         return named.withColumn(flag, F.lit(True))
 
@@ -95,14 +103,15 @@ def keep_flagged(
 
 def flag(
     df: DataFrame,
-    marked: DataFrame,
-    vocab: DataFrame,
+    marked: Words,
+    vocab: Words,
     asof: dt.datetime,
     sender: str = "sender",
     text: str = "message",
     fold: str = "upper",
+    **inline: int,
 ) -> DataFrame:
     """Flagged messages as (employee_id, start_date)."""
-    return keep_flagged(df, marked, vocab, text, fold).select(
+    return keep_flagged(df, marked, vocab, text, fold, **inline).select(
         F.col(sender).cast("string").alias("employee_id"), moment(asof).alias("start_date")
     )

@@ -115,7 +115,7 @@ def at_limit(n: int = MAX_STRIKES, count: str = "no_of_strikes", exact: bool = F
 
 def ladder(
     df: DataFrame,
-    salary: str | Column = "salary",
+    salary: str = "salary",
     count: str = "strike_count",
     n: int = MAX_STRIKES,
     factor: str = STRIKE_FACTOR,
@@ -133,18 +133,14 @@ def ladder(
     """
     if mode not in ("recompute", "keep"):
         raise ValueError(f"unknown mode {mode!r}")
-    reached = F.least(F.coalesce(F.col(count), F.lit(0)), F.lit(n)).cast("int")
-    had = F.coalesce(F.col(stored), F.lit(0)) if mode == "keep" else None
-
-    def step(i: int) -> Column:
-        value = rung(salary, i, factor, arithmetic).cast(rung_type)
-        if had is not None:
-            value = F.when(had < i, value).otherwise(F.col(f"strike_{i}").cast(rung_type))
-        return F.when(reached >= i, value).alias(f"strike_{i}")
-
-    return df.select(
-        *keep, *[step(i) for i in range(1, n + 1)], reached.alias("no_of_strikes")
-    )
+    reached = f"CAST(least(coalesce(`{count}`, 0), {n}) AS INT)"
+    steps = []
+    for i, name in enumerate(rung_names(n), start=1):
+        value = rung(f"`{salary}`", i, factor, arithmetic)
+        if mode == "keep":
+            value = f"CASE WHEN coalesce(`{stored}`, 0) < {i} THEN {value} ELSE {name} END"
+        steps.append(f"CASE WHEN {reached} >= {i} THEN CAST({value} AS {rung_type}) END AS {name}")
+    return df.selectExpr(*keep, *steps, f"{reached} AS no_of_strikes")
 
 
 def score(
@@ -195,7 +191,7 @@ def sync_salaries(
     due = joined.filter(F.col("known_id").isNull() | (F.col("salary") != F.col("old_salary")))
     rungs = ladder(
         due, count="no_of_strikes", n=n, factor=factor, arithmetic=arithmetic,
-        keep=("employee_id", "salary", "known_id", F.col("no_of_strikes").alias("stored")),
+        keep=("employee_id", "salary", "known_id", "no_of_strikes AS stored"),
         rung_type="float",
     )
     # A new row has no count yet, as opposed to a count of 0.

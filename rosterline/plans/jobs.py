@@ -211,7 +211,7 @@ def report_usage(
     year: int | None = None,
     month: int | None = None,
     threshold: float = 80.0,
-    per_employee: bool = True,
+    per_employee: bool = False,
     publish: Publish | None = None,
 ) -> bool:
     """Quota usage of the year before the month, and alerts for newly flagged people."""

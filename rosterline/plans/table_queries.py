@@ -518,11 +518,10 @@ def alert_files(spark, d):
     """Alert texts written by the executors and read back."""
     path = scratch_path(spark, "alerts")
     files.write_alerts(alert_lines(spark, d), path)
-    text = spark.read.text(path, wholetext=True)
-    return text.select(
+    return files.read_alerts(spark, path).select(
         F.col("report_date").cast("string").alias("report_date"),
-        F.col("emp_id").cast("string").alias("emp_id"),
-        F.rtrim("value", F.lit("\n")).alias("value"),
+        F.regexp_extract("value", "^Employee ID: (.*)", 1).alias("emp_id"),
+        "value",
     )
 
 

@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 
 from ..schemas import ACTIVE
 
+# Fixed value: what stands between two alerts of a file.
+ALERT_SEPARATOR = "\n\n"
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, on whatever file system it names."""
@@ -92,24 +95,29 @@ def write_csv(df: DataFrame, path: str, mode: str = "append", header: bool = Tru
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def write_alerts(lines: DataFrame, path: str, key: str = "emp_id", per_employee: bool = True) -> None:
-    """Alert texts, written by the executors, under report_date (and employee).
+def write_alerts(lines: DataFrame, path: str, key: str = "emp_id", per_employee: bool = False) -> None:
+    """Alert texts under report_date, written by the executors.
 
-    A second write for a day replaces that day's alerts of the same partitions. One
-    directory per employee suits person-sized numbers; per_employee=False keeps one
-    set of files per day.
+    One set of files per day with a blank line between alerts, or, for numbers a
+    person could read, one directory per employee. Writing a day again replaces it.
     """
     parts = ["report_date", key] if per_employee else ["report_date"]
     out = lines.hint("rebalance", *parts) if per_employee else lines
     (
-        out.select(*parts, "value")
+        out.select(*parts, F.rtrim("value", F.lit("\n")).alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("lineSep", ALERT_SEPARATOR)
         .partitionBy(*parts)
         .text(path)
     )
 
 
+def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """The alert texts again, one row each."""
+    return spark.read.option("lineSep", ALERT_SEPARATOR).text(path)
+
+
 def ingest_once(
     spark: SparkSession,
     path: str,

@@ -26,7 +26,7 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 from ..functions.columns import moment
 from ..operators.clean import best_per_key
 from ..operators.merge import changed_rows
-from ..operators.messages import decode, flag
+from ..operators.messages import Words, decode, flag, short_list
 from ..operators.strikes import count_flags, recent, score, struck_out
 from ..schemas import FLAG_DAYS, FLAGGED, MAX_STRIKES, STRIKE_FACTOR, STRUCK_OUT, strikes
 from ..sources.files import path_exists
@@ -42,8 +42,8 @@ class StrikeStream:
     """Settings of the stream; clock is read once per batch."""
 
     root: str
-    marked: DataFrame
-    vocab: DataFrame
+    marked: Words
+    vocab: Words
     limit: int = MAX_STRIKES
     factor: str = STRIKE_FACTOR
     days: int = FLAG_DAYS
@@ -55,6 +55,11 @@ class StrikeStream:
     # example to upsert them into a database.
     on_changes: Callable[[DataFrame, int], None] | None = field(default=None)
 
+    def __post_init__(self) -> None:
+        # Short word lists are fetched once here and not again in every batch.
+        self.marked = short_list(self.marked) or self.marked
+        self.vocab = short_list(self.vocab) or self.vocab
+
 
 def strike_log_schema(limit: int) -> StructType:
     return StructType(
@@ -141,7 +146,9 @@ def strike_batch(batch: DataFrame, batch_id: int, job: StrikeStream) -> None:
     """One micro-batch of JSON messages."""
     spark = batch.sparkSession
     now = job.clock()
-    found = flag(decode(batch), job.marked, job.vocab, now, fold=job.fold)
+    found = flag(
+        decode(batch), job.marked, job.vocab, now, fold=job.fold, inline_marked=0, inline_vocab=0
+    )
     flags_path = f"{job.root}/flags/batch_id={batch_id}"
     found.select(
         "employee_id", F.col("start_date").cast("timestamp").alias("start_date")

@@ -1,0 +1,176 @@
+"""Calendar, leave intake, the status vote and the reports."""
+
+import datetime as dt
+
+import pytest
+
+from rosterline.operators import calendar, leave, reports
+from rosterline.schemas import CALENDAR, QUOTA
+
+D = dt.date.fromisoformat
+T = dt.datetime.fromisoformat
+
+ENTRIES = [
+    ("e1", "2024-01-02", "ACTIVE", 1),
+    ("e1", "2024-01-02", "CANCELLED", 2),
+    ("e1", "2024-01-03", "ACTIVE", 1),
+    ("e1", "2024-01-03", "ACTIVE", 2),
+    ("e1", "2024-01-03", "CANCELLED", 3),
+    ("e2", "2024-01-02", "PENDING", 1),
+    ("e2", "2024-01-06", "ACTIVE", 1),
+    ("e2", "2024-01-15", "ACTIVE", 1),
+    ("e9", "2024-01-04", "ACTIVE", 1),
+]
+
+
+@pytest.fixture
+def entries(spark):
+    return spark.createDataFrame(
+        [(e, D(d), s, o) for e, d, s, o in ENTRIES], "emp_id string, date date, status string, seq int"
+    )
+
+
+@pytest.fixture
+def holidays(spark):
+    # With a time of day, twice, and a row without a date.
+    return spark.createDataFrame(
+        [("x", T("2024-01-15T09:30:00")), ("y", T("2024-01-15T00:00:00")), ("z", None)], CALENDAR
+    )
+
+
+def test_intake_and_vote(spark, entries, holidays, rows):
+    active = spark.createDataFrame([("e1",), ("e2",), ("e2",)], "emp_id string")
+    kept = leave.intake(entries, holidays, active)
+    assert kept.count() == 6
+    assert rows(leave.reconcile(kept, ["seq"])) == [
+        ("e1", D("2024-01-02"), "CANCELLED", 2, 2024, 1),
+        ("e1", D("2024-01-03"), "ACTIVE", 2, 2024, 1),
+    ]
+
+
+def test_intake_stamps(spark, entries, holidays, rows):
+    got = leave.intake(entries, holidays, asof=T("2024-01-20T10:00:00"))
+    assert set(rows(got, "ingest_date", "ingest_timestamp")) == {
+        ("2024-01-20", T("2024-01-20T10:00:00"))
+    }
+
+
+def test_rows_without_a_date_fall_out(spark, holidays):
+    data = spark.createDataFrame([("e1", None, "ACTIVE")], "emp_id string, date date, status string")
+    assert leave.intake(data, holidays).isEmpty()
+
+
+def test_history_is_one_row_per_day(spark, entries, holidays, rows):
+    """One new CANCELLED ties with the stored row and wins; two ACTIVE win it back."""
+    cols = "emp_id string, date date, status string, seq int"
+    day = D("2024-01-03")
+    stored = leave.reconcile(leave.intake(entries, holidays), ["seq"])
+    cancel = spark.createDataFrame([("e1", day, "CANCELLED", 10)], cols)
+    after = leave.reconcile(leave.with_history(cancel, stored), ["seq"])
+    assert ("e1", day, "CANCELLED", 10, 2024, 1) in rows(after)
+    again = spark.createDataFrame([("e1", day, "ACTIVE", 11), ("e1", day, "ACTIVE", 12)], cols)
+    back = leave.reconcile(leave.with_history(again, after), ["seq"])
+    assert ("e1", day, "ACTIVE", 12, 2024, 1) in rows(back)
+
+
+def test_working_days(spark, rows):
+    january = calendar.date_range(spark, D("2024-01-01"), D("2024-01-31"))
+    free = spark.createDataFrame(
+        [("h", T(f"2024-01-{d}T00:00:00")) for d in ("01", "15", "26")], CALENDAR
+    )
+    assert calendar.working_days(january, free).count() == 20
+    assert calendar.non_working_days(january, free).count() == 11
+    rest = calendar.date_range(spark, D("2024-05-01"), D("2024-12-31"))
+    assert calendar.working_days(rest, free).count() == 175
+
+
+def test_calendar_and_quota_load(spark, rows):
+    twice = spark.createDataFrame([("h", T("2024-01-01T00:00:00"))] * 2 + [("n", None)], CALENDAR)
+    assert rows(calendar.load_calendar(twice), "reason", "year") == [("h", 2024), ("n", None)]
+    quota = spark.createDataFrame([(1, 10, 2024), (1, 10, 2024), (1, None, 2024), (2, 5, None)], QUOTA)
+    assert rows(leave.load_quota(quota)) == [(1, 10, 2024)]
+
+
+def test_upcoming_leaves(spark, rows):
+    first, last = D("2024-01-10"), D("2024-01-31")
+    free = spark.createDataFrame([], CALENDAR)
+    days = calendar.working_days(calendar.date_range(spark, first, last), free)
+    assert days.count() == 16
+    data = [("a", "2024-01-10", "ACTIVE"), ("a", "2024-01-11", "CANCELLED"), ("a", "2024-01-11", "ACTIVE"),
+            ("a", "2024-01-13", "ACTIVE"), ("b", "2024-01-31", "ACTIVE"), ("c", "2024-01-09", "ACTIVE"),
+            ("d", "2024-01-12", "CANCELLED")]
+    leaves = spark.createDataFrame(
+        [(e, D(d), s) for e, d, s in data], "emp_id string, date date, status string"
+    )
+
+    def report(**kw):
+        return rows(reports.upcoming_leaves(leaves, days, first, last, **kw))
+
+    assert report(threshold=8.0) == [("a", 2)]
+    assert report(threshold=5.0) == [("a", 2), ("d", 1)]
+    assert report(threshold=5.0, statuses=["ACTIVE"]) == [("a", 2)]
+    assert report(threshold=5.0, end_inclusive=True) == [("a", 2), ("b", 1), ("d", 1)]
+
+
+@pytest.fixture
+def usage(spark):
+    taken = {"1": 9, "2": 8, "3": 3, "4": 5, "6": 5, "abc": 2}
+    leaves = [
+        (emp, D("2024-01-01") + dt.timedelta(days=i), "ACTIVE") for emp, n in taken.items() for i in range(n)
+    ]
+    leaves += [("1", D("2024-02-01"), "CANCELLED"), ("1", D("2024-12-01"), "ACTIVE"), ("1", D("2023-05-05"), "ACTIVE")]
+    quota = [(1, 10, 2024), (1, 99, 2023), (2, 10, 2024), (3, 0, 2024), (6, 6, 2024)]
+    return reports.quota_usage(
+        spark.createDataFrame(leaves, "emp_id string, date date, status string"),
+        spark.createDataFrame(quota, QUOTA),
+        2024,
+        12,
+    )
+
+
+def test_quota_usage(spark, usage, rows):
+    assert rows(usage) == [
+        ("1", 9, 10, 90.0),
+        ("2", 8, 10, 80.0),
+        ("3", 3, 0, None),
+        ("4", 5, None, None),
+        ("6", 5, 6, 83.33),
+        ("abc", 2, None, None),
+    ]
+    assert rows(reports.over_quota(usage), "emp_id") == [("1",), ("6",)]
+
+
+def test_alert_only_once(spark, usage, rows, tmp_path):
+    from rosterline.sources import files
+
+    flagged = reports.over_quota(usage)
+    history = spark.createDataFrame([("1",)], "emp_id string")
+    fresh = reports.new_alerts(flagged, history)
+    assert rows(fresh, "emp_id") == [("6",)]
+    after = reports.alert_history(history, fresh)
+    assert rows(after) == [("1",), ("6",)]
+    assert reports.new_alerts(flagged, after).isEmpty()
+
+    lines = reports.alert_lines(fresh, D("2024-12-02"))
+    text = "Employee ID: 6\nLeave Taken: 5\nLeave Quota: 6\nUsage: 83.33%\nReport Date: 2024-12-02"
+    for per_employee in (False, True):
+        path = str(tmp_path / f"alerts-{per_employee}")
+        files.write_alerts(lines, path, per_employee=per_employee)
+        files.write_alerts(lines, path, per_employee=per_employee)
+        assert [r.value for r in files.read_alerts(spark, path).collect()] == [text]
+
+
+def test_quota_usage_prunes_partitions(spark, tmp_path):
+    from rosterline.sources import files
+
+    path = str(tmp_path / "leaves")
+    data = spark.createDataFrame(
+        [("1", D("2024-01-02"), "ACTIVE", 2024, 1), ("1", D("2024-03-04"), "ACTIVE", 2024, 3)],
+        "emp_id string, date date, status string, year int, month int",
+    )
+    files.write_parquet(data, path, "overwrite", ["year", "month"])
+    quota = spark.createDataFrame([(1, 1, 2024)], QUOTA)
+    usage = reports.quota_usage(spark.read.parquet(path), quota, 2024, 2)
+    assert [tuple(r) for r in usage.collect()] == [("1", 1, 1, 100.0)]
+    plan = usage._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan

@@ -1,0 +1,187 @@
+"""Period chaining, incremental merge and the struck-out overlay."""
+
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from rosterline.operators import clean, periods, reports
+from rosterline.schemas import TIMEFRAME, TIMEFRAME_RAW
+
+ORDER = ["salary", "designation"]
+D = dt.date.fromisoformat
+
+RAW = [
+    ("e1", "Dev", 1704067200.0, None, 100.0),
+    ("e1", "Dev", 1704067200.0, None, 120.0),
+    ("e1", "Lead", 1717200000.0, None, 150.0),
+    ("e2", "QA", 1706745600.0, 1714521600.0, 90.0),
+    ("e2", "QA", 1719792000.0, None, 95.0),
+]
+
+CHAINED = [
+    ("e1", "Dev", D("2024-01-01"), D("2024-06-01"), 120.0, "INACTIVE"),
+    ("e1", "Lead", D("2024-06-01"), None, 150.0, "ACTIVE"),
+    ("e2", "QA", D("2024-02-01"), D("2024-07-01"), 90.0, "INACTIVE"),
+    ("e2", "QA", D("2024-07-01"), None, 95.0, "ACTIVE"),
+]
+
+
+@pytest.fixture
+def raw(spark):
+    return periods.convert_epochs(spark.createDataFrame(RAW, TIMEFRAME_RAW))
+
+
+def empty(spark):
+    return spark.createDataFrame([], TIMEFRAME)
+
+
+def in_order(df):
+    return df.select(*TIMEFRAME.fieldNames())
+
+
+def test_chain_always(spark, raw, rows):
+    assert rows(in_order(periods.settle(raw, ORDER))) == CHAINED
+
+
+def test_chain_fill_keeps_given_ends(spark, raw, rows):
+    got = rows(in_order(periods.settle(raw, ORDER, mode="fill")))
+    want = [r[:3] + (D("2024-05-01"),) + r[4:] if r[2] == D("2024-02-01") else r for r in CHAINED]
+    assert got == want
+
+
+def test_unknown_mode(spark, raw):
+    with pytest.raises(ValueError):
+        periods.chain(raw, mode="other")
+
+
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_reload_changes_nothing(spark, raw, rows, touched_only):
+    once = periods.merge_periods(empty(spark), raw, ORDER, touched_only=touched_only)
+    again = periods.merge_periods(once, raw, ORDER, touched_only=touched_only)
+    assert rows(once) == CHAINED
+    assert rows(again) == CHAINED
+
+
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_late_row_splits_a_period(spark, raw, rows, touched_only):
+    stored = in_order(periods.settle(raw, ORDER))
+    late = periods.convert_epochs(
+        spark.createDataFrame([("e1", "Senior", 1709251200.0, None, 130.0)], TIMEFRAME_RAW)
+    )
+    got = rows(periods.merge_periods(stored, late, ORDER, touched_only=touched_only))
+    assert [r[1:4] for r in got if r[0] == "e1"] == [
+        ("Dev", D("2024-01-01"), D("2024-03-01")),
+        ("Lead", D("2024-06-01"), None),
+        ("Senior", D("2024-03-01"), D("2024-06-01")),
+    ]
+    assert [r for r in got if r[0] == "e2"] == CHAINED[2:]
+
+
+def test_struck_out_closes_only_the_open_period(spark, raw, rows):
+    struck = spark.createDataFrame([("e1",), ("e1",)], "employee_id string")
+    stored = in_order(periods.settle(raw, ORDER))
+    day = D("2024-08-01")
+    got = rows(periods.apply_struck(stored, struck, day))
+    assert [r[3:6:2] for r in got] == [
+        (D("2024-06-01"), "INACTIVE"),
+        (day, "INACTIVE"),
+        (D("2024-07-01"), "INACTIVE"),
+        (None, "ACTIVE"),
+    ]
+    # A second run on a later day changes nothing.
+    later = periods.apply_struck(periods.apply_struck(stored, struck, day), struck, D("2024-09-01"))
+    assert rows(later) == got
+    whole = rows(periods.apply_struck(stored, struck, day, whole_history=True))
+    assert [r[3] for r in whole if r[0] == "e1"] == [day, day]
+
+
+@pytest.mark.parametrize("touched_only", [False, True])
+def test_struck_out_deliveries_are_refused_and_their_end_stays(spark, raw, rows, touched_only):
+    struck = spark.createDataFrame([("e1",)], "employee_id string")
+    closed = periods.apply_struck(in_order(periods.settle(raw, ORDER)), struck, D("2024-08-01"))
+    more = periods.convert_epochs(
+        spark.createDataFrame(
+            [("e1", "Boss", 1725148800.0, None, 999.0), ("e3", "Dev", 1725148800.0, None, 1.0)],
+            TIMEFRAME_RAW,
+        )
+    )
+    got = rows(
+        periods.merge_periods(closed, more, ORDER, struck=struck, touched_only=touched_only)
+    )
+    assert [r for r in got if r[0] == "e1"] == [r for r in rows(closed) if r[0] == "e1"]
+    assert [r[1] for r in got if r[0] == "e3"] == ["Dev"]
+
+
+def test_headcount(spark, raw, rows):
+    got = reports.active_by_group(in_order(periods.settle(raw, ORDER)), run_date=D("2024-08-01"))
+    assert rows(got) == [("Dev", 0, "2024-08-01"), ("Lead", 1, "2024-08-01"), ("QA", 1, "2024-08-01")]
+
+
+def test_headcount_of_the_unnamed_group_is_zero(spark, rows):
+    data = spark.createDataFrame(
+        [("e1", None, "ACTIVE"), ("e2", "Dev", "ACTIVE")], "emp_id string, designation string, status string"
+    )
+    assert rows(reports.active_by_group(data)) == [("Dev", 1), (None, 0)]
+
+
+def test_best_per_key_puts_null_last_and_settles_ties(spark, rows):
+    data = spark.createDataFrame(
+        [("k", None, 9), ("k", 5.0, 1), ("k", 5.0, 2), (None, 1.0, 1), (None, 2.0, 1)],
+        "key string, salary double, id int",
+    )
+    assert rows(clean.best_per_key(data, ["key"], ["salary", "id"])) == [("k", 5.0, 2), (None, 2.0, 1)]
+
+
+period = st.tuples(
+    st.sampled_from(["a", "b", "c"]),
+    st.sampled_from(["Dev", "QA"]),
+    st.integers(0, 30).map(lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)),
+    st.none(),
+    st.integers(1, 5).map(float),
+    st.none(),
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(period, min_size=1, max_size=12), st.lists(period, min_size=1, max_size=12))
+def test_merge_in_two_steps_equals_one(spark, first, second):
+    def frame(data):
+        return spark.createDataFrame(data, TIMEFRAME)
+
+    whole = sorted(map(tuple, periods.merge_periods(empty(spark), frame(first + second), ORDER).collect()), key=repr)
+    stored = periods.merge_periods(empty(spark), frame(first), ORDER)
+    for touched_only in (False, True):
+        merged = periods.merge_periods(stored, frame(second), ORDER, touched_only=touched_only)
+        assert sorted(map(tuple, merged.collect()), key=repr) == whole
+    # Periods of one employee never overlap and only the last is open.
+    for emp in {r[0] for r in whole}:
+        mine = sorted(r[2:4] for r in whole if r[0] == emp)
+        assert [end for _, end in mine] == [start for start, _ in mine][1:] + [None]
+
+
+def test_partition_filter_reaches_the_scan(spark, raw, tmp_path):
+    from rosterline.sources import files
+
+    path = str(tmp_path / "timeframe")
+    files.write_parquet(in_order(periods.settle(raw, ORDER)), path, "overwrite", ["status"])
+    plan = files.read_active(spark, path).select("emp_id")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+    assert "ReadSchema: struct<emp_id:string>" in plan
+
+
+def test_hot_employee_is_reduced_before_the_window(spark):
+    """A third of the rows belong to one employee: one row per day reaches its task."""
+    n = 30_000
+    data = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id"))).alias("emp_id"),
+        F.lit("Dev").alias("designation"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 30).cast("int")).alias("start_date"),
+        F.lit(None).cast("date").alias("end_date"),
+        F.rand(1).alias("salary"),
+    )
+    out = periods.settle(data, ["salary"])
+    assert out.filter("emp_id = 'hot'").count() == 10
+    assert out.filter("emp_id = 'hot' AND status = 'ACTIVE'").count() == 1
