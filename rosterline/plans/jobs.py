@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from .. import schemas
 from ..operators import calendar, clean, leave, merge, periods, reports, strikes
@@ -61,12 +61,18 @@ LEAVE_STORED = StructType(
     ]
 )
 CALENDAR_STORED = StructType([*schemas.CALENDAR.fields, StructField("year", IntegerType(), True)])
+HEADCOUNT = StructType(
+    [StructField("designation", StringType(), True), StructField("active_employees", LongType(), True)]
+)
+UPCOMING = StructType(
+    [StructField("emp_id", StringType(), True), StructField("upcoming_leaves_count", LongType(), True)]
+)
 USAGE = StructType(
     [
         StructField("emp_id", StringType(), True),
         StructField("leaves_taken", LongType(), True),
         StructField("leave_quota", IntegerType(), True),
-        StructField("leave_percent", schemas.TIMEFRAME_RAW["salary"].dataType, True),
+        StructField("leave_percent", DoubleType(), True),
     ]
 )
 
@@ -128,7 +134,8 @@ def report_headcount(spark: SparkSession, at: Places, asof: dt.date, publish: Pu
     out = reports.active_by_group(stored_timeframe(spark, at), run_date=asof)
     path = at.stored("headcount")
     files.write_parquet(out, path, "overwrite", ["run_date"], dynamic=True)
-    _publish(publish, "headcount", spark.read.parquet(f"{path}/run_date={asof:%Y-%m-%d}"), "overwrite")
+    today = files.read_or_empty(spark, f"{path}/run_date={asof:%Y-%m-%d}", HEADCOUNT)
+    _publish(publish, "headcount", today, "overwrite")
     return True
 
 
@@ -193,13 +200,7 @@ def report_upcoming(
     out = reports.upcoming_leaves(stored_leaves(spark, at), days, asof, last, threshold, run_date=asof)
     path = at.stored("upcoming")
     files.write_parquet(out, path, "overwrite", ["run_date"], dynamic=True)
-    today = files.read_or_empty(
-        spark,
-        f"{path}/run_date={asof:%Y-%m-%d}",
-        StructType(
-            [StructField("emp_id", StringType(), True), StructField("upcoming_leaves_count", LongType(), True)]
-        ),
-    )
+    today = files.read_or_empty(spark, f"{path}/run_date={asof:%Y-%m-%d}", UPCOMING)
     _publish(publish, "upcoming", today, "overwrite")
     return True
 
