@@ -145,7 +145,7 @@ def sync_strike_salaries(
     root = at.stored("strikes")
     active = periods.read_actives(stored_timeframe(spark, at)).select("emp_id", "salary")
     rows = strikes.sync_salaries(active, strike_stream.strike_table(spark, root))
-    changed = strike_stream.store_strikes(rows, root, f"salary-{asof:%Y-%m-%d}", asof)
+    changed = strike_stream.store_salaries(rows, root, asof)
     _publish(publish, "strikes", changed, "upsert")
     return True
 

@@ -564,16 +564,17 @@ def stream_strikes(spark, d):
         *[F.lit(None).cast("float").alias(c) for c in rung_names()],
         F.lit(0).alias("no_of_strikes"),
     )
-    strike_stream.store_strikes(empty, root, "salary-start", MID_MONTH)
+    strike_stream.store_salaries(empty, root, MID_MONTH)
     message_io.write_messages(
         messages.encode(rows).repartition(3, "key"), "text", path=sent, mode="overwrite"
     )
     job = strike_stream.StrikeStream(
-        root, marked_words(spark), spark.read.parquet(vocab_path), fold="lower", clock=lambda: ASOF
+        root, marked_words(spark), spark.read.parquet(vocab_path), fold="lower", block=2,
+        clock=lambda: ASOF,
     )
     source = message_io.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path=sent)
     strike_stream.start(source, job, scratch_path(spark, "state"), every=None).awaitTermination()
-    return _doubles(strike_stream.strike_table(spark, root)).filter("no_of_strikes > 0")
+    return _doubles(strike_stream.strike_table(spark, root, block=2)).filter("no_of_strikes > 0")
 
 
 QUERIES = [

@@ -20,6 +20,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under a path; none when it does not exist."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return []
+    return [entry.getPath().getName() for entry in fs.listStatus(where)]
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType | None = None, header: bool = True
 ) -> DataFrame:

@@ -12,43 +12,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from .files import write_parquet
+from .files import child_names, path_exists, write_parquet
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Completed versions, oldest first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    where = path(root)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        return []
-    found = []
-    for entry in fs.listStatus(where):
-        name = entry.getPath().getName()
-        if name.startswith("version=") and fs.exists(path(entry.getPath(), "_SUCCESS")):
-            found.append(int(name.removeprefix("version=")))
-    return sorted(found)
+    numbers = [
+        int(name.removeprefix("version="))
+        for name in child_names(spark, root)
+        if name.startswith("version=")
+    ]
+    return sorted(n for n in numbers if path_exists(spark, f"{version_path(root, n)}/_SUCCESS"))
 
 
 def version_path(root: str, version: int) -> str:
     return f"{root}/version={version:08d}"
 
 
-def read_latest(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The newest completed version, or an empty frame when there is none."""
-    done = versions(spark, root)
-    if not done:
+def read_latest(
+    spark: SparkSession, root: str, schema: StructType, upto: int | None = None
+) -> DataFrame:
+    """The newest completed version (not above upto), or an empty frame when there is none."""
+    number = latest(spark, root, upto)
+    if number is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(root, done[-1]))
+    return spark.read.schema(schema).parquet(version_path(root, number))
+
+
+def latest(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
+    """The number of the newest completed version, not above upto."""
+    done = [v for v in versions(spark, root) if upto is None or v <= upto]
+    return done[-1] if done else None
 
 
 def write_next(
-    df: DataFrame, root: str, partition_by: Sequence[str] = (), rebalance: bool = False
+    df: DataFrame,
+    root: str,
+    partition_by: Sequence[str] = (),
+    rebalance: bool = False,
+    number: int | None = None,
 ) -> int:
-    """Write the next version and return its number; earlier ones stay readable."""
-    spark = df.sparkSession
-    done = versions(spark, root)
-    number = done[-1] + 1 if done else 1
+    """Write the next (or the numbered) version and return its number; others stay readable."""
+    if number is None:
+        number = (latest(df.sparkSession, root) or 0) + 1
     # A directory left by a failed write has no success marker and is replaced.
     write_parquet(df, version_path(root, number), "overwrite", partition_by, rebalance=rebalance)
     return number

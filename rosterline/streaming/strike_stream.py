@@ -1,16 +1,20 @@
 """The strike stream: flagged messages to strike counts and reduced salaries.
 
-State lives in Parquet tables under one root and every micro-batch writes only its
-own partition of them, by overwriting it:
-
-    flags/batch_id=K      flagged messages of batch K
-    strikes/origin=...    changed strike rows, by batch or by salary sync
-    struck_out/batch_id=K employees who reached the limit in batch K
-    base/version=V        folded strike rows (see fold)
-
-A batch that is replayed after a failure therefore replaces its first attempt, and
-what it reads excludes its own earlier output. Each step is computed from the table
-the step before wrote, never from a plan that would be evaluated again.
+State lives in Parquet tables under one root. A micro-batch writes only its own
+directories, by overwriting them, so a batch that is replayed after a failure
+replaces its first attempt; what it reads excludes its own earlier output. Each step
+is computed from the table the step before wrote, never from a plan that would be
+evaluated again.
+
+    flags/block=B/origin=...      flagged messages
+    strikes/block=B/origin=...    changed strike rows, by batch or by salary sync
+    struck_out/block=B/origin=... employees who reached the limit
+    base/version=V                strike rows, all batches before V folded
+    flag_base/version=V           recent flags, all batches before V folded
+
+A block is a fixed number of batches. After each block its rows are folded into the
+next base version, and readers open the newest base and the blocks after it: what a
+batch lists and reads does not grow with the age of the stream.
 """
 
 from __future__ import annotations
@@ -29,8 +33,11 @@ from ..operators.merge import changed_rows
 from ..operators.messages import Words, decode, flag, short_list
 from ..operators.strikes import count_flags, recent, score, struck_out
 from ..schemas import FLAG_DAYS, FLAGGED, MAX_STRIKES, STRIKE_FACTOR, STRUCK_OUT, strikes
-from ..sources.files import path_exists
-from ..sources.versions import read_latest, write_next
+from ..sources.files import child_names
+from ..sources.versions import latest, read_latest, versions, write_next
+
+# Batches per block. Part of the layout: it stays the same for the life of a root.
+BLOCK = 100
 
 
 def _utc_now() -> dt.datetime:
@@ -50,6 +57,7 @@ class StrikeStream:
     mode: str = "recompute"
     exact: bool = False
     fold: str = "upper"
+    block: int = BLOCK
     clock: Callable[[], dt.datetime] = _utc_now
     # Called with (changed strike rows, batch id) after the batch is stored, for
     # example to upsert them into a database.
@@ -62,114 +70,153 @@ class StrikeStream:
 
 
 def strike_log_schema(limit: int) -> StructType:
-    return StructType(
-        [*strikes(limit).fields, StructField("changed_at", TimestampType(), True)]
-    )
+    return StructType([*strikes(limit).fields, StructField("changed_at", TimestampType(), True)])
 
 
-def _batch_origin(batch_id: int) -> str:
+def _origin(batch_id: int) -> str:
     return f"stream-{batch_id:020d}"
 
 
-def flag_table(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Stored flags with their batch_id, optionally of the batches before one."""
-    path = f"{root}/flags"
-    schema = StructType([*FLAGGED.fields, StructField("batch_id", StringType(), True)])
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    stored = spark.read.schema(schema).parquet(path)
-    if before is not None:
-        stored = stored.filter(F.col("batch_id").cast("bigint") < before)
-    return stored
+def _block_name(number: int) -> str:
+    return f"block={number:012d}"
+
+
+def _blocks(spark: SparkSession, path: str) -> list[str]:
+    return sorted(n for n in child_names(spark, path) if n.startswith("block="))
+
 
+def _read_blocks(spark: SparkSession, path: str, schema: StructType, first: int = 0) -> DataFrame:
+    """The rows of the blocks from the given number on, with their origin."""
+    full = StructType([*schema.fields, StructField("origin", StringType(), True)])
+    wanted = [f"{path}/{name}" for name in _blocks(spark, path) if name >= _block_name(first)]
+    if not wanted:
+        return spark.createDataFrame([], full)
+    typed = StructType([*full.fields, StructField("block", StringType(), True)])
+    return spark.read.schema(typed).option("basePath", path).parquet(*wanted).drop("block")
+
+
+def _since(folded: int | None, block: int) -> int:
+    """First block to read on top of a base.
+
+    One block more than needed: a salary sync may have written into the last folded
+    block while it was being folded. Rows that are read twice do no harm.
+    """
+    return max(0, (folded or 0) // block - 1)
+
+
+def strike_log(
+    spark: SparkSession,
+    root: str,
+    limit: int = MAX_STRIKES,
+    block: int = BLOCK,
+    before: int | None = None,
+) -> DataFrame:
+    """Stored strike rows with their origin: the base and what came after it.
 
-def strike_log(spark: SparkSession, root: str, limit: int = MAX_STRIKES) -> DataFrame:
-    """All stored strike rows, folded and newer, with their origin."""
+    before leaves out the given batch and later ones.
+    """
     schema = strike_log_schema(limit)
-    folded = read_latest(spark, f"{root}/base", schema).withColumn("origin", F.lit(""))
-    path = f"{root}/strikes"
-    if not path_exists(spark, path):
-        return folded
-    newer = spark.read.schema(
-        StructType([*schema.fields, StructField("origin", StringType(), True)])
-    ).parquet(path)
-    return folded.unionByName(newer)
+    folded = latest(spark, f"{root}/base", before)
+    base = read_latest(spark, f"{root}/base", schema, before).withColumn("origin", F.lit(""))
+    newer = _read_blocks(spark, f"{root}/strikes", schema, _since(folded, block))
+    if before is not None:
+        newer = newer.filter(F.col("origin") < _origin(before))
+    return base.unionByName(newer)
+
+
+def _newest(log: DataFrame) -> DataFrame:
+    return best_per_key(log, ["employee_id"], ["changed_at", "origin"])
 
 
 def latest_rows(log: DataFrame, limit: int = MAX_STRIKES) -> DataFrame:
     """The newest strike row of every employee in the log."""
-    newest = best_per_key(log, ["employee_id"], ["changed_at", "origin"])
-    return newest.select(*strikes(limit).fieldNames())
+    return _newest(log).select(*strikes(limit).fieldNames())
 
 
-def strike_table(spark: SparkSession, root: str, limit: int = MAX_STRIKES) -> DataFrame:
+def strike_table(
+    spark: SparkSession, root: str, limit: int = MAX_STRIKES, block: int = BLOCK
+) -> DataFrame:
     """The current strike table."""
-    return latest_rows(strike_log(spark, root, limit), limit)
+    return latest_rows(strike_log(spark, root, limit, block), limit)
 
 
 def struck_out_table(spark: SparkSession, root: str) -> DataFrame:
     """Everybody struck out so far."""
-    path = f"{root}/struck_out"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], STRUCK_OUT)
-    return spark.read.schema(STRUCK_OUT).parquet(path).distinct()
+    return _read_blocks(spark, f"{root}/struck_out", STRUCK_OUT).select("employee_id").distinct()
 
 
-def store_strikes(
-    rows: DataFrame, root: str, origin: str, changed_at: dt.datetime, limit: int = MAX_STRIKES
+def flag_log(
+    spark: SparkSession, root: str, block: int = BLOCK, before: int | None = None
 ) -> DataFrame:
-    """Write changed strike rows as one origin and return them as stored."""
-    schema = strikes(limit)
-    typed = rows.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields],
-        moment(changed_at).alias("changed_at"),
-    )
-    path = f"{root}/strikes/origin={origin}"
-    typed.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(schema).parquet(path)
+    """Stored flags: the recent ones of the base, and what came after it."""
+    path = f"{root}/flag_base"
+    folded = latest(spark, path, before)
+    newer = _read_blocks(spark, f"{root}/flags", FLAGGED, (folded or 0) // block)
+    # Batches below the base version are in the base already.
+    newer = newer.filter(F.col("origin") >= _origin(folded or 0))
+    if before is not None:
+        newer = newer.filter(F.col("origin") < _origin(before))
+    base = read_latest(spark, path, FLAGGED, before)
+    return base.unionByName(newer.select(*FLAGGED.fieldNames()))
 
 
-def fold(spark: SparkSession, root: str, before: int | None = None, limit: int = MAX_STRIKES) -> int:
-    """Write the newest strike rows as a new base, so that readers merge fewer files.
+def _store(df: DataFrame, root: str, table: str, block: int, origin: str, schema: StructType) -> DataFrame:
+    """Write one origin of a table and return it as stored."""
+    path = f"{root}/{table}/{_block_name(block)}/origin={origin}"
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    df.select(*typed).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
-    before names the first batch that is not committed yet, if one may be replayed.
-    Strike files that are folded already do no harm until a retention job drops them.
-    """
-    log = strike_log(spark, root, limit)
-    if before is not None:
-        log = log.filter(F.col("origin") < _batch_origin(before))
-    newest = best_per_key(log, ["employee_id"], ["changed_at", "origin"])
-    return write_next(newest.select(*strike_log_schema(limit).fieldNames()), f"{root}/base")
+
+def store_salaries(
+    rows: DataFrame, root: str, asof: dt.datetime, limit: int = MAX_STRIKES
+) -> DataFrame:
+    """Write the strike rows of a salary sync and return them as stored."""
+    names = _blocks(rows.sparkSession, f"{root}/strikes")
+    block = int(names[-1].removeprefix("block=")) if names else 0
+    stamped = rows.withColumn("changed_at", moment(asof))
+    schema = strike_log_schema(limit)
+    out = _store(stamped, root, "strikes", block, f"salary-{asof:%Y-%m-%d}", schema)
+    return out.drop("changed_at")
+
+
+def fold_block(spark: SparkSession, job: StrikeStream, before: int, now: dt.datetime) -> None:
+    """Fold everything before a batch into new base versions, unless that is done already."""
+    if before not in versions(spark, f"{job.root}/base"):
+        newest = _newest(strike_log(spark, job.root, job.limit, job.block, before))
+        names = strike_log_schema(job.limit).fieldNames()
+        write_next(newest.select(*names), f"{job.root}/base", number=before)
+    if before not in versions(spark, f"{job.root}/flag_base"):
+        flags = recent(flag_log(spark, job.root, job.block, before), now, job.days)
+        write_next(flags, f"{job.root}/flag_base", number=before)
 
 
 def strike_batch(batch: DataFrame, batch_id: int, job: StrikeStream) -> None:
     """One micro-batch of JSON messages."""
     spark = batch.sparkSession
     now = job.clock()
+    block, origin = batch_id // job.block, _origin(batch_id)
+    if batch_id and batch_id % job.block == 0:
+        fold_block(spark, job, batch_id, now)
     found = flag(
         decode(batch), job.marked, job.vocab, now, fold=job.fold, inline_marked=0, inline_vocab=0
     )
-    flags_path = f"{job.root}/flags/batch_id={batch_id}"
-    found.select(
-        "employee_id", F.col("start_date").cast("timestamp").alias("start_date")
-    ).write.mode("overwrite").parquet(flags_path)
-    arrived = spark.read.schema(FLAGGED).parquet(flags_path)
+    arrived = _store(found, job.root, "flags", block, origin, FLAGGED)
     if arrived.isEmpty():
         return
 
-    earlier = recent(flag_table(spark, job.root, batch_id), now, job.days)
-    counts = count_flags(earlier.select("employee_id", "start_date"), arrived, now, job.days)
-    log = strike_log(spark, job.root, job.limit).filter(F.col("origin") < _batch_origin(batch_id))
+    history = flag_log(spark, job.root, job.block, batch_id)
+    counts = count_flags(history, arrived, now, job.days)
     senders = arrived.select("employee_id").distinct()
+    log = strike_log(spark, job.root, job.limit, job.block, batch_id)
     old = latest_rows(log.join(senders, "employee_id", "left_semi"), job.limit)
     new = score(old, counts, job.limit, job.factor, job.mode, job.exact)
-    changed = store_strikes(
-        changed_rows(old, new, ["employee_id"]), job.root, _batch_origin(batch_id), now, job.limit
-    )
+    rows = changed_rows(old, new, ["employee_id"]).withColumn("changed_at", moment(now))
+    changed = _store(rows, job.root, "strikes", block, origin, strike_log_schema(job.limit))
     out = struck_out(changed, job.limit, exact=job.exact)
-    out.write.mode("overwrite").parquet(f"{job.root}/struck_out/batch_id={batch_id}")
+    _store(out, job.root, "struck_out", block, origin, STRUCK_OUT)
     if job.on_changes:
-        job.on_changes(changed, batch_id)
+        job.on_changes(changed.drop("changed_at"), batch_id)
 
 
 def start(

@@ -66,7 +66,7 @@ def test_three_days(spark, tmp_path, rows):
 
     # Employee 1 is struck out in between; on 1 February the monthly report is due.
     struck = spark.createDataFrame([("1",)], "employee_id string")
-    struck.write.parquet(f"{at.stored('strikes')}/struck_out/batch_id=0")
+    struck.write.parquet(f"{at.stored('strikes')}/struck_out/block=000000000000/origin=stream-0")
     done = daily.run_day(spark, at, day_of("2024-02-01T07:00:00"))
     assert done["quota"] == done["calendar"] == "not due" and done["usage"] == "done"
     got = jobs.stored_timeframe(spark, at).filter("designation = 'Lead'")

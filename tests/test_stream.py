@@ -26,7 +26,7 @@ def setup(spark, tmp_path):
     start = spark.createDataFrame(
         [(e, 1000.0, *[None] * 10, n) for e, n in (("a", 0), ("b", 0), ("c", 9), ("d", None))], strike_schema()
     )
-    ss.store_strikes(start, root, "salary-2024-02-01", NOW - dt.timedelta(days=29))
+    ss.store_salaries(start, root, NOW - dt.timedelta(days=29))
     changes = []
     job = ss.StrikeStream(
         root, spark.createDataFrame([("BAD",)], "w string"), spark.createDataFrame([(w,) for w in VOCAB], "w string"),
@@ -92,22 +92,38 @@ def test_replayed_batch_changes_nothing(spark, setup):
     ss.strike_batch(second, 1, job)
     assert {tuple(r) for r in ss.strike_table(spark, root).collect()} == state
     assert [r[0] for r in ss.struck_out_table(spark, root).collect()] == ["a"]
-    assert ss.flag_table(spark, root).count() == 11
+    assert ss.flag_log(spark, root).count() == 11
     # Somebody who is struck out is not scored again.
     ss.strike_batch(second, 2, job)
     assert {tuple(r) for r in ss.strike_table(spark, root).collect()} == state
 
 
-def test_fold_keeps_the_table(spark, setup):
+def test_folding_changes_nothing(spark, setup):
+    """Blocks of two batches: two folds on the way, a replay at a block's edge included."""
     root, job, _ = setup
-    ss.strike_batch(spark.createDataFrame([(message("a"),), (message("b"),)], "value string"), 0, job)
-    state = {tuple(r) for r in ss.strike_table(spark, root).collect()}
-    assert ss.fold(spark, root) == 1
-    assert {tuple(r) for r in ss.strike_table(spark, root).collect()} == state
-    ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 1, job)
-    assert counts(spark, root)["a"] == 2
-    ss.fold(spark, root, before=1)
-    assert counts(spark, root)["a"] == 2
+    job.block = 2
+    one = spark.createDataFrame([(message("a"),), (message("b", "hello"),)], "value string")
+    for k in (0, 1, 2, 2, 3, 4):
+        ss.strike_batch(one, k, job)
+    table = ss.strike_table(spark, root, block=2)
+    assert {r[0]: r[-1] for r in table.collect()} == {"a": 5, "b": 0, "c": 9, "d": None}
+    assert ss.flag_log(spark, root, block=2).count() == 5
+    # What the next batch opens: the newest base and the blocks after it.
+    opened = {f.split("block=")[1][:12] for f in ss.strike_log(spark, root, block=2).inputFiles() if "block=" in f}
+    assert opened == {f"{n:012d}" for n in (1, 2)}
+
+
+def test_a_salary_sync_between_batches_is_used(spark, setup):
+    root, job, _ = setup
+    one = spark.createDataFrame([(message("a"),)], "value string")
+    ss.strike_batch(one, 0, job)
+    active = spark.createDataFrame([("a", 2000.0)], "emp_id string, salary double")
+    rows = strikes.sync_salaries(active, ss.strike_table(spark, root))
+    ss.store_salaries(rows, root, NOW + dt.timedelta(hours=1))
+    job.clock = lambda: NOW + dt.timedelta(hours=2)
+    ss.strike_batch(one, 1, job)
+    row = ss.strike_table(spark, root).filter("employee_id = 'a'").first()
+    assert (row["salary"], row["strike_1"], row["strike_2"], row["no_of_strikes"]) == (2000.0, 1800.0, 1620.0, 2)
 
 
 def test_batch_without_flags_stores_no_strikes(spark, setup):
