@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_column, run_stamp
+from ..functions.columns import run_stamp
 
 
 def clean_records(
@@ -33,18 +33,32 @@ def clean_records(
     return kept.withColumns(run_stamp(asof)) if asof else kept
 
 
+def ranked_row(columns: Sequence[str], order: Sequence[str | Column]) -> Column:
+    """The columns as one struct that compares by the order columns first.
+
+    Equal ranks are settled by the remaining columns, so the greatest struct of a
+    group is the same on every run. Its fields go by the names in columns.
+    """
+    rank = [o if isinstance(o, str) else o.alias(f"rank_{i}") for i, o in enumerate(order)]
+    return F.struct(*rank, *[c for c in columns if c not in order_names(order)])
+
+
+def order_names(order: Sequence[str | Column]) -> list[str]:
+    return [o for o in order if isinstance(o, str)]
+
+
 def best_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 ) -> DataFrame:
     """One row per key: the greatest by the order columns, nulls lowest.
 
-    The last order column should be unique within a key, so that ties are settled.
-    An aggregate and not a ranking window: copies of one key are reduced before
-    the shuffle, however many rows share it.
+    An aggregate and not a ranking window: copies of one key are reduced before the
+    shuffle, however many rows share it.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    rank = F.struct(*[as_column(o).alias(f"o{i}") for i, o in enumerate(order)])
-    best = F.max_by(F.struct(*rest), rank).alias("best")
-    return df.groupBy(*keys).agg(best).select(*keys, "best.*").select(*df.columns)
+    best = F.max(ranked_row(rest, order)).alias("best")
+    return df.groupBy(*keys).agg(best).select(
+        *[F.col(c) if c in keys else F.col(f"best.{c}") for c in df.columns]
+    )

@@ -8,9 +8,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_column, is_weekend, moment
+from ..functions.columns import is_weekend, moment
 from ..schemas import ACTIVE, CANCELLED
 from .calendar import holiday_dates
+from .clean import ranked_row
 
 
 def intake(
@@ -56,13 +57,12 @@ def reconcile(
     with a partial step before the shuffle instead of aggregate, join back and rank.
     """
     rest = [c for c in df.columns if c not in (key, date)]
-    rank = F.struct(*[as_column(o).alias(f"o{i}") for i, o in enumerate(latest)])
 
     def votes(which: str) -> Column:
         return F.count_if(F.col(status) == which)
 
     def newest(which: str) -> Column:
-        return F.max_by(F.struct(*rest), F.when(F.col(status) == which, rank))
+        return F.max(F.when(F.col(status) == which, ranked_row(rest, latest)))
 
     tally = df.groupBy(key, date).agg(
         votes(CANCELLED).alias("n_cancelled"),
@@ -76,8 +76,11 @@ def reconcile(
     return (
         tally.select(key, date, winner.alias("row"))
         .filter(F.col("row").isNotNull())
-        .select(key, date, "row.*")
-        .select(*df.columns, F.year(date).alias("year"), F.month(date).alias("month"))
+        .select(
+            *[F.col(c) if c in (key, date) else F.col(f"row.{c}") for c in df.columns],
+            F.year(date).alias("year"),
+            F.month(date).alias("month"),
+        )
     )
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.merge import merge_by_key
+
 
 def read_options(
     options: Mapping[str, str],
@@ -59,3 +61,47 @@ def write_jdbc(
     df: DataFrame, options: Mapping[str, str], table: str, mode: str = "append", **kwargs
 ) -> None:
     df.write.format("jdbc").mode(mode).options(**write_options(options, table, **kwargs)).save()
+
+
+def upsert_jdbc(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    df: DataFrame,
+    table: str,
+    staging: str,
+    keys: Sequence[str],
+    mode: str = "coalesce",
+) -> None:
+    """Merge df into a table by key, by way of a staging table.
+
+    Overwriting the table empties it before a lazy read of it could run. So the merged
+    rows are stored in the staging table first, and the table is filled from there.
+    """
+    merged = merge_by_key(read_jdbc(spark, options, table=table), df, keys, mode)
+    write_jdbc(merged, options, staging, "overwrite")
+    write_jdbc(read_jdbc(spark, options, table=staging), options, table, "overwrite")
+
+
+def publisher(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    tables: Mapping[str, str],
+    keys: Mapping[str, Sequence[str]] | None = None,
+):
+    """A publish callback for the jobs: copies stored results into database tables.
+
+    tables names the table of each result that is wanted; keys the key columns of the
+    results that are upserted, whose staging table has the suffix _staging.
+    """
+
+    def publish(name: str, df: DataFrame, mode: str) -> None:
+        if name not in tables:
+            return
+        if mode == "upsert" or (keys and name in keys):
+            how = "replace" if mode == "upsert" else "coalesce"
+            table = tables[name]
+            upsert_jdbc(spark, options, df, table, f"{table}_staging", (keys or {})[name], how)
+        else:
+            write_jdbc(df, options, tables[name], mode)
+
+    return publish

@@ -119,6 +119,43 @@ def test_jdbc_write_options():
     assert got == {**PLACE, "dbtable": "t", "truncate": "true", "batchsize": "10000", "numPartitions": "4"}
 
 
+@pytest.fixture
+def tables(spark, tmp_path, monkeypatch):
+    """Stands in for a database: Parquet directories that are emptied before an overwrite."""
+    import shutil
+
+    def read(session, options, table=None, **kw):
+        return session.read.parquet(str(tmp_path / table))
+
+    def write(df, options, table, mode="append", **kw):
+        if mode == "overwrite":
+            shutil.rmtree(tmp_path / table, ignore_errors=True)
+        df.write.mode("append").parquet(str(tmp_path / table))
+
+    monkeypatch.setattr(jdbc, "read_jdbc", read)
+    monkeypatch.setattr(jdbc, "write_jdbc", write)
+    return lambda name: spark.read.parquet(str(tmp_path / name))
+
+
+def test_upsert_reads_the_table_before_emptying_it(spark, tables, rows):
+    jdbc.write_jdbc(spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int"), PLACE, "t")
+    new = spark.createDataFrame([("b", 9), ("c", 3)], "id string, n int")
+    jdbc.upsert_jdbc(spark, PLACE, new, "t", "t_staging", ["id"])
+    assert rows(tables("t")) == [("a", 1), ("b", 9), ("c", 3)]
+
+
+def test_publisher(spark, tables, rows):
+    publish = jdbc.publisher(spark, PLACE, {"x": "tx", "s": "ts"}, {"s": ["id"]})
+    df = spark.createDataFrame([("a", 1)], "id string, n int")
+    publish("x", df, "append")
+    publish("x", df, "append")
+    publish("other", df, "overwrite")
+    jdbc.write_jdbc(spark.createDataFrame([("a", 0), ("b", 2)], "id string, n int"), PLACE, "ts")
+    publish("s", df, "upsert")
+    assert rows(tables("tx")) == [("a", 1), ("a", 1)]
+    assert rows(tables("ts")) == [("a", 1), ("b", 2)]
+
+
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
