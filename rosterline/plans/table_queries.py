@@ -147,8 +147,7 @@ def message_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def words_of(df: DataFrame, text: str = "text") -> DataFrame:
-    tokens = F.array_distinct(fc.word_tokens(text, "lower"))
-    return df.select(F.explode(tokens).alias("word")).distinct()
+    return df.select(F.explode(fc.word_tokens(text, "lower")).alias("word")).distinct()
 
 
 def marked_words(spark: SparkSession) -> DataFrame:
@@ -484,6 +483,26 @@ def csv_text_clean(spark, d):
     )
 
 
+def csv_timeframe(spark, d):
+    """Text-only periods from CSV, cast safely, filled and written as CSV again."""
+    raw, out = scratch_path(spark, "timeframe-raw"), scratch_path(spark, "timeframe-csv")
+    seconds = F.to_timestamp("start_date").cast("bigint")
+    given = F.when(F.col("delivery") == "F", seconds + 86400 * 30)
+    rows = period_rows(spark, d).withColumns({"start_date": seconds, "end_date": given})
+    files.write_csv(rows.drop("delivery"), raw, "overwrite")
+    typed = files.read_csv(spark, raw).withColumns(
+        {
+            "start_date": F.col("start_date").try_cast("double"),
+            "end_date": F.col("end_date").try_cast("double"),
+            "salary": F.col("salary").try_cast("double"),
+            "order_id": F.col("order_id").try_cast("bigint"),
+        }
+    )
+    done = periods.settle(periods.convert_epochs(typed), BEST, mode="fill")
+    files.write_csv(done, out, "overwrite")
+    return files.read_csv(spark, out, done.schema)
+
+
 def active_partition(spark, d):
     """Stored by status, read back pruned to the open periods."""
     path = scratch_path(spark, "timeframe")
@@ -589,7 +608,7 @@ QUERIES = [
     penalty_ladder, penalty_ladder_keep, changed_rows, salary_sync, strike_upsert,
     struck_out, struck_out_exact, merge_by_key, repeated_keys,
     flag_messages, message_tokens, encode_messages, decode_messages,
-    csv_round_trip, csv_text_clean, active_partition, partition_overwrite, versioned_rewrite,
+    csv_round_trip, csv_text_clean, csv_timeframe, active_partition, partition_overwrite, versioned_rewrite,
     alert_files, word_list, ingest_archive, stream_strikes,
 ]
 

@@ -286,22 +286,25 @@ def _headcount(kind: str) -> str:
                GROUP BY designation"""
 
 
+_FILLED = _with(
+    """SELECT emp_id, designation, start_date, end_date, salary, order_id,
+              CASE WHEN end_date IS NULL THEN 'ACTIVE' ELSE 'INACTIVE' END AS status
+       FROM (SELECT emp_id, designation, start_date, salary, order_id,
+                    CASE WHEN delivery = 'F' THEN CAST(start_date + 30 AS DATE)
+                         ELSE lead(start_date) OVER (PARTITION BY emp_id ORDER BY start_date)
+                    END AS end_date
+             FROM best)""",
+    "best",
+)
+
+
 SQL: dict[str, str] = {
     "clean_employees": _CLEAN,
     "best_per_key": _with(
         "SELECT emp_id, designation, start_date, salary, order_id FROM best", "best"
     ),
     "timeframe_chain": _CHAIN,
-    "timeframe_chain_fill": _with(
-        """SELECT emp_id, designation, start_date, end_date, salary, order_id,
-                  CASE WHEN end_date IS NULL THEN 'ACTIVE' ELSE 'INACTIVE' END AS status
-           FROM (SELECT emp_id, designation, start_date, salary, order_id,
-                        CASE WHEN delivery = 'F' THEN CAST(start_date + 30 AS DATE)
-                             ELSE lead(start_date) OVER (PARTITION BY emp_id ORDER BY start_date)
-                        END AS end_date
-                 FROM best)""",
-        "best",
-    ),
+    "timeframe_chain_fill": _FILLED,
     "epoch_dates": """SELECT o_orderkey AS order_id, CAST(o_custkey AS VARCHAR) AS emp_id,
                              CAST(o_orderdate AS DATE) AS start_date,
                              CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS end_date
@@ -473,6 +476,7 @@ SQL: dict[str, str] = {
     "decode_messages": _with("SELECT sender, receiver, message FROM said", "said"),
     "csv_round_trip": _CUSTOMER,
     "csv_text_clean": _CLEAN,
+    "csv_timeframe": _FILLED,
     "active_partition": _with(f"SELECT {_COLUMNS} FROM chained WHERE status = 'ACTIVE'", "chained"),
     "partition_overwrite": _with(
         """SELECT emp_id, designation, start_date, order_id, delivery,

@@ -62,6 +62,9 @@ class StrikeStream:
     # Called with (changed strike rows, batch id) after the batch is stored, for
     # example to upsert them into a database.
     on_changes: Callable[[DataFrame, int], None] | None = field(default=None)
+    # Called with (ids struck out in the batch, batch id), for example to set their
+    # periods to INACTIVE in a database; the stored periods follow in the daily run.
+    on_struck: Callable[[DataFrame, int], None] | None = field(default=None)
 
     def __post_init__(self) -> None:
         # Short word lists are fetched once here and not again in every batch.
@@ -214,9 +217,11 @@ def strike_batch(batch: DataFrame, batch_id: int, job: StrikeStream) -> None:
     rows = changed_rows(old, new, ["employee_id"]).withColumn("changed_at", moment(now))
     changed = _store(rows, job.root, "strikes", block, origin, strike_log_schema(job.limit))
     out = struck_out(changed, job.limit, exact=job.exact)
-    _store(out, job.root, "struck_out", block, origin, STRUCK_OUT)
+    gone = _store(out, job.root, "struck_out", block, origin, STRUCK_OUT)
     if job.on_changes:
         job.on_changes(changed.drop("changed_at"), batch_id)
+    if job.on_struck:
+        job.on_struck(gone, batch_id)
 
 
 def start(

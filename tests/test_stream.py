@@ -82,6 +82,8 @@ def test_stream_equals_batch_and_restarts(spark, setup, tmp_path):
 
 def test_replayed_batch_changes_nothing(spark, setup):
     root, job, _ = setup
+    gone = []
+    job.on_struck = lambda df, k: gone.append((k, [r[0] for r in df.collect()]))
     first = spark.createDataFrame([(message("a"),), (message("b"),)], "value string")
     second = spark.createDataFrame([(message("a"),)] * 9, "value string")
     ss.strike_batch(first, 0, job)
@@ -93,6 +95,7 @@ def test_replayed_batch_changes_nothing(spark, setup):
     assert {tuple(r) for r in ss.strike_table(spark, root).collect()} == state
     assert [r[0] for r in ss.struck_out_table(spark, root).collect()] == ["a"]
     assert ss.flag_log(spark, root).count() == 11
+    assert gone == [(0, []), (1, ["a"]), (1, ["a"])]
     # Somebody who is struck out is not scored again.
     ss.strike_batch(second, 2, job)
     assert {tuple(r) for r in ss.strike_table(spark, root).collect()} == state
