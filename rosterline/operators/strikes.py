@@ -69,17 +69,18 @@ def rolling_counts(
     large share of all rows is spread over as many tasks as there are grains.
     """
     seen = flags.filter(F.col(ts).isNotNull()).groupBy(key, ts).agg(F.count("*").alias("n"))
-    owner = F.col(ts).alias("owner")
-    points = seen.select(key, F.col(ts).alias("at"), F.lit(1).alias("kind"), owner, "n")
+    point = F.struct(F.col(ts).alias("at"), F.lit(1).alias("kind"), "n")
     # A probe sorts before the rows of its own instant: those belong to the frame.
-    probes = seen.select(
-        key,
+    probe = F.struct(
         (F.col(ts) - F.lit(frame)).alias("at"),
         F.lit(0).alias("kind"),
-        owner,
         F.lit(0).cast("bigint").alias("n"),
     )
-    cells = points.unionByName(probes).withColumn("cell", F.date_trunc(grain, "at"))
+    cells = (
+        seen.select(key, F.col(ts).alias("owner"), F.explode(F.array(point, probe)).alias("row"))
+        .select(key, "owner", "row.*")
+        .withColumn("cell", F.date_trunc(grain, "at"))
+    )
     before = Window.partitionBy(key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     # The total of the earlier cells enters each cell as its first row.
     opening = (
