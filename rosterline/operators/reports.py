@@ -78,15 +78,14 @@ def quota_usage(
     date: str = "date",
     status: str = "status",
 ) -> DataFrame:
-    """Active leave days of the year before the month, against the year's quota.
+    """Active leave days of the year before the month (13: all of it), against its quota.
 
     The percent is null where the quota is missing or 0. If the leave table has year
     and month columns they are filtered as well, so its partitions are pruned.
     """
     day = F.col(date).cast("date")
-    wanted = (
-        (F.col(status) == ACTIVE) & (day >= dt.date(year, 1, 1)) & (day < dt.date(year, month, 1))
-    )
+    end = dt.date(year + 1, 1, 1) if month > 12 else dt.date(year, month, 1)
+    wanted = (F.col(status) == ACTIVE) & (day >= dt.date(year, 1, 1)) & (day < end)
     if {"year", "month"} <= set(leaves.columns):
         wanted = (F.col("year") == year) & (F.col("month") < month) & wanted
     taken = (

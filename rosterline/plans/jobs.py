@@ -215,10 +215,13 @@ def report_usage(
     per_employee: bool = False,
     publish: Publish | None = None,
 ) -> bool:
-    """Quota usage of the year before the month, and alerts for newly flagged people."""
-    usage = reports.quota_usage(
-        stored_leaves(spark, at), stored_quota(spark, at), year or asof.year, month or asof.month
-    )
+    """Quota usage of the year before the month, and alerts for newly flagged people.
+
+    By default the months of the year that are over; in January those of the last year.
+    """
+    if year is None or month is None:
+        year, month = (asof.year - 1, 13) if asof.month == 1 else (asof.year, asof.month)
+    usage = reports.quota_usage(stored_leaves(spark, at), stored_quota(spark, at), year, month)
     path = at.stored("quota_over")
     versions.write_next(reports.over_quota(usage, threshold), path)
     flagged = versions.read_latest(spark, path, USAGE)

@@ -140,6 +140,15 @@ def test_quota_usage(spark, usage, rows):
     assert rows(reports.over_quota(usage), "emp_id") == [("1",), ("6",)]
 
 
+def test_quota_usage_of_a_whole_year(spark, rows):
+    leaves = spark.createDataFrame(
+        [("1", D("2024-12-31"), "ACTIVE"), ("1", D("2025-01-01"), "ACTIVE")],
+        "emp_id string, date date, status string",
+    )
+    quota = spark.createDataFrame([(1, 4, 2024)], QUOTA)
+    assert rows(reports.quota_usage(leaves, quota, 2024, 13)) == [("1", 1, 4, 25.0)]
+
+
 def test_alert_only_once(spark, usage, rows, tmp_path):
     from rosterline.sources import files
 
