@@ -29,7 +29,9 @@ def intake(
     free = F.broadcast(holiday_dates(calendar).withColumnRenamed("date", date))
     kept = df.filter(~is_weekend(date)).join(free, date, "left_anti")
     if active is not None:
-        kept = kept.join(active.select(key).distinct(), key, "left_semi")
+        # No distinct here: the skew-join rule splits a hot employee only where both
+        # inputs of the join come straight from their shuffles.
+        kept = kept.join(active.select(key), key, "left_semi")
     kept = kept.select(*df.columns)
     if asof is None:
         return kept

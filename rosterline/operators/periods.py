@@ -75,7 +75,7 @@ def merge_periods(
     """
     columns = existing.columns
     if struck is not None:
-        marks = struck.select(F.col(struck_key).cast("string").alias(key)).distinct()
+        marks = struck.select(F.col(struck_key).cast("string").alias(key))
         incoming = incoming.join(marks, key, "left_anti")
     fresh = incoming.select(*[c for c in columns if c in incoming.columns])
     if touched_only:
