@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from rosterline.plans.table_queries import registry
+from rosterline.plans.table_sql import SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry()) == set(SQL)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry()))
 def test_query_equals_sql(spark, db, name):
     state, _, _ = compare(spark, db, name, SF)
     assert state == "ok"
