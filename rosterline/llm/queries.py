@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import golay_simhash
+from . import golay_simhash, mixing
 from .staging import importable
 
 
@@ -18,7 +18,12 @@ def op5_simhash(spark: SparkSession, d: str) -> DataFrame:
     return golay_simhash.near_duplicates(_read(spark, d, "documents"), n=3, seed=42, distance=3)
 
 
-QUERIES = [op5_simhash]
+def op2_mixing(spark: SparkSession, d: str) -> DataFrame:
+    mixed = mixing.mix(_read(spark, d, "documents"), weights=(3, 1, 2), growth=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+QUERIES = [op2_mixing, op5_simhash]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,4 +2,57 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+OP2 = r"""
+WITH sizes AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size) AS cap,
+    row_number() OVER (ORDER BY source IS NULL, source) AS place
+  FROM sizes GROUP BY source
+), weighed AS (
+  SELECT *, [3, 1, 2][(place - 1) % 3 + 1]::DOUBLE AS weight FROM sources
+), levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (
+      ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed
+), targets AS (
+  SELECT source, source_size, place, least(cap, max(level) OVER () * weight) AS target,
+    greatest(1, ceil(source_size / 16777216.0))::BIGINT AS shards FROM levels
+), seats AS (
+  SELECT place, target, unnest(range(1, ceil(target / 8)::BIGINT + 3)) AS k FROM targets WHERE target > 0
+), quotas AS (
+  SELECT place, count(*) AS quota FROM (
+    SELECT place, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, place) AS r FROM seats)
+  WHERE r <= (SELECT round(sum(target) / 8) FROM targets) GROUP BY place
+), dealt AS (
+  SELECT s.*, t.*, coalesce(q.quota, 0) AS quota,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':42'), 1, 12))::BIGINT AS ord
+  FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN quotas q USING (place)
+), lined AS (
+  SELECT *, ord % shards AS shard,
+    sum(size) OVER (PARTITION BY place, ord % shards ORDER BY ord, doc_id, size ROWS UNBOUNDED PRECEDING) AS e
+  FROM dealt
+), shard_words AS (
+  SELECT place, shard, sum(size) AS words, any_value(quota) AS seats FROM lined GROUP BY place, shard
+), shard_seats AS (
+  SELECT place, shard, words, seats, row_number() OVER (PARTITION BY place ORDER BY words / (2 * k - 1) DESC, shard) AS r
+  FROM (SELECT *, unnest(range(1, ceil(seats * words / sum(words) OVER (PARTITION BY place))::BIGINT + 3)) AS k
+        FROM shard_words WHERE words > 0)
+), shard_quotas AS (
+  SELECT place, shard, any_value(words) AS words, ceil(any_value(words) / 8)::BIGINT AS n,
+    least(count(*) FILTER (r <= seats), 2 * ceil(any_value(words) / 8))::BIGINT AS given
+  FROM shard_seats GROUP BY place, shard
+), runs AS (
+  SELECT *, given // n AS copies, given % n AS rest,
+    ('0x' || substr(md5(place || ':' || shard || ':42'), 1, 12))::BIGINT % n AS first
+  FROM shard_quotas
+)
+SELECT doc_id, size, source_size, target, (coalesce(copies * size
+    + greatest(0, least(e, least((first + rest) * 8, words)) - greatest(e - size, first * 8))
+    + greatest(0, least(e, greatest(0, first + rest - n) * 8) - (e - size)), 0))::BIGINT AS taken
+FROM lined LEFT JOIN runs USING (place, shard)
+"""
+
+SQL: dict[str, str] = {"op2_mixing": OP2}
