@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import golay_simhash, mixing
+from . import golay_simhash, mixing, pseudonyms
 from .staging import importable
 
+# The key of the queries and the pipeline; whoever publishes a corpus passes a secret one.
+PSEUDONYM_KEY = b"rosterline example key"
+
 
 def _read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
@@ -23,7 +27,13 @@ def op2_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = [op2_mixing, op5_simhash]
+def op3_pseudonyms(spark: SparkSession, d: str) -> DataFrame:
+    """doc_id, the text with pseudonyms, how many there are and of which kinds."""
+    done = pseudonyms.pseudonyms(_read(spark, d, "documents"), PSEUDONYM_KEY)
+    return done.select("doc_id", "text", F.size("pseudonyms").alias("n_pseudonyms"), "pseudonyms")
+
+
+QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
