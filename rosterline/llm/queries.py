@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import golay_simhash, mixing, pseudonyms, toxicity
+from . import golay_simhash, mixing, pseudonyms, quality, toxicity
 from .staging import importable
 
 # The key of the queries and the pipeline; whoever publishes a corpus passes a secret one.
@@ -38,7 +38,12 @@ def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash, op8_toxicity]
+def op9_quality(spark: SparkSession, d: str) -> DataFrame:
+    scored = quality.score(_read(spark, d, "documents"), _read(spark, d, "labels"), folds=5, held=0)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash, op8_toxicity, op9_quality]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
