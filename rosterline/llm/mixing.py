@@ -11,8 +11,9 @@ from .staging import picked, settings, staged
 WORD = r"[^\x20\x09-\x0D]+"
 # Words to a block: a source's share is exact to about half a block for each of its shards.
 BLOCK_WORDS = 8
-# Words a shard has on average; documents are put in order within a shard only.
-SHARD_WORDS = 1 << 24
+# A source has as many shards as the root of its words divided by this: neither the shards of
+# a source nor the documents of a shard, which one task puts in order, grow like the input.
+SHARD_SCALE = 1 << 10
 
 
 def seeded(seed: int, *values: Column) -> Column:
@@ -80,7 +81,7 @@ def _overlap(low: Column, high: Column) -> Column:
 def mix(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
     weights: tuple[float, ...] = (3, 1, 2), growth: float = 1.5, most: float = 2.0, seed: int = 42,
-    keep: tuple[str, ...] = (), shard_words: int = SHARD_WORDS,
+    keep: tuple[str, ...] = (), shard_scale: int = SHARD_SCALE,
 ) -> DataFrame:
     """A row for each row of docs: id, size, source_size, target, taken, copies, cuts and the columns of `keep`.
 
@@ -111,7 +112,7 @@ def mix(
         known = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, growth, most)
         blocks = F.round(F.sum("target").over(Window.partitionBy(F.lit(1))) / BLOCK_WORDS).cast("long")
         known = sainte_lague(known.withColumn("_all", F.lit(1)).withColumn("seats", blocks), ["_all"], "place", "target", "seats")
-        shards = F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).cast("long")
+        shards = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("source_size") / shard_scale))).cast("long")
         known = staged(known.select("source", "source_size", "place", "target", "quota", shards.alias("_shards")), "sources")
 
         def dealt(frame: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ WITH sizes AS (
   FROM weighed
 ), targets AS (
   SELECT source, source_size, place, least(cap, max(level) OVER () * weight) AS target,
-    greatest(1, ceil(source_size / 16777216.0))::BIGINT AS shards FROM levels
+    greatest(1, ceil(sqrt(source_size / 1024)))::BIGINT AS shards FROM levels
 ), seats AS (
   SELECT place, target, unnest(range(1, ceil(target / 8)::BIGINT + 3)) AS k FROM targets WHERE target > 0
 ), quotas AS (
