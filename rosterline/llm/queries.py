@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import golay_simhash, mixing, pseudonyms, quality, toxicity
+from . import golay_simhash, mixing, packing, pseudonyms, quality, toxicity
 from .staging import importable
 
 # The key of the queries and the pipeline; whoever publishes a corpus passes a secret one.
@@ -43,7 +44,12 @@ def op9_quality(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash, op8_toxicity, op9_quality]
+def op6_packing(spark: SparkSession, d: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_read(spark, d, "documents"), tokenizer, capacity=1024, end=0)
+
+
+QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash, op6_packing, op8_toxicity, op9_quality]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
