@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import golay_simhash, mixing, packing, pseudonyms, quality, toxicity
+from . import golay_simhash, mixing, packing, pseudonyms, quality, sketch, toxicity
 from .staging import importable
 
 # The key of the queries and the pipeline; whoever publishes a corpus passes a secret one.
@@ -49,7 +49,11 @@ def op6_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(_read(spark, d, "documents"), tokenizer, capacity=1024, end=0)
 
 
-QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash, op6_packing, op8_toxicity, op9_quality]
+def op10_sketch(spark: SparkSession, d: str) -> DataFrame:
+    return sketch.with_edits(_read(spark, d, "documents"), fraction=0.25)
+
+
+QUERIES = [op2_mixing, op3_pseudonyms, op5_simhash, op6_packing, op8_toxicity, op9_quality, op10_sketch]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
