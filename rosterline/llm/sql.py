@@ -55,4 +55,24 @@ SELECT doc_id, size, source_size, target, (coalesce(copies * size
 FROM lined LEFT JOIN runs USING (place, shard)
 """
 
-SQL: dict[str, str] = {"op2_mixing": OP2}
+# Per turn 33 characters of the template, and one for each escape.
+OP7 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, 33 + length(role) + length(text) + list_sum([
+    (length(x) - length(replace(x, c, ''))) // length(c)
+    FOR c IN ['\', '<|', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>']]) AS chars
+  FROM (SELECT *, role || chr(10) || text AS x FROM turns)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+SQL: dict[str, str] = {"op2_mixing": OP2, "op7_chat": OP7}
