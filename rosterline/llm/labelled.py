@@ -16,27 +16,42 @@ def fold(id: str, folds: int) -> Column:
 
 def sample(
     docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, kept: Column, rows: int, chars: int
-) -> list[tuple[str, int]]:
-    """(text, label) of at most `rows` documents per label, whole texts of at most `chars` characters.
+) -> tuple[list[tuple[str, int]], float]:
+    """(text, label) of at most `rows` documents per label, and label 1's share among all labels.
 
     `kept` restricts the ids whose labels may be learned. Labels other than 0 and 1 and null
-    ids or labels are ignored; an id labelled twice counts with its smallest label. The rows
-    are those of the smallest hash of the id, so the same tables give the same sample.
+    ids or labels are ignored; an id labelled twice counts with its smallest label. Ids are
+    chosen by the smallest hash, so the same tables give the same sample; from the labels
+    alone, so that the texts are read once and not shuffled: the chosen ids, at most 2 * rows,
+    are broadcast. Whole texts of at most `chars` characters are used; chosen ids with a longer
+    text are left out. Without any label the share is one half.
     """
     known = (
         picked(labels, id, label)
         .filter(kept & F.col(f"`{label}`").isin(0, 1))
         .groupBy(F.col(f"`{id}`").alias("id"))
-        .agg(F.min(f"`{label}`").alias("label"))
+        .agg(F.min(f"`{label}`").cast("int").alias("label"))
+        .filter("id IS NOT NULL")
     )
-    texts = picked(docs, id, text).select(F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    fit = texts.filter(F.length("text") <= chars).join(known, "id")
-    fit = fit.withColumn("order", F.xxhash64("id", "text"))
-    found = []
-    for value in (0, 1):
-        part = fit.filter(F.col("label") == value).orderBy("order", "id", "text").limit(rows)
-        found += [(r.text, value) for r in part.select("text").collect()]
-    return found
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    total = sum(counts.values())
+    place = F.shiftrightunsigned(F.xxhash64("id"), 33)  # 31 bits
+    chosen = []
+    for value, count in counts.items():
+        # a little more than the share that is wanted, so that no task gives many
+        low = int(min(1.0, 1.3 * rows / count + 100 / count) * (2**31 - 1))
+        part = known.filter((F.col("label") == value) & (place <= low))
+        chosen += [(r["id"], value) for r in part.orderBy(place, "id").limit(rows).select("id").collect()]
+    if not chosen:
+        return [], 0.5
+    table = docs.sparkSession.createDataFrame(chosen, known.schema)
+    texts = picked(docs, *dict.fromkeys([id, text])).select(
+        F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
+    )
+    found = texts.join(F.broadcast(table), "id").filter(F.length("text") <= chars)
+    found = found.groupBy("id", "label").agg(F.min("text").alias("text")).collect()
+    found.sort(key=lambda r: (str(r["id"]), r["label"]))
+    return [(r["text"], r["label"]) for r in found], counts.get(1, 0) / total
 
 
 class Logistic:

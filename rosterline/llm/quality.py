@@ -89,13 +89,10 @@ def train(
     """The model and label 1's share among the labels that may be learned.
 
     Fitted on at most `rows` labelled documents per label of at most `chars` characters each
-    (documented bounds; the share is counted over all labels). `kept` restricts the labels.
+    (documented bounds, see `labelled.sample`; the share is counted over all labels).
     """
     kept = F.lit(True) if kept is None else kept
-    known = picked(labels, id, label).filter(kept & F.col(f"`{label}`").isin(0, 1))
-    share = known.agg(F.avg(F.col(f"`{label}`").cast("double"))).first()[0]
-    share = 0.5 if share is None else float(share)
-    found = sample(docs, labels, id, text, label, kept, rows, chars)
+    found, share = sample(docs, labels, id, text, label, kept, rows, chars)
     mixed = np.random.default_rng(7).permutation(len(found))  # both labels in every third
     return fit([found[i][0] for i in mixed], [found[i][1] for i in mixed], share, size), share
 
