@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_layouts, dimension_scan, golay_simhash, mixing, packing, pseudonyms, quality, sketch, toxicity
+from . import chat_layouts, dimension_scan, golay_simhash, html_wrapper, mixing, packing, pseudonyms, quality, sketch, toxicity
 from .staging import importable
 
 # The key of the queries and the pipeline; whoever publishes a corpus passes a secret one.
@@ -76,7 +76,11 @@ def op4_dimension_scan(spark: SparkSession, d: str) -> DataFrame:
     return dimension_scan.search(_read(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
-QUERIES = [op2_mixing, op3_pseudonyms, op4_dimension_scan, op5_simhash, op6_packing, op7_chat, op8_toxicity, op9_quality, op10_sketch]
+def op1_html(spark: SparkSession, d: str) -> DataFrame:
+    return html_wrapper.extract(_read(spark, d, "pages"))
+
+
+QUERIES = [op1_html, op2_mixing, op3_pseudonyms, op4_dimension_scan, op5_simhash, op6_packing, op7_chat, op8_toxicity, op9_quality, op10_sketch]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
