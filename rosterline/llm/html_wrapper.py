@@ -58,6 +58,8 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+# Elements nested deeper than this belong to the one at this depth.
+DEEPEST = 150
 # Children compared with children: beyond this many pairs only equal ends are aligned.
 MOST_PAIRS = 40_000
 # A leaf is template if its text is the same on this share of the pages that have it, of
@@ -102,7 +104,7 @@ def _start(tag: str, attributes: str, parent: Node) -> Node:
 def parse(page: str | None) -> Node:
     """The tree of a page; texts of a node are its blocks, white space folded, references decoded."""
     root = Node("#page", "#page", False, 0)
-    stack, buffer, skip = [root], [], 0
+    stack, buffer, deeper = [root], [], Counter()
 
     def flush() -> None:
         if buffer:
@@ -138,6 +140,10 @@ def parse(page: str | None) -> Node:
             if tag == "br":
                 buffer.append(" ")
                 continue
+            if deeper[tag]:
+                deeper[tag] -= 1
+                flush()
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
                     close(i)
@@ -179,6 +185,9 @@ def parse(page: str | None) -> Node:
                 break
             at = page.find(">", end) + 1 or len(page)
             continue
+        if len(stack) > DEEPEST:
+            deeper[tag] += 1
+            continue
         if block:
             _holder(stack).children.append(node)
         else:  # text of an element inside a block that is never content is left out of the block
