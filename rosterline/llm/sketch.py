@@ -19,7 +19,7 @@ def with_sketch(df: DataFrame, text: str, name: str, fraction: float = 0.25, n:
     `fraction` of the range are kept, each once, so a sketch grows with its text. If a text has
     words but no hash that low, its smallest hash stands in. No words, or null: an empty array.
     """
-    limit = int(fraction * 2**63)
+    limit = int(fraction * 2**63) - 1
     words, hashes = f"{name} words", f"{name} hashes"
     split = F.filter(F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), SPACES), lambda w: w != "")
     df = df.withColumn(words, split)
@@ -27,7 +27,7 @@ def with_sketch(df: DataFrame, text: str, name: str, fraction: float = 0.25, n:
     starts = F.sequence(F.lit(0), F.greatest(F.size(f"`{words}`") - n, F.lit(0)))
     all_hashes = F.transform(starts, lambda i: F.shiftrightunsigned(shingle(i), 1))
     df = df.withColumn(hashes, F.when(F.size(f"`{words}`") > 0, all_hashes).otherwise(F.array().cast("array<bigint>")))
-    df = df.withColumn(name, F.array_sort(F.array_distinct(F.filter(f"`{hashes}`", lambda h: h < limit))))
+    df = df.withColumn(name, F.array_sort(F.array_distinct(F.filter(f"`{hashes}`", lambda h: h <= limit))))
     least = F.filter(F.array(F.array_min(f"`{hashes}`")), lambda h: h.isNotNull())
     return df.withColumn(name, F.when(F.size(name) > 0, F.col(name)).otherwise(least)).drop(words, hashes)
 
@@ -35,7 +35,7 @@ def with_sketch(df: DataFrame, text: str, name: str, fraction: float = 0.25, n:
 def merged(a: Column, b: Column, fraction: float = 0.25) -> Column:
     """The sketch of two texts together, from their sketches: a union, without stand-ins if it has more."""
     both = F.array_sort(F.array_union(a, b))
-    low = F.filter(both, lambda h: h < int(fraction * 2**63))
+    low = F.filter(both, lambda h: h <= int(fraction * 2**63) - 1)
     return F.when(F.size(low) > 0, low).otherwise(F.slice(both, 1, 1))
 
 
@@ -106,17 +106,17 @@ def with_edits(docs: DataFrame, id: str = "doc_id", text: str = "text", fraction
     def same(a: str, b: str) -> Column:
         return (F.col(f"{a}_none") == F.col(f"{b}_none")) & (F.col(f"{a}_key") == F.col(f"{b}_key")) & (F.col(f"{a}_hash") == F.col(f"{b}_hash"))
 
-    base = with_sketch(rows.select("id", "text", *keyed("own", "id", "hash")), "text", "sketch", fraction)
+    # Only keys and text, and nothing computed: then both joins read one exchange of the texts.
+    base = rows.select("text", *keyed("own", "id", "hash"))
     giver = order.select(
-        *keyed("to", "id", "hash"), *keyed("from", "next_id", "next_hash"), F.expr("int(n_chars div 2)").alias("wanted")
+        "id", *keyed("to", "id", "hash"), *keyed("from", "next_id", "next_hash"), F.expr("int(n_chars div 2)").alias("wanted")
     )
-    given = base.join(giver, same("own", "from")).select(
-        "to_none", "to_key", "to_hash", F.expr("substring(text, 1, wanted)").alias("tail"), F.col("sketch").alias("next_sketch")
-    )
-    given = given.dropDuplicates(["to_none", "to_key", "to_hash"])
+    given = base.join(giver, same("own", "from")).withColumn("tail", F.expr("substring(text, 1, wanted)"))
+    given = with_sketch(given, "text", "next_sketch", fraction)
+    given = given.select("id", "to_none", "to_key", "to_hash", "tail", "next_sketch").dropDuplicates(["to_none", "to_key", "to_hash"])
     joined = base.join(given, same("own", "to")).withColumn("n_chars", F.length("text").cast("long"))
     head = F.expr("substring(text, 1, int(n_chars - n_chars div 2))")
-    joined = joined.select("id", "n_chars", "sketch", "next_sketch", F.concat(head, F.col("tail")).alias("edited"))
+    joined = with_sketch(joined.withColumn("edited", F.concat(head, F.col("tail"))), "text", "sketch", fraction)
     done = with_sketch(joined, "edited", "edited_sketch", fraction)
     return done.select(
         F.col("id").alias(id), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
