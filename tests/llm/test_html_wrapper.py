@@ -1,0 +1,62 @@
+import html
+import json
+import re
+
+import pytest
+
+from rosterline.llm import html_wrapper as w
+
+SF = "/root/testdata/sf0.001"
+
+
+def text_of(page):
+    tree = w.skeleton(w.parse(page))
+    return "\n".join(w._content(tree, set(), -1, json.dumps(w.shape(tree))))
+
+
+@pytest.mark.parametrize("page, text", [
+    ("", ""),
+    (None, ""),
+    ("plain &amp; text", "plain & text"),
+    ("<p>just\n  text &lt;x&gt; &eacute;&#233;&nbsp;!</p>", "just text <x> éé !"),
+    ("<main><p>a<p>b</main><p>c", "a\nb"),
+    ("<nav>menu</nav><article><header><h1>Head</h1></header><p>x<br>y</p><footer>f</footer></article>", "Head\nx y"),
+    ("<article><table><tr><td>1<td>2<tr><td>3</table><ul><li>a<li>b</ul></article>", "1\n2\n3\na\nb"),
+    ("<article><p>a <span class='ad'>buy</span> b</p><script>if(a<b){'</p>'}</script>tail</article>", "a b\ntail"),
+    ("<article><p>a</p><div class='comments'><p>hi</p></div><form>f</form><aside>s</aside></article>", "a"),
+    ("<div id='cookie-notice'>We use</div><div><h2>T</h2><p>a long text</p></div><div class='side-bar sidebar'>x</div>", "T\na long text"),
+    ("<article><p>one</p><!-- <p>no</p> --><p>two", "one\ntwo"),
+    ("<article><p title=\"a > b\">x</p><p title='it's>y</p></article>", "x\ny"),
+    ("<article><p><b>t<br><p>u</article><b", "t\nu"),
+    ("<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>after", "deep\nafter"),
+])
+def test_pages(page, text):
+    assert text_of(page) == text
+
+
+def test_simple_tree_matching_counts_nodes_in_order():
+    part = w.skeleton(w.parse("<div><ul><li><div>a</div></li></ul><p>x</p><table><tr><td>1</td></tr></table></div>"))
+    assert w.tree_matching(part, w.Shape(w.shape(part), [0]))[0] == json.dumps(w.shape(part)).count('"') // 2
+    other = w.skeleton(w.parse("<div><p>x</p><section><p>y</p></section><table><tr><td>1</td></tr></table></div>"))
+    n, found = w.tree_matching(part, w.Shape(w.shape(other), [0]))
+    assert n == len(list(w.pairs(found))) and all(a.label == b.label for a, b in w.pairs(found))
+
+
+def test_documents_of_the_table(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r.page_id: r for r in w.extract(pages).collect()}
+    for r in pages.collect():
+        inner = re.search("<article>(.*?)</article>", r.html, re.S)[1].replace("<br>", " ")
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)\b[^>]*>", inner)]
+        want = "\n".join(b for b in blocks if b)
+        assert (got[r.page_id].text, got[r.page_id].n_chars, got[r.page_id].url) == (want, len(want), r.url)
+
+
+def test_wrapper_of_a_host_without_markers(spark):
+    page = "<div class='wrap'><div class='hero'>Welcome to this site of ours, dear readers</div><div class='body'><p>{}</p><p>{}</p></div><div>All rights</div></div>"
+    rows = [(i, f"http://A.example:80/{i}", page.format(f"story {i}", "more " * i + "."), "x") for i in range(8)]
+    rows += [(9, None, None, "x"), (10, "odd", "", "x"), (10, "odd", "", "x"), (None, "http://b.example", "<p>alone</p>", "x")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, host string")
+    got = {(r.page_id, r.text) for r in w.extract(frame).collect()}
+    assert got == {(i, f"story {i}\n" + " ".join(["more"] * i + ["."])) for i in range(8)} | {(9, ""), (10, ""), (None, "alone")}
+    assert w.extract(frame).count() == 12 and w.extract(frame.limit(0)).count() == 0
