@@ -11,8 +11,12 @@ from ..functions.conditions import any_differs, same_keys
 
 
 def anti_by_key(df: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of df whose key is not stored yet."""
-    known = stored.select(*keys).distinct()
+    """Rows of df whose key is not stored yet.
+
+    The stored keys are not made distinct: an anti join needs no such step, and without it
+    both sides come from their exchanges, so Spark may split a hot key.
+    """
+    known = stored.select(*keys)
     return df.alias("n").join(known.alias("s"), same_keys("n", "s", keys), "left_anti")
 
 

@@ -11,11 +11,6 @@ from pyspark.sql.types import StructType
 from ..functions.columns import moment, word_tokens
 from ..schemas import MESSAGE
 
-# Word lists up to this many words become literals of the plan (a hash-set test per
-# word); longer ones are joined.
-INLINE_WORDS = 10_000
-
-
 def decode(df: DataFrame, schema: StructType = MESSAGE, value: str = "value") -> DataFrame:
     """JSON text or bytes to columns; malformed text gives a row of nulls."""
     parsed = F.from_json(F.col(value).cast("string"), schema)
@@ -34,15 +29,18 @@ def encode(df: DataFrame, schema: StructType = MESSAGE, key: str = "sender") ->
 Words = DataFrame | list[str]
 
 
-def short_list(words: Words, limit: int = INLINE_WORDS) -> list[str] | None:
-    """The words when there are at most limit of them, else None; takes at most limit + 1."""
+def word_values(words: Words) -> list[str]:
+    """The words as a list; a frame is fetched, which is for short lists."""
     if isinstance(words, list):
         return words
-    if limit <= 0:
-        return None
     column = words.columns[0]
-    rows = words.select(column).dropna().distinct().take(limit + 1)
-    return [r[0] for r in rows] if len(rows) <= limit else None
+    return [r[0] for r in words.select(column).dropna().distinct().collect()]
+
+
+def _frame(spark, words: Words) -> DataFrame:
+    if isinstance(words, list):
+        return spark.createDataFrame([(w,) for w in words], "listed string")
+    return words.select(F.col(words.columns[0]).alias("listed"))
 
 
 def _has_any(tokens: Column, words: list[str]) -> Column:
@@ -59,46 +57,41 @@ def keep_flagged(
     vocab: Words,
     text: str = "message",
     fold: str = "upper",
-    inline_marked: int = INLINE_WORDS,
-    inline_vocab: int = INLINE_WORDS,
+    inline_marked: bool = True,
+    inline_vocab: bool = False,
 ) -> DataFrame:
     """Rows whose text has a marked word and consists of vocabulary words only.
 
-    Short lists are tested inside the row, without any shuffle; a limit of 0 skips the
-    look at a list that is known to be long. A long vocabulary is joined: texts without a marked word are dropped first, then each distinct word of
-    a text travels with a digest of the text (never the text itself), texts with an
-    unknown word are found by one aggregate, and the flagged digests select the rows.
-    Spark broadcasts the vocabulary when its size allows; otherwise the skew-join rule
-    splits the partition of a frequent word.
+    The caller says how each list is used, whatever its length. Inline, it becomes literals
+    of the plan, fetched when this is called, and is tested inside the row; that suits a
+    short list that does not change. Otherwise it is joined, and read whenever the plan
+    runs: each distinct word travels with a digest of its text, never the text itself; the
+    words that are not in the vocabulary give the texts to leave out. All joins are anti or
+    semi joins of inputs that come straight from their exchanges, so Spark may split a
+    frequent word and a text that is repeated often.
     """
-    tokens = word_tokens(text, fold)
-    marks, known = short_list(marked, inline_marked), short_list(vocab, inline_vocab)
-    if marks is not None and known is not None:
-        return df.filter(_has_any(tokens, marks) & _has_only(tokens, known))
-
-    digest = F.sha2(F.col(text), 256)
-    if marks is not None:
-        candidates = df.filter(_has_any(tokens, marks))
-    else:
-        candidates = df.filter(F.col(text).isNotNull())
-    # Two steps: in one, Spark would take the digest again for every exploded word.
-    words = candidates.select(
-        digest.alias("text_digest"), F.array_distinct(tokens).alias("words")
-    ).select("text_digest", F.explode("words").alias("word"))
+    spark, tokens = df.sparkSession, word_tokens(text, fold)
+    candidates = df.filter(F.col(text).isNotNull())
+    if inline_marked:
+        candidates = candidates.filter(_has_any(tokens, word_values(marked)))
+    if inline_vocab:
+        candidates = candidates.filter(_has_only(tokens, word_values(vocab)))
+    if inline_marked and inline_vocab:
+        return candidates
 
-    def listed(source: Words, flag: str) -> DataFrame:
-        if isinstance(source, list):
-            source = df.sparkSession.createDataFrame([(w,) for w in source], "word string")
-        named = source.select(F.col(source.columns[0]).alias("word")).dropna().distinct()
-        return named.withColumn(flag, F.lit(True))
-
-    words = words.join(listed(vocab, "in_vocab"), "word", "left")
-    good = F.bool_and(F.col("in_vocab").isNotNull())
-    if marks is None:
-        words = words.join(listed(marked, "is_marked"), "word", "left")
-        good = good & F.bool_or(F.col("is_marked").isNotNull())
-    flagged = words.groupBy("text_digest").agg(good.alias("good")).filter("good")
-    return candidates.join(flagged.select("text_digest"), digest == F.col("text_digest"), "left_semi")
+    # Two steps: in one, Spark would take the digest again for every exploded word.
+    candidates = candidates.withColumn("text_digest", F.sha2(F.col(text), 256))
+    words = candidates.select("text_digest", F.array_distinct(tokens).alias("words"))
+    words = words.select("text_digest", F.explode("words").alias("word")).distinct()
+    kept = candidates
+    if not inline_vocab:
+        known = _frame(spark, vocab)
+        unknown = words.join(known, F.col("word") == F.col("listed"), "left_anti")
+        kept = kept.join(unknown.select("text_digest"), "text_digest", "left_anti")
+    if not inline_marked:
+        hits = words.join(_frame(spark, marked), F.col("word") == F.col("listed"), "left_semi")
+        kept = kept.join(hits.select("text_digest"), "text_digest", "left_semi")
+    return kept.select(*df.columns)
 
 
 def flag(
@@ -109,7 +102,7 @@ def flag(
     sender: str = "sender",
     text: str = "message",
     fold: str = "upper",
-    **inline: int,
+    **inline: bool,
 ) -> DataFrame:
     """Flagged messages as (employee_id, start_date)."""
     return keep_flagged(df, marked, vocab, text, fold, **inline).select(

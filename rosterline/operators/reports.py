@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import numeric_id
 from ..schemas import ACTIVE
+from .merge import anti_by_key
 
 # The text of an alert.
 ALERT_TEXT = (
@@ -109,8 +110,8 @@ def over_quota(usage: DataFrame, threshold: float = 80.0) -> DataFrame:
 
 
 def new_alerts(flagged: DataFrame, history: DataFrame, key: str = "emp_id") -> DataFrame:
-    """Flagged employees who have not been alerted before."""
-    return flagged.join(history.select(key).distinct(), key, "left_anti").select(*flagged.columns)
+    """Flagged employees who have not been alerted before; a null employee is one, too."""
+    return anti_by_key(flagged, history, [key])
 
 
 def alert_history(history: DataFrame, alerts: DataFrame, key: str = "emp_id") -> DataFrame:

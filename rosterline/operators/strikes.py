@@ -39,10 +39,13 @@ def count_flags(
 ) -> DataFrame:
     """Strike counts of the employees in the batch, over their history and the batch.
 
-    One aggregate over both inputs keeps the employees that occur in the batch, so
-    neither an id list nor a join is needed and a hot sender is combined map-side.
+    The history is reduced to the senders of the batch before anything is counted, so the
+    aggregate sees their rows only; neither an id list nor a collected key is needed, and a
+    hot sender is combined map-side.
     """
-    pooled = history.select(key, ts, F.lit(False).alias("arrived")).unionByName(
+    senders = batch.select(F.col(key).alias("sender"))
+    mine = history.select(key, ts).join(senders, F.col(key).eqNullSafe(F.col("sender")), "left_semi")
+    pooled = mine.withColumn("arrived", F.lit(False)).unionByName(
         batch.select(key, ts, F.lit(True).alias("arrived"))
     )
     return (

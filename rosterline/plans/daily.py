@@ -37,6 +37,7 @@ def run_day(
     yearly, monthly = yearly_due(day), monthly_due(day)
     run("employees", True, lambda: jobs.load_employees(spark, at, day, publish))
     run("timeframe", True, lambda: jobs.load_timeframe(spark, at, day, publish))
+    run("struck", True, lambda: jobs.close_struck(spark, at, day, publish))
     run("headcount", True, lambda: jobs.report_headcount(spark, at, day, publish))
     run("salaries", True, lambda: jobs.sync_strike_salaries(spark, at, asof, publish))
     run("quota", yearly, lambda: jobs.load_quota(spark, at, publish))

@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -22,9 +22,6 @@ from ..streaming import strike_stream
 
 Publish = Callable[[str, DataFrame, str], None]
 
-# A delivery with at most this many employees is merged by recomputing only them.
-SMALL_DELIVERY = 1_000_000
-
 
 @dataclass(frozen=True)
 class Places:
@@ -45,12 +42,53 @@ def _publish(publish: Publish | None, name: str, df: DataFrame, mode: str) -> No
         publish(name, df, mode)
 
 
-def _delivery(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame | None:
-    """The delivered CSV rows, or None when nothing was delivered."""
-    if not files.path_exists(spark, path):
-        return None
-    df = files.read_csv(spark, path, schema, header)
-    return None if df.isEmpty() else df
+def _take(
+    spark: SparkSession,
+    at: Places,
+    name: str,
+    schema: StructType,
+    handle: Callable[[DataFrame], None],
+    header: bool = True,
+) -> bool:
+    """Hand the rows of the files that are new to handle; whether there were any.
+
+    Which files are done is kept with the store and they go to its archive, so a file is
+    read once however often the job runs; after a failure in handle it is handed out again.
+    """
+    if not files.path_exists(spark, at.arriving(name)):
+        return False
+    taken = []
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        if not df.isEmpty():
+            handle(df)
+            taken.append(batch_id)
+
+    files.ingest_once(
+        spark, at.arriving(name), schema, sink, at.stored(f"intake/{name}"), at.stored(f"archive/{name}"), header
+    )
+    return bool(taken)
+
+
+def _listed(df: DataFrame, part: Column) -> list[str]:
+    """The parts of a table that rows belong to: hash buckets, months or years, so a short list."""
+    return [r[0] for r in df.select(part.alias("part")).dropna().distinct().collect()]
+
+
+# Fixed value: parts of the timeframe table, by a hash of the employee.
+TIMEFRAME_PARTS = 64
+
+
+def employee_part(key: str = "emp_id") -> Column:
+    return F.format_string("%02d", F.pmod(F.hash(F.col(key)), F.lit(TIMEFRAME_PARTS)))
+
+
+def month_part(date: str = "date") -> Column:
+    return F.date_format(F.col(date), "yyyy-MM")
+
+
+def year_part(year: str = "year") -> Column:
+    return F.col(year).cast("string")
 
 
 LEAVE_STORED = StructType(
@@ -78,11 +116,11 @@ USAGE = StructType(
 
 
 def stored_timeframe(spark: SparkSession, at: Places) -> DataFrame:
-    return versions.read_latest(spark, at.stored("timeframe"), schemas.TIMEFRAME)
+    return versions.read_parts(spark, at.stored("timeframe"), schemas.TIMEFRAME)
 
 
 def stored_leaves(spark: SparkSession, at: Places) -> DataFrame:
-    return versions.read_latest(spark, at.stored("leaves"), LEAVE_STORED)
+    return versions.read_parts(spark, at.stored("leaves"), LEAVE_STORED)
 
 
 def stored_calendar(spark: SparkSession, at: Places) -> DataFrame:
@@ -90,43 +128,78 @@ def stored_calendar(spark: SparkSession, at: Places) -> DataFrame:
 
 
 def stored_quota(spark: SparkSession, at: Places) -> DataFrame:
-    return files.read_or_empty(spark, at.stored("quota"), schemas.QUOTA)
+    return versions.read_parts(spark, at.stored("quota"), schemas.QUOTA)
 
 
 def load_employees(spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None) -> bool:
-    df = _delivery(spark, at.arriving("employee"), schemas.EMPLOYEE)
-    if df is None:
-        return False
     path = at.stored("employee")
-    # One partition per run day: a repeated run replaces it instead of doubling it.
-    files.write_parquet(
-        clean.clean_records(df, asof=asof), path, "overwrite", ["year", "month", "day"], dynamic=True
-    )
     today = f"{path}/year={asof:%Y}/month={asof:%m}/day={asof:%d}"
-    stored = spark.read.schema(schemas.EMPLOYEE).parquet(today)
-    _publish(publish, "employee", stored.select("emp_id", "name", "age"), "append")
-    return True
 
-
-def load_timeframe(spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None) -> bool:
-    df = _delivery(spark, at.arriving("timeframe"), schemas.TIMEFRAME_RAW)
-    if df is None:
-        return False
-    struck = strike_stream.struck_out_table(spark, at.stored("strikes"))
-    stored = stored_timeframe(spark, at)
-    fresh = periods.convert_epochs(df)
-    people = fresh.select("emp_id").distinct().limit(SMALL_DELIVERY + 1).count()
-    merged = periods.merge_periods(
-        stored,
-        fresh,
-        order=["salary", "designation", "end_date"],
-        struck=struck,
-        touched_only=people <= SMALL_DELIVERY,
-    )
-    closed = periods.apply_struck(merged, struck, asof)
-    versions.write_next(closed, at.stored("timeframe"), ["status"], rebalance=True)
+    def handle(df: DataFrame) -> None:
+        # One partition per run day, with what the day has brought so far; it is read
+        # from a version of its own, since a partition cannot be overwritten from itself.
+        staged = at.stored(f"intake/employee-rows/day={asof:%Y-%m-%d}")
+        before = versions.read_latest(spark, staged, schemas.EMPLOYEE)
+        rows = clean.clean_records(df, asof=asof)
+        names = schemas.EMPLOYEE.fieldNames()
+        versions.write_next(before.unionByName(rows.select(*names)).distinct(), staged)
+        stored = versions.read_latest(spark, staged, schemas.EMPLOYEE)
+        parts = {"year": f"{asof:%Y}", "month": f"{asof:%m}", "day": f"{asof:%d}"}
+        stored = stored.withColumns({k: F.lit(v) for k, v in parts.items()})
+        files.write_parquet(stored, path, "overwrite", list(parts), dynamic=True)
+        out = spark.read.schema(schemas.EMPLOYEE).parquet(today)
+        _publish(publish, "employee", out.select("emp_id", "name", "age"), "upsert")
+
+    return _take(spark, at, "employee", schemas.EMPLOYEE, handle)
+
+
+def _publish_timeframe(spark: SparkSession, at: Places, publish: Publish | None) -> None:
     out = stored_timeframe(spark, at).withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
     _publish(publish, "timeframe", out, "overwrite")
+
+
+def load_timeframe(
+    spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None, touched_only: bool = True
+) -> bool:
+    """Merge delivered periods; only the parts of the delivered employees are rewritten.
+
+    touched_only recomputes just these employees inside their parts; the caller turns it
+    off for a delivery that has most employees.
+    """
+    root = at.stored("timeframe")
+
+    def handle(df: DataFrame) -> None:
+        struck = strike_stream.struck_out_table(spark, at.stored("strikes"))
+        fresh = periods.convert_epochs(df)
+        touched = _listed(fresh, employee_part())
+        merged = periods.merge_periods(
+            versions.read_parts(spark, root, schemas.TIMEFRAME, touched),
+            fresh,
+            order=["salary", "designation", "end_date"],
+            struck=struck,
+            touched_only=touched_only,
+        )
+        versions.write_parts(merged, root, employee_part(), touched, ["status"])
+        _publish_timeframe(spark, at, publish)
+
+    return _take(spark, at, "timeframe", schemas.TIMEFRAME_RAW, handle)
+
+
+def close_struck(spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None) -> bool:
+    """Close the open periods of struck-out employees, with or without a delivery.
+
+    Their parts are rewritten; on a day on which nobody is to be closed nothing is written.
+    """
+    root = at.stored("timeframe")
+    struck = strike_stream.struck_out_table(spark, at.stored("strikes"))
+    marks = struck.select(F.col("employee_id").cast("string").alias("emp_id"))
+    open_ = periods.read_actives(stored_timeframe(spark, at)).join(marks, "emp_id", "left_semi")
+    touched = _listed(open_, employee_part())
+    if touched:
+        stored = versions.read_parts(spark, root, schemas.TIMEFRAME, touched)
+        closed = periods.apply_struck(stored, struck, asof)
+        versions.write_parts(closed, root, employee_part(), touched, ["status"])
+        _publish_timeframe(spark, at, publish)
     return True
 
 
@@ -144,48 +217,58 @@ def sync_strike_salaries(
 ) -> bool:
     root = at.stored("strikes")
     active = periods.read_actives(stored_timeframe(spark, at)).select("emp_id", "salary")
-    rows = strikes.sync_salaries(active, strike_stream.strike_table(spark, root))
+    # Without what this very sync may have stored before: repeating it stores the same rows.
+    table = strike_stream.strike_table(spark, root, without=strike_stream.sync_origin(asof))
+    rows = strikes.sync_salaries(active, table)
     changed = strike_stream.store_salaries(rows, root, asof)
     _publish(publish, "strikes", changed, "upsert")
     return True
 
 
 def load_quota(spark: SparkSession, at: Places, publish: Publish | None = None) -> bool:
-    df = _delivery(spark, at.arriving("quota"), schemas.QUOTA)
-    if df is None:
-        return False
-    path = at.stored("quota")
-    # Rows that are stored already are not appended again.
-    rows = merge.anti_by_key(leave.load_quota(df), stored_quota(spark, at), schemas.QUOTA.fieldNames())
-    files.write_parquet(rows, path, "append", ["year"])
-    _publish(publish, "quota", stored_quota(spark, at), "overwrite")
-    return True
+    """Delivered quotas replace the stored ones of the same employee and year."""
+    root, keys = at.stored("quota"), ["emp_id", "year"]
+
+    def handle(df: DataFrame) -> None:
+        rows = clean.best_per_key(leave.load_quota(df), keys, ["leave_quota"])
+        touched = _listed(rows, year_part())
+        stored = versions.read_parts(spark, root, schemas.QUOTA, touched)
+        kept = merge.anti_by_key(stored, rows, keys)
+        names = schemas.QUOTA.fieldNames()
+        versions.write_parts(kept.select(*names).union(rows.select(*names)), root, year_part(), touched)
+        _publish(publish, "quota", stored_quota(spark, at), "overwrite")
+
+    return _take(spark, at, "quota", schemas.QUOTA, handle)
 
 
 def load_calendar(spark: SparkSession, at: Places, publish: Publish | None = None) -> bool:
-    df = _delivery(spark, at.arriving("calendar"), schemas.CALENDAR, header=False)
-    if df is None:
-        return False
     path = at.stored("calendar")
-    rows = merge.anti_by_key(
-        calendar.load_calendar(df), stored_calendar(spark, at), schemas.CALENDAR.fieldNames()
-    )
-    files.write_parquet(rows, path, "append", ["year"])
-    _publish(publish, "calendar", stored_calendar(spark, at), "overwrite")
-    return True
+
+    def handle(df: DataFrame) -> None:
+        # Rows that are stored already are not appended again.
+        rows = merge.anti_by_key(
+            calendar.load_calendar(df), stored_calendar(spark, at), schemas.CALENDAR.fieldNames()
+        )
+        files.write_parquet(rows, path, "append", ["year"])
+        _publish(publish, "calendar", stored_calendar(spark, at), "overwrite")
+
+    return _take(spark, at, "calendar", schemas.CALENDAR, handle, header=False)
 
 
 def load_leaves(spark: SparkSession, at: Places, asof: dt.datetime, publish: Publish | None = None) -> bool:
-    df = _delivery(spark, at.arriving("leave"), schemas.LEAVE_RAW)
-    if df is None:
-        return False
-    active = periods.read_actives(stored_timeframe(spark, at))
-    today = leave.intake(df, stored_calendar(spark, at), active, asof)
-    pooled = leave.with_history(today, stored_leaves(spark, at))
-    decided = leave.reconcile(pooled, ["ingest_timestamp"])
-    versions.write_next(decided, at.stored("leaves"), ["year", "month"], rebalance=True)
-    _publish(publish, "leaves", stored_leaves(spark, at), "overwrite")
-    return True
+    """Vote delivered entries into the stored leaves; only their months are read and rewritten."""
+    root = at.stored("leaves")
+
+    def handle(df: DataFrame) -> None:
+        active = periods.read_actives(stored_timeframe(spark, at))
+        today = leave.intake(df, stored_calendar(spark, at), active, asof)
+        touched = _listed(today, month_part())
+        stored = versions.read_parts(spark, root, LEAVE_STORED, touched)
+        decided = leave.reconcile(leave.with_history(today, stored), ["ingest_timestamp"])
+        versions.write_parts(decided, root, month_part(), touched)
+        _publish(publish, "leaves", stored_leaves(spark, at), "overwrite")
+
+    return _take(spark, at, "leave", schemas.LEAVE_RAW, handle)
 
 
 def report_upcoming(
@@ -229,9 +312,23 @@ def report_usage(
     history = versions.read_latest(spark, tracking, schemas.ALERTED)
     fresh = reports.new_alerts(flagged, history)
     if not fresh.isEmpty():
-        # The texts go first: a failure between the two writes repeats an alert of the
-        # same name rather than losing it.
-        files.write_alerts(reports.alert_lines(fresh, asof), at.stored("alerts"), per_employee=per_employee)
-        versions.write_next(reports.alert_history(history, fresh), tracking)
+        # The texts go first, under the number the history will have: a failure between
+        # the two writes repeats this run's alerts in the same place.
+        run = (versions.latest(spark, tracking) or 0) + 1
+        texts = reports.alert_lines(fresh, asof)
+        files.write_alerts(texts, at.stored("alerts"), per_employee=per_employee, run=run)
+        versions.write_next(reports.alert_history(history, fresh), tracking, number=run)
     _publish(publish, "quota_over", flagged, "overwrite")
     return True
+
+
+def retire(spark: SparkSession, at: Places, keep: int = 2) -> None:
+    """Remove versions and blocks that newer ones have replaced; what is in use stays.
+
+    For a time at which no job runs: a job that has begun may read what was newest then.
+    """
+    for name in ("quota_over", "alerted"):
+        versions.retire_versions(spark, at.stored(name), keep)
+    for name in ("timeframe", "leaves", "quota"):
+        versions.retire_parts(spark, at.stored(name))
+    strike_stream.retire(spark, at.stored("strikes"), keep)

@@ -29,6 +29,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [entry.getPath().getName() for entry in fs.listStatus(where)]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or directory with all that is in it; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType | None = None, header: bool = True
 ) -> DataFrame:
@@ -59,8 +65,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return spark.read.schema(schema).parquet(path)
 
 
-def read_word_list(spark: SparkSession, path: str) -> DataFrame:
-    """Words of JSON array files as a one-column frame of distinct words."""
+def read_word_list(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Words of JSON array files as a one-column frame of distinct words.
+
+    An array is read as one row; lines reads files of one word per line instead, which a
+    long list should have, since Spark can split them.
+    """
+    if lines:
+        return spark.read.text(path).select(F.trim("value").alias("word")).filter("word <> ''").distinct()
     arrays = spark.read.text(path, wholetext=True)
     words = arrays.select(F.explode(F.from_json("value", "array<string>")).alias("word"))
     return words.dropna().distinct()
@@ -104,14 +116,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "append", header: bool = Tru
     df.write.mode(mode).option("header", header).csv(path)
 
 
-def write_alerts(lines: DataFrame, path: str, key: str = "emp_id", per_employee: bool = False) -> None:
-    """Alert texts under report_date, written by the executors.
+def write_alerts(
+    lines: DataFrame, path: str, key: str = "emp_id", per_employee: bool = False, run: int = 0
+) -> None:
+    """Alert texts under report_date and run, written by the executors.
 
-    One set of files per day with a blank line between alerts, or, for numbers a
-    person could read, one directory per employee. Writing a day again replaces it.
+    One set of files per run with a blank line between alerts, or, for numbers a
+    person could read, one directory per employee. Writing a run again replaces that run
+    and nothing else: alerts of earlier runs of the day stay.
     """
-    parts = ["report_date", key] if per_employee else ["report_date"]
-    out = lines.hint("rebalance", *parts) if per_employee else lines
+    parts = ["report_date", "run", key] if per_employee else ["report_date", "run"]
+    out = lines.withColumn("run", F.lit(run))
+    out = out.hint("rebalance", *parts) if per_employee else out
     (
         out.select(*parts, F.rtrim("value", F.lit("\n")).alias("value"))
         .write.mode("overwrite")
@@ -136,14 +152,16 @@ def ingest_once(
     archive: str | None = None,
     header: bool = True,
     max_files: int | None = None,
+    max_age: str = "3650d",
 ):
     """Process the CSV files that are new since the last call, then archive them.
 
     sink(df, batch_id) gets each micro-batch. Which files are done is kept in the
     checkpoint, so a repeated call reads none of them twice; Spark moves a file to the
-    archive once a later batch has been committed.
+    archive once a later batch has been committed. A file is known by its path. Spark
+    ignores files that are max_age older than the newest one.
     """
-    reader = spark.readStream.schema(schema).option("header", header)
+    reader = spark.readStream.schema(schema).option("header", header).option("maxFileAge", max_age)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if max_files:

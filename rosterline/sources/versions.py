@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import child_names, path_exists, write_parquet
+from .files import child_names, path_exists, remove, write_parquet
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -58,3 +59,66 @@ def write_next(
     # A directory left by a failed write has no success marker and is replaced.
     write_parquet(df, version_path(root, number), "overwrite", partition_by, rebalance=rebalance)
     return number
+
+
+def retire_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove all completed versions but the newest `keep` (at least one, the one in use)."""
+    for number in versions(spark, root)[: -max(1, keep)]:
+        remove(spark, version_path(root, number))
+
+
+# --- tables of which only some parts are rewritten -----------------------------------
+
+PART = StructField("part", StringType(), True)
+
+
+def _listed(spark: SparkSession, root: str) -> dict[str, int]:
+    """The newest version of every part; the parts of a version are listed when it is complete."""
+    where = f"{root}/parts"
+    if not versions(spark, where):
+        return {}
+    rows = spark.read.schema("part string, version int").parquet(where).groupBy("part")
+    return {r["part"]: r["version"] for r in rows.agg(F.max("version").alias("version")).collect()}
+
+
+def read_parts(
+    spark: SparkSession, root: str, schema: StructType, parts: Sequence[str] | None = None
+) -> DataFrame:
+    """The newest rows of every part, or of some parts."""
+    paths = [
+        f"{version_path(root, v)}/part={p}"
+        for p, v in _listed(spark, root).items()
+        if parts is None or p in parts
+    ]
+    paths = [p for p in paths if path_exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    typed = StructType([*schema.fields, PART, StructField("version", StringType(), True)])
+    found = spark.read.schema(typed).option("basePath", root).parquet(*paths)
+    return found.select(*schema.fieldNames())
+
+
+def write_parts(
+    df: DataFrame, root: str, part: Column, touched: Sequence[str], partition_by: Sequence[str] = ()
+) -> int:
+    """Write the touched parts anew and leave the others as they are; returns the version.
+
+    part gives the part of each row as text; a touched part without rows becomes empty. The
+    rows go to a version of their own; that the version counts is written last.
+    """
+    spark = df.sparkSession
+    number = (max(versions(spark, f"{root}/parts"), default=0)) + 1
+    parts = df.withColumn("part", part)
+    write_parquet(parts, version_path(root, number), "overwrite", ["part", *partition_by], rebalance=True)
+    listed = spark.createDataFrame([(p,) for p in touched], "part string")
+    write_parquet(listed.coalesce(1), version_path(f"{root}/parts", number), "overwrite")
+    return number
+
+
+def retire_parts(spark: SparkSession, root: str) -> None:
+    """Remove the rows of parts that a later version has replaced; none in use is touched."""
+    newest = _listed(spark, root)
+    for number in versions(spark, f"{root}/parts"):
+        for name in child_names(spark, version_path(root, number)):
+            if name.startswith("part=") and newest.get(name.removeprefix("part="), number) > number:
+                remove(spark, f"{version_path(root, number)}/{name}")

@@ -9,9 +9,9 @@ from pyspark.sql.types import StructType
 
 
 def kafka_source_options(
-    servers: str, topic: str, starting: str = "latest", max_offsets: int | None = 10
+    servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None
 ) -> dict[str, str]:
-    """Options of the Kafka source. max_offsets bounds a micro-batch; None lifts the bound."""
+    """Options of the Kafka source. max_offsets bounds a micro-batch, if given."""
     out = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

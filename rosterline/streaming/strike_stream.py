@@ -6,38 +6,46 @@ replaces its first attempt; what it reads excludes its own earlier output. Each
 is computed from the table the step before wrote, never from a plan that would be
 evaluated again.
 
-    flags/block=B/origin=...      flagged messages
-    strikes/block=B/origin=...    changed strike rows, by batch or by salary sync
-    struck_out/block=B/origin=... employees who reached the limit
-    base/version=V                strike rows, all batches before V folded
-    flag_base/version=V           recent flags, all batches before V folded
+    layout                                   block, limit and days of this root
+    flags/block=B/origin=.../bucket=N        flagged messages
+    strikes/block=B/origin=.../bucket=N      changed strike rows, by batch or by salary sync
+    struck_out/block=B/origin=...            employees who reached the limit
+    base/version=V/bucket=N                  strike rows, all batches before V folded
+    flag_base/version=V/bucket=N             recent flags, all batches before V folded
+    struck_base/version=V                    struck-out employees, all batches before V folded
 
 A block is a fixed number of batches. After each block its rows are folded into the
 next base version, and readers open the newest base and the blocks after it: what a
-batch lists and reads does not grow with the age of the stream.
+batch lists does not grow with the age of the stream. A bucket is a hash of the
+employee: a batch reads the buckets of its senders only, so a small batch on a large
+store reads little of it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from ..functions.columns import moment
 from ..operators.clean import best_per_key
 from ..operators.merge import changed_rows
-from ..operators.messages import Words, decode, flag, short_list
+from ..operators.messages import Words, decode, flag, word_values
 from ..operators.strikes import count_flags, recent, score, struck_out
 from ..schemas import FLAG_DAYS, FLAGGED, MAX_STRIKES, STRIKE_FACTOR, STRUCK_OUT, strikes
-from ..sources.files import child_names
-from ..sources.versions import latest, read_latest, versions, write_next
+from ..sources.files import child_names, path_exists, remove, write_parquet
+from ..sources.versions import latest, read_latest, retire_versions, versions, write_next
 
-# Batches per block. Part of the layout: it stays the same for the life of a root.
+# Batches per block, unless a root was made with another number.
 BLOCK = 100
+# Fixed value: hash buckets of the tables that a batch reads by employee.
+BUCKETS = 64
+BUCKET = StructField("bucket", IntegerType(), True)
+ORIGIN = StructField("origin", StringType(), True)
 
 
 def _utc_now() -> dt.datetime:
@@ -46,7 +54,12 @@ def _utc_now() -> dt.datetime:
 
 @dataclass
 class StrikeStream:
-    """Settings of the stream; clock is read once per batch."""
+    """Settings of the stream; clock is read once per batch.
+
+    The first batch stores block, limit and days under the root; later they must be the
+    same. A word list given inline is fetched when the settings are made and stays as it
+    was; one that is not is read again in every batch.
+    """
 
     root: str
     marked: Words
@@ -58,6 +71,8 @@ class StrikeStream:
     exact: bool = False
     fold: str = "upper"
     block: int = BLOCK
+    inline_marked: bool = True
+    inline_vocab: bool = False
     clock: Callable[[], dt.datetime] = _utc_now
     # Called with (changed strike rows, batch id) after the batch is stored, for
     # example to upsert them into a database.
@@ -67,9 +82,53 @@ class StrikeStream:
     on_struck: Callable[[DataFrame, int], None] | None = field(default=None)
 
     def __post_init__(self) -> None:
-        # Short word lists are fetched once here and not again in every batch.
-        self.marked = short_list(self.marked) or self.marked
-        self.vocab = short_list(self.vocab) or self.vocab
+        if self.inline_marked:
+            self.marked = word_values(self.marked)
+        if self.inline_vocab:
+            self.vocab = word_values(self.vocab)
+
+
+@dataclass(frozen=True)
+class Layout:
+    """What all readers and writers of a root must agree on."""
+
+    block: int = BLOCK
+    limit: int = MAX_STRIKES
+    days: int = FLAG_DAYS
+
+
+def layout(
+    spark: SparkSession,
+    root: str,
+    block: int | None = None,
+    limit: int | None = None,
+    days: int | None = None,
+    create: bool = False,
+) -> Layout:
+    """The stored layout of a root, or the given or default one where none is stored yet.
+
+    A value that differs from the stored one is refused. create stores a new layout.
+    """
+    path = f"{root}/layout"
+    wanted = {"block": block, "limit": limit, "days": days}
+    given = {k: v for k, v in wanted.items() if v is not None}
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        row = spark.read.schema("block int, limit int, days int").parquet(path).first()
+        known = Layout(**row.asDict())
+    else:
+        known = Layout(**given)
+        if create:
+            row = [(known.block, known.limit, known.days)]
+            made = spark.createDataFrame(row, "block int, limit int, days int")
+            made.coalesce(1).write.mode("overwrite").parquet(path)
+    for name, value in given.items():
+        if value != getattr(known, name):
+            raise ValueError(f"{root} was made with {name}={getattr(known, name)}, not {value}")
+    return known
+
+
+def bucket_of(key: str = "employee_id") -> Column:
+    return F.pmod(F.hash(F.col(key)), F.lit(BUCKETS)).cast("int")
 
 
 def strike_log_schema(limit: int) -> StructType:
@@ -88,9 +147,16 @@ def _blocks(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in child_names(spark, path) if n.startswith("block="))
 
 
-def _read_blocks(spark: SparkSession, path: str, schema: StructType, first: int = 0) -> DataFrame:
-    """The rows of the blocks from the given number on, with their origin."""
-    full = StructType([*schema.fields, StructField("origin", StringType(), True)])
+def _only(df: DataFrame, buckets: Sequence[int] | None) -> DataFrame:
+    """The rows of some buckets; other directories are not opened."""
+    return df if buckets is None else df.filter(F.col("bucket").isin(list(buckets)))
+
+
+def _read_blocks(
+    spark: SparkSession, path: str, schema: StructType, first: int = 0, bucketed: bool = True
+) -> DataFrame:
+    """The rows of the blocks from the given number on, with their origin and bucket."""
+    full = StructType([*schema.fields, ORIGIN, *([BUCKET] if bucketed else [])])
     wanted = [f"{path}/{name}" for name in _blocks(spark, path) if name >= _block_name(first)]
     if not wanted:
         return spark.createDataFrame([], full)
@@ -107,27 +173,41 @@ def _since(folded: int | None, block: int) -> int:
     return max(0, (folded or 0) // block - 1)
 
 
+def _earlier(before: int | None) -> Column:
+    """Origins a batch may read: earlier batches, and all salary syncs."""
+    if before is None:
+        return F.lit(True)
+    return ~F.col("origin").startswith("stream-") | (F.col("origin") < _origin(before))
+
+
 def strike_log(
     spark: SparkSession,
     root: str,
-    limit: int = MAX_STRIKES,
-    block: int = BLOCK,
+    limit: int | None = None,
+    block: int | None = None,
     before: int | None = None,
+    buckets: Sequence[int] | None = None,
+    without: str | None = None,
 ) -> DataFrame:
     """Stored strike rows with their origin: the base and what came after it.
 
-    before leaves out the given batch and later ones.
+    before leaves out the given batch and later ones, without one origin; buckets reads
+    only these.
     """
-    schema = strike_log_schema(limit)
+    made = layout(spark, root, block=block, limit=limit)
+    schema = StructType([*strike_log_schema(made.limit).fields, ORIGIN])
     folded = latest(spark, f"{root}/base", before)
-    base = read_latest(spark, f"{root}/base", schema, before).withColumn("origin", F.lit(""))
-    newer = _read_blocks(spark, f"{root}/strikes", schema, _since(folded, block))
-    if before is not None:
-        newer = newer.filter(F.col("origin") < _origin(before))
-    return base.unionByName(newer)
+    base = read_latest(spark, f"{root}/base", StructType([*schema.fields, BUCKET]), before)
+    newer = _read_blocks(
+        spark, f"{root}/strikes", strike_log_schema(made.limit), _since(folded, made.block)
+    ).filter(_earlier(before))
+    if without is not None:
+        newer = newer.filter(F.col("origin") != without)
+    return _only(base, buckets).unionByName(_only(newer, buckets)).drop("bucket")
 
 
 def _newest(log: DataFrame) -> DataFrame:
+    """The newest row of every employee; at the same time a salary sync comes after a batch."""
     return best_per_key(log, ["employee_id"], ["changed_at", "origin"])
 
 
@@ -137,89 +217,139 @@ def latest_rows(log: DataFrame, limit: int = MAX_STRIKES) -> DataFrame:
 
 
 def strike_table(
-    spark: SparkSession, root: str, limit: int = MAX_STRIKES, block: int = BLOCK
+    spark: SparkSession,
+    root: str,
+    limit: int | None = None,
+    block: int | None = None,
+    without: str | None = None,
 ) -> DataFrame:
-    """The current strike table."""
-    return latest_rows(strike_log(spark, root, limit, block), limit)
+    """The current strike table, or what it was without one origin."""
+    made = layout(spark, root, block=block, limit=limit)
+    return latest_rows(strike_log(spark, root, without=without), made.limit)
 
 
 def struck_out_table(spark: SparkSession, root: str) -> DataFrame:
     """Everybody struck out so far."""
-    return _read_blocks(spark, f"{root}/struck_out", STRUCK_OUT).select("employee_id").distinct()
+    folded = latest(spark, f"{root}/struck_base")
+    first = (folded or 0) // layout(spark, root).block
+    newer = _read_blocks(spark, f"{root}/struck_out", STRUCK_OUT, first, bucketed=False)
+    base = read_latest(spark, f"{root}/struck_base", STRUCK_OUT)
+    return base.select("employee_id").union(newer.select("employee_id")).distinct()
 
 
 def flag_log(
-    spark: SparkSession, root: str, block: int = BLOCK, before: int | None = None
+    spark: SparkSession,
+    root: str,
+    block: int | None = None,
+    before: int | None = None,
+    buckets: Sequence[int] | None = None,
 ) -> DataFrame:
     """Stored flags: the recent ones of the base, and what came after it."""
+    made = layout(spark, root, block=block)
     path = f"{root}/flag_base"
     folded = latest(spark, path, before)
-    newer = _read_blocks(spark, f"{root}/flags", FLAGGED, (folded or 0) // block)
+    newer = _read_blocks(spark, f"{root}/flags", FLAGGED, (folded or 0) // made.block)
     # Batches below the base version are in the base already.
-    newer = newer.filter(F.col("origin") >= _origin(folded or 0))
-    if before is not None:
-        newer = newer.filter(F.col("origin") < _origin(before))
-    base = read_latest(spark, path, FLAGGED, before)
-    return base.unionByName(newer.select(*FLAGGED.fieldNames()))
+    newer = newer.filter((F.col("origin") >= _origin(folded or 0)) & _earlier(before))
+    base = read_latest(spark, path, StructType([*FLAGGED.fields, BUCKET]), before)
+    both = _only(base, buckets).unionByName(_only(newer.drop("origin"), buckets))
+    return both.select(*FLAGGED.fieldNames())
 
 
-def _store(df: DataFrame, root: str, table: str, block: int, origin: str, schema: StructType) -> DataFrame:
+def _store(
+    df: DataFrame, root: str, table: str, block: int, origin: str, schema: StructType, bucketed: bool = True
+) -> DataFrame:
     """Write one origin of a table and return it as stored."""
     path = f"{root}/{table}/{_block_name(block)}/origin={origin}"
-    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-    df.select(*typed).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if not bucketed:
+        typed.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(schema).parquet(path)
+    write_parquet(typed.withColumn("bucket", bucket_of()), path, "overwrite", ["bucket"], rebalance=True)
+    return df.sparkSession.read.schema(StructType([*schema.fields, BUCKET])).parquet(path)
+
+
+def sync_origin(asof: dt.datetime) -> str:
+    """The origin of the salary sync of a moment; it sorts after those of batches."""
+    return f"sync-{asof:%Y-%m-%dT%H%M%S.%f}"
 
 
 def store_salaries(
-    rows: DataFrame, root: str, asof: dt.datetime, limit: int = MAX_STRIKES
+    rows: DataFrame, root: str, asof: dt.datetime, limit: int | None = None
 ) -> DataFrame:
-    """Write the strike rows of a salary sync and return them as stored."""
-    names = _blocks(rows.sparkSession, f"{root}/strikes")
+    """Write the strike rows of a salary sync and return them as stored.
+
+    The rows are computed from the table without this origin, so that repeating a sync
+    replaces it. A row is not stamped earlier than the one it follows: a batch that was
+    stored between asof and now does not win over the sync that has seen it.
+    """
+    spark, origin = rows.sparkSession, sync_origin(asof)
+    made = layout(spark, root, limit=limit)
+    names = _blocks(spark, f"{root}/strikes")
     block = int(names[-1].removeprefix("block=")) if names else 0
-    stamped = rows.withColumn("changed_at", moment(asof))
-    schema = strike_log_schema(limit)
-    out = _store(stamped, root, "strikes", block, f"salary-{asof:%Y-%m-%d}", schema)
-    return out.drop("changed_at")
+    block = max(block, (latest(spark, f"{root}/base") or 0) // made.block)
+    seen = _newest(strike_log(spark, root, without=origin))
+    seen = seen.select(F.col("employee_id").alias("seen_id"), F.col("changed_at").alias("seen_at"))
+    stamped = rows.join(seen, F.col("employee_id") == F.col("seen_id"), "left")
+    stamped = stamped.withColumn("changed_at", F.greatest(moment(asof), "seen_at"))
+    out = _store(stamped, root, "strikes", block, origin, strike_log_schema(made.limit))
+    return out.drop("changed_at", "bucket")
 
 
 def fold_block(spark: SparkSession, job: StrikeStream, before: int, now: dt.datetime) -> None:
     """Fold everything before a batch into new base versions, unless that is done already."""
-    if before not in versions(spark, f"{job.root}/base"):
-        newest = _newest(strike_log(spark, job.root, job.limit, job.block, before))
-        names = strike_log_schema(job.limit).fieldNames()
-        write_next(newest.select(*names), f"{job.root}/base", number=before)
-    if before not in versions(spark, f"{job.root}/flag_base"):
-        flags = recent(flag_log(spark, job.root, job.block, before), now, job.days)
-        write_next(flags, f"{job.root}/flag_base", number=before)
+    root = job.root
+    if before not in versions(spark, f"{root}/base"):
+        newest = _newest(strike_log(spark, root, before=before)).withColumn("bucket", bucket_of())
+        write_next(newest, f"{root}/base", ["bucket"], rebalance=True, number=before)
+    if before not in versions(spark, f"{root}/flag_base"):
+        flags = recent(flag_log(spark, root, before=before), now, job.days)
+        flags = flags.withColumn("bucket", bucket_of())
+        write_next(flags, f"{root}/flag_base", ["bucket"], rebalance=True, number=before)
+    if before not in versions(spark, f"{root}/struck_base"):
+        write_next(struck_out_table(spark, root), f"{root}/struck_base", number=before)
+
+
+def retire(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove folded state: all base versions but the newest `keep`, and the blocks none of them needs."""
+    block = layout(spark, root).block
+    for base, table in (("base", "strikes"), ("flag_base", "flags"), ("struck_base", "struck_out")):
+        retire_versions(spark, f"{root}/{base}", keep)
+        left = versions(spark, f"{root}/{base}")
+        needed = _since(left[0], block) if left else 0
+        for name in _blocks(spark, f"{root}/{table}"):
+            if name < _block_name(needed):
+                remove(spark, f"{root}/{table}/{name}")
 
 
 def strike_batch(batch: DataFrame, batch_id: int, job: StrikeStream) -> None:
     """One micro-batch of JSON messages."""
-    spark = batch.sparkSession
+    spark, root = batch.sparkSession, job.root
     now = job.clock()
+    layout(spark, root, job.block, job.limit, job.days, create=True)
     block, origin = batch_id // job.block, _origin(batch_id)
     if batch_id and batch_id % job.block == 0:
         fold_block(spark, job, batch_id, now)
     found = flag(
-        decode(batch), job.marked, job.vocab, now, fold=job.fold, inline_marked=0, inline_vocab=0
+        decode(batch), job.marked, job.vocab, now, fold=job.fold,
+        inline_marked=job.inline_marked, inline_vocab=job.inline_vocab,
     )
-    arrived = _store(found, job.root, "flags", block, origin, FLAGGED)
-    if arrived.isEmpty():
+    arrived = _store(found, root, "flags", block, origin, FLAGGED)
+    # At most BUCKETS numbers; the tables are read in these buckets only.
+    buckets = [r[0] for r in arrived.select("bucket").distinct().collect()]
+    if not buckets:
         return
 
-    history = flag_log(spark, job.root, job.block, batch_id)
-    counts = count_flags(history, arrived, now, job.days)
-    senders = arrived.select("employee_id").distinct()
-    log = strike_log(spark, job.root, job.limit, job.block, batch_id)
-    old = latest_rows(log.join(senders, "employee_id", "left_semi"), job.limit)
+    counts = count_flags(flag_log(spark, root, before=batch_id, buckets=buckets), arrived, now, job.days)
+    log = strike_log(spark, root, before=batch_id, buckets=buckets)
+    old = latest_rows(log.join(arrived.select("employee_id"), "employee_id", "left_semi"), job.limit)
     new = score(old, counts, job.limit, job.factor, job.mode, job.exact)
     rows = changed_rows(old, new, ["employee_id"]).withColumn("changed_at", moment(now))
-    changed = _store(rows, job.root, "strikes", block, origin, strike_log_schema(job.limit))
+    changed = _store(rows, root, "strikes", block, origin, strike_log_schema(job.limit))
     out = struck_out(changed, job.limit, exact=job.exact)
-    gone = _store(out, job.root, "struck_out", block, origin, STRUCK_OUT)
+    gone = _store(out, root, "struck_out", block, origin, STRUCK_OUT, bucketed=False)
     if job.on_changes:
-        job.on_changes(changed.drop("changed_at"), batch_id)
+        job.on_changes(changed.drop("changed_at", "bucket"), batch_id)
     if job.on_struck:
         job.on_struck(gone, batch_id)
 

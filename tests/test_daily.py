@@ -54,7 +54,7 @@ def test_three_days(spark, tmp_path, rows):
     ]
     assert rows(jobs.stored_quota(spark, at)) == [(1, 2, 2024), (2, 20, 2024)]
     assert rows(ss.strike_table(spark, at.stored("strikes")), "employee_id", "salary") == [("1", 1500.0), ("2", 900.0)]
-    assert ("employee", "append", 1) in published and ("timeframe", "overwrite", 3) in published
+    assert ("employee", "upsert", 1) in published and ("timeframe", "overwrite", 3) in published
 
     # The same day again: nothing is doubled.
     daily.run_day(spark, at, day_of("2024-01-01T09:00:00"))
@@ -63,6 +63,7 @@ def test_three_days(spark, tmp_path, rows):
     assert jobs.stored_calendar(spark, at).count() == 1
     assert jobs.stored_timeframe(spark, at).count() == 3
     assert jobs.stored_leaves(spark, at).count() == 3
+    assert rows(ss.strike_table(spark, at.stored("strikes")), "employee_id", "salary") == [("1", 1500.0), ("2", 900.0)]
 
     # Employee 1 is struck out in between; on 1 February the monthly report is due.
     struck = spark.createDataFrame([("1",)], "employee_id string")
@@ -90,3 +91,80 @@ def test_no_input(spark, tmp_path):
     done = daily.run_day(spark, at, day_of("2024-03-02T07:00:00"))
     assert done["employees"] == done["timeframe"] == done["leaves"] == "no input"
     assert done["headcount"] == "done" and done["usage"] == "not due"
+
+
+def parts_of(at, name):
+    from pathlib import Path
+
+    return {p.relative_to(at.stored(name)) for p in Path(at.stored(name)).rglob("*.parquet") if "part=" in str(p)}
+
+
+def put_more(at, name, file, text):
+    from pathlib import Path
+
+    folder = Path(at.raw) / name
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / file).write_text(text)
+
+
+def test_only_touched_parts_are_rewritten(spark, tmp_path, rows):
+    at = jobs.Places(str(tmp_path / "raw"), str(tmp_path / "store"))
+    head = "emp_id,designation,start_date,end_date,salary\n"
+    put_more(at, "timeframe", "a.csv", head + "".join(f"{i},Dev,1672531200,,{1000 + i}\n" for i in range(40)))
+    put_more(at, "leave", "a.csv", "emp_id,date,status\n1,2024-01-02,ACTIVE\n1,2024-01-02,CANCELLED\n2,2024-02-06,ACTIVE\n")
+    daily.run_day(spark, at, day_of("2024-03-04T07:00:00"))
+    assert rows(jobs.stored_leaves(spark, at), "emp_id", "status") == [("1", "CANCELLED"), ("2", "ACTIVE")]
+    before = {n: parts_of(at, n) for n in ("timeframe", "leaves")}
+    put_more(at, "timeframe", "b.csv", head + "7,Lead,1701388800,,5000\n")
+    put_more(at, "leave", "b.csv", "emp_id,date,status\n1,2024-01-02,ACTIVE\n1,2024-01-02,ACTIVE\n")
+    daily.run_day(spark, at, day_of("2024-03-05T07:00:00"))
+    after = {n: parts_of(at, n) for n in before}
+    assert all(before[n] <= after[n] for n in before)
+    assert len({str(p).split("/")[1] for p in after["timeframe"] - before["timeframe"]}) == 1
+    assert {str(p).split("/")[1] for p in after["leaves"] - before["leaves"]} == {"part=2024-01"}
+    # Both files' votes: the first file's entries are not read a second time.
+    assert rows(jobs.stored_leaves(spark, at), "emp_id", "status") == [("1", "ACTIVE"), ("2", "ACTIVE")]
+    table = jobs.stored_timeframe(spark, at)
+    assert table.count() == 41 and rows(table.filter("emp_id = '7'"), "designation", "status") == [("Dev", "INACTIVE"), ("Lead", "ACTIVE")]
+    stored = rows(table)
+    jobs.retire(spark, at, keep=1)
+    assert rows(jobs.stored_timeframe(spark, at)) == stored and parts_of(at, "timeframe") < after["timeframe"]
+
+
+def test_strike_out_without_a_delivery(spark, tmp_path, rows):
+    at = jobs.Places(str(tmp_path / "raw"), str(tmp_path / "store"))
+    put(at, "timeframe", "emp_id,designation,start_date,end_date,salary\n1,Dev,1672531200,,1000\n2,QA,1672531200,,900\n")
+    daily.run_day(spark, at, day_of("2024-03-04T07:00:00"))
+    struck = spark.createDataFrame([("1",)], "employee_id string")
+    struck.write.parquet(f"{at.stored('strikes')}/struck_out/block=000000000000/origin=stream-0")
+    for day in ("2024-03-05T07:00:00", "2024-03-06T07:00:00"):
+        done = daily.run_day(spark, at, day_of(day))
+        assert done["timeframe"] == "no input"
+        got = jobs.stored_timeframe(spark, at).filter("emp_id = '1'")
+        assert rows(got, "end_date", "status") == [(D("2024-03-05"), "INACTIVE")]
+
+
+def test_a_corrected_quota_replaces_the_stored_one(spark, tmp_path, rows):
+    at = jobs.Places(str(tmp_path / "raw"), str(tmp_path / "store"))
+    put_more(at, "quota", "a.csv", "emp_id,leave_quota,year\n1,20,2024\n2,20,2024\n1,18,2023\n")
+    assert jobs.load_quota(spark, at)
+    put_more(at, "quota", "b.csv", "emp_id,leave_quota,year\n1,25,2024\n")
+    assert jobs.load_quota(spark, at) and not jobs.load_quota(spark, at)
+    assert rows(jobs.stored_quota(spark, at)) == [(1, 18, 2023), (1, 25, 2024), (2, 20, 2024)]
+
+
+def test_alerts_of_two_runs_of_a_day_stay(spark, tmp_path):
+    from rosterline.operators import reports
+    from rosterline.sources import files
+
+    path = str(tmp_path / "alerts")
+    flagged = [("a", 9, 10, 90.0), ("b", 9, 10, 90.0), (None, 9, 10, 90.0)]
+    frame = lambda r: spark.createDataFrame(r, "emp_id string, leaves_taken long, leave_quota int, leave_percent double")
+    history = spark.createDataFrame([], "emp_id string")
+    for run, people in ((1, flagged), (2, [*flagged, ("c", 9, 10, 90.0)]), (2, [*flagged, ("c", 9, 10, 90.0)])):
+        fresh = reports.new_alerts(frame(people), history)
+        files.write_alerts(reports.alert_lines(fresh, D("2024-02-01")), path, run=run)
+        if run == 1:
+            history = spark.createDataFrame(reports.alert_history(history, fresh).collect(), "emp_id string")
+    texts = [r.value for r in files.read_alerts(spark, path).collect()]
+    assert len(texts) == 4 and sum("Employee ID: c" in t for t in texts) == 1

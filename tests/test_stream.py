@@ -153,8 +153,99 @@ def test_messages_to_files_and_back(spark, tmp_path, rows):
 
 
 def test_kafka_options():
-    assert io.kafka_source_options("h:1", "t") == {
+    assert io.kafka_source_options("h:1", "t", max_offsets=10) == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "latest", "maxOffsetsPerTrigger": "10",
     }
-    assert "maxOffsetsPerTrigger" not in io.kafka_source_options("h:1", "t", max_offsets=None)
+    assert "maxOffsetsPerTrigger" not in io.kafka_source_options("h:1", "t")
     assert io.kafka_sink_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
+
+
+def sync(spark, root, pay, asof):
+    active = spark.createDataFrame(pay, "emp_id string, salary double")
+    rows = strikes.sync_salaries(active, ss.strike_table(spark, root, without=ss.sync_origin(asof)))
+    return ss.store_salaries(rows, root, asof)
+
+
+def salaries(spark, root):
+    return {r[0]: r[1] for r in ss.strike_table(spark, root).select("employee_id", "salary").collect()}
+
+
+def test_repeated_syncs_lose_nothing(spark, tmp_path):
+    root = str(tmp_path / "state")
+    pay = [("x", 100.0), ("y", 200.0)]
+    for hour in (7, 7, 9):
+        sync(spark, root, pay, NOW.replace(hour=hour))
+        assert salaries(spark, root) == {"x": 100.0, "y": 200.0}
+
+
+def test_a_sync_after_quiet_blocks_stays(spark, setup):
+    """Seven batches without a flag in blocks of two, then a raise and a new hire."""
+    root, job, _ = setup
+    job.block = 2
+    flagged = spark.createDataFrame([(message("a"),)], "value string")
+    quiet = spark.createDataFrame([(message("a", "hello"),)], "value string")
+    ss.strike_batch(flagged, 0, job)
+    for k in range(1, 8):
+        ss.strike_batch(quiet, k, job)
+    sync(spark, root, [("a", 1500.0), ("b", 1000.0), ("new", 700.0)], NOW + dt.timedelta(hours=1))
+    job.clock = lambda: NOW + dt.timedelta(hours=2)
+    for k in range(8, 13):
+        assert salaries(spark, root) == {"a": 1500.0, "b": 1000.0, "c": 1000.0, "d": 1000.0, "new": 700.0}
+        ss.strike_batch(quiet, k, job)
+    ss.strike_batch(spark.createDataFrame([(message("new"),)], "value string"), 13, job)
+    assert counts(spark, root) == {"a": 1, "b": 0, "c": 9, "d": None, "new": 1}
+    # Nothing in use is removed with what was folded.
+    before = {tuple(r) for r in ss.strike_table(spark, root).collect()}
+    ss.retire(spark, root, keep=1)
+    assert {tuple(r) for r in ss.strike_table(spark, root).collect()} == before
+    assert ss.flag_log(spark, root).count() == 2
+    ss.strike_batch(flagged, 14, job)
+    assert counts(spark, root)["a"] == 2
+
+
+def test_a_batch_stored_between_a_sync_and_its_moment(spark, setup):
+    root, job, _ = setup
+    job.clock = lambda: NOW + dt.timedelta(hours=3)
+    ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 0, job)
+    out = sync(spark, root, [("a", 150.0), ("b", 1000.0)], NOW)  # began before the batch
+    assert [(r.employee_id, r.salary) for r in out.collect()] == [("a", 150.0)]
+    row = ss.strike_table(spark, root).filter("employee_id = 'a'").first()
+    assert (row["salary"], row["no_of_strikes"]) == (150.0, 1)
+
+
+def test_another_layout_is_refused(spark, setup):
+    root, job, _ = setup
+    job.block = 1000
+    ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 1001, job)
+    assert counts(spark, root)["a"] == 1
+    for wrong in ({"block": 100}, {"limit": 5}):
+        with pytest.raises(ValueError):
+            ss.strike_table(spark, root, **wrong)
+    job.days = 60
+    with pytest.raises(ValueError):
+        ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 1002, job)
+
+
+def test_a_small_batch_reads_its_buckets_only(spark, setup):
+    root, job, _ = setup
+    job.block = 2
+    many = spark.createDataFrame([(message(f"e{i}"),) for i in range(200)] + [(message("a"),)], "value string")
+    for k in range(3):
+        ss.strike_batch(many, k, job)
+    bucket = spark.createDataFrame([("a",)], "employee_id string").select(ss.bucket_of()).first()[0]
+    for log in (ss.strike_log(spark, root, buckets=[bucket]), ss.flag_log(spark, root, buckets=[bucket])):
+        assert "a" in {r.employee_id for r in log.select("employee_id").collect()}
+        plan = log._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.splitlines() if "FileScan" in x]
+        assert scans and all("PartitionFilters: [" in x and "bucket" in x.split("PartitionFilters: [")[1] for x in scans)
+
+
+def test_struck_out_people_are_folded(spark, setup):
+    root, job, _ = setup
+    job.block = 2
+    ss.strike_batch(spark.createDataFrame([(message("c"),)], "value string"), 0, job)
+    ten = spark.createDataFrame([(message("b"),)] * 10, "value string")
+    for k in range(1, 7):
+        ss.strike_batch(ten if k == 3 else spark.createDataFrame([(message("d", "hello"),)], "value string"), k, job)
+    ss.retire(spark, root, keep=1)
+    assert [r[0] for r in ss.struck_out_table(spark, root).collect()] == ["b"]
