@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from .staging import picked, settings, staged
 
-# Documented bounds of what is fitted: sampled vectors, lists whatever the input, and those of
-# the sample whose distances give each query its first threshold.
-SAMPLE, MOST_LISTS, SEEDS = 4096, 4096, 512
+# Documented bounds of what is fitted: sampled vectors, which also give each query its first
+# threshold; lists whatever the input; and the sampled vectors that count as found.
+SAMPLE, MOST_LISTS, SEEDS = 8192, 4096, 512
 # Vectors to a list on average, and to the blocks that tasks scan; queries scanned together.
 LIST_SIZE, BLOCK, TOGETHER = 1000, 2048, 512
 # Components looked at before each test.
@@ -109,8 +109,9 @@ def search(
 
     Queries are the rows for which `asked` holds, candidates all rows but the query's own. A
     query probes its nearest lists until they hold `share` of all vectors and more than k of
-    them. Its first threshold are the nearest of SEEDS sampled vectors, which count as found:
-    so there are k results even where the nearest lie in other lists or a test errs. Vectors that are alike need a small share, unordered ones most. The index is fitted
+    them. Its threshold is the distance of the k-th nearest sampled vector: what is farther is
+    none of its k nearest. The nearest of SEEDS sampled vectors count as found, so there are k
+    results even where the nearest lie in other lists or a test errs. Vectors that are alike need a small share, unordered ones most. The index is fitted
     on at most SAMPLE vectors and holds every row. A list is scanned in blocks of about BLOCK
     rows, each with groups of at most TOGETHER queries, so neither a large list nor many equal
     vectors meet in one task. Scores are inner products of the original vectors in double
@@ -166,7 +167,7 @@ def search(
                 near = _squares(asked_for, index.value.centroids).argsort(axis=1, kind="stable")
                 before = np.cumsum(full[near], axis=1) - full[near]
                 row, nth = np.nonzero((before < needed) & (full[near] > 0))
-                known = _squares(asked_for, index.value.sample[:SEEDS])
+                known = _squares(asked_for, index.value.sample)
                 bound = np.partition(known, k, axis=1)[:, k] if known.shape[1] > k else np.full(len(known), np.inf)
                 at = pa.array(row)
                 kept = [batch.column(c).take(at) for c in ("row", "id", "vector")]
