@@ -39,7 +39,7 @@ def word_values(words: Words) -> list[str]:
 
 def _frame(spark, words: Words) -> DataFrame:
     if isinstance(words, list):
-        return spark.createDataFrame([(w,) for w in words], "listed string")
+        return spark.range(1).select(F.explode(F.lit(words).cast("array<string>")).alias("listed"))
     return words.select(F.col(words.columns[0]).alias("listed"))
 
 

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as fc
 from ..operators import calendar, clean, leave, merge, messages, periods, reports, strikes
-from ..schemas import rung_names
+from ..schemas import CALENDAR, EMPLOYEE, rung_names
 from ..session import scratch_path, tune
 from ..sources import files, versions
 from ..streaming import messages as message_io
 from ..streaming import strike_stream
+from . import daily, jobs
 
 # The parameters the queries and their SQL share.
 ASOF = dt.datetime(2024, 1, 31)
@@ -151,7 +152,7 @@ def words_of(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def marked_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in MARKED], "word string")
+    return spark.range(1).select(F.explode(F.lit(list(MARKED))).alias("word"))
 
 
 def _doubles(df: DataFrame) -> DataFrame:
@@ -282,13 +283,30 @@ def quota_load(spark, d):
     return leave.load_quota(rows)
 
 
+def active_ids(spark, d):
+    return periods.read_actives(struck_overlay(spark, d)).select("emp_id")
+
+
 def leave_intake(spark, d):
-    active = periods.read_actives(struck_overlay(spark, d))
-    return leave.intake(leave_rows(spark, d), event_holidays(spark, d), active)
+    """The active employees come from a written table, as in the job: then both sides of
+    the semi join come from exchanges and a hot employee can be split."""
+    path = scratch_path(spark, "active")
+    active_ids(spark, d).write.parquet(path)
+    return leave.intake(leave_rows(spark, d), event_holidays(spark, d), spark.read.parquet(path))
 
 
 def leave_reconcile(spark, d):
-    return leave.reconcile(leave_intake(spark, d), ["ingest_timestamp", "event_id"])
+    """The vote is per employee and date, so it comes first and leaves one row per date."""
+    rows = leave.intake(leave_rows(spark, d), event_holidays(spark, d))
+    voted = leave.reconcile(rows, ["ingest_timestamp", "event_id"])
+    return voted.join(active_ids(spark, d), "emp_id", "left_semi").select(*voted.columns)
+
+
+def reconciled_once(spark, d):
+    """The reconciled leaves, written for queries that use them twice."""
+    path = scratch_path(spark, "reconciled")
+    leave_reconcile(spark, d).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def leave_reconcile_history(spark, d):
@@ -333,19 +351,23 @@ def quota_over(spark, d):
     return reports.over_quota(quota_usage(spark, d))
 
 
-def _alerted_before(spark, d):
+def _over(spark, d, leaves):
+    return reports.over_quota(reports.quota_usage(leaves, quota_rows(spark, d), 2024, 2))
+
+
+def _alerted_before(spark, d, leaves):
     """Who was over the threshold counting only the entries of the first half."""
-    early = leave_reconcile(spark, d).filter(F.col("ingest_timestamp") < fc.moment(MID_MONTH))
-    usage = reports.quota_usage(early, quota_rows(spark, d), 2024, 2)
-    return reports.over_quota(usage).select("emp_id")
+    return _over(spark, d, leaves.filter(F.col("ingest_timestamp") < fc.moment(MID_MONTH))).select("emp_id")
 
 
 def new_alerts(spark, d):
-    return reports.new_alerts(quota_over(spark, d), _alerted_before(spark, d))
+    leaves = reconciled_once(spark, d)
+    return reports.new_alerts(_over(spark, d, leaves), _alerted_before(spark, d, leaves))
 
 
 def alert_history(spark, d):
-    return reports.alert_history(_alerted_before(spark, d), quota_over(spark, d))
+    leaves = reconciled_once(spark, d)
+    return reports.alert_history(_alerted_before(spark, d, leaves), _over(spark, d, leaves))
 
 
 def alert_lines(spark, d):
@@ -439,9 +461,17 @@ def repeated_keys(spark, d):
 
 
 def flag_messages(spark, d):
+    return _flagged(spark, d, inline_marked=True)
+
+
+def flag_messages_joined(spark, d):
+    return _flagged(spark, d, inline_marked=False)
+
+
+def _flagged(spark, d, inline_marked):
     vocab = words_of(_read(spark, d, "documents"))
     kept = messages.keep_flagged(
-        message_rows(spark, d), marked_words(spark), vocab, fold="lower", inline_vocab=0
+        message_rows(spark, d), marked_words(spark), vocab, fold="lower", inline_marked=inline_marked
     )
     return kept.select(F.col("sender").alias("employee_id"), "turn")
 
@@ -571,10 +601,9 @@ def ingest_archive(spark, d):
     return spark.read.schema(customer.schema).parquet(f"{out}/batch=*")
 
 
-def stream_strikes(spark, d):
-    """All messages through the strike stream in several micro-batches."""
-    root = scratch_path(spark, "strikes")
-    sent = scratch_path(spark, "messages")
+def _stream(spark, d, starts):
+    """All messages through the strike stream in three micro-batches, in so many starts."""
+    root, sent, state = (scratch_path(spark, n) for n in ("strikes", "messages", "state"))
     vocab_path = scratch_path(spark, "vocab")
     rows = message_rows(spark, d)
     words_of(rows.filter(F.col("receiver") != "system"), "message").write.parquet(vocab_path)
@@ -584,16 +613,142 @@ def stream_strikes(spark, d):
         F.lit(0).alias("no_of_strikes"),
     )
     strike_stream.store_salaries(empty, root, MID_MONTH)
-    message_io.write_messages(
-        messages.encode(rows).repartition(3, "key"), "text", path=sent, mode="overwrite"
-    )
     job = strike_stream.StrikeStream(
         root, marked_words(spark), spark.read.parquet(vocab_path), fold="lower", block=2,
         clock=lambda: ASOF,
     )
-    source = message_io.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path=sent)
-    strike_stream.start(source, job, scratch_path(spark, "state"), every=None).awaitTermination()
-    return _doubles(strike_stream.strike_table(spark, root, block=2)).filter("no_of_strikes > 0")
+    part = F.pmod(F.hash("sender"), F.lit(starts))
+    for i in range(starts):
+        some = messages.encode(rows.filter(part == i)).repartition(-(-3 // starts), "key")
+        message_io.write_messages(some, "text", path=sent, mode="append")
+        source = message_io.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path=sent)
+        strike_stream.start(source, job, state, every=None).awaitTermination()
+    return _doubles(strike_stream.strike_table(spark, root))
+
+
+def stream_strikes(spark, d):
+    return _stream(spark, d, 1)
+
+
+def stream_restart(spark, d):
+    """The stream stopped after half of the messages and started again on the same state."""
+    return _stream(spark, d, 2)
+
+
+def _places(spark):
+    return jobs.Places(scratch_path(spark, "raw"), scratch_path(spark, "store"))
+
+
+def _deliver_periods(spark, d, at):
+    seconds = F.to_timestamp("start_date").cast("bigint").cast("double")
+    rows = period_rows(spark, d).select(
+        "emp_id", "designation", seconds.alias("start_date"), F.lit(None).cast("double").alias("end_date"), "salary"
+    )
+    files.write_csv(rows, at.arriving("timeframe"), "append")
+
+
+def daily_rerun(spark, d):
+    """Employees, periods and strike salaries after two runs of one day."""
+    at = _places(spark)
+    people = _read(spark, d, "customer").select(
+        F.col("c_name").alias("name"), (F.col("c_custkey") % 40 + 20).cast("int").alias("age"),
+        F.col("c_custkey").alias("emp_id"),
+    )
+    files.write_csv(people, at.arriving("employee"), "append")
+    _deliver_periods(spark, d, at)
+    for hour in (7, 9):
+        daily.run_day(spark, at, ASOF.replace(hour=hour, tzinfo=dt.timezone.utc))
+    known = spark.read.parquet(at.stored("employee")).groupBy(F.col("emp_id").cast("string").alias("emp_id"))
+    held = jobs.stored_timeframe(spark, at).groupBy("emp_id").agg(
+        F.count("*").alias("n_periods"), F.max(F.when(F.col("status") == "ACTIVE", F.col("salary"))).alias("salary")
+    )
+    pay = strike_stream.strike_table(spark, at.stored("strikes")).select(
+        F.col("employee_id").alias("emp_id"), F.col("salary").cast("double").alias("strike_salary")
+    )
+    counted = known.agg(F.count("*").alias("n_records"))
+    return counted.join(held, "emp_id", "full_outer").join(pay, "emp_id", "full_outer")
+
+
+def strike_out_store(spark, d):
+    """Stored periods closed for struck-out employees on a day without a delivery."""
+    at = _places(spark)
+    _deliver_periods(spark, d, at)
+    jobs.load_timeframe(spark, at, OVERLAY_DAY)
+    gone = f"{at.stored('strikes')}/struck_out/block={0:012d}/origin=stream-{0:020d}"
+    struck_ids(spark, d).write.parquet(gone)
+    jobs.close_struck(spark, at, OVERLAY_DAY)
+    return jobs.stored_timeframe(spark, at)
+
+
+def leave_two_days(spark, d):
+    """Two deliveries of leave entries on two days: each entry votes once."""
+    at = _places(spark)
+    _deliver_periods(spark, d, at)
+    jobs.load_timeframe(spark, at, OVERLAY_DAY)
+    files.write_csv(event_holidays(spark, d), at.arriving("calendar"), "append", header=False)
+    jobs.load_calendar(spark, at)
+    rows, cut = leave_rows(spark, d), fc.moment(MID_MONTH)
+    # Entries of the second half are about the same weekday one or two weeks before.
+    day = F.when(F.col("date") < dt.date(2024, 1, 20), F.date_sub("date", 7)).otherwise(F.date_sub("date", 14))
+    deliveries = (
+        rows.filter(F.col("ingest_timestamp") < cut),
+        rows.filter(F.col("ingest_timestamp") >= cut).withColumn("date", day),
+    )
+    for i, entries in enumerate(deliveries):
+        files.write_csv(entries.select("emp_id", "date", "status"), at.arriving("leave"), "append")
+        asof = ASOF + dt.timedelta(days=i)
+        jobs.load_leaves(spark, at, asof)
+        jobs.load_leaves(spark, at, asof)  # nothing new arrives
+    return jobs.stored_leaves(spark, at).select("emp_id", "date", "status")
+
+
+def alert_files_two_runs(spark, d):
+    """Alerts of two runs of one day; the second run is repeated."""
+    path = scratch_path(spark, "alerts")
+    leaves = reconciled_once(spark, d)
+    over, before = _over(spark, d, leaves), _alerted_before(spark, d, leaves)
+    first = over.join(before, "emp_id", "left_semi").select(*over.columns)
+    fresh = reports.new_alerts(over, first.select("emp_id"))
+    for run, people in ((1, first), (2, fresh), (2, fresh)):
+        files.write_alerts(reports.alert_lines(people, UPCOMING_LAST), path, run=run)
+    return files.read_alerts(spark, path).select(
+        F.col("run").cast("int").alias("run"), F.regexp_extract("value", "^Employee ID: (.*)", 1).alias("emp_id"), "value"
+    )
+
+
+def csv_no_header(spark, d):
+    """Calendar rows from CSV without a header."""
+    path = scratch_path(spark, "calendar-csv")
+    rows = _read(spark, d, "events").select(F.col("event_type").alias("reason"), F.col("ts").alias("date"))
+    files.write_csv(rows, path, "overwrite", header=False)
+    return calendar.load_calendar(files.read_csv(spark, path, CALENDAR, header=False).withColumn("date", F.to_date("date")))
+
+
+def empty_delivery(spark, d):
+    """The employee job on a delivery without rows and on one with all customers."""
+    people = _read(spark, d, "customer").select(
+        F.col("c_name").alias("name"), F.lit(30).alias("age"), F.col("c_custkey").alias("emp_id")
+    )
+    results = []
+    for name, rows in (("all", people), ("none", people.filter("emp_id < 0"))):
+        at = _places(spark)
+        files.write_csv(rows, at.arriving("employee"), "append")
+        taken = jobs.load_employees(spark, at, UPCOMING_FIRST)
+        stored = files.read_or_empty(spark, at.stored("employee"), EMPLOYEE)
+        results.append(stored.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("delivery"), F.lit(taken).alias("taken"), "n_rows"))
+    return results[0].union(results[1])
+
+
+def input_files(spark, d):
+    """Rows by the file they were read from, one folder per nation."""
+    path = scratch_path(spark, "nations")
+    customer = _read(spark, d, "customer").select("c_custkey", "c_nationkey")
+    customer.hint("rebalance", "c_nationkey").write.option("header", True).partitionBy("c_nationkey").csv(path)
+    read = spark.read.option("header", True).csv(path)
+    nation = F.regexp_extract("source_file", "c_nationkey=([0-9]+)/", 1).cast("long").alias("c_nationkey")
+    rows = files.with_source_file(read.select("*")).groupBy("source_file").agg(F.count("*").alias("n"))
+    listed = files.input_files(read).select("source_file")
+    return rows.join(listed, "source_file").groupBy(nation).agg(F.sum("n").alias("n_rows"))
 
 
 QUERIES = [
@@ -607,9 +762,10 @@ QUERIES = [
     strike_counts, strike_counts_decayed, strike_counts_batch, rolling_flags,
     penalty_ladder, penalty_ladder_keep, changed_rows, salary_sync, strike_upsert,
     struck_out, struck_out_exact, merge_by_key, repeated_keys,
-    flag_messages, message_tokens, encode_messages, decode_messages,
+    flag_messages, flag_messages_joined, message_tokens, encode_messages, decode_messages,
     csv_round_trip, csv_text_clean, csv_timeframe, active_partition, partition_overwrite, versioned_rewrite,
-    alert_files, word_list, ingest_archive, stream_strikes,
+    alert_files, alert_files_two_runs, word_list, ingest_archive, stream_strikes, stream_restart,
+    daily_rerun, strike_out_store, leave_two_days, csv_no_header, empty_delivery, input_files,
 ]
 
 

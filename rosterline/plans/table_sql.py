@@ -69,6 +69,26 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
              AND CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events
                                           WHERE day(ts) IN (1, 15, 26))""",
     ),
+    "moved": (
+        (),
+        """SELECT CAST(user_id AS VARCHAR) AS emp_id, CAST(ts AS DATE) AS date,
+                  CASE event_type WHEN 'error' THEN 'CANCELLED' WHEN 'signup' THEN 'PENDING'
+                                  ELSE 'ACTIVE' END AS status,
+                  ts AS ingest_timestamp
+           FROM events WHERE user_id IN (SELECT o_custkey FROM orders)""",
+    ),
+    "first_votes": (
+        ("moved",),
+        """SELECT emp_id, date, CASE WHEN c >= a THEN 'CANCELLED' ELSE 'ACTIVE' END AS status FROM (
+             SELECT emp_id, date, count(*) FILTER (status = 'CANCELLED') AS c,
+                    count(*) FILTER (status = 'ACTIVE') AS a
+             FROM moved
+             WHERE ingest_timestamp < TIMESTAMP '2024-01-16 00:00:00'
+               AND dayofweek(date) NOT IN (0, 6)
+               AND date NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE day(ts) IN (1, 15, 26))
+             GROUP BY emp_id, date)
+           WHERE c > 0 OR a > 0""",
+    ),
     "intake": (
         ("entry", "overlay"),
         """SELECT * FROM entry
@@ -298,6 +318,33 @@ _FILLED = _with(
 )
 
 
+_FLAGGED = _with(
+    """SELECT CAST(conv_id AS VARCHAR) AS employee_id, turn FROM (
+         SELECT conv_id, turn, bool_or(t.word IN ('the', 'die', 'la')) AS hit,
+                bool_and(v.word IS NOT NULL) AS known
+         FROM token t LEFT JOIN vocab v ON v.word = t.word
+         GROUP BY conv_id, turn) WHERE hit AND known""",
+    "token",
+    "vocab",
+)
+
+_CALENDAR = """SELECT DISTINCT event_type AS reason, CAST(ts AS DATE) AS date,
+                           CAST(year(ts) AS INTEGER) AS year FROM events"""
+
+_STREAM = _with(
+    f"""SELECT employee_id, salary, {_rungs("salary", "strike_count", True)},
+               CAST(least(coalesce(strike_count, 0), {MAX_STRIKES}) AS INTEGER) AS no_of_strikes
+        FROM balance LEFT JOIN (
+          SELECT CAST(conv_id AS VARCHAR) AS employee_id, count(*) AS strike_count FROM (
+            SELECT conv_id, turn, bool_or(word IN ('the', 'die', 'la')) AS hit,
+                   bool_and(word IN (SELECT word FROM token JOIN conversations c
+                                     USING (conv_id, turn) WHERE c.role <> 'system')) AS known
+            FROM token GROUP BY conv_id, turn) WHERE hit AND known GROUP BY conv_id)
+        USING (employee_id)""",
+    "balance",
+    "token",
+)
+
 SQL: dict[str, str] = {
     "clean_employees": _CLEAN,
     "best_per_key": _with(
@@ -376,8 +423,7 @@ SQL: dict[str, str] = {
         "order_day",
         "order_holiday",
     ),
-    "calendar_load": """SELECT DISTINCT event_type AS reason, CAST(ts AS DATE) AS date,
-                               CAST(year(ts) AS INTEGER) AS year FROM events""",
+    "calendar_load": _CALENDAR,
     "quota_load": """SELECT DISTINCT o_custkey AS emp_id,
                             CAST(day(o_orderdate) AS INTEGER) AS leave_quota,
                             CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""",
@@ -454,15 +500,7 @@ SQL: dict[str, str] = {
            GROUP BY emp_id, start_date HAVING count(*) > 1""",
         "period",
     ),
-    "flag_messages": _with(
-        """SELECT CAST(conv_id AS VARCHAR) AS employee_id, turn FROM (
-             SELECT conv_id, turn, bool_or(t.word IN ('the', 'die', 'la')) AS hit,
-                    bool_and(v.word IS NOT NULL) AS known
-             FROM token t LEFT JOIN vocab v ON v.word = t.word
-             GROUP BY conv_id, turn) WHERE hit AND known""",
-        "token",
-        "vocab",
-    ),
+    "flag_messages": _FLAGGED,
     "message_tokens": r"""SELECT CAST(conv_id AS VARCHAR) AS sender, turn,
                           CAST(len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'))
                                AS INTEGER) AS words
@@ -488,17 +526,45 @@ SQL: dict[str, str] = {
     "alert_files": _with("SELECT report_date, emp_id, value FROM alert_text", "alert_text"),
     "word_list": "SELECT DISTINCT upper(p_brand) AS word FROM part",
     "ingest_archive": _CUSTOMER,
-    "stream_strikes": _with(
-        f"""SELECT employee_id, salary, {_rungs("salary", "strike_count", True)},
-                   {_CAPPED} AS no_of_strikes
-            FROM balance JOIN (
-              SELECT CAST(conv_id AS VARCHAR) AS employee_id, count(*) AS strike_count FROM (
-                SELECT conv_id, turn, bool_or(word IN ('the', 'die', 'la')) AS hit,
-                       bool_and(word IN (SELECT word FROM token JOIN conversations c
-                                         USING (conv_id, turn) WHERE c.role <> 'system')) AS known
-                FROM token GROUP BY conv_id, turn) WHERE hit AND known GROUP BY conv_id)
-            USING (employee_id)""",
-        "balance",
-        "token",
+    "flag_messages_joined": _FLAGGED,
+    "stream_strikes": _STREAM,
+    "stream_restart": _STREAM,
+    "daily_rerun": _with(
+        """SELECT CAST(c_custkey AS VARCHAR) AS emp_id, 1::BIGINT AS n_records, n_periods, salary,
+                  salary AS strike_salary
+           FROM customer LEFT JOIN (
+             SELECT emp_id, count(*) AS n_periods, max(salary) FILTER (status = 'ACTIVE') AS salary
+             FROM chained GROUP BY emp_id) ON emp_id = CAST(c_custkey AS VARCHAR)""",
+        "chained",
     ),
+    "strike_out_store": _with(
+        "SELECT emp_id, designation, start_date, end_date, salary, status FROM overlay", "overlay"
+    ),
+    "leave_two_days": _with(
+        """SELECT emp_id, date, status FROM (
+             SELECT emp_id, date, count(*) FILTER (status = 'CANCELLED') AS c,
+                    count(*) FILTER (status = 'ACTIVE') AS a,
+                    CASE WHEN c >= a THEN 'CANCELLED' ELSE 'ACTIVE' END AS status
+             FROM (SELECT emp_id, date, status FROM first_votes
+                   UNION ALL SELECT * FROM (
+                     SELECT emp_id, CASE WHEN date < DATE '2024-01-20' THEN date - 7 ELSE date - 14 END AS date,
+                            status
+                     FROM moved WHERE ingest_timestamp >= TIMESTAMP '2024-01-16 00:00:00')
+                   WHERE dayofweek(date) NOT IN (0, 6)
+                     AND date NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE day(ts) IN (1, 15, 26)))
+             GROUP BY emp_id, date)
+           WHERE c > 0 OR a > 0""",
+        "first_votes",
+        "moved",
+    ),
+    "alert_files_two_runs": _with(
+        """SELECT CASE WHEN emp_id IN (SELECT emp_id FROM alerted) THEN 1 ELSE 2 END AS run, emp_id, value
+           FROM alert_text""",
+        "alert_text",
+        "alerted",
+    ),
+    "csv_no_header": _CALENDAR,
+    "empty_delivery": """SELECT 'all' AS delivery, true AS taken, count(*) AS n_rows FROM customer
+                         UNION ALL SELECT 'none', false, 0""",
+    "input_files": "SELECT c_nationkey, count(*) AS n_rows FROM customer GROUP BY c_nationkey",
 }

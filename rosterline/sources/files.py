@@ -35,6 +35,11 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_csv(
     spark: SparkSession, path: str | list[str], schema: StructType | None = None, header: bool = True
 ) -> DataFrame:
@@ -61,7 +66,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     Only a missing path counts as none; any other failure is raised.
     """
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .files import child_names, path_exists, remove, write_parquet
+from .files import child_names, empty_frame, path_exists, remove, write_parquet
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
@@ -36,7 +36,7 @@ def read_latest(
     """The newest completed version (not above upto), or an empty frame when there is none."""
     number = latest(spark, root, upto)
     if number is None:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     return spark.read.schema(schema).parquet(version_path(root, number))
 
 
@@ -92,7 +92,7 @@ def read_parts(
     ]
     paths = [p for p in paths if path_exists(spark, p)]
     if not paths:
-        return spark.createDataFrame([], schema)
+        return empty_frame(spark, schema)
     typed = StructType([*schema.fields, PART, StructField("version", StringType(), True)])
     found = spark.read.schema(typed).option("basePath", root).parquet(*paths)
     return found.select(*schema.fieldNames())

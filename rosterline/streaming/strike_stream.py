@@ -37,7 +37,7 @@ from ..operators.merge import changed_rows
 from ..operators.messages import Words, decode, flag, word_values
 from ..operators.strikes import count_flags, recent, score, struck_out
 from ..schemas import FLAG_DAYS, FLAGGED, MAX_STRIKES, STRIKE_FACTOR, STRUCK_OUT, strikes
-from ..sources.files import child_names, path_exists, remove, write_parquet
+from ..sources.files import child_names, empty_frame, path_exists, remove, write_parquet
 from ..sources.versions import latest, read_latest, retire_versions, versions, write_next
 
 # Batches per block, unless a root was made with another number.
@@ -159,7 +159,7 @@ def _read_blocks(
     full = StructType([*schema.fields, ORIGIN, *([BUCKET] if bucketed else [])])
     wanted = [f"{path}/{name}" for name in _blocks(spark, path) if name >= _block_name(first)]
     if not wanted:
-        return spark.createDataFrame([], full)
+        return empty_frame(spark, full)
     typed = StructType([*full.fields, StructField("block", StringType(), True)])
     return spark.read.schema(typed).option("basePath", path).parquet(*wanted).drop("block")
 
