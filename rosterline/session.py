@@ -30,8 +30,10 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "rosterline") -> SparkSession:
-    """A local session for tests and benchmarks."""
+def local_session(
+    cpus: int | str = "*", memory: str = "8g", app: str = "rosterline", shared: str | None = None
+) -> SparkSession:
+    """A local session for tests and benchmarks; shared becomes spark.checkpoint.dir."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -40,6 +42,8 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "rosterl
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
     )
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

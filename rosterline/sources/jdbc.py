@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.merge import merge_by_key
-
 
 def read_options(
     options: Mapping[str, str],
@@ -63,44 +61,67 @@ def write_jdbc(
     df.write.format("jdbc").mode(mode).options(**write_options(options, table, **kwargs)).save()
 
 
+def merge_statement(
+    table: str, staging: str, columns: Sequence[str], keys: Sequence[str], mode: str = "coalesce"
+) -> str:
+    """The SQL that merges a staging table into a table by key; null keys match each other.
+
+    "coalesce" keeps a stored value where the staged one is null, "replace" takes the row.
+    """
+    if mode not in ("coalesce", "replace"):
+        raise ValueError(f"unknown mode {mode!r}")
+    same = " AND ".join(f"(t.{k} = s.{k} OR (t.{k} IS NULL AND s.{k} IS NULL))" for k in keys)
+    value = "COALESCE(s.{0}, t.{0})" if mode == "coalesce" else "s.{0}"
+    sets = ", ".join(f"{c} = {value.format(c)}" for c in columns if c not in keys)
+    update = f"WHEN MATCHED THEN UPDATE SET {sets} " if sets else ""
+    names = ", ".join(columns)
+    values = ", ".join(f"s.{c}" for c in columns)
+    return (
+        f"MERGE INTO {table} AS t USING {staging} AS s ON {same} {update}"
+        f"WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+    )
+
+
 def upsert_jdbc(
-    spark: SparkSession,
     options: Mapping[str, str],
     df: DataFrame,
     table: str,
     staging: str,
     keys: Sequence[str],
+    run: Callable[[str], None],
     mode: str = "coalesce",
 ) -> None:
-    """Merge df into a table by key, by way of a staging table.
+    """Merge df into a table by key: only its rows go to the staging table, then run merges them.
 
-    Overwriting the table empties it before a lazy read of it could run. So the merged
-    rows are stored in the staging table first, and the table is filled from there.
+    run executes one statement on the database, over whatever connection the caller has.
+    The table is neither read nor emptied; a failure before run leaves it as it was, and a
+    repeated merge changes nothing.
     """
-    merged = merge_by_key(read_jdbc(spark, options, table=table), df, keys, mode)
-    write_jdbc(merged, options, staging, "overwrite")
-    write_jdbc(read_jdbc(spark, options, table=staging), options, table, "overwrite")
+    write_jdbc(df, options, staging, "overwrite")
+    run(merge_statement(table, staging, df.columns, keys, mode))
 
 
 def publisher(
-    spark: SparkSession,
     options: Mapping[str, str],
     tables: Mapping[str, str],
     keys: Mapping[str, Sequence[str]] | None = None,
+    run: Callable[[str], None] | None = None,
 ):
     """A publish callback for the jobs: copies stored results into database tables.
 
     tables names the table of each result that is wanted; keys the key columns of the
-    results that are upserted, whose staging table has the suffix _staging.
+    results that are merged by key (see upsert_jdbc), whose staging table has the suffix
+    _staging and whose statement goes to run.
     """
 
     def publish(name: str, df: DataFrame, mode: str) -> None:
         if name not in tables:
             return
         if mode == "upsert" or (keys and name in keys):
+            if run is None or name not in (keys or {}):
+                raise ValueError(f"{name} is merged by key: keys and run are needed")
             how = "replace" if mode == "upsert" else "coalesce"
-            table = tables[name]
-            upsert_jdbc(spark, options, df, table, f"{table}_staging", (keys or {})[name], how)
+            upsert_jdbc(options, df, tables[name], f"{tables[name]}_staging", keys[name], run, how)
         else:
             write_jdbc(df, options, tables[name], mode)
 

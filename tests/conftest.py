@@ -8,10 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from rosterline.session import local_session
 
-    return local_session(8, memory="4g", app="rosterline-tests")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    return local_session(8, memory="4g", app="rosterline-tests", shared=shared)
 
 
 @pytest.fixture

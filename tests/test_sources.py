@@ -137,23 +137,35 @@ def tables(spark, tmp_path, monkeypatch):
     return lambda name: spark.read.parquet(str(tmp_path / name))
 
 
-def test_upsert_reads_the_table_before_emptying_it(spark, tables, rows):
+def test_word_list_by_lines(spark, tmp_path, rows):
+    (tmp_path / "words.txt").write_text("BAD\n\n WORSE \nBAD\n")
+    assert rows(files.read_word_list(spark, str(tmp_path), lines=True)) == [("BAD",), ("WORSE",)]
+
+
+def test_upsert_stages_the_changes_only(spark, tables, rows):
     jdbc.write_jdbc(spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int"), PLACE, "t")
     new = spark.createDataFrame([("b", 9), ("c", 3)], "id string, n int")
-    jdbc.upsert_jdbc(spark, PLACE, new, "t", "t_staging", ["id"])
-    assert rows(tables("t")) == [("a", 1), ("b", 9), ("c", 3)]
+    said = []
+    jdbc.upsert_jdbc(PLACE, new, "t", "t_staging", ["id"], said.append)
+    assert rows(tables("t")) == [("a", 1), ("b", 2)] and rows(tables("t_staging")) == [("b", 9), ("c", 3)]
+    assert said == [
+        "MERGE INTO t AS t USING t_staging AS s ON (t.id = s.id OR (t.id IS NULL AND s.id IS NULL)) "
+        "WHEN MATCHED THEN UPDATE SET n = COALESCE(s.n, t.n) WHEN NOT MATCHED THEN INSERT (id, n) VALUES (s.id, s.n)"
+    ]
 
 
 def test_publisher(spark, tables, rows):
-    publish = jdbc.publisher(spark, PLACE, {"x": "tx", "s": "ts"}, {"s": ["id"]})
+    said = []
+    publish = jdbc.publisher(PLACE, {"x": "tx", "s": "ts"}, {"s": ["id"]}, said.append)
     df = spark.createDataFrame([("a", 1)], "id string, n int")
     publish("x", df, "append")
     publish("x", df, "append")
     publish("other", df, "overwrite")
-    jdbc.write_jdbc(spark.createDataFrame([("a", 0), ("b", 2)], "id string, n int"), PLACE, "ts")
     publish("s", df, "upsert")
     assert rows(tables("tx")) == [("a", 1), ("a", 1)]
-    assert rows(tables("ts")) == [("a", 1), ("b", 2)]
+    assert rows(tables("ts_staging")) == [("a", 1)] and "n = s.n" in said[0]
+    with pytest.raises(ValueError):
+        jdbc.publisher(PLACE, {"s": "ts"})("s", df, "upsert")
 
 
 def test_shared_folder_comes_from_the_session(spark):
