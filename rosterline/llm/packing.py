@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -16,8 +17,10 @@ from .staging import picked, settings, staged
 
 # Fixed value: how byte-level BPE of the provided vocabulary splits a text before merging.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Pieces ranked together; ranks go on from one such group to the next.
-RANKED = 1 << 20
+# Pieces of a length are ranked in groups, as many as the root of all pieces divided by this;
+# ranks go on from one group to the next. So neither the groups nor their pieces grow like the
+# input, and no task ranks all pieces of a frequent length.
+GROUP_SCALE = 4
 
 
 class Encoder:
@@ -282,8 +285,8 @@ def pack(
     A document is the ids of its whole text and then `end` (a null text: only that). Its whole
     windows are sequences of their own; the rests are packed by `plan` from the number of
     pieces of each length, which is all that the driver sees: at most `capacity` numbers.
-    Pieces of a length are ranked in groups of about a million, so no task ranks all of a
-    frequent length, and the rules, a few per length, are broadcast. Every sequence is full,
+    Pieces of a length are ranked in groups, so no task ranks all of a frequent length, and the
+    rules, a few per length, are broadcast. Every sequence is full,
     but for at most log2(capacity) whose lengths are powers of two.
 
     Null ids are ids like others; repeated rows are separate documents; other columns are
@@ -299,7 +302,7 @@ def pack(
         for length, n in sizes.items():
             counts[length] = n
         rules, _ = plan(counts, capacity)
-        groups = max(1, -(-int(counts.sum()) // RANKED))
+        groups = max(1, math.isqrt(int(counts.sum())) // GROUP_SCALE)
         cut = cut.withColumn("_group", F.pmod(F.xxhash64("id", "mark", "start"), F.lit(groups)))
         ahead = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
         begin = cut.groupBy("length", "_group").agg(F.count("*").alias("_n"))
