@@ -383,7 +383,7 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
 
     The text is that of the article: blocks in page order, joined by one line feed; white space
     inside a block is one space and character references are decoded. Pages are aligned with
-    the page of their host that has the smallest hash. Counts are over all pages of a host: what
+    the page of their host that has the smallest hash and is not empty. Counts are over all pages of a host: what
     most of them share outside an element that says it is the article is template. Pages
     meet the reference and then the wrapper of their host, a few hundred bytes each, in two
     joins of tables, in which Spark may split a host with very many pages; what they say about
@@ -421,7 +421,8 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
     with settings(pages.sparkSession):
-        ranked = rows.withColumn("rank", F.xxhash64("url", "id"))
+        # Empty pages have no rank, so they are a reference only where a host has nothing else.
+        ranked = rows.withColumn("rank", F.when(F.length("html") > 0, F.xxhash64("url", "id")))
         least = ranked.groupBy("host").agg(F.min_by("html", "rank").alias("html"), F.min("rank").alias("rank"))
         references = staged(least.mapInArrow(shapes, "host string, rank long, shape string").drop("rank"), "references")
         seen = rows.select("host", "html").join(references, "host").select("host", "html", "shape").mapInArrow(
