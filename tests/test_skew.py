@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from rosterline.operators import leave, periods, strikes
+from rosterline.operators import leave, messages, periods, strikes
 
 N = 60_000
 PARTS = 16
@@ -77,3 +77,34 @@ def test_strike_counts(spark, spread):
     # The history is reduced to the senders of the batch first, and counted with partial sums.
     assert "partial_count" in plan and "LeftSemi" in plan
     assert out.filter("employee_id = 'hot'").first()["strike_count"] >= N // 3
+
+
+@pytest.mark.parametrize("inline_marked", [True, False])
+def test_flagging(spark, inline_marked):
+    """One word in every text, one text in a third of all rows, nothing broadcast.
+
+    Spark measures bytes, and copies of a text compress well: the senders are long here.
+    """
+    wanted = {
+        "spark.sql.shuffle.partitions": str(PARTS), "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    old = {k: spark.conf.get(k, None) for k in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        text = F.when(F.col("id") % 3 == 0, "the same words").otherwise(F.concat(F.lit("the word"), F.col("id")))
+        data = spark.range(N).select(F.sha2(F.col("id").cast("string"), 512).alias("sender"), text.alias("message"))
+        words = spark.range(0, N, 2).select(F.concat(F.lit("word"), F.col("id")).alias("word"))
+        known = words.union(spark.range(1).select(F.explode(F.array(*map(F.lit, ("the", "same", "words"))))))
+        kept = messages.keep_flagged(data, ["the"], known, fold="lower", inline_marked=inline_marked)
+        found = kept.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("sender"))
+        sizes = [r["n"] for r in found.collect()]
+        assert sum(sizes) == N // 3 + N // 3
+        # A third of the input is half of what is left; an even share is a sixteenth.
+        assert max(sizes) / sum(sizes) < 2 / PARTS
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
