@@ -21,6 +21,9 @@ PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # ranks go on from one group to the next. So neither the groups nor their pieces grow like the
 # input, and no task ranks all pieces of a frequent length.
 GROUP_SCALE = 4
+# Up to so many cut pieces are sent to all tasks, so that texts are not shuffled for them;
+# more are joined by a shuffle.
+FEW_CUTS = 10_000
 
 
 class Encoder:
@@ -249,7 +252,7 @@ def pieces(docs: DataFrame, tokenizer: str, id: str, text: str, capacity: int, e
     return rows.mapInArrow(run, schema)
 
 
-def _cut_sums(docs: DataFrame, cuts: DataFrame, tokenizer: str, id: str, text: str, end: int) -> DataFrame:
+def _cut_sums(docs: DataFrame, cuts: DataFrame, few: bool, tokenizer: str, id: str, text: str, end: int) -> DataFrame:
     """The ids_crc32 of pieces that the plan has cut; only their documents are encoded again."""
     source = docs.sparkSession.sparkContext.broadcast(open(tokenizer, encoding="utf-8").read())
     wanted = cuts.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
@@ -257,6 +260,7 @@ def _cut_sums(docs: DataFrame, cuts: DataFrame, tokenizer: str, id: str, text: s
         F.col(f"`{id}`").alias("own"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
     rows = rows.withColumn("code", F.xxhash64("text"))
+    wanted = F.broadcast(wanted) if few else wanted
     found = wanted.join(rows, F.col("id").eqNullSafe(F.col("own")) & (F.col("mark") == F.col("code")))
     schema = f"id {rows.schema['own'].dataType.simpleString()}, mark long, start long, length long, ids_crc32 long"
 
@@ -322,7 +326,8 @@ def pack(
         )
         placed = staged(placed, "placed")
     cuts = placed.filter("ids_crc32 IS NULL").drop("ids_crc32")
-    sums = _cut_sums(docs, cuts, tokenizer, id, text, end).select(
+    few = cuts.limit(FEW_CUTS + 1).count() <= FEW_CUTS
+    sums = _cut_sums(docs, cuts, few, tokenizer, id, text, end).select(
         F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("start").alias("_start"), F.col("length").alias("_length"), "ids_crc32"
     )
     same = F.col("id").eqNullSafe(F.col("_id")) & F.expr("mark = _mark AND start = _start AND length = _length")
