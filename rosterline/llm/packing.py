@@ -31,10 +31,11 @@ class Encoder:
 
     Where the file is plain byte-level BPE with merges in the order of their ids, texts are
     encoded by tiktoken, which gives the same ids several times faster; else by tokenizers.
-    Strings of special tokens are ordinary text.
+    With `special`, strings of special tokens get their own ids, as is the default of
+    tokenizers; without, they are ordinary text.
     """
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, special: bool = False):
         from tokenizers import Tokenizer
 
         model = json.loads(source)
@@ -44,12 +45,13 @@ class Encoder:
 
             chars = _byte_chars()
             ranks = {bytes(chars[c] for c in token): i for token, i in model["model"]["vocab"].items() if all(c in chars for c in token)}
-            special = {t["content"].encode() for t in model["added_tokens"]}
-            ranks = {token: i for token, i in ranks.items() if token not in special}
-            self.plain = tiktoken.Encoding("given", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens={})
+            added = {t["content"]: t["id"] for t in model["added_tokens"]}
+            strings = {t.encode() for t in added}
+            ranks = {token: i for token, i in ranks.items() if token not in strings}
+            self.plain = tiktoken.Encoding("given", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=added if special else {})
         else:
             self.other = Tokenizer.from_str(source)
-            self.other.encode_special_tokens = True
+            self.other.encode_special_tokens = not special
 
     @staticmethod
     def _is_plain(model: dict) -> bool:
@@ -58,6 +60,9 @@ class Encoder:
             return False
         if bpe.get("type") != "BPE" or any(bpe.get(k) for k in ("dropout", "unk_token", "byte_fallback", "ignore_merges")):
             return False
+        added = [t["content"] for t in model["added_tokens"]]
+        if any(t.get(k) for t in model["added_tokens"] for k in ("lstrip", "rstrip", "single_word")) or any(a != b and a in b for a in added for b in added):
+            return False
         pairs = (m if isinstance(m, list) else m.split(" ") for m in bpe["merges"])
         made = [bpe["vocab"]["".join(p)] for p in pairs]
         return all(a < b for a, b in zip(made, made[1:], strict=False))
@@ -66,7 +71,7 @@ class Encoder:
         if not text:
             return np.zeros(0, np.uint32)
         if self.plain:
-            return self.plain.encode_to_numpy(text, disallowed_special=())
+            return self.plain.encode_to_numpy(text, allowed_special="all", disallowed_special=())
         return np.array(self.other.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
@@ -85,7 +90,7 @@ def _encoder(source: str) -> Encoder:
     """One encoder per worker process."""
     known = hash(source)
     if known not in _ENCODERS:
-        _ENCODERS[known] = Encoder(source)
+        _ENCODERS[known] = Encoder(source, special=True)
     return _ENCODERS[known]
 
 
@@ -286,7 +291,8 @@ def pack(
 ) -> DataFrame:
     """A row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A document is the ids of its whole text and then `end` (a null text: only that). Its whole
+    A document is the ids of its whole text, strings of special tokens as those, and then `end`
+    (a null text: only that). Its whole
     windows are sequences of their own; the rests are packed by `plan` from the number of
     pieces of each length, which is all that the driver sees: at most `capacity` numbers.
     Pieces of a length are ranked in groups, so no task ranks all of a frequent length, and the

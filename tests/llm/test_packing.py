@@ -36,6 +36,20 @@ def test_ids_of_special_strings_and_long_runs(encoder, tokenizer):
         assert list(encoder.ids(text)) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_special_strings_have_the_ids_of_an_unmodified_tokenizer(name):
+    path = public_tokenizers.path(name)
+    plain, encoder = Tokenizer.from_file(path), packing._encoder(open(path, encoding="utf-8").read())
+    for text in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>x", " <|endoftext|>  y\n", "x  \n<|endoftext|>", "<|endoftext>", "<|endoftext|>'s"):
+        assert list(encoder.ids(text)) == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_documents_with_special_strings(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "many words <|endoftext|> " * 900, "none"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(frame, packing.pack(frame, PATH).collect(), Tokenizer.from_file(PATH))
+
+
 def test_a_tokenizer_of_another_kind_is_used_as_it_is():
     source = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
     encoder = packing.Encoder(source)
