@@ -166,18 +166,19 @@ def _email(text: str, key: bytes) -> str:
     return shuffled(head.lower(), key, "email:" + top.lower()) + "." + top
 
 
-# In this order at each number: kind, what it looks like, its validation and replacement.
+# In this order at each number: kind, what it looks like, its validation and replacement. Only ASCII
+# letters and digits join a number: scripts without spaces write theirs directly beside it.
 NUMBERS: list[tuple[str, re.Pattern, Callable[[str, bytes], str | None]]] = [
-    ("iban", re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"), _iban),
-    ("date", re.compile(r"\d{4}([-/.])\d{1,2}\1\d{1,2}(?![\w]|[-/.]\d)"), _date),
-    ("date", re.compile(r"\d{1,2}([-/.])\d{1,2}\1\d{4}(?![\w]|[-/.]\d)"), _date),
-    ("ip", re.compile(r"\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"), _ip),
-    ("ssn", re.compile(r"\d{3}-\d{2}-\d{4}(?!\w|-\d)"), _ssn),
-    ("card", re.compile(r"\d(?:\d{11,17}|(?:[ -]?\d){11,17})\d(?![\w]|-\d)"), _card),
-    ("card", re.compile(r"\d{13,19}(?![\w]|-\d)"), _card),
-    ("phone", re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])"), _phone),
-    ("phone", re.compile(r"\(\d{3}\) ?\d{3}[ .-]\d{4}(?![\w])"), _phone),
-    ("phone", re.compile(r"\d{3}([ .-])\d{3}\1\d{4}(?!\w|-\d)"), _phone),
+    ("iban", re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.A), _iban),
+    ("date", re.compile(r"\d{4}([-/.])\d{1,2}\1\d{1,2}(?![\w]|[-/.]\d)", re.A), _date),
+    ("date", re.compile(r"\d{1,2}([-/.])\d{1,2}\1\d{4}(?![\w]|[-/.]\d)", re.A), _date),
+    ("ip", re.compile(r"\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", re.A), _ip),
+    ("ssn", re.compile(r"\d{3}-\d{2}-\d{4}(?!\w|-\d)", re.A), _ssn),
+    ("card", re.compile(r"\d(?:\d{11,17}|(?:[ -]?\d){11,17})\d(?![\w]|-\d)", re.A), _card),
+    ("card", re.compile(r"\d{13,19}(?![\w]|-\d)", re.A), _card),
+    ("phone", re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])", re.A), _phone),
+    ("phone", re.compile(r"\(\d{3}\) ?\d{3}[ .-]\d{4}(?![\w])", re.A), _phone),
+    ("phone", re.compile(r"\d{3}([ .-])\d{3}\1\d{4}(?!\w|-\d)", re.A), _phone),
 ]
 DIGITS = re.compile("[0-9]+")
 LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\Z")
@@ -195,7 +196,7 @@ def _emails(text: str) -> list[tuple[int, int, str]]:
 
 
 def _joined(c: str) -> bool:
-    return c.isalnum() or c == "_"
+    return c.isascii() and (c.isalnum() or c == "_")
 
 
 def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
@@ -218,7 +219,7 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
             starts.insert(0, at - 1)
         if at and text[at - 1] == "+":
             starts = [at - 1]
-        if at >= 2 and text[at - 2 : at].isalpha():
+        if at >= 2 and "A" <= text[at - 2] <= "Z" and "A" <= text[at - 1] <= "Z":
             starts = [at - 2]
         for start in starts:
             if start and (_joined(text[start - 1]) or start == at and text[start - 1] in ".-/" and start > 1 and text[start - 2].isdigit()):

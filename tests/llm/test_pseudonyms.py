@@ -39,6 +39,16 @@ def test_format_is_kept_and_equal_values_stay_linked(text, kind, shape):
     assert p.pseudonymise(inner, KEY)[1] == [kind]  # valid again
 
 
+@pytest.mark.parametrize("text", [
+    "4111 1111 1111 1111", "+1 (535) 555-5412", "238.202.104.165", "123-45-6789", "GB82 WEST 1234 5698 7654 32", "2024-02-29", "(535) 555-5412",
+])
+def test_letters_of_scripts_without_spaces_are_no_part_of_a_number(text):
+    alone, kinds = p.pseudonymise(text, KEY)
+    for around in ("卡号{}是", "カード{}です", "ที่{}ครับ", "я{}я", "号{}"):
+        assert p.pseudonymise(around.format(text), KEY) == (around.format(alone), kinds)
+    assert p.pseudonymise(f"x{text}", KEY)[1] == [] or text[0] in "+("
+
+
 def test_equal_dates_stay_linked_over_notations():
     new = [p.pseudonymise(t, KEY)[0] for t in ("2024-03-31", "31.03.2024", "03/31/2024", "31/03/2024")]
     y, m, d = new[0].split("-")
