@@ -2,10 +2,11 @@
 
 Every page becomes a DOM tree. Its skeleton keeps the structure only: neighbouring blocks of
 text are one leaf, neighbouring elements with the same label one node. The skeletons of a host
-are aligned with that of one of its pages by simple tree matching; an aligned leaf whose text is
-the same on most pages is template, one whose text varies is a slot, and the slot with most text
-is where the host has its articles. Elements that say what they are (navigation, forms,
-adverts, comments ...) are never content, and an element that says it is the article is.
+are aligned with that of one of its pages by simple tree matching; a block
+that most pages with its leaf have there is template, what varies is a slot, and the slot with
+most text is where the host has its articles. This holds inside <article> and <main> too, which
+only weigh in the choice of the slot. Elements that say what they are (navigation, forms ...)
+are never content; words of class or id (sidebar, comments ...) say so unless the slot is inside.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ import html as entities
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,24 +65,32 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]
 DEEPEST = 150
 # Children compared with children: beyond this many pairs only equal ends are aligned.
 MOST_PAIRS = 40_000
-# A leaf is template if its text is the same on this share of the pages that have it, of
-# at least so many different pages.
+# A block is template if it is on this share of the pages that have its leaf, and on at least
+# so many different pages.
 SAME, PAGES = 0.6, 4
+# In the choice of the slot, text in neither, in a <main> and in an <article> counts so often,
+# and text below an element with an aside word this much less.
+MARKS, NAMED = (1.0, 2.0, 4.0), 0.1
+# Trees of so many tasks are merged at a time, and so many shapes are held before they are merged.
+FAN_IN, HELD = 64, 1000
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "texts", "aside", "content", "mute")
+    __slots__ = ("tag", "label", "children", "texts", "aside", "content", "mute", "named", "says")
 
-    def __init__(self, tag: str, label: str, aside: bool, content: int):
-        self.tag, self.label, self.aside, self.content = tag, label, aside, content
+    def __init__(self, tag: str, label: str, aside: bool, content: int, named: bool = False, says: bool = False):
+        self.tag, self.label, self.aside, self.content, self.named, self.says = tag, label, aside, content, named, says
         self.children: list[Node] = []
         self.texts: list[str] = []
         self.mute = False
 
 
 def _start(tag: str, attributes: str, parent: Node) -> Node:
-    """An element; aside: it or one around it is never content; content: 2 in an article, 1 in main."""
-    label, aside, content = tag, parent.aside or tag in ASIDE_TAGS, parent.content
+    """An element; aside: it or one around it is never content; content: 2 in an article, 1 in main.
+
+    named: it has an aside word itself; says: it is the one that says it is the article or main.
+    """
+    label, aside, content, named, says = tag, parent.aside or tag in ASIDE_TAGS, parent.content, False, tag in ("article", "main")
     names: set[str] = set()
     if attributes and not attributes.isspace():
         found = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)}
@@ -91,14 +102,14 @@ def _start(tag: str, attributes: str, parent: Node) -> Node:
             aside = aside or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
             aside = aside or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
         if found.get("role", "").lower() in ("main", "article"):
-            content = max(content, 1)
+            content, says = max(content, 1), True
     if tag == "article":
         content = 2
     elif tag == "main":
         content = max(content, 1)
-    if not content and (tag == "header" or names & TOP_WORDS and tag not in ("html", "body")):
-        aside = True
-    return Node(tag, label, aside, content)
+    if not content and tag not in ("html", "body"):
+        aside = aside or tag == "header" or bool(names & TOP_WORDS)
+    return Node(tag, label, aside, content, named, says)
 
 
 def parse(page: str | None) -> Node:
@@ -188,10 +199,13 @@ def parse(page: str | None) -> Node:
         if len(stack) > DEEPEST:
             deeper[tag] += 1
             continue
+        around = stack[-1]
+        if around.tag not in FLOW and around.tag not in HOLDERS:  # an inline element is no node of its own
+            node.named, node.says = node.named or around.named and not node.says, node.says or around.says and not node.named
         if block:
             _holder(stack).children.append(node)
         else:  # text of an element inside a block that is never content is left out of the block
-            node.mute = stack[-1].mute or node.aside and not stack[-1].aside
+            node.mute = around.mute or node.named or node.aside and not around.aside
         stack.append(node)
     close(1)
     flush()
@@ -205,23 +219,23 @@ def _holder(stack: list[Node]) -> Node:
 class Part:
     """A node of the skeleton: a label, parts below it, and for leaves the blocks of text."""
 
-    __slots__ = ("label", "parts", "blocks", "aside")
+    __slots__ = ("label", "parts", "blocks", "aside", "named", "says")
 
-    def __init__(self, label: str, aside: bool):
-        self.label, self.aside = label, aside
+    def __init__(self, label: str, aside: bool, named: bool = False, says: bool = False):
+        self.label, self.aside, self.named, self.says = label, aside, named, says
         self.parts: list[Part] = []
         self.blocks: list[tuple[str, bool, int]] = []
 
 
-def _leaf_blocks(node: Node) -> list[tuple[str, bool, int]] | None:
-    """The blocks of a node that has text only, else None."""
+def _leaf_blocks(node: Node, inner: bool = False) -> list[tuple[str, bool, int]] | None:
+    """The blocks of a node that has text only, else None; inner: below an aside word inside the leaf."""
     if node.tag == "#text":
-        return [(t, node.aside, node.content) for t in node.texts]
+        return [(t, node.aside or inner, node.content) for t in node.texts]
     if node.tag in HOLDERS or node.tag not in FLOW and node.children:
         return None
     found = []
     for child in node.children:
-        below = _leaf_blocks(child)
+        below = _leaf_blocks(child, inner or child.named)
         if below is None:
             return None
         found += below
@@ -229,15 +243,15 @@ def _leaf_blocks(node: Node) -> list[tuple[str, bool, int]] | None:
 
 
 def skeleton(node: Node) -> Part:
-    part = Part(node.label, node.aside)
+    part = Part(node.label, node.aside, node.named, node.says)
     for child in node.children:
         blocks = _leaf_blocks(child)
         if blocks is not None:
-            label = "#text-" if child.aside else "#text"
+            label = "#text-" if child.aside else "#text~" if child.named else "#text"
             if not blocks:
                 continue
             if not part.parts or part.parts[-1].label != label:
-                part.parts.append(Part(label, child.aside))
+                part.parts.append(Part(label, child.aside, child.named))
             part.parts[-1].blocks += blocks
             continue
         below = skeleton(child)
@@ -258,7 +272,7 @@ def _fold(into: Part, more: Part) -> None:
             into.parts.append(part)
 
 
-def shape(part: Part) -> list:
+def shape(part: Part | Shape) -> list:
     return [part.label, [shape(p) for p in part.parts]]
 
 
@@ -318,7 +332,7 @@ def pairs(found) -> Iterator[tuple[Part, Shape]]:
     todo = [found]
     while todo:
         x = todo.pop()
-        if isinstance(x, tuple) and len(x) == 2 and isinstance(x[0], Part):
+        if isinstance(x, tuple) and len(x) == 2 and isinstance(x[0], (Part, Shape)):
             yield x
         elif x:
             todo.extend(x)
@@ -328,40 +342,99 @@ def _digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def observations(page: str | None, reference: str) -> list[tuple[int, int, int, int]]:
-    """(node, hash of its text, code points, hash of the page's text) of each aligned leaf."""
-    tree = skeleton(parse(page))
-    known = Shape(json.loads(reference), [0])
-    _, found = tree_matching(tree, known)
-    seen = [(k.number, "\n".join(b[0] for b in p.blocks)) for p, k in pairs(found) if p.blocks]
-    whole = _digest("\n".join(t for _, t in sorted(seen)))
-    return [(n, _digest(t), len(t), whole) for n, t in seen]
+def counted_shape(part: Part | Shape, pages: int) -> list:
+    """A shape that says of each node how many pages have it."""
+    return [part.label, [counted_shape(p, pages) for p in part.parts], pages]
+
+
+def merged(trees: Iterable[list]) -> list:
+    """The first tree."""
+    return next(iter(trees))
+
 
+def pruned(tree: list) -> list:
+    return [tree[0], [pruned(t) for t in tree[1]]]
 
-def _content(tree: Part, template: set[int], slot: int, reference: str) -> list[str]:
-    """The blocks of the article, in page order."""
-    known = Shape(json.loads(reference), [0])
-    _, found = tree_matching(tree, known)
-    number = {id(p): k.number for p, k in pairs(found)}
-    listed: list[tuple[Part, Part]] = []  # leaves and what holds them
 
-    def walk(part: Part) -> None:
+@lru_cache(64)
+def _known(reference: str) -> Shape:
+    return Shape(json.loads(reference), [0])
+
+
+def _leaves(tree: Part) -> list[tuple[Part, frozenset[int]]]:
+    """The leaves in page order, and the elements with an aside word around each, up to an article or main."""
+    found: list[tuple[Part, frozenset[int]]] = []
+
+    def walk(part: Part, named: frozenset[int]) -> None:
+        if part.says:
+            named = frozenset()
+        if part.named:
+            named = named | {id(part)}
+        if part.blocks:
+            found.append((part, named))
         for p in part.parts:
-            if p.blocks:
-                listed.append((p, part))
-            walk(p)
-
-    walk(tree)
-    for level in (2, 1):
-        marked = [t for p, _ in listed for t, aside, content in p.blocks if content >= level and not aside]
-        if marked:
-            return marked
-    open_ = [(p, h) for p, h in listed if number.get(id(p)) not in template and any(not b[1] for b in p.blocks)]
-    if not open_:
-        return []
-    best = next((h for p, h in open_ if number.get(id(p)) == slot), None)
+            walk(p, named)
+
+    walk(tree, frozenset())
+    return found
+
+
+def _kind(part: Part, named: frozenset[int]) -> int:
+    """0, 1, 2: in no marked element, a main, an article; three more below an aside word."""
+    return max(b[2] for b in part.blocks) + (3 if named else 0)
+
+
+def weight(kind: int) -> float:
+    return MARKS[kind % 3] * (NAMED if kind > 2 else 1)
+
+
+def observations(page: str | None, reference: str) -> list[tuple[int, int | None, int, int, int]]:
+    """(node, hash of a block, code points, hash of the page's text, kind) of each block of an aligned leaf.
+
+    With no hash for the leaf as a whole. Blocks that are never content are not listed.
+    """
+    tree = skeleton(parse(page))
+    number = {id(p): k.number for p, k in pairs(tree_matching(tree, _known(reference))[1])}
+    leaves = [(p, named, [t for t, aside, _ in p.blocks if not aside]) for p, named in _leaves(tree)]
+    whole = _digest("\n".join(t for _, _, said in leaves for t in said))
+    seen: list[tuple[int, int | None, int, int, int]] = []
+    for p, named, said in leaves:
+        if said and id(p) in number:
+            node, kind = number[id(p)], _kind(p, named)
+            seen.append((node, None, sum(map(len, said)), whole, kind))
+            seen += [(node, _digest(t), len(t) * n, whole, kind) for t, n in Counter(said).items()]
+    return seen
+
+
+def _holders(tree: Part) -> Iterator[Part]:
+    yield tree
+    for p in tree.parts:
+        yield from _holders(p)
+
+
+def _content(tree: Part, template: set[tuple[int, int]], slot: int, reference: str) -> list[str]:
+    """The blocks of the article, in page order: all that vary where the slot is."""
+    number = {id(p): k.number for p, k in pairs(tree_matching(tree, _known(reference))[1])}
+    fixed = {n for n, _ in template}
+    open_: list[tuple[Part, frozenset[int], list[str]]] = []
+    marked: list[tuple[int, str]] = []
+    for p, named in _leaves(tree):
+        n = number.get(id(p))
+        said = [(t, content) for t, aside, content in p.blocks if not aside]
+        marked += [(content, t) for t, content in said if content and not named]
+        varying = [t for t, _ in said if n not in fixed or (n, _digest(t)) not in template]
+        if varying:
+            open_.append((p, named, varying))
+    if not open_:  # copies of one article: what most pages share is the article
+        return [t for content, t in marked if content == max(marked)[0]]
+    best = next(((p, named) for p, named, _ in open_ if number.get(id(p)) == slot), None)
     if best is None:
-        best = max(open_, key=lambda x: sum(len(t) for t, aside, _ in x[0].blocks if not aside))[1]
+        size: Counter = Counter()
+        for p, named, said in open_:
+            size[_kind(p, named)] += weight(_kind(p, named)) * sum(map(len, said))
+        kind = max(size, key=lambda k: (size[k], -k))
+        best = max(((p, named, s) for p, named, s in open_ if _kind(p, named) == kind), key=lambda x: sum(map(len, x[2])))[:2]
+    level, around = _kind(*best) % 3, best[1]
     inside: set[int] = set()
 
     def below(part: Part) -> None:
@@ -369,8 +442,8 @@ def _content(tree: Part, template: set[int], slot: int, reference: str) -> list[
         for p in part.parts:
             below(p)
 
-    below(best)
-    return [t for p, _ in open_ if id(p) in inside for t, aside, _ in p.blocks if not aside]
+    below(next(h for h in _holders(tree) if any(p is best[0] for p in h.parts)) if not level else tree)
+    return [t for p, named, said in open_ if named <= around and _kind(p, named) % 3 >= level and id(p) in inside for t in said]
 
 
 def host_of(url: Column) -> Column:
@@ -382,10 +455,11 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     """A row for each page: id, url, text and n_chars (code points).
 
     The text is that of the article: blocks in page order, joined by one line feed; white space
-    inside a block is one space and character references are decoded. Pages are aligned with
-    the page of their host that has the smallest hash and is not empty. Counts are over all pages of a host: what
-    most of them share outside an element that says it is the article is template. Pages
-    meet the reference and then the wrapper of their host, a few hundred bytes each, in two
+    inside a block is one space and character references are decoded. Pages are aligned with the tree
+    of one page of their host. A block is template if most pages that have its leaf
+    have it, also in an element that says it is the article; all others where the slot is are
+    the text. A page with template only, all of it in such an element, keeps that. Pages
+    meet the tree and then the wrapper of their host, some kilobytes each, in two
     joins of tables, in which Spark may split a host with very many pages; what they say about
     the leaves is counted with partial sums. A null, empty or unreadable
     page has an empty text; pages without a host are one host; repeated rows are pages of their
@@ -398,46 +472,76 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     kind = rows.schema["id"].dataType.simpleString()
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str, Counter] = {}
+
+        def fold(host: str) -> None:
+            """Merge what is held of a host, in an order that does not depend on that of the rows."""
+            trees = [counted_shape(Shape(json.loads(k), [0]), n) if n else json.loads(k) for k, n in sorted(found[host].items())]
+            found[host] = Counter({json.dumps(merged(trees)): 0})
+
         for batch in batches:
-            made = [json.dumps(shape(skeleton(parse(p.as_py())))) for p in batch.column("html")]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("rank"), pa.array(made)], ["host", "rank", "shape"])
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                held = found.setdefault(host, Counter())
+                held[json.dumps(shape(skeleton(parse(page))))] += 1
+                if len(held) > HELD:
+                    fold(host)
+        for host in found:
+            fold(host)
+        task = TaskContext.get().partitionId()
+        made = [next(iter(held)) for held in found.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([task] * len(found), pa.int64()), pa.array(made, pa.string())], ["host", "task", "tree"])
+
+    def joined(last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                trees = [merged(map(json.loads, t)) for t in batch.column("trees").to_pylist()]
+                made = [json.dumps(pruned(t) if last else t) for t in trees]
+                yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], ["host", "shape" if last else "tree"])
+
+        return run
 
     def observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for host, page, known in zip(*[batch.column(c).to_pylist() for c in ("host", "html", "shape")], strict=True):
                 seen.update((host, *o) for o in observations(page, known))
-            columns = list(zip(*seen, strict=True)) or [()] * 5
-            kinds = (pa.string(), *[pa.int64()] * 4)
+            columns = list(zip(*seen, strict=True)) or [()] * 6
+            kinds = (pa.string(), *[pa.int64()] * 5)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "said", "chars", "page"]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "node", "said", "chars", "page", "kind"]
             )
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for page, known, template, slot in zip(*[batch.column(c).to_pylist() for c in ("html", "shape", "template", "slot")], strict=True):
-                out.append("\n".join(_content(skeleton(parse(page)), set(template or ()), slot if slot is not None else -1, known)))
+                fixed = {(t["node"], t["said"]) for t in template or ()}
+                out.append("\n".join(_content(skeleton(parse(page)), fixed, slot if slot is not None else -1, known)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
     with settings(pages.sparkSession):
-        # Empty pages have no rank, so they are a reference only where a host has nothing else.
-        ranked = rows.withColumn("rank", F.when(F.length("html") > 0, F.xxhash64("url", "id")))
-        least = ranked.groupBy("host").agg(F.min_by("html", "rank").alias("html"), F.min("rank").alias("rank"))
-        references = staged(least.mapInArrow(shapes, "host string, rank long, shape string").drop("rank"), "references")
+        trees = rows.select("host", "html").mapInArrow(shapes, "host string, task long, tree string")
+        some = trees.groupBy("host", F.expr(f"task div {FAN_IN}").alias("some")).agg(F.sort_array(F.collect_list("tree")).alias("trees"))
+        trees = some.select("host", "trees").mapInArrow(joined(False), "host string, tree string")
+        all_ = trees.groupBy("host").agg(F.sort_array(F.collect_list("tree")).alias("trees"))
+        references = staged(all_.mapInArrow(joined(True), "host string, shape string"), "references")
         seen = rows.select("host", "html").join(references, "host").select("host", "html", "shape").mapInArrow(
-            observed, "host string, node long, said long, chars long, page long"
-        )
-        counted = seen.distinct().groupBy("host", "node", "said").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"))
-        leaves = counted.groupBy("host", "node").agg(
-            F.sum("pages").alias("pages"), F.max("pages").alias("most"), F.sum("chars").alias("chars")
+            observed, "host string, node long, said long, chars long, page long, kind long"
         )
-        fixed = (F.col("pages") >= PAGES) & (F.col("most") >= SAME * F.col("pages"))
-        wrappers = leaves.groupBy("host").agg(
-            F.collect_list(F.when(fixed, F.col("node"))).alias("template"),
-            F.max_by(F.when(~fixed, F.col("node")), F.when(~fixed, F.struct("chars", -F.col("node")))).alias("slot"),
+        counted = seen.distinct().groupBy("host", "node", "said").agg(
+            F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.max("kind").alias("kind")
         )
-        wrappers = staged(references.join(wrappers, "host", "left"), "wrappers")
+        counted = staged(counted.filter(F.col("said").isNull() | (F.col("pages") >= PAGES)), "counted")
+        leaves = counted.filter("said IS NULL").select("host", "node", F.col("pages").alias("of"), F.col("chars").alias("all"), "kind")
+        fixed = counted.filter("said IS NOT NULL").drop("kind").join(leaves.select("host", "node", "of"), ["host", "node"])
+        fixed = fixed.filter(F.col("pages") >= SAME * F.col("of"))
+        less = fixed.groupBy("host", "node").agg(F.sum("chars").alias("less"))
+        left = leaves.join(less, ["host", "node"], "left").withColumn("chars", F.col("all") - F.coalesce("less", F.lit(0))).filter("chars > 0")
+        best = left.groupBy("host", "kind").agg(F.sum("chars").alias("chars"), F.max_by("node", F.struct("chars", -F.col("node"))).alias("slot"))
+        weights = F.array(*[F.lit(weight(k)) for k in range(6)])
+        best = best.groupBy("host").agg(F.max_by("slot", F.struct(F.col("chars") * F.get(weights, F.col("kind").cast("int")), -F.col("kind"))).alias("slot"))
+        template = fixed.groupBy("host").agg(F.collect_list(F.struct("node", "said")).alias("template"))
+        wrappers = staged(references.join(template, "host", "left").join(best, "host", "left"), "wrappers")
     done = rows.join(wrappers, "host").select("id", "url", "html", "shape", "template", "slot").mapInArrow(
         texts, f"id {kind}, url string, text string"
     )

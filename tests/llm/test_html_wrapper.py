@@ -60,3 +60,27 @@ def test_wrapper_of_a_host_without_markers(spark):
     got = {(r.page_id, r.text) for r in w.extract(frame).collect()}
     assert got == {(i, f"story {i}\n" + " ".join(["more"] * i + ["."])) for i in range(8)} | {(9, ""), (10, ""), (None, "alone")}
     assert w.extract(frame).count() == 12 and w.extract(frame.limit(0)).count() == 0
+
+
+def texts_of(spark, pages):
+    rows = [(i, f"http://a.example/{i}", p) for i, p in enumerate(pages)]
+    got = {r.page_id: r.text for r in w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[i] for i in range(len(pages))]
+
+
+def words(i, n=30):
+    return " ".join(f"w{i}x{k}" for k in range(n))
+
+
+def test_what_pages_share_inside_the_article_is_template(spark):
+    page = "<article><h1>t{0}</h1><p>{1}</p><p>Share this story</p><div class='box'>More on this site</div></article><div>{0}</div>"
+    assert texts_of(spark, [page.format(i, words(i)) for i in range(8)]) == [f"t{i}\n{words(i)}" for i in range(8)]
+    same = "<nav>{0}</nav><article><p>one text</p><p>on all pages</p></article>"
+    assert set(texts_of(spark, [same.format(words(i, 1)) for i in range(8)])) == {"one text\non all pages"}
+
+
+def test_an_article_that_marks_teasers_does_not_hide_the_body(spark):
+    for tag in ("main", "div"):
+        page = f"<{tag} class='body'><p>{{0}}</p></{tag}><div class='list'><article>read {{1}}</article></div>"
+        got = texts_of(spark, [page.format(words(i, 60), i) for i in range(8)])
+        assert all(t.startswith(words(i, 60)) for i, t in enumerate(got))
