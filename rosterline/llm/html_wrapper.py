@@ -98,7 +98,8 @@ def _start(tag: str, attributes: str, parent: Node) -> Node:
         if names:
             label += "." + ".".join(sorted(names))
         if tag not in ("html", "body", "article", "main"):
-            aside = aside or bool(names & ASIDE_WORDS) or found.get("role", "").lower() in ASIDE_ROLES
+            named = bool(names & ASIDE_WORDS)
+            aside = aside or found.get("role", "").lower() in ASIDE_ROLES
             aside = aside or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
             aside = aside or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
         if found.get("role", "").lower() in ("main", "article"):
@@ -108,7 +109,7 @@ def _start(tag: str, attributes: str, parent: Node) -> Node:
     elif tag == "main":
         content = max(content, 1)
     if not content and tag not in ("html", "body"):
-        aside = aside or tag == "header" or bool(names & TOP_WORDS)
+        aside, named = aside or tag == "header", named or bool(names & TOP_WORDS)
     return Node(tag, label, aside, content, named, says)
 
 

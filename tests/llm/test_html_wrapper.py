@@ -84,3 +84,15 @@ def test_an_article_that_marks_teasers_does_not_hide_the_body(spark):
         page = f"<{tag} class='body'><p>{{0}}</p></{tag}><div class='list'><article>read {{1}}</article></div>"
         got = texts_of(spark, [page.format(words(i, 60), i) for i in range(8)])
         assert all(t.startswith(words(i, 60)) for i, t in enumerate(got))
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "with-comments", "menu-open", "legal"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_an_aside_word_around_the_slot_counts_for_nothing(name, tag):
+    page = f"<div class='{name}'><{tag}><p>a long text of the page</p></{tag}><div class='sidebar'>links</div></div><div class='comments'>hi</div>"
+    assert text_of(page) == "a long text of the page"
+
+
+def test_an_aside_word_around_the_slot_of_a_host(spark):
+    page = "<div class='no-sidebar'><div class='top'>{0}</div><div class='text'><p>{1}</p></div><div class='comments'>c{0}</div></div><div>all rights</div>"
+    assert texts_of(spark, [page.format(i, words(i)) for i in range(8)]) == [f"{i}\n{words(i)}" for i in range(8)]
