@@ -407,12 +407,6 @@ def observations(page: str | None, reference: str) -> list[tuple[int, int | None
     return seen
 
 
-def _holders(tree: Part) -> Iterator[Part]:
-    yield tree
-    for p in tree.parts:
-        yield from _holders(p)
-
-
 def _content(tree: Part, template: set[tuple[int, int]], slot: int, reference: str) -> list[str]:
     """The blocks of the article, in page order: all that vary where the slot is."""
     number = {id(p): k.number for p, k in pairs(tree_matching(tree, _known(reference))[1])}
@@ -436,15 +430,7 @@ def _content(tree: Part, template: set[tuple[int, int]], slot: int, reference: s
         kind = max(size, key=lambda k: (size[k], -k))
         best = max(((p, named, s) for p, named, s in open_ if _kind(p, named) == kind), key=lambda x: sum(map(len, x[2])))[:2]
     level, around = _kind(*best) % 3, best[1]
-    inside: set[int] = set()
-
-    def below(part: Part) -> None:
-        inside.add(id(part))
-        for p in part.parts:
-            below(p)
-
-    below(next(h for h in _holders(tree) if any(p is best[0] for p in h.parts)) if not level else tree)
-    return [t for p, named, said in open_ if named <= around and _kind(p, named) % 3 >= level and id(p) in inside for t in said]
+    return [t for p, named, said in open_ if named <= around and _kind(p, named) % 3 >= level for t in said]
 
 
 def host_of(url: Column) -> Column:

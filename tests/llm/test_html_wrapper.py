@@ -96,3 +96,8 @@ def test_an_aside_word_around_the_slot_counts_for_nothing(name, tag):
 def test_an_aside_word_around_the_slot_of_a_host(spark):
     page = "<div class='no-sidebar'><div class='top'>{0}</div><div class='text'><p>{1}</p></div><div class='comments'>c{0}</div></div><div>all rights</div>"
     assert texts_of(spark, [page.format(i, words(i)) for i in range(8)]) == [f"{i}\n{words(i)}" for i in range(8)]
+
+
+def test_all_varying_slots_are_content(spark):
+    page = "<div><div class='lead'>lead {0}</div><div class='story'><p>intro {0}</p><section><p>{1}</p></section></div></div><div class='end'>the end</div>"
+    assert texts_of(spark, [page.format(i, words(i)) for i in range(8)]) == [f"lead {i}\nintro {i}\n{words(i)}" for i in range(8)]
