@@ -2,7 +2,7 @@
 
 Every page becomes a DOM tree. Its skeleton keeps the structure only: neighbouring blocks of
 text are one leaf, neighbouring elements with the same label one node. The skeletons of a host
-are aligned with that of one of its pages by simple tree matching; a block
+are merged into one tree, and its pages are aligned with that, by simple tree matching; a block
 that most pages with its leaf have there is template, what varies is a slot, and the slot with
 most text is where the host has its articles. This holds inside <article> and <main> too, which
 only weigh in the choice of the slot. Elements that say what they are (navigation, forms ...)
@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -63,7 +64,7 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 # Elements nested deeper than this belong to the one at this depth.
 DEEPEST = 150
-# Children compared with children: beyond this many pairs only equal ends are aligned.
+# Children compared with children: beyond this many pairs they are aligned in linear memory.
 MOST_PAIRS = 40_000
 # A block is template if it is on this share of the pages that have its leaf, and on at least
 # so many different pages.
@@ -301,7 +302,7 @@ def tree_matching(part: Part, known: Shape) -> tuple[int, list]:
     if not a or not b:
         return 1, [(part, known)]
     if len(a) * len(b) > MOST_PAIRS:
-        return _ends(part, known)
+        return _wide(part, known)
     size = [[(0, None)] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a, 1):
         for j, y in enumerate(b, 1):
@@ -315,18 +316,46 @@ def tree_matching(part: Part, known: Shape) -> tuple[int, list]:
     return total + 1, [(part, known), found]
 
 
-def _ends(part: Part, known: Shape) -> tuple[int, list]:
-    """The same for very many children: those in step from the start or from the end."""
-    a, b, found, total = part.parts, known.parts, [], 1
-    low = 0
-    while low < min(len(a), len(b)) and a[low].label == b[low].label:
-        n, below = tree_matching(a[low], b[low])
-        found, total, low = [below, found], total + n, low + 1
-    high = 1
-    while high <= min(len(a), len(b)) - low and a[-high].label == b[-high].label:
-        n, below = tree_matching(a[-high], b[-high])
-        found, total, high = [below, found], total + n, high + 1
-    return total, [(part, known), found]
+def _wide(part: Part, known: Shape) -> tuple[int, list]:
+    """The same for very many children: divide and conquer over rows (Hirschberg), in linear memory."""
+    a, b = part.parts, known.parts
+    kinds: dict[str, int] = {}
+    first: dict[int, Part | Shape] = {}
+
+    def kind(x: Part | Shape) -> int:
+        k = kinds.setdefault(json.dumps(shape(x)), len(kinds))
+        first.setdefault(k, x)
+        return k
+
+    left, (columns, right) = [kind(x) for x in a], np.unique([kind(y) for y in b], return_inverse=True)
+
+    @lru_cache(1024)
+    def gains(k: int) -> np.ndarray:
+        return np.array([tree_matching(first[k], first[c])[0] for c in columns], np.int64)
+
+    def sums(rows: Iterable[int], cols: np.ndarray) -> np.ndarray:
+        """The best totals of these rows with each number of first columns."""
+        best = np.zeros(len(cols) + 1, np.int64)
+        for i in rows:
+            best[1:] = np.maximum(best[1:], best[:-1] + gains(left[i])[cols])
+            np.maximum.accumulate(best, out=best)
+        return best
+
+    total, found, todo = 1, [(part, known)], [(0, len(a), 0, len(b))]
+    while todo:
+        low, high, start, end = todo.pop()
+        if low == high or start == end:
+            continue
+        cols = right[start:end]
+        if high - low == 1:
+            at = int(np.argmax(gains(left[low])[cols]))
+            n, below = tree_matching(a[low], b[start + at])
+            total, found = total + n, [below, found]
+            continue
+        middle = (low + high) // 2
+        cut = start + int(np.argmax(sums(range(low, middle), cols) + sums(range(high - 1, middle - 1, -1), cols[::-1])[::-1]))
+        todo += [(low, middle, start, cut), (middle, high, cut, end)]
+    return total, found
 
 
 def pairs(found) -> Iterator[tuple[Part, Shape]]:
@@ -349,12 +378,44 @@ def counted_shape(part: Part | Shape, pages: int) -> list:
 
 
 def merged(trees: Iterable[list]) -> list:
-    """The first tree."""
-    return next(iter(trees))
+    """One tree of counted shapes with equal roots: nodes that align are one, the others stand beside them."""
+    all_ = iter(trees)
+    whole = next(all_)
+    for more in all_:
+        into, other = Shape(whole, [0]), Shape(more, [0])
+        of: dict[int, list] = {}
+
+        def note(known: Shape, data: list, of=of) -> None:
+            of[id(known)] = data
+            for k, d in zip(known.parts, data[1], strict=True):
+                note(k, d)
+
+        note(into, whole)
+        same = {id(b): of[id(a)] for a, b in pairs(tree_matching(into, other)[1])}
+
+        def add(data: list, known: Shape, new: list, same=same) -> None:
+            data[2] += new[2]
+            parts, at = [], 0
+            for k, d in zip(known.parts, new[1], strict=True):
+                partner = same.get(id(k))
+                if partner is None:
+                    parts.append(d)
+                    continue
+                while data[1][at] is not partner:
+                    parts.append(data[1][at])
+                    at += 1
+                add(partner, k, d)
+                parts.append(partner)
+                at += 1
+            data[1] = parts + data[1][at:]
+
+        add(whole, other, more)
+    return whole
 
 
 def pruned(tree: list) -> list:
-    return [tree[0], [pruned(t) for t in tree[1]]]
+    """The shape of a merged tree without nodes of so few pages that nothing in them can be template."""
+    return [tree[0], [pruned(t) for t in tree[1] if t[2] >= PAGES]]
 
 
 @lru_cache(64)
@@ -442,8 +503,9 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     """A row for each page: id, url, text and n_chars (code points).
 
     The text is that of the article: blocks in page order, joined by one line feed; white space
-    inside a block is one space and character references are decoded. Pages are aligned with the tree
-    of one page of their host. A block is template if most pages that have its leaf
+    inside a block is one space and character references are decoded. The skeletons of all pages
+    of a host are merged into one tree, first within tasks, and every page is aligned with it, so
+    each layout of a host has its nodes. A block is template if most pages that have its leaf
     have it, also in an element that says it is the article; all others where the slot is are
     the text. A page with template only, all of it in such an element, keeps that. Pages
     meet the tree and then the wrapper of their host, some kilobytes each, in two

@@ -101,3 +101,36 @@ def test_an_aside_word_around_the_slot_of_a_host(spark):
 def test_all_varying_slots_are_content(spark):
     page = "<div><div class='lead'>lead {0}</div><div class='story'><p>intro {0}</p><section><p>{1}</p></section></div></div><div class='end'>the end</div>"
     assert texts_of(spark, [page.format(i, words(i)) for i in range(8)]) == [f"lead {i}\nintro {i}\n{words(i)}" for i in range(8)]
+
+
+def test_each_layout_of_a_host_has_its_template(spark):
+    one = "<div class='a'><div class='hero'>hello from a</div><p>{}</p></div>"
+    two = "<section class='b'><div class='top'>hello from b</div><div><p>{}</p></div><div>bye from b</div></section>"
+    assert texts_of(spark, [(one, two)[i % 2].format(words(i)) for i in range(16)]) == [words(i) for i in range(16)]
+
+
+def test_wide_parents_are_aligned_like_others(monkeypatch):
+    def tree(n, step):
+        return w.skeleton(w.parse("".join(f"<div class='{'abcdefg'[i * step % 7]}'><ul><li>{i}</ul></div><section>{i}</section>" for i in range(n))))
+
+    for n, m, step in ((9, 13, 2), (30, 21, 3), (1, 8, 5)):
+        part, other = tree(n, 1), tree(m, step)
+        known = w.Shape(w.shape(other), [0])
+        exact = w.tree_matching(part, known)[0]
+        monkeypatch.setattr(w, "MOST_PAIRS", 1)
+        total, found = w.tree_matching(part, known)
+        monkeypatch.undo()
+        matched = list(w.pairs(found))
+        assert total == exact == len(matched) and all(a.label == b.label for a, b in matched)
+    part = tree(300, 1)
+    assert w.tree_matching(part, w.Shape(w.shape(tree(300, 3)), [0]))[0] > 300
+
+
+def test_merged_trees_hold_every_node():
+    pages = ["<div class='a'><p>x</p></div><p>y</p>", "<p>y</p><section><p>z</p></section>", "<div class='a'><ul><li>1</ul></div><p>y</p>"]
+    shapes = [w.shape(w.skeleton(w.parse(p))) for p in pages]
+    whole = w.merged(w.counted_shape(w.Shape(s, [0]), 1) for s in shapes)
+    assert whole[2] == 3 and [t[0] for t in whole[1]] == ["div.a", "#text", "section"] and [t[2] for t in whole[1]] == [2, 3, 1]
+    for p, s in zip(pages, shapes, strict=True):
+        n, _ = w.tree_matching(w.skeleton(w.parse(p)), w.Shape(whole, [0]))
+        assert n == json.dumps(s).count('"') // 2
