@@ -15,7 +15,7 @@ def fold(id: str, folds: int) -> Column:
 
 
 def sample(
-    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, kept: Column, rows: int, chars: int
+    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, kept: Column, rows: int, chars: int | None
 ) -> tuple[list[tuple[str, int]], float]:
     """(text, label) of at most `rows` documents per label, and label 1's share among all labels.
 
@@ -24,7 +24,7 @@ def sample(
     chosen by the smallest hash, so the same tables give the same sample; from the labels
     alone, so that the texts are read once and not shuffled: the chosen ids, at most 2 * rows,
     are broadcast. Whole texts of at most `chars` characters are used; chosen ids with a longer
-    text are left out. Without any label the share is one half.
+    text are left out; with None texts of any length are used. Without any label the share is one half.
     """
     known = (
         picked(labels, id, label)
@@ -48,7 +48,7 @@ def sample(
     texts = picked(docs, *dict.fromkeys([id, text])).select(
         F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
-    found = texts.join(F.broadcast(table), "id").filter(F.length("text") <= chars)
+    found = texts.join(F.broadcast(table), "id").filter(F.lit(True) if chars is None else F.length("text") <= chars)
     found = found.groupBy("id", "label").agg(F.min("text").alias("text")).collect()
     found.sort(key=lambda r: (str(r["id"]), r["label"]))
     return [(r["text"], r["label"]) for r in found], counts.get(1, 0) / total

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -9,16 +10,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import fold, prior_weights, sample
+from .labelled import fold, sample
 from .staging import picked, settings
 
-# N-grams of these lengths are hashed into 2 ** BUCKET_BITS features.
+# N-grams of these lengths are features, known by a 64-bit hash. A table over the first BUCKET_BITS
+# bits sorts out most n-grams that are none before the whole hash is looked up.
 LENGTHS = (4, 6, 8)
 BUCKET_BITS = 20
 # Characters looked at together; blocks overlap so that no n-gram is lost between them.
 BLOCK = 1 << 20
+# Fitting counts in a table of 2 ** COUNT_BITS first and then takes the hashes in so many slices.
+COUNT_BITS, SLICES = 24, 16
 # Fixed value: the odd multiplier of the n-gram hash.
-MULTIPLIER = 0x9E3779B1
+MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def _normal(text: str | None) -> np.ndarray:
@@ -27,49 +31,68 @@ def _normal(text: str | None) -> np.ndarray:
     return np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def buckets(text: str | None) -> np.ndarray:
-    """The distinct features of a whole text, in no particular order."""
-    points, found = _normal(text), []
+def hashes(text: str | None) -> Iterator[np.ndarray]:
+    """The hashes of all n-grams of a whole text, block by block."""
+    points = _normal(text)
     for low in range(0, max(1, len(points)), BLOCK):
-        part = points[low : low + BLOCK + LENGTHS[-1] - 1].astype(np.uint32)
-        mixed = part * np.uint32(MULTIPLIER)
+        mixed = points[low : low + BLOCK + LENGTHS[-1] - 1].astype(np.uint64) * np.uint64(MULTIPLIER)
         rolled = mixed.copy()
         for n in range(2, LENGTHS[-1] + 1):
-            if len(part) < n:
+            if len(mixed) < n:
                 break
-            rolled = (rolled[:-1] ^ (rolled[:-1] >> np.uint32(15))) * np.uint32(MULTIPLIER) + mixed[n - 1 :]
+            rolled = (rolled[:-1] ^ (rolled[:-1] >> np.uint64(29))) * np.uint64(MULTIPLIER) + mixed[n - 1 :]
             if n in LENGTHS:
-                found.append(rolled >> np.uint32(32 - BUCKET_BITS))
-    return _distinct(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-
-_LAST: list[np.ndarray] = []
+                yield rolled
 
 
-def _distinct(values: np.ndarray) -> np.ndarray:
-    """Each value once: the place that wrote last keeps it; no sort is needed."""
-    if not _LAST:
-        _LAST.append(np.zeros(1 << BUCKET_BITS, np.int32))
-    place = np.arange(len(values), dtype=np.int32)
-    _LAST[0][values] = place
-    return values[_LAST[0][values] == place].astype(np.int64)
+def buckets(text: str | None) -> np.ndarray:
+    """The distinct features of a whole text, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes(text)]))
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """weights: of each bucket, the log-count ratio times the fitted coefficient."""
+    """features: the hashes of the chosen n-grams in order; weights: of each, the log-count ratio times the coefficient."""
 
+    features: np.ndarray
     weights: np.ndarray
     intercept: float
 
+    def _margin(self, text: str | None, likely: np.ndarray) -> float:
+        found = [np.zeros(0, np.int64)]
+        for part in hashes(text):
+            part = part[likely[part >> np.uint64(64 - BUCKET_BITS)]]
+            at = np.searchsorted(self.features, part)
+            at[at == len(self.features)] = 0
+            found.append(at[self.features[at] == part] if len(part) else found[0])
+        return float(self.weights[np.unique(np.concatenate(found))].sum(dtype=np.float64))
+
     def scores(self, texts) -> np.ndarray:
-        margins = np.array([self.weights[buckets(t)].sum(dtype=np.float64) for t in texts], float)
+        likely = np.zeros(1 << BUCKET_BITS, bool)
+        likely[self.features >> np.uint64(64 - BUCKET_BITS)] = True
+        margins = np.array([self._margin(t, likely) for t in texts], float)
         return 1 / (1 + np.exp(-np.clip(margins + self.intercept, -30, 30)))
 
 
+def blocks_of(text: str, chars: int) -> list[str]:
+    """A text in blocks of at most `chars` characters; they overlap so that no n-gram is lost."""
+    step = max(1, chars - LENGTHS[-1] + 1)
+    return [text[low : low + chars] for low in range(0, max(1, len(text) - LENGTHS[-1] + 1), step)]
+
+
+def _frequent(texts: list[str], least: int) -> list[np.ndarray]:
+    """The features of each text without those that, by a table of counts, cannot be in `least` texts."""
+    shift = np.uint64(64 - COUNT_BITS)
+    counts = np.zeros(1 << COUNT_BITS, np.int32)
+    for t in texts:
+        counts[np.unique(buckets(t) >> shift)] += 1
+    enough = counts >= least
+    return [f[enough[f >> shift]] for f in map(buckets, texts)]
+
+
 def fit(
     texts: list[str], labels: list[int], share: float, least: int = 4, strength: float = 4.0,
-    penalty: float = 0.02, rounds: int = 300,
+    penalty: float = 0.02, rounds: int = 300, chars: int = 6000,
 ) -> ToxicityModel | None:
     """A model from labelled texts, None if one of the labels is missing.
 
@@ -77,31 +100,40 @@ def fit(
     (add-one smoothed). Features in fewer than `least` texts, or whose ratio is within
     `strength` standard errors of zero, are left out: otherwise thousands of chance features
     would decide about long texts. The coefficients are fitted by accelerated gradient steps
-    on the L2-penalised log-loss, with label 1 weighted to its `share`.
+    on the L2-penalised log-loss, with label 1 weighted to its `share`. A text of more than
+    `chars` characters is fitted on in blocks that share its weight.
     """
-    y = np.array(labels, float)
     if len(set(labels)) < 2:
         return None
-    found = [buckets(t).astype(np.int32) for t in texts]
-    rows = np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found])
-    cols = np.concatenate(found)
-    size, ones = 1 << BUCKET_BITS, y.sum()
+    cut = [blocks_of(t, chars) for t in texts]
+    y = np.repeat(np.array(labels, float), [len(c) for c in cut])
+    each = np.repeat([1 / len(c) for c in cut], [len(c) for c in cut])
+    ones = y.sum()
     zeros = len(y) - ones
-    hot = y[rows] == 1
-    p, q = np.bincount(cols[hot], minlength=size), np.bincount(cols[~hot], minlength=size)
-    ratio = np.log((p + 1) / (ones + 2)) - np.log((q + 1) / (zeros + 2))
-    error = np.sqrt(1 / (p + 1) + 1 / (q + 1))
-    use = (p + q >= least) & (np.abs(ratio) >= strength * error)
-    if not use.any():
-        return ToxicityModel(np.zeros(size, np.float32), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
-    chosen = np.flatnonzero(use)
-    index = np.full(size, -1, np.int32)
-    index[chosen] = np.arange(len(chosen))
-    inside = index[cols] >= 0
-    rows, cols = rows[inside], index[cols[inside]]
-    r = ratio[chosen]
+    found = _frequent([b for c in cut for b in c], least)
+    features, ratios, at, of, n = [], [], [], [], 0
+    for low in range(SLICES):  # a share of the hashes at a time, so that little is held at once
+        edge = [np.uint64(low * (1 << 64) // SLICES), np.uint64((low + 1) * (1 << 64) // SLICES - 1)]
+        parts = [f[np.searchsorted(f, edge[0]) : np.searchsorted(f, edge[1], "right")] for f in found]
+        rows = np.repeat(np.arange(len(parts), dtype=np.int32), [len(f) for f in parts])
+        known, cols = np.unique(np.concatenate(parts), return_inverse=True)
+        hot = y[rows] == 1
+        p, q = np.bincount(cols[hot], minlength=len(known)), np.bincount(cols[~hot], minlength=len(known))
+        ratio = np.log((p + 1) / (ones + 2)) - np.log((q + 1) / (zeros + 2))
+        error = np.sqrt(1 / (p + 1) + 1 / (q + 1))
+        use = (p + q >= least) & (np.abs(ratio) >= strength * error)
+        inside = use[cols]
+        at.append(rows[inside])
+        of.append((n + np.cumsum(use) - 1)[cols[inside]].astype(np.int32))
+        features.append(known[use])
+        ratios.append(ratio[use])
+        n += int(use.sum())
+    del found
+    chosen, r, rows, cols = [np.concatenate(x) for x in (features, ratios, at, of)]
+    if not len(chosen):
+        return ToxicityModel(np.zeros(0, np.uint64), np.zeros(0, np.float32), float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))))
     values = r[cols]
-    weight = prior_weights(y, share) / len(y)
+    weight = each * np.where(y == 1, share / (each * y).sum(), (1 - share) / (each * (1 - y)).sum())
     square = np.bincount(rows, values**2, minlength=len(y)).max() + 1
     step = 4 / (square + 4 * penalty)
     w, look, b, momentum = np.zeros(len(chosen)), np.zeros(len(chosen)), 0.0, 1.0
@@ -114,9 +146,7 @@ def fit(
         after = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         look, look_b = new_w + (momentum - 1) / after * (new_w - w), new_b + (momentum - 1) / after * (new_b - b)
         w, b, momentum = new_w, new_b, after
-    weights = np.zeros(size, np.float32)
-    weights[chosen] = w * r
-    return ToxicityModel(weights, float(b))
+    return ToxicityModel(chosen, (w * r).astype(np.float32), float(b))
 
 
 def train(
@@ -125,12 +155,12 @@ def train(
 ) -> tuple[ToxicityModel | None, float]:
     """The model and label 1's share among the labels that may be learned.
 
-    Fitted on at most `rows` labelled documents per label of at most `chars` characters each
-    (documented bounds, see `labelled.sample`; the share is counted over all labels).
+    Fitted on at most `rows` labelled documents per label (a documented bound, see
+    `labelled.sample`; the share is counted over all labels), whole, in blocks of `chars` characters.
     """
     kept = F.lit(True) if kept is None else kept
-    found, share = sample(docs, labels, id, text, label, kept, rows, chars)
-    return fit([t for t, _ in found], [v for _, v in found], share, **options), share
+    found, share = sample(docs, labels, id, text, label, kept, rows, None)
+    return fit([t for t, _ in found], [v for _, v in found], share, chars=chars, **options), share
 
 
 def score(
@@ -144,7 +174,7 @@ def score(
     text is read whole, in overlapping blocks. Repeated rows get the same score. If there are
     no labels of both kinds, every row gets label 1's share (one half without any label). A
     column of docs that is called like a new one is replaced; other columns stay. An empty
-    table gives no rows. The model is sent once per executor: 4 MB whatever the input.
+    table gives no rows. The model, the chosen n-grams, is sent once per executor.
     """
     spark = docs.sparkSession
     with settings(spark):

@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,25 @@ def test_features_cross_block_borders(monkeypatch):
     whole = set(toxicity.buckets(text).tolist())
     monkeypatch.setattr(toxicity, "BLOCK", 50)
     assert set(toxicity.buckets(text).tolist()) == whole
+
+
+def test_chance_hits_do_not_decide_about_a_long_text_of_many_words():
+    rng = __import__("random").Random(5)
+    plain = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n))
+    model = toxicity.fit([plain(8) for _ in range(300)] + [plain(8) + " you idiot" for _ in range(100)], [0] * 300 + [1] * 100, 0.25)
+    long = plain(200_000)
+    found, short = [toxicity.buckets(t) for t in (long, "you idiot")]
+    hits = set(model.features.tolist()) & set(found.tolist())
+    assert len(hits) <= len(model.features) and len(found) > 1_000_000 and len(short)
+    alone = model.scores([""])[0]
+    exact = model.weights[np.isin(model.features, found)].sum(dtype=float) + model.intercept
+    assert model.scores([long])[0] == pytest.approx(1 / (1 + np.exp(-exact))) and alone < 0.3
+
+
+def test_long_labelled_texts_are_learned(spark):
+    rows = [(i, "plain words here " * 500 + ("you idiot " if i % 2 else "")) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    out = toxicity.score(docs, labels).collect()
+    assert {r.predicted for r in out if r.doc_id % 2} == {1}
+    assert all(t in "".join(toxicity.blocks_of("abcdefgh" * 9, 20)) for t in ("abcdefgh",))
