@@ -86,7 +86,7 @@ def _byte_chars() -> dict[str, int]:
 _ENCODERS: dict[int, Encoder] = {}
 
 
-def _encoder(source: str) -> Encoder:
+def token_encoder(source: str) -> Encoder:
     """One encoder per worker process."""
     known = hash(source)
     if known not in _ENCODERS:
@@ -238,7 +238,7 @@ def pieces(docs: DataFrame, tokenizer: str, id: str, text: str, capacity: int, e
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            encode, texts = _encoder(source.value).ids, batch.column("text")
+            encode, texts = token_encoder(source.value).ids, batch.column("text")
             row, total, start, length, crc = [], [], [], [], []
             for i in range(len(batch)):
                 ids = np.append(encode(texts[i].as_py()), np.uint32(end))
@@ -273,7 +273,7 @@ def _cut_sums(docs: DataFrame, cuts: DataFrame, few: bool, tokenizer: str, id: s
         for batch in batches:
             row, start, length, crc = [], [], [], []
             for i in range(len(batch)):
-                ids = np.append(_encoder(source.value).ids(batch.column("text")[i].as_py()), np.uint32(end))
+                ids = np.append(token_encoder(source.value).ids(batch.column("text")[i].as_py()), np.uint32(end))
                 for c in batch.column("cuts")[i].as_py():
                     row.append(i)
                     start.append(c["start"])

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_layouts, dimension_scan, golay_simhash, html_wrapper, mixing, packing, pseudonyms, quality, sketch, toxicity
+from . import (
+    centroid_search,
+    chat_layouts,
+    dimension_scan,
+    golay_simhash,
+    html_wrapper,
+    id_shards,
+    mixing,
+    packing,
+    pseudonyms,
+    quality,
+    sketch,
+    target_resampling,
+    toxicity,
+)
 from .staging import importable
 
 # The key of the queries and the pipeline; whoever publishes a corpus passes a secret one.
@@ -82,7 +96,23 @@ def op1_html(spark: SparkSession, d: str) -> DataFrame:
     return html_wrapper.extract(_read(spark, d, "pages"))
 
 
-QUERIES = [op1_html, op2_mixing, op3_pseudonyms, op4_dimension_scan, op5_simhash, op6_packing, op7_chat, op8_toxicity, op9_quality, op10_sketch]
+def op11_id_shards(spark: SparkSession, d: str) -> DataFrame:
+    return id_shards.encoded(_read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+
+
+def op12_centroids(spark: SparkSession, d: str) -> DataFrame:
+    return centroid_search.cluster(_read(spark, d, "embeddings"), size=64, k=8, rounds=10, seed=3, scale=1024)
+
+
+def op13_resampling(spark: SparkSession, d: str) -> DataFrame:
+    docs, target = _read(spark, d, "documents"), _read(spark, d, "benchmark")
+    return target_resampling.resample(docs, target, n=1, buckets=10_000, percent=10, least=20, seed=2024)
+
+
+QUERIES = [
+    op1_html, op2_mixing, op3_pseudonyms, op4_dimension_scan, op5_simhash, op6_packing, op7_chat, op8_toxicity, op9_quality,
+    op10_sketch, op11_id_shards, op12_centroids, op13_resampling,
+]
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -75,4 +75,78 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-SQL: dict[str, str] = {"op2_mixing": OP2, "op7_chat": OP7}
+
+
+def _op12(k: int = 8, rounds: int = 10, size: int = 64, seed: int = 3, scale: int = 1024) -> str:
+    """k-means unrolled: c0 the first centroids, aN every vector with its nearest of cN, cN+1 the moved ones."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS c, v
+  FROM kept ORDER BY sha256('{seed}:' || vec_id) LIMIT {k}
+)"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, min(d) AS d, arg_min(c, d * {k} + c) AS c FROM (
+    SELECT r, c, list_sum(list_transform(list_zip(kept.v, c{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM kept CROSS JOIN c{i}) GROUP BY r
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(m.v, c{i}.v) AS v FROM c{i} LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v FROM (
+      SELECT c, j, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM kept JOIN a{i} USING (r)) GROUP BY c, j) GROUP BY c
+  ) m USING (c)
+)"""
+            )
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM kept JOIN a{rounds} USING (r) JOIN c{rounds} USING (c)
+"""
+
+
+# CRC-32 bit by bit over the bytes of each distinct word.
+OP13 = r"""
+WITH steps AS (
+  SELECT list(v ORDER BY b) AS steps FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384)) AS v FROM range(256) t(b))
+), texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), cut AS (
+  SELECT kind, id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM texts
+), words AS (
+  SELECT kind, id, unnest(words) AS word FROM cut
+), hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(word))),
+      lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM words), steps
+), counts AS (
+  SELECT bucket, count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t FROM words JOIN hashed USING (word) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE)
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE)))::BIGINT AS gain FROM counts
+), weighed AS (
+  SELECT id, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight
+  FROM words JOIN hashed USING (word) JOIN gains USING (bucket) WHERE kind = 0 GROUP BY id
+), scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents LEFT JOIN weighed ON doc_id = id
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op2_mixing": OP2, "op7_chat": OP7, "op12_centroids": _op12(), "op13_resampling": OP13}

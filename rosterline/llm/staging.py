@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import os
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,8 @@ def importable(spark) -> None:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if folder not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
+
+
+def small_table(spark, **columns: pa.Array) -> DataFrame:
+    """A frame of a few values the driver holds; from an Arrow table, which needs no Python workers."""
+    return spark.createDataFrame(pa.table(columns))

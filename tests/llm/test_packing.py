@@ -39,7 +39,7 @@ def test_ids_of_special_strings_and_long_runs(encoder, tokenizer):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_special_strings_have_the_ids_of_an_unmodified_tokenizer(name):
     path = public_tokenizers.path(name)
-    plain, encoder = Tokenizer.from_file(path), packing._encoder(open(path, encoding="utf-8").read())
+    plain, encoder = Tokenizer.from_file(path), packing.token_encoder(open(path, encoding="utf-8").read())
     for text in ("a <|endoftext|> b", "<|endoftext|><|endoftext|>x", " <|endoftext|>  y\n", "x  \n<|endoftext|>", "<|endoftext>", "<|endoftext|>'s"):
         assert list(encoder.ids(text)) == plain.encode(text, add_special_tokens=False).ids
 
