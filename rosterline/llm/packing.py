@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import json
 import math
 import zlib
 from collections import deque
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import picked, settings, staged
+from .staging import picked, settings, small_table, staged
 
 # Fixed value: how byte-level BPE of the provided vocabulary splits a text before merging.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -21,25 +22,22 @@ PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # ranks go on from one group to the next. So neither the groups nor their pieces grow like the
 # input, and no task ranks all pieces of a frequent length.
 GROUP_SCALE = 4
-# Up to so many cut pieces are sent to all tasks, so that texts are not shuffled for them;
-# more are joined by a shuffle.
-FEW_CUTS = 10_000
 
 
 class Encoder:
     """Token ids of a byte-level BPE given as the JSON of a tokenizers file.
 
     Where the file is plain byte-level BPE with merges in the order of their ids, texts are
-    encoded by tiktoken, which gives the same ids several times faster; else by tokenizers.
+    encoded by tiktoken, which gives the same ids several times faster; else by tokenizers, and so
+    are texts that tiktoken refuses, for it fails on white space of many thousand characters.
     With `special`, strings of special tokens get their own ids, as is the default of
     tokenizers; without, they are ordinary text.
     """
 
     def __init__(self, source: str, special: bool = False):
-        from tokenizers import Tokenizer
-
         model = json.loads(source)
-        self.plain = None
+        self.plain, self.source, self.special = None, source, special
+        self.largest = max([*model["model"]["vocab"].values(), *[t["id"] for t in model["added_tokens"]]])
         if self._is_plain(model):
             import tiktoken
 
@@ -49,9 +47,14 @@ class Encoder:
             strings = {t.encode() for t in added}
             ranks = {token: i for token, i in ranks.items() if token not in strings}
             self.plain = tiktoken.Encoding("given", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=added if special else {})
-        else:
-            self.other = Tokenizer.from_str(source)
-            self.other.encode_special_tokens = not special
+
+    @functools.cached_property
+    def other(self):
+        from tokenizers import Tokenizer
+
+        known = Tokenizer.from_str(self.source)
+        known.encode_special_tokens = not self.special
+        return known
 
     @staticmethod
     def _is_plain(model: dict) -> bool:
@@ -71,7 +74,8 @@ class Encoder:
         if not text:
             return np.zeros(0, np.uint32)
         if self.plain:
-            return self.plain.encode_to_numpy(text, allowed_special="all", disallowed_special=())
+            with contextlib.suppress(ValueError):  # its pattern fails on very long white space
+                return self.plain.encode_to_numpy(text, allowed_special="all", disallowed_special=())
         return np.array(self.other.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
@@ -227,63 +231,34 @@ def plan(counts: np.ndarray, capacity: int) -> tuple[list[tuple], int]:
 
 
 def pieces(docs: DataFrame, tokenizer: str, id: str, text: str, capacity: int, end: int) -> DataFrame:
-    """(id, mark, doc_tokens, start, length, ids_crc32): each text cut into windows and a rest."""
-    spark = docs.sparkSession
-    source = spark.sparkContext.broadcast(open(tokenizer, encoding="utf-8").read())
-    rows = picked(docs, *dict.fromkeys([id, text])).select(
-        F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
-    )
-    rows = rows.withColumn("mark", F.xxhash64("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, mark long, doc_tokens long, start long, length long, ids_crc32 long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            encode, texts = token_encoder(source.value).ids, batch.column("text")
-            row, total, start, length, crc = [], [], [], [], []
-            for i in range(len(batch)):
-                ids = np.append(encode(texts[i].as_py()), np.uint32(end))
-                for low in range(0, len(ids), capacity):
-                    part = ids[low : low + capacity]
-                    row.append(i)
-                    total.append(len(ids))
-                    start.append(low)
-                    length.append(len(part))
-                    crc.append(crc32(part))
-            at = pa.array(row, pa.int64())
-            kept = [batch.column(c).take(at) for c in ("id", "mark")]
-            new = [pa.array(v, pa.int64()) for v in (total, start, length, crc)]
-            yield pa.RecordBatch.from_arrays([*kept, *new], ["id", "mark", "doc_tokens", "start", "length", "ids_crc32"])
-
-    return rows.mapInArrow(run, schema)
-
-
-def _cut_sums(docs: DataFrame, cuts: DataFrame, few: bool, tokenizer: str, id: str, text: str, end: int) -> DataFrame:
-    """The ids_crc32 of pieces that the plan has cut; only their documents are encoded again."""
+    """(id, mark, doc_tokens, start, length, ids_crc32, ids): each text cut into windows and a rest.
+
+    Only a rest, which may be cut again, has its ids, as little-endian unsigned 32-bit integers.
+    """
     source = docs.sparkSession.sparkContext.broadcast(open(tokenizer, encoding="utf-8").read())
-    wanted = cuts.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
     rows = picked(docs, *dict.fromkeys([id, text])).select(
-        F.col(f"`{id}`").alias("own"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
+        F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
-    rows = rows.withColumn("code", F.xxhash64("text"))
-    wanted = F.broadcast(wanted) if few else wanted
-    found = wanted.join(rows, F.col("id").eqNullSafe(F.col("own")) & (F.col("mark") == F.col("code")))
-    schema = f"id {rows.schema['own'].dataType.simpleString()}, mark long, start long, length long, ids_crc32 long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, start, length, crc = [], [], [], []
-            for i in range(len(batch)):
-                ids = np.append(token_encoder(source.value).ids(batch.column("text")[i].as_py()), np.uint32(end))
-                for c in batch.column("cuts")[i].as_py():
-                    row.append(i)
-                    start.append(c["start"])
-                    length.append(c["length"])
-                    crc.append(crc32(ids[c["start"] : c["start"] + c["length"]]))
-            at = pa.array(row, pa.int64())
-            kept = [batch.column(c).take(at) for c in ("id", "mark")]
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(v, pa.int64()) for v in (start, length, crc)]], ["id", "mark", "start", "length", "ids_crc32"])
-
-    return found.select("id", "mark", "text", "cuts").mapInArrow(run, schema).distinct()
+
+    @F.arrow_udf("array<struct<doc_tokens: long, start: long, length: long, ids_crc32: long, ids: binary>>")
+    def cut(texts: pa.Array) -> pa.Array:
+        encode, ends, rests = token_encoder(source.value).ids, [0], []
+        total, start, length, crc = [], [], [], []
+        for text in texts:
+            ids = np.append(encode(text.as_py()), np.uint32(end)).astype("<u4")
+            for low in range(0, len(ids), capacity):
+                part = ids[low : low + capacity]
+                total.append(len(ids))
+                start.append(low)
+                length.append(len(part))
+                crc.append(crc32(part))
+                rests.append(part.tobytes() if len(part) < capacity else None)
+            ends.append(len(total))
+        cells = [*[pa.array(v, pa.int64()) for v in (total, start, length, crc)], pa.array(rests, pa.binary())]
+        found = pa.StructArray.from_arrays(cells, ["doc_tokens", "start", "length", "ids_crc32", "ids"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
+
+    return rows.select("id", F.xxhash64("text").alias("mark"), F.explode(cut("text")).alias("piece")).select("id", "mark", "piece.*")
 
 
 def pack(
@@ -296,8 +271,9 @@ def pack(
     windows are sequences of their own; the rests are packed by `plan` from the number of
     pieces of each length, which is all that the driver sees: at most `capacity` numbers.
     Pieces of a length are ranked in groups, so no task ranks all of a frequent length, and the
-    rules, a few per length, are broadcast. Every sequence is full,
-    but for at most log2(capacity) whose lengths are powers of two.
+    rules, a few per length, are broadcast. Every text is encoded once: the rests are stored with
+    their ids, and those that the plan cuts meet them by the number of their row, so no texts are
+    joined. Every sequence is full, but for at most log2(capacity) whose lengths are powers of two.
 
     Null ids are ids like others; repeated rows are separate documents; other columns are
     ignored; an empty table gives no rows.
@@ -306,36 +282,35 @@ def pack(
         raise ValueError("the capacity must be a power of two")
     spark = docs.sparkSession
     with settings(spark):
-        cut = staged(pieces(docs, tokenizer, id, text, capacity, end), "pieces")
+        cut = pieces(docs, tokenizer, id, text, capacity, end).withColumn("row", F.monotonically_increasing_id())
+        cut = staged(cut, "pieces")
         sizes = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
         counts = np.zeros(capacity + 1, np.int64)
         for length, n in sizes.items():
             counts[length] = n
         rules, _ = plan(counts, capacity)
         groups = max(1, math.isqrt(int(counts.sum())) // GROUP_SCALE)
-        cut = cut.withColumn("_group", F.pmod(F.xxhash64("id", "mark", "start"), F.lit(groups)))
+        rows = cut.drop("ids").withColumn("_group", F.pmod(F.xxhash64("id", "mark", "start"), F.lit(groups)))
         ahead = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-        begin = cut.groupBy("length", "_group").agg(F.count("*").alias("_n"))
+        begin = rows.groupBy("length", "_group").agg(F.count("*").alias("_n"))
         begin = begin.withColumn("_begin", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).drop("_n")
-        order = Window.partitionBy("length", "_group").orderBy("id", "mark", "start")
-        ranked = cut.withColumn("_rank", F.row_number().over(order) - 1).join(begin, ["length", "_group"])
+        order = Window.partitionBy("length", "_group").orderBy("id", "mark", "start", "row")
+        ranked = rows.withColumn("_rank", F.row_number().over(order) - 1).join(begin, ["length", "_group"])
         ranked = ranked.withColumn("_rank", F.col("_rank") + F.col("_begin")).withColumnRenamed("length", "_kind")
-        names = "kind, low, high, used, length, sequence, each, position, offset"
-        table = spark.createDataFrame(rules, ", ".join(f"{n} long" for n in names.split(", ")))
+        names = "kind low high used length sequence each position offset".split()
+        columns = zip(*rules, strict=True) if rules else [()] * len(names)
+        table = small_table(spark, **{n: pa.array(c, pa.int64()) for n, c in zip(names, columns, strict=True)})
         joined = ranked.join(F.broadcast(table), (F.col("_kind") == F.col("kind")) & F.expr("_rank >= low AND _rank < high"))
         nth = F.col("position") + F.col("_rank") - F.col("low")
         placed = joined.select(
-            "id", "mark", (F.col("start") + F.col("used")).alias("start"), "length",
-            F.when(F.col("length") == F.col("_kind"), F.col("ids_crc32")).alias("ids_crc32"), "doc_tokens",
-            (F.col("sequence") + F.expr("(position + _rank - low) div each")).alias("sequence_id"),
-            (F.col("offset") + nth % F.col("each") * F.col("length")).alias("offset"),
+            "id", (F.col("start") + F.col("used")).alias("start"), "length", F.when(F.col("length") == F.col("_kind"), F.col("ids_crc32")).alias("ids_crc32"),
+            "doc_tokens", (F.col("sequence") + F.expr("(position + _rank - low) div each")).alias("sequence_id"),
+            (F.col("offset") + nth % F.col("each") * F.col("length")).alias("offset"), "used", "row",
         )
         placed = staged(placed, "placed")
-    cuts = placed.filter("ids_crc32 IS NULL").drop("ids_crc32")
-    few = cuts.limit(FEW_CUTS + 1).count() <= FEW_CUTS
-    sums = _cut_sums(docs, cuts, few, tokenizer, id, text, end).select(
-        F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("start").alias("_start"), F.col("length").alias("_length"), "ids_crc32"
-    )
-    same = F.col("id").eqNullSafe(F.col("_id")) & F.expr("mark = _mark AND start = _start AND length = _length")
+        parts = staged(placed.filter("ids_crc32 IS NULL").drop("ids_crc32"), "parts")
+    # Spark sees how large the written parts are, and sends them to all tasks or deals out both sides
+    met = parts.join(cut.select("row", "ids").filter("ids IS NOT NULL"), "row")
+    met = met.withColumn("ids_crc32", F.crc32(F.expr("substring(ids, cast(4 * used + 1 as int), cast(4 * length as int))")))
     columns = [F.col("id").alias(id), *map(F.col, "start length ids_crc32 doc_tokens sequence_id offset".split())]
-    return placed.filter("ids_crc32 IS NOT NULL").select(*columns).union(cuts.join(sums, same).select(*columns))
+    return placed.filter("ids_crc32 IS NOT NULL").select(*columns).union(met.select(*columns))

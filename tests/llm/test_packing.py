@@ -125,3 +125,22 @@ def test_awkward_rows(awkward, tokenizer):
 def test_one_length_only(spark, tokenizer):
     frame = spark.createDataFrame([(i, "same words in every text " * 60) for i in range(40)], "doc_id long, text string")
     check(frame, packing.pack(frame, PATH).collect(), tokenizer)
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\u00a0", " \n"])
+def test_very_long_white_space_inside_a_document(spark, blank):
+    """The fast encoder refuses such texts; they get the ids of the library all the same."""
+    run = blank * (2_000_000 // len(blank))
+    texts = [f"before {run}after", run, "plain"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    check(frame, packing.pack(frame, PATH).collect(), Tokenizer.from_file(PATH))
+
+
+def test_texts_are_encoded_once_and_cut_pieces_join_without_them(spark, monkeypatch):
+    texts = [f"word{i} " * (250 + i % 7) for i in range(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = packing.pack(frame, PATH)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan and "text" not in plan
+    assert max(len([r for r in done.collect() if r.doc_id == i]) for i in range(200)) > 1
+    check(frame, done.collect(), Tokenizer.from_file(PATH))
