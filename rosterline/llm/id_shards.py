@@ -1,7 +1,7 @@
 """Token ids in binary shards with a minimal perfect hash index from document keys to offsets.
 
-A shard is two files. `NAME.ids` holds raw little-endian unsigned 32-bit ids, document after
-document. `NAME.index` begins with MAGIC and a JSON header of the length given before it, then come
+A shard is two files. `NAME.ids` holds raw little-endian unsigned ids, document after document, of
+16 bits where all ids of the tokenizer fit, else of 32. `NAME.index` begins with MAGIC and a JSON header of the length given before it, then come
 the arrays the header lists:
 
     bits, ranks    the perfect hash: one bit per cell of every level, set bits before each word
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .packing import crc32, token_encoder
+from .packing import token_encoder
 from .staging import picked, settings, staged
 
 # Fixed value: the first bytes of an index file.
@@ -104,8 +104,8 @@ def _fingerprints(hashes: np.ndarray) -> np.ndarray:
     return (hashes[:, 1] >> np.uint64(32)).astype("<u4")
 
 
-def index_bytes(keys: list[str | None], lengths: list[int]) -> bytes:
-    """The index file of records in key order: equal keys stand together, a null one first."""
+def index_bytes(keys: list[str | None], lengths: list[int], kind: str = "<u4") -> bytes:
+    """The index file of records in key order: equal keys stand together, a null one first. kind: of the ids."""
     distinct = [i for i, k in enumerate(keys) if not i or k != keys[i - 1]]
     names = [keys[i] for i in distinct]
     hashes = key_hashes(names)
@@ -119,7 +119,7 @@ def index_bytes(keys: list[str | None], lengths: list[int]) -> bytes:
         "offsets": np.cumsum([0, *lengths]).astype("<u8"), "key_ends": np.cumsum([len(t) for t in texts]).astype("<u8"),
         "key_text": np.frombuffer(b"".join(texts), np.uint8),
     }
-    head = {"sizes": known.sizes, "null_key": bool(names) and names[0] is None, "arrays": [[n, a.dtype.str, len(a)] for n, a in arrays.items()]}
+    head = {"ids": kind, "sizes": known.sizes, "null_key": bool(names) and names[0] is None, "arrays": [[n, a.dtype.str, len(a)] for n, a in arrays.items()]}
     said = json.dumps(head).encode()
     return b"".join([MAGIC, len(said).to_bytes(8, "little"), said, *[a.tobytes() for a in arrays.values()]])
 
@@ -145,6 +145,7 @@ class Shard:
         for name, kind, count in head["arrays"]:
             held[name] = np.frombuffer(data, kind, count, at)
             at += held[name].nbytes
+        self._kind = np.dtype(head["ids"])
         self._hash = PerfectHash(head["sizes"], held["bits"], held["ranks"])
         self._prints, self._first, self._copies, self._offsets = (held[n] for n in ("fingerprints", "first", "copies", "offsets"))
         self._ends, self._text, self._null = held["key_ends"], held["key_text"], head["null_key"]
@@ -172,7 +173,8 @@ class Shard:
         return [self._read(*self._offsets[i : i + 2].tolist()) for i in range(first, first + copies)]
 
     def _read(self, low: int, high: int) -> np.ndarray:
-        return np.frombuffer(self._ids.read_at(4 * (high - low), 4 * low), "<u4")
+        wide = self._kind.itemsize
+        return np.frombuffer(self._ids.read_at(wide * (high - low), wide * low), self._kind).astype("<u4")
 
     def keys(self) -> Iterator[str | None]:
         text, last = self._text.tobytes(), 0
@@ -243,20 +245,21 @@ def write(
         if first is None:
             return
         files.create_dir(path, recursive=True)
-        encode = token_encoder(source.value).ids
+        encoder = token_encoder(source.value)
+        width = "<u2" if max(encoder.largest, end) < 1 << 16 else "<u4"
         with files.open_output_stream(f"{path}/{name}.ids") as out:
             batch, ends[0] = first, first.column("id")[0]
             while batch is not None:
                 if len(batch):
                     ends[1] = batch.column("id")[len(batch) - 1]
                 for key, said in zip(batch.column("key"), batch.column("text"), strict=True):
-                    ids = np.append(encode(said.as_py()), np.uint32(end)).astype("<u4")
+                    ids = np.append(encoder.ids(said.as_py()), np.uint32(end)).astype(width)
                     out.write(ids.tobytes())
                     keys.append(key.as_py())
                     lengths.append(len(ids))
                 batch = next(batches, None)
         with files.open_output_stream(f"{path}/{name}.index") as out:
-            out.write(index_bytes(keys, lengths))
+            out.write(index_bytes(keys, lengths, width))
         columns = [pa.array([shard]), pa.array([name]), pa.array([len(keys)]), pa.array([sum(lengths)])]
         yield pa.RecordBatch.from_arrays(
             [*columns, *[pa.array([e.as_py()], first.schema.field("id").type) for e in ends]],
@@ -273,7 +276,12 @@ def write(
             run, f"shard long, name string, records long, ids long, first_key {kind}, last_key {kind}"
         )
         table = staged(made, "shards")
-    ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard, not per document
+    return _placed(folder, table)
+
+
+def _placed(folder: str, table: DataFrame) -> Shards:
+    """With the ids before each shard; the table has a row per shard, not per document."""
+    ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return Shards(folder, table.withColumn("start", F.coalesce(F.sum("ids").over(ahead), F.lit(0))))
 
 
@@ -315,5 +323,4 @@ def encoded(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "te
 
 def open_shards(spark: SparkSession, folder: str, table: str) -> Shards:
     """Shards of an earlier run, from their folder and the path of their table."""
-    ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return Shards(folder, spark.read.parquet(table).withColumn("start", F.coalesce(F.sum("ids").over(ahead), F.lit(0))))
+    return _placed(folder, spark.read.parquet(table))
