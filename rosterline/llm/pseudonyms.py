@@ -6,9 +6,9 @@ import datetime as dt
 import hashlib
 import math
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,8 +122,8 @@ def _ip(text: str, key: bytes) -> str | None:
 
 
 def _phone(text: str, key: bytes) -> str | None:
-    """The country code of an international number stays."""
-    head = re.match(r"\+\d{1,3}(?=[ .\-(])|\+\d", text)
+    """The country code of an international number and the first zero of a national one stay."""
+    head = re.match(r"\+\d{1,3}(?=[ .\-(])|\+\d|0(?=[1-9][ .-])", text)
     cut = head.end() if head else 0
     if not 7 <= sum(c.isdigit() for c in text[cut:]) <= 14:
         return None
@@ -176,13 +176,37 @@ NUMBERS: list[tuple[str, re.Pattern, Callable[[str, bytes], str | None]]] = [
     ("ssn", re.compile(r"\d{3}-\d{2}-\d{4}(?!\w|-\d)", re.A), _ssn),
     ("card", re.compile(r"\d(?:\d{11,17}|(?:[ -]?\d){11,17})\d(?![\w]|-\d)", re.A), _card),
     ("card", re.compile(r"\d{13,19}(?![\w]|-\d)", re.A), _card),
-    ("phone", re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\w])", re.A), _phone),
+    ("card", re.compile(r"\d{4}(?:([ .-])\d{4}(?:\1\d{4}){2}(?:\1\d{1,3})?|([ .-])\d{6}\2\d{4,5})(?!\w)", re.A), _card),
+    ("phone", re.compile(r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}(?![\w])", re.A), _phone),
     ("phone", re.compile(r"\(\d{3}\) ?\d{3}[ .-]\d{4}(?![\w])", re.A), _phone),
     ("phone", re.compile(r"\d{3}([ .-])\d{3}\1\d{4}(?!\w|-\d)", re.A), _phone),
+    ("phone", re.compile(r"0[1-9]([ .-])\d{2}(?:\1\d{2}){3}(?!\w|\1\d)", re.A), _phone),
 ]
 DIGITS = re.compile("[0-9]+")
-LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}\Z")
-DOMAIN = re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9-]{0,62}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])|(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])")
+# Letters of the Latin script, which mail addresses may have.
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+LOCAL = re.compile(rf"[{LATIN}0-9][{LATIN}0-9._%+-]{{0,63}}\Z")
+DOMAIN = re.compile(
+    rf"[{LATIN}0-9](?:[{LATIN}0-9-]{{0,62}}\.)+[A-Za-z]{{2,24}}(?![{LATIN}0-9])|(?:[{LATIN}0-9-]{{1,63}}\.)+[A-Za-z]{{2,24}}(?![{LATIN}0-9])"
+)
+
+
+def _readings(kind: str, text: str) -> Iterator[str]:
+    """What was found and then, for it may hold the words or numbers after a value, its shorter readings.
+
+    They end where a group does, the longest first, down to the shortest that is legal; a card's
+    groups, but for the last, have four digits or more.
+    """
+    yield text
+    if kind not in ("iban", "card", "phone"):
+        return
+    for cut in reversed([m.start() for m in re.finditer(r" " if kind == "iban" else r"[ .-](?=\d)", text)]):
+        part = text[:cut]
+        if kind == "iban" and len(part.replace(" ", "")) < 15:
+            return
+        if kind == "card" and min(map(len, re.split(r"[ .-]", part)[:-1]), default=4) < 4:
+            continue
+        yield part
 
 
 def _emails(text: str) -> list[tuple[int, int, str]]:
@@ -227,9 +251,9 @@ def pseudonymise(text: str | None, key: bytes) -> tuple[str | None, list[str]]:
             hit = None
             for kind, look, replace in NUMBERS:
                 if (found := look.match(text, start)) and found.end() <= taken[nth][0]:
-                    new = replace(found[0], key)
-                    if new is not None:
-                        hit = (start, found.end(), kind, new)
+                    said = ((r, replace(r, key)) for r in _readings(kind, found[0]))
+                    hit = next(((start, start + len(r), kind, new) for r, new in said if new is not None), None)
+                    if hit:
                         break
             if hit:
                 spans.append(hit)
@@ -249,6 +273,7 @@ def pseudonyms(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
 
     Kinds: email addresses; card numbers (Luhn), IBANs (mod 97), social security numbers, IPv4
     addresses and dates (only values that are valid), international and US phone numbers. A
+    number that is followed by other digits or words is read without them too. A
     number is mapped by a keyed permutation of its own format, check digits are computed anew,
     and a date stays a date in the same notation; so equal values get equal pseudonyms in all
     documents and none is made twice. Everything else in a text stays as it was, and so does a
@@ -258,10 +283,11 @@ def pseudonyms(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     if not key:
         raise ValueError("a key is needed")
 
-    @F.pandas_udf("text string, kinds array<string>")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        pairs = [pseudonymise(t, key) for t in texts]
-        return pd.DataFrame({"text": [p[0] for p in pairs], "kinds": [p[1] for p in pairs]})
+    @F.arrow_udf("struct<text: string, kinds: array<string>>")
+    def of(texts: pa.Array) -> pa.Array:
+        pairs = [pseudonymise(t.as_py(), key) for t in texts]
+        columns = [pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.list_(pa.string()))]
+        return pa.StructArray.from_arrays(columns, ["text", "kinds"])
 
     columns = [c for c in docs.columns if c != "pseudonyms"]
     done = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), of(F.col(f"`{text}`")).alias("new"))

@@ -1,3 +1,5 @@
+import hypothesis
+import hypothesis.strategies as st
 import pytest
 
 from rosterline.llm import pseudonyms as p
@@ -77,3 +79,40 @@ def test_clean_documents_are_left_alone(documents):
     before = {r.doc_id: r.text for r in documents.collect()}
     assert all((r.text != before[r.doc_id]) == bool(r.pseudonyms) for r in rows)
     assert all(r.text == before[r.doc_id] for r in rows if not any(c.isdigit() or c == "@" for c in before[r.doc_id]))
+
+
+@pytest.mark.parametrize("said, kind", [
+    ("4111 1111 1111 1111 12/27", "card"), ("4111 1111 1111 1111 123", "card"), ("4111.1111.1111.1111", "card"), ("4111111111111111 123", "card"),
+    ("3782 822463 10005 12/27", "card"), ("BE68 5390 0754 7034 EUR", "iban"), ("AT61 1904 3002 3457 3201 IBAN", "iban"),
+    ("+33 6 12 34 56 78", "phone"), ("06 12 34 56 78", "phone"), ("jürgen@example.com", "email"), ("bob@müller.de", "email"),
+])
+def test_values_before_other_numbers_and_words(said, kind):
+    new, kinds = p.pseudonymise(f"see {said} there", b"key")
+    assert kinds == [kind] and new != f"see {said} there"
+    part = {"card": said[:16], "iban": said[5:19], "phone": said[4:], "email": said.partition("@")[0]}[kind]
+    assert part not in new
+
+
+@hypothesis.settings(max_examples=300, deadline=None)
+@hypothesis.given(st.text("0123456789", min_size=15, max_size=15), st.lists(st.one_of(st.text("0123456789", min_size=1, max_size=4), st.sampled_from("EUR IBAN and CVV 12/27".split())), max_size=3), st.sampled_from([" ", "-"]))
+def test_a_valid_card_is_found_whatever_follows(digits, after, mark):
+    number = "4" + digits[1:]
+    number += str(-p.luhn_sum(number + "0") % 10)
+    grouped = mark.join(number[i : i + 4] for i in range(0, 16, 4))
+    new, kinds = p.pseudonymise(" ".join([grouped, *after]), b"key")
+    assert kinds[:1] == ["card"]
+
+
+@hypothesis.settings(max_examples=300, deadline=None)
+@hypothesis.given(st.text("0123456789", min_size=18, max_size=18), st.lists(st.one_of(st.text("0123456789", min_size=1, max_size=4), st.sampled_from("EUR IBAN and BIC 12/27".split())), max_size=3))
+def test_a_valid_iban_is_found_whatever_follows(digits, after):
+    check = 98 - int(digits + "131400") % 97  # DE is 13 14
+    whole = f"DE{check:02d}{digits}"
+    grouped = " ".join(whole[i : i + 4] for i in range(0, 22, 4))
+    new, kinds = p.pseudonymise(" ".join([grouped, *after]), b"key")
+    assert kinds[:1] == ["iban"] and whole[4:8] + " " + whole[8:12] + " " + whole[12:16] not in new
+
+
+def test_clean_numbers_stay():
+    for text in ("in 1999 there were 12 345 678 people", "chapters 1.2.3 and 10.11", "call 112 or 110", "04 05 06", "version 10.04.1"):
+        assert p.pseudonymise(text, b"key") == (text, [])
