@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .staging import picked
+from .staging import picked, small_table
 
 
 def fold(id: str, folds: int) -> Column:
@@ -14,17 +16,16 @@ def fold(id: str, folds: int) -> Column:
     return F.crc32(F.col(f"`{id}`").cast("string")) % folds
 
 
-def sample(
-    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, kept: Column, rows: int, chars: int | None
-) -> tuple[list[tuple[str, int]], float]:
-    """(text, label) of at most `rows` documents per label, and label 1's share among all labels.
+def chosen(
+    docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, kept: Column, rows: int
+) -> tuple[DataFrame | None, float]:
+    """(id, label, text) of at most `rows` documents per label, and label 1's share among all labels.
 
     `kept` restricts the ids whose labels may be learned. Labels other than 0 and 1 and null
     ids or labels are ignored; an id labelled twice counts with its smallest label. Ids are
     chosen by the smallest hash, so the same tables give the same sample; from the labels
     alone, so that the texts are read once and not shuffled: the chosen ids, at most 2 * rows,
-    are broadcast. Whole texts of at most `chars` characters are used; chosen ids with a longer
-    text are left out; with None texts of any length are used. Without any label the share is one half.
+    are broadcast. Texts are whole. Without any label there is no frame and the share is one half.
     """
     known = (
         picked(labels, id, label)
@@ -36,22 +37,28 @@ def sample(
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     place = F.shiftrightunsigned(F.xxhash64("id"), 33)  # 31 bits
-    chosen = []
+    ids = []
     for value, count in counts.items():
         # a little more than the share that is wanted, so that no task gives many
         low = int(min(1.0, 1.3 * rows / count + 100 / count) * (2**31 - 1))
         part = known.filter((F.col("label") == value) & (place <= low))
-        chosen += [(r["id"], value) for r in part.orderBy(place, "id").limit(rows).select("id").collect()]
-    if not chosen:
-        return [], 0.5
-    table = docs.sparkSession.createDataFrame(chosen, known.schema)
+        ids += [(r["id"], value) for r in part.orderBy(place, "id").limit(rows).select("id").collect()]
+    if not ids:
+        return None, 0.5
+    kind = to_arrow_type(known.schema["id"].dataType)
+    table = small_table(docs.sparkSession, id=pa.array([i for i, _ in ids], kind), label=pa.array([v for _, v in ids], pa.int32()))
     texts = picked(docs, *dict.fromkeys([id, text])).select(
         F.col(f"`{id}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
     )
-    found = texts.join(F.broadcast(table), "id").filter(F.lit(True) if chars is None else F.length("text") <= chars)
-    found = found.groupBy("id", "label").agg(F.min("text").alias("text")).collect()
-    found.sort(key=lambda r: (str(r["id"]), r["label"]))
-    return [(r["text"], r["label"]) for r in found], counts.get(1, 0) / total
+    found = texts.join(F.broadcast(table), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    return found, counts.get(1, 0) / total
+
+
+def sample(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, kept: Column, rows: int) -> tuple[list[tuple[str, int]], float]:
+    """The (text, label) pairs of `chosen` on the driver, in the order of their ids, and the share."""
+    table, share = chosen(docs, labels, id, text, label, kept, rows)
+    found = sorted(table.collect(), key=lambda r: (str(r["id"]), r["label"])) if table else []
+    return [(r["text"], r["label"]) for r in found], share
 
 
 class Logistic:

@@ -6,13 +6,13 @@ import functools
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import Logistic, fold, prior_weights, sample
-from .staging import picked, settings
+from .labelled import Logistic, chosen, fold, prior_weights
+from .staging import settings, staged
 
 # Bytes compressed at a time. A dictionary only helps at the start of what is compressed, so
 # every text is compressed whole, piece by piece, and all pieces count.
@@ -58,43 +58,55 @@ class QualityModel:
         return self.calibration.score(np.array([_features(t, self.good, self.bad) for t in texts]))
 
 
-def _dictionary(texts: list[str], size: int) -> bytes:
-    pieces = [p for t in texts for p in _pieces(t)]
+def _dictionary(pieces: list[bytes], size: int) -> bytes:
     try:
         return zstandard.train_dictionary(size, pieces).as_bytes()
     except zstandard.ZstdError:  # too few pieces to train on: their bytes are the dictionary
         return b"".join(pieces)[-size:]
 
 
-def fit(texts: list[str], labels: list[int], share: float, size: int = 65_536) -> QualityModel | None:
-    """A model from labelled texts: two thirds make the dictionaries, a third the calibration.
-
-    share: label 1's share among all labels, for calibrated scores. None if a label is
-    missing in one of the parts.
-    """
-    texts, labels = np.array(texts, object), np.array(labels)
-    third = np.arange(len(texts)) % 3 == 0
-    if any(len(set(labels[part])) < 2 for part in (third, ~third)):
-        return None
-    good, bad = (_dictionary(list(texts[~third & (labels == v)]), size) for v in (1, 0))
-    features = np.array([_features(t, good, bad) for t in texts[third]])
-    known = labels[third]
-    return QualityModel(good, bad, Logistic(features, known, prior_weights(known, share)))
+def spread(pieces: list[bytes], most: int) -> list[bytes]:
+    """At most so many pieces, evenly from all over the text."""
+    return pieces if len(pieces) <= most else [pieces[i * len(pieces) // most] for i in range(most)]
 
 
 def train(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality",
-    kept: Column | None = None, rows: int = 2000, chars: int = 20_000, size: int = 65_536,
+    kept: Column | None = None, rows: int = 2000, pieces: int = 40, size: int = 65_536,
 ) -> tuple[QualityModel | None, float]:
-    """The model and label 1's share among the labels that may be learned.
+    """The model, None if a label is missing in one of its parts, and label 1's share among the labels that may be learned.
 
-    Fitted on at most `rows` labelled documents per label of at most `chars` characters each
-    (documented bounds, see `labelled.sample`; the share is counted over all labels).
+    Fitted on at most `rows` labelled documents per label (a documented bound, see
+    `labelled.chosen`; the share is counted over all labels), of any length. Two thirds, by a hash
+    of the id, make the dictionaries: at most `pieces` pieces of each text, from all over it, come
+    to the driver. The other third makes the calibration: their whole texts are compressed in
+    tasks, and three numbers of each come back.
     """
     kept = F.lit(True) if kept is None else kept
-    found, share = sample(docs, labels, id, text, label, kept, rows, chars)
-    mixed = np.random.default_rng(7).permutation(len(found))  # both labels in every third
-    return fit([found[i][0] for i in mixed], [found[i][1] for i in mixed], share, size), share
+    found, share = chosen(docs, labels, id, text, label, kept, rows)
+    if found is None:
+        return None, share
+    found = staged(found.withColumn("third", F.pmod(F.xxhash64("id", F.lit("third")), F.lit(3)) == 0), "labelled")
+
+    @F.arrow_udf("array<binary>")
+    def some(texts: pa.Array) -> pa.Array:
+        return pa.array([spread(_pieces(t.as_py()), pieces) for t in texts], pa.list_(pa.binary()))
+
+    taught = sorted(found.filter(~F.col("third")).select("id", "label", some("text").alias("some")).collect(), key=lambda r: (str(r["id"]), r["label"]))
+    held = {v: [bytes(p) for r in taught if r["label"] == v for p in r["some"]] for v in (1, 0)}
+    if not all(held.values()):
+        return None, share
+    good, bad = (_dictionary(held[v], size) for v in (1, 0))
+
+    @F.arrow_udf("array<double>")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([_features(t.as_py(), good, bad) for t in texts], pa.list_(pa.float64()))
+
+    seen = sorted(((tuple(r["of"]), r["label"]) for r in found.filter("third").select("label", of("text").alias("of")).collect()))
+    if len({v for _, v in seen}) < 2:
+        return None, share
+    known = np.array([v for _, v in seen])
+    return QualityModel(good, bad, Logistic(np.array([f for f, _ in seen]), known, prior_weights(known, share))), share
 
 
 def score(
@@ -112,9 +124,9 @@ def score(
     with settings(docs.sparkSession):
         model, share = train(docs, labels, id, text, label, fold(id, folds) != held, **limits)
 
-    @F.pandas_udf("double")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.full(len(texts), share) if model is None else model.scores(texts))
+    @F.arrow_udf("double")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array(np.full(len(texts), share) if model is None else model.scores(texts.to_pylist()))
 
     scored = docs.withColumn("held_out", F.coalesce(fold(id, folds) == held, F.lit(False)))
     scored = scored.withColumn("score", of(F.col(f"`{text}`")))

@@ -159,7 +159,7 @@ def train(
     `labelled.sample`; the share is counted over all labels), whole, in blocks of `chars` characters.
     """
     kept = F.lit(True) if kept is None else kept
-    found, share = sample(docs, labels, id, text, label, kept, rows, None)
+    found, share = sample(docs, labels, id, text, label, kept, rows)
     return fit([t for t, _ in found], [v for _, v in found], share, chars=chars, **options), share
 
 

@@ -93,3 +93,25 @@ def test_long_labelled_texts_are_learned(spark):
     out = toxicity.score(docs, labels).collect()
     assert {r.predicted for r in out if r.doc_id % 2} == {1}
     assert all(t in "".join(toxicity.blocks_of("abcdefgh" * 9, 20)) for t in ("abcdefgh",))
+
+
+def test_long_labelled_texts_teach_quality(spark):
+    """A text of 100,000 characters, whose end alone tells, is fitted on like any other."""
+    rng = __import__("random").Random(3)
+    noise = lambda n: " ".join("".join(rng.choices("bcdfghjklm", k=6)) for _ in range(n))
+    rows = [(i, noise(9_000) + " " + ("well written sentences about rivers and mountains " if i % 2 else "click here buy now cheap pills ") * 900) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    assert min(len(t) for _, t in rows) > 80_000
+    model, share = quality.train(docs, labels)
+    good, bad = model.scores(["well written sentences about rivers and mountains " * 20, "click here buy now cheap pills " * 20])
+    assert share == 0.5 and good > 0.9 and bad < 0.5
+    few, _ = quality.train(docs.withColumn("text", F.substring("text", 1, 20_000)), labels)
+    assert few is None or abs(few.scores(["well written sentences about rivers and mountains " * 20])[0] - good) > 1e-6
+
+
+def test_pieces_come_from_all_over_a_text():
+    pieces = [bytes([i]) for i in range(100)]
+    assert quality.spread(pieces, 100) == pieces
+    some = quality.spread(pieces, 7)
+    assert len(some) == 7 and some[0] == b"\x00" and some[-1] >= bytes([80])
