@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .staging import picked, settings, staged
+from .staging import picked, settings, small_table, staged
 
 # Documented bounds of what is fitted: sampled vectors, which also give each query its first
 # threshold; lists whatever the input; and the sampled vectors that count as found.
@@ -158,7 +158,7 @@ def search(
         held = staged(held, "index")
         counts = {r["list"]: r["n"] for r in held.groupBy("list").agg(F.count("*").alias("n")).collect()}
         full = np.array([counts.get(i, 0) for i in range(len(index.value.centroids))])
-        many = spark.createDataFrame([(i, -(-int(n) // BLOCK)) for i, n in counts.items()], "list long, parts long")
+        many = small_table(spark, list=pa.array(list(counts), pa.int64()), parts=pa.array([-(-int(n) // BLOCK) for n in counts.values()], pa.int64()))
         needed = min(total, max(share * total, k + 1))
 
         def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
