@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 
 from .. import schemas
 from ..operators import calendar, clean, leave, merge, periods, reports, strikes
-from ..sources import files, versions
+from ..sources import commits, files, layers, versions
 from ..streaming import strike_stream
 
 Publish = Callable[[str, DataFrame, str], None]
@@ -75,12 +75,9 @@ def _listed(df: DataFrame, part: Column) -> list[str]:
     return [r[0] for r in df.select(part.alias("part")).dropna().distinct().collect()]
 
 
-# Fixed value: parts of the timeframe table, by a hash of the employee.
-TIMEFRAME_PARTS = 64
-
-
-def employee_part(key: str = "emp_id") -> Column:
-    return F.format_string("%02d", F.pmod(F.hash(F.col(key)), F.lit(TIMEFRAME_PARTS)))
+def timeframe(spark: SparkSession, at: Places) -> layers.Table:
+    """The stored periods; a layer holds all periods of the employees it changes."""
+    return layers.Table(spark, at.stored("timeframe"), schemas.TIMEFRAME, "emp_id")
 
 
 def month_part(date: str = "date") -> Column:
@@ -116,7 +113,7 @@ USAGE = StructType(
 
 
 def stored_timeframe(spark: SparkSession, at: Places) -> DataFrame:
-    return versions.read_parts(spark, at.stored("timeframe"), schemas.TIMEFRAME)
+    return timeframe(spark, at).read()
 
 
 def stored_leaves(spark: SparkSession, at: Places) -> DataFrame:
@@ -153,34 +150,34 @@ def load_employees(spark: SparkSession, at: Places, asof: dt.date, publish: Publ
     return _take(spark, at, "employee", schemas.EMPLOYEE, handle)
 
 
-def _publish_timeframe(spark: SparkSession, at: Places, publish: Publish | None) -> None:
-    out = stored_timeframe(spark, at).withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
-    _publish(publish, "timeframe", out, "overwrite")
+def _publish_timeframe(table: layers.Table, rows: DataFrame, first: bool, publish: Publish | None) -> None:
+    """All periods of the employees that changed, to replace theirs; the whole table at first."""
+    out = (table.read() if first else rows).withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
+    _publish(publish, "timeframe", out, "overwrite" if first else "replace emp_id")
 
 
-def load_timeframe(
-    spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None, touched_only: bool = True
-) -> bool:
-    """Merge delivered periods; only the parts of the delivered employees are rewritten.
+def load_timeframe(spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None) -> bool:
+    """Merge delivered periods: the periods of the delivered employees are read, settled and stored as a layer.
 
-    touched_only recomputes just these employees inside their parts; the caller turns it
-    off for a delivery that has most employees.
+    What is read and recomputed are those employees' rows, what is written too; if another writer
+    changes one of them meanwhile, the merge is made again.
     """
-    root = at.stored("timeframe")
+    table = timeframe(spark, at)
 
     def handle(df: DataFrame) -> None:
         struck = strike_stream.struck_out_table(spark, at.stored("strikes"))
-        fresh = periods.convert_epochs(df)
-        touched = _listed(fresh, employee_part())
-        merged = periods.merge_periods(
-            versions.read_parts(spark, root, schemas.TIMEFRAME, touched),
-            fresh,
-            order=["salary", "designation", "end_date"],
-            struck=struck,
-            touched_only=touched_only,
-        )
-        versions.write_parts(merged, root, employee_part(), touched, ["status"])
-        _publish_timeframe(spark, at, publish)
+        marks = struck.select(F.col("employee_id").cast("string").alias("emp_id"))
+        fresh = periods.convert_epochs(df).join(marks, "emp_id", "left_anti")
+        slots = table.slots(fresh)
+        first = not table.head().number
+
+        def merged(base: commits.Commit) -> DataFrame:
+            ids = fresh.select(F.col("emp_id").alias("_id")).distinct()
+            stored = table.read(base, slots).join(ids, F.col("emp_id").eqNullSafe(F.col("_id")), "left_semi")
+            return periods.merge_periods(stored, fresh, order=["salary", "designation", "end_date"])
+
+        rows = table.write(merged, reads=slots)
+        _publish_timeframe(table, rows, first, publish)
 
     return _take(spark, at, "timeframe", schemas.TIMEFRAME_RAW, handle)
 
@@ -188,18 +185,24 @@ def load_timeframe(
 def close_struck(spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None) -> bool:
     """Close the open periods of struck-out employees, with or without a delivery.
 
-    Their parts are rewritten; on a day on which nobody is to be closed nothing is written.
+    Only their periods are written; on a day on which nobody is to be closed nothing is.
     """
-    root = at.stored("timeframe")
+    table = timeframe(spark, at)
     struck = strike_stream.struck_out_table(spark, at.stored("strikes"))
-    marks = struck.select(F.col("employee_id").cast("string").alias("emp_id"))
-    open_ = periods.read_actives(stored_timeframe(spark, at)).join(marks, "emp_id", "left_semi")
-    touched = _listed(open_, employee_part())
-    if touched:
-        stored = versions.read_parts(spark, root, schemas.TIMEFRAME, touched)
-        closed = periods.apply_struck(stored, struck, asof)
-        versions.write_parts(closed, root, employee_part(), touched, ["status"])
-        _publish_timeframe(spark, at, publish)
+    slots = table.slots(struck, "employee_id")
+    if not slots:
+        return True
+
+    def closed(base: commits.Commit) -> DataFrame:
+        stored = table.read(base, slots)
+        marks = struck.select(F.col("employee_id").cast("string").alias("emp_id"))
+        open_ = periods.read_actives(stored).join(marks, "emp_id", "left_semi").select(F.col("emp_id").alias("_id"))
+        own = stored.join(open_, F.col("emp_id") == F.col("_id"), "left_semi")
+        return periods.apply_struck(own, struck, asof)
+
+    rows = table.write(closed, reads=slots)
+    if publish:
+        _publish_timeframe(table, rows, False, publish)
     return True
 
 
@@ -232,10 +235,12 @@ def load_quota(spark: SparkSession, at: Places, publish: Publish | None = None)
     def handle(df: DataFrame) -> None:
         rows = clean.best_per_key(leave.load_quota(df), keys, ["leave_quota"])
         touched = _listed(rows, year_part())
-        stored = versions.read_parts(spark, root, schemas.QUOTA, touched)
-        kept = merge.anti_by_key(stored, rows, keys)
         names = schemas.QUOTA.fieldNames()
-        versions.write_parts(kept.select(*names).union(rows.select(*names)), root, year_part(), touched)
+
+        def replaced(stored: DataFrame) -> DataFrame:
+            return merge.anti_by_key(stored, rows, keys).select(*names).union(rows.select(*names))
+
+        versions.update_parts(spark, root, schemas.QUOTA, year_part(), touched, replaced)
         _publish(publish, "quota", stored_quota(spark, at), "overwrite")
 
     return _take(spark, at, "quota", schemas.QUOTA, handle)
@@ -263,9 +268,11 @@ def load_leaves(spark: SparkSession, at: Places, asof: dt.datetime, publish: Pub
         active = periods.read_actives(stored_timeframe(spark, at))
         today = leave.intake(df, stored_calendar(spark, at), active, asof)
         touched = _listed(today, month_part())
-        stored = versions.read_parts(spark, root, LEAVE_STORED, touched)
-        decided = leave.reconcile(leave.with_history(today, stored), ["ingest_timestamp"])
-        versions.write_parts(decided, root, month_part(), touched)
+
+        def decided(stored: DataFrame) -> DataFrame:
+            return leave.reconcile(leave.with_history(today, stored), ["ingest_timestamp"])
+
+        versions.update_parts(spark, root, LEAVE_STORED, month_part(), touched, decided)
         _publish(publish, "leaves", stored_leaves(spark, at), "overwrite")
 
     return _take(spark, at, "leave", schemas.LEAVE_RAW, handle)
@@ -329,6 +336,13 @@ def retire(spark: SparkSession, at: Places, keep: int = 2) -> None:
     """
     for name in ("quota_over", "alerted"):
         versions.retire_versions(spark, at.stored(name), keep)
-    for name in ("timeframe", "leaves", "quota"):
+    timeframe(spark, at).retire(keep)
+    for name in ("leaves", "quota"):
         versions.retire_parts(spark, at.stored(name))
+    rows = at.stored("intake/employee-rows")
+    days = sorted(n for n in files.child_names(spark, rows) if n.startswith("day="))
+    for name in days[: -max(1, keep)]:  # an earlier day's rows stand in the employee table
+        files.remove(spark, f"{rows}/{name}")
+    for name in days:
+        versions.retire_versions(spark, f"{rows}/{name}", 1)
     strike_stream.retire(spark, at.stored("strikes"), keep)

@@ -7,12 +7,13 @@ readers take the newest one whose write was completed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .commits import Commit, Log, retried
 from .files import child_names, empty_frame, path_exists, remove, write_parquet
 
 
@@ -72,53 +73,50 @@ def retire_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
 PART = StructField("part", StringType(), True)
 
 
-def _listed(spark: SparkSession, root: str) -> dict[str, int]:
-    """The newest version of every part; the parts of a version are listed when it is complete."""
-    where = f"{root}/parts"
-    if not versions(spark, where):
-        return {}
-    rows = spark.read.schema("part string, version int").parquet(where).groupBy("part")
-    return {r["part"]: r["version"] for r in rows.agg(F.max("version").alias("version")).collect()}
-
-
 def read_parts(
-    spark: SparkSession, root: str, schema: StructType, parts: Sequence[str] | None = None
+    spark: SparkSession, root: str, schema: StructType, parts: Sequence[str] | None = None, at: Commit | None = None
 ) -> DataFrame:
-    """The newest rows of every part, or of some parts."""
-    paths = [
-        f"{version_path(root, v)}/part={p}"
-        for p, v in _listed(spark, root).items()
-        if parts is None or p in parts
-    ]
+    """The rows of every part, or of some parts, at a commit (the newest)."""
+    held = (at or Log(spark, root).head()).state.get("parts", {})
+    paths = [f"{root}/{place}/part={p}" for p, place in held.items() if parts is None or p in parts]
     paths = [p for p in paths if path_exists(spark, p)]
     if not paths:
         return empty_frame(spark, schema)
-    typed = StructType([*schema.fields, PART, StructField("version", StringType(), True)])
-    found = spark.read.schema(typed).option("basePath", root).parquet(*paths)
-    return found.select(*schema.fieldNames())
+    typed = StructType([*schema.fields, PART, StructField("rows", StringType(), True)])
+    return spark.read.schema(typed).option("basePath", root).parquet(*paths).select(*schema.fieldNames())
 
 
-def write_parts(
-    df: DataFrame, root: str, part: Column, touched: Sequence[str], partition_by: Sequence[str] = ()
+def update_parts(
+    spark: SparkSession, root: str, schema: StructType, part: Column, touched: Sequence[str], compute: Callable[[DataFrame], DataFrame]
 ) -> int:
-    """Write the touched parts anew and leave the others as they are; returns the version.
+    """Write the touched parts anew, computed from their rows, and leave the others; returns the commit.
 
-    part gives the part of each row as text; a touched part without rows becomes empty. The
-    rows go to a version of their own; that the version counts is written last.
+    part gives the part of each row as text; a touched part without rows becomes empty. The rows
+    go to a place of their own, the commit that says so is last. If another writer has meanwhile
+    changed one of these parts, it is computed again from what they hold then.
     """
-    spark = df.sparkSession
-    number = (max(versions(spark, f"{root}/parts"), default=0)) + 1
-    parts = df.withColumn("part", part)
-    write_parquet(parts, version_path(root, number), "overwrite", ["part", *partition_by], rebalance=True)
-    listed = spark.createDataFrame([(p,) for p in touched], "part string")
-    write_parquet(listed.coalesce(1), version_path(f"{root}/parts", number), "overwrite")
-    return number
+    log = Log(spark, root)
+
+    def attempt() -> int:
+        base, place = log.head(), f"rows={uuid.uuid4().hex}"
+        rows = compute(read_parts(spark, root, schema, touched, base)).withColumn("part", part)
+        write_parquet(rows, f"{root}/{place}", "overwrite", ["part"], rebalance=True)
+
+        def build(state: dict, number: int) -> dict:
+            return {"parts": state.get("parts", {}) | dict.fromkeys(touched, place), "touched": list(touched)}
+
+        return log.append(build, base, set(touched)).number
+
+    return retried(attempt)
 
 
 def retire_parts(spark: SparkSession, root: str) -> None:
-    """Remove the rows of parts that a later version has replaced; none in use is touched."""
-    newest = _listed(spark, root)
-    for number in versions(spark, f"{root}/parts"):
-        for name in child_names(spark, version_path(root, number)):
-            if name.startswith("part=") and newest.get(name.removeprefix("part="), number) > number:
-                remove(spark, f"{version_path(root, number)}/{name}")
+    """Remove the rows of parts that a later commit has replaced; none in use is touched."""
+    log = Log(spark, root)
+    used = {f"{place}/part={p}" for p, place in log.head().state.get("parts", {}).items()}
+    log.retire(1)
+    for place in child_names(spark, root):
+        if place.startswith("rows="):
+            for name in child_names(spark, f"{root}/{place}"):
+                if name.startswith("part=") and f"{place}/{name}" not in used:
+                    remove(spark, f"{root}/{place}/{name}")

@@ -96,7 +96,7 @@ def test_no_input(spark, tmp_path):
 def parts_of(at, name):
     from pathlib import Path
 
-    return {p.relative_to(at.stored(name)) for p in Path(at.stored(name)).rglob("*.parquet") if "part=" in str(p)}
+    return {p.relative_to(at.stored(name)) for p in Path(at.stored(name)).rglob("*.parquet") if name == "timeframe" or "part=" in str(p)}
 
 
 def put_more(at, name, file, text):
@@ -115,12 +115,14 @@ def test_only_touched_parts_are_rewritten(spark, tmp_path, rows):
     daily.run_day(spark, at, day_of("2024-03-04T07:00:00"))
     assert rows(jobs.stored_leaves(spark, at), "emp_id", "status") == [("1", "CANCELLED"), ("2", "ACTIVE")]
     before = {n: parts_of(at, n) for n in ("timeframe", "leaves")}
+    first = jobs.timeframe(spark, at).head()
     put_more(at, "timeframe", "b.csv", head + "7,Lead,1701388800,,5000\n")
     put_more(at, "leave", "b.csv", "emp_id,date,status\n1,2024-01-02,ACTIVE\n1,2024-01-02,ACTIVE\n")
     daily.run_day(spark, at, day_of("2024-03-05T07:00:00"))
     after = {n: parts_of(at, n) for n in before}
     assert all(before[n] <= after[n] for n in before)
-    assert len({str(p).split("/")[1] for p in after["timeframe"] - before["timeframe"]}) == 1
+    assert [x["rows"] for x in jobs.timeframe(spark, at).head().state["layers"]] == [2]  # the periods of one employee
+    assert first.state["bases"] == jobs.timeframe(spark, at).head().state["bases"]
     assert {str(p).split("/")[1] for p in after["leaves"] - before["leaves"]} == {"part=2024-01"}
     # Both files' votes: the first file's entries are not read a second time.
     assert rows(jobs.stored_leaves(spark, at), "emp_id", "status") == [("1", "ACTIVE"), ("2", "ACTIVE")]
@@ -128,7 +130,7 @@ def test_only_touched_parts_are_rewritten(spark, tmp_path, rows):
     assert table.count() == 41 and rows(table.filter("emp_id = '7'"), "designation", "status") == [("Dev", "INACTIVE"), ("Lead", "ACTIVE")]
     stored = rows(table)
     jobs.retire(spark, at, keep=1)
-    assert rows(jobs.stored_timeframe(spark, at)) == stored and parts_of(at, "timeframe") < after["timeframe"]
+    assert rows(jobs.stored_timeframe(spark, at)) == stored and len(jobs.timeframe(spark, at).log.numbers()) == 1
 
 
 def test_strike_out_without_a_delivery(spark, tmp_path, rows):
@@ -168,3 +170,60 @@ def test_alerts_of_two_runs_of_a_day_stay(spark, tmp_path):
             history = spark.createDataFrame(reports.alert_history(history, fresh).collect(), "emp_id string")
     texts = [r.value for r in files.read_alerts(spark, path).collect()]
     assert len(texts) == 4 and sum("Employee ID: c" in t for t in texts) == 1
+
+
+def test_closing_one_person_writes_their_rows_only(spark, tmp_path, rows):
+    at = jobs.Places(str(tmp_path / "raw"), str(tmp_path / "store"))
+    head = "emp_id,designation,start_date,end_date,salary\n"
+    put(at, "timeframe", head + "".join(f"{i},Dev,{1672531200 + n * 86400},,{1000 + n}\n" for i in range(300) for n in range(3)))
+    jobs.load_timeframe(spark, at, D("2024-03-04"))
+    table, published = jobs.timeframe(spark, at), []
+    struck = spark.createDataFrame([("7",), ("9",)], "employee_id string")
+    struck.write.parquet(f"{at.stored('strikes')}/struck_out/block=000000000000/origin=stream-0")
+    jobs.close_struck(spark, at, D("2024-03-05"), lambda name, df, mode: published.append((name, mode, df.count())))
+    assert [x["rows"] for x in table.head().state["layers"]] == [6] and published == [("timeframe", "replace emp_id", 6)]
+    got = rows(jobs.stored_timeframe(spark, at).filter("emp_id in ('7', '9') and end_date = date'2024-03-05'"), "emp_id", "status")
+    assert got == [("7", "INACTIVE"), ("9", "INACTIVE")] and jobs.stored_timeframe(spark, at).count() == 900
+    number = table.head().number
+    jobs.close_struck(spark, at, D("2024-03-06"))  # nobody is left to close
+    assert table.head().number == number
+
+
+def test_two_deliveries_at_once(spark, tmp_path, rows, monkeypatch):
+    """A second job's delivery is merged while the first has read but not stored: no row is lost."""
+    from rosterline.operators import periods
+
+    at = jobs.Places(str(tmp_path / "raw"), str(tmp_path / "store"))
+    other = jobs.Places(str(tmp_path / "other"), str(tmp_path / "store"))
+    head = "emp_id,designation,start_date,end_date,salary\n"
+    put(at, "timeframe", head + "1,Dev,1672531200,,1000\n2,QA,1672531200,,900\n")
+    jobs.load_timeframe(spark, at, D("2024-03-04"))
+    put_more(at, "timeframe", "b.csv", head + "1,Lead,1701388800,,1500\n")
+    late = spark.createDataFrame([("1", "Senior", D("2023-06-01"), None, 1200.0)], "emp_id string, designation string, start_date date, end_date date, salary double")
+    merge, tries = periods.merge_periods, []
+
+    def interleaved(stored, fresh, **options):
+        tries.append(len(tries))
+        if len(tries) == 1:
+            table = jobs.timeframe(spark, other)
+            table.write(lambda base: merge(table.read(base).filter("emp_id = '1'"), late, order=["salary"]))
+        return merge(stored, fresh, **options)
+
+    monkeypatch.setattr(periods, "merge_periods", interleaved)
+    jobs.load_timeframe(spark, at, D("2024-03-05"))
+    assert len(tries) == 2
+    assert rows(jobs.stored_timeframe(spark, at), "emp_id", "designation", "end_date") == [
+        ("1", "Dev", D("2023-06-01")), ("1", "Lead", None), ("1", "Senior", D("2023-12-01")), ("2", "QA", None),
+    ]
+
+
+def test_retire_knows_the_employee_rows(spark, tmp_path):
+    at = jobs.Places(str(tmp_path / "raw"), str(tmp_path / "store"))
+    for day in (4, 5, 6):
+        put_more(at, "employee", f"{day}.csv", f"name,age,emp_id\nAnn,30,{day}\n")
+        jobs.load_employees(spark, at, D(f"2024-03-0{day}"))
+    jobs.retire(spark, at, keep=1)
+    from pathlib import Path
+
+    assert [p.name for p in Path(at.stored("intake/employee-rows")).iterdir()] == ["day=2024-03-06"]
+    assert spark.read.parquet(at.stored("employee")).count() == 3

@@ -174,3 +174,29 @@ def test_shared_folder_comes_from_the_session(spark):
         assert shared_dir(spark) == named.rstrip("/")
         assert scratch_path(spark, "x").startswith(named.rstrip("/"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_two_rewrites_of_one_part_lose_no_row(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from rosterline.sources import versions
+
+    schema = StructType([StructField("p", StringType()), StructField("v", LongType())])
+    root, tries = str(tmp_path / "t"), []
+    rows = lambda *r: spark.createDataFrame(r, schema)
+    add = lambda *r: versions.update_parts(spark, root, schema, F.col("p"), sorted({p for p, _ in r}), lambda stored: stored.union(rows(*r)))
+    add(("a", 1), ("b", 1))
+
+    def interleaved(stored):
+        tries.append(1)
+        if len(tries) == 1:
+            add(("a", 2))
+            add(("c", 9))  # another part: no reason to compute again
+        return stored.union(rows(("a", 3)))
+
+    versions.update_parts(spark, root, schema, F.col("p"), ["a"], interleaved)
+    held = lambda: sorted(map(tuple, versions.read_parts(spark, root, schema).collect()))
+    assert len(tries) == 2 and held() == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("c", 9)]
+    versions.retire_parts(spark, root)
+    assert held() == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("c", 9)]
