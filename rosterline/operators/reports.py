@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.columns import numeric_id
 from ..schemas import ACTIVE
@@ -35,6 +36,27 @@ def active_by_group(
     return out.withColumn("run_date", F.lit(f"{run_date:%Y-%m-%d}")) if run_date else out
 
 
+def headcount_parts(
+    periods: DataFrame, group: str = "designation", key: str = "emp_id", status: str = "status"
+) -> DataFrame:
+    """Rows and active employees of every group: what `headcount_change` keeps up and `active_by_group` shows."""
+    counted = F.when((F.col(status) == ACTIVE) & F.col(group).isNotNull(), F.col(key))
+    return periods.groupBy(group).agg(F.count("*").alias("n_rows"), F.count(counted).alias("active_employees"))
+
+
+def headcount_change(
+    parts: DataFrame, before: DataFrame, after: DataFrame, group: str = "designation", key: str = "emp_id", status: str = "status"
+) -> DataFrame:
+    """The parts after some employees' rows have become others; groups without rows fall out.
+
+    before and after hold all rows of those employees, then and now, and nobody else's.
+    """
+    less = headcount_parts(before, group, key, status).select(group, (-F.col("n_rows")).alias("n_rows"), (-F.col("active_employees")).alias("active_employees"))
+    summed = parts.unionByName(less).unionByName(headcount_parts(after, group, key, status)).groupBy(group)
+    out = summed.agg(F.sum("n_rows").alias("n_rows"), F.sum("active_employees").alias("active_employees"))
+    return out.filter("n_rows > 0")
+
+
 def upcoming_leaves(
     leaves: DataFrame,
     days: DataFrame,
@@ -82,8 +104,11 @@ def quota_usage(
     """Active leave days of the year before the month (13: all of it), against its quota.
 
     The percent is null where the quota is missing or 0. If the leave table has year
-    and month columns they are filtered as well, so its partitions are pruned.
+    and month columns they are filtered as well, so its partitions are pruned. Ids are
+    compared as text where the quota's are text, so an id need not be a number; where they
+    are numbers the leave's ids are read as such.
     """
+    ident = (lambda c: F.col(c)) if isinstance(quota.schema[key].dataType, StringType) else numeric_id
     day = F.col(date).cast("date")
     end = dt.date(year + 1, 1, 1) if month > 12 else dt.date(year, month, 1)
     wanted = (F.col(status) == ACTIVE) & (day >= dt.date(year, 1, 1)) & (day < end)
@@ -93,10 +118,10 @@ def quota_usage(
         leaves.filter(wanted)
         .groupBy(key)
         .agg(F.count("*").alias("leaves_taken"))
-        .withColumn("quota_id", numeric_id(key))
+        .withColumn("quota_id", ident(key))
     )
     limits = quota.filter(F.col("year") == year).select(
-        numeric_id(key).alias("quota_id"), F.col("leave_quota").cast("int").alias("leave_quota")
+        ident(key).alias("quota_id"), F.col("leave_quota").cast("int").alias("leave_quota")
     )
     percent = F.round(F.try_divide(F.col("leaves_taken"), F.col("leave_quota")) * 100, 2)
     return taken.join(limits, "quota_id", "left").select(

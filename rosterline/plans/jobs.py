@@ -99,6 +99,13 @@ CALENDAR_STORED = StructType([*schemas.CALENDAR.fields, StructField("year", Inte
 HEADCOUNT = StructType(
     [StructField("designation", StringType(), True), StructField("active_employees", LongType(), True)]
 )
+HEADCOUNT_SUMS = StructType(
+    [
+        StructField("designation", StringType(), True),
+        StructField("n_rows", LongType(), True),
+        StructField("active_employees", LongType(), True),
+    ]
+)
 UPCOMING = StructType(
     [StructField("emp_id", StringType(), True), StructField("upcoming_leaves_count", LongType(), True)]
 )
@@ -207,7 +214,22 @@ def close_struck(spark: SparkSession, at: Places, asof: dt.date, publish: Publis
 
 
 def report_headcount(spark: SparkSession, at: Places, asof: dt.date, publish: Publish | None = None) -> bool:
-    out = reports.active_by_group(stored_timeframe(spark, at), run_date=asof)
+    """Head-count by designation, kept up by what changed since the last report.
+
+    The sums of the last report are stored with the commit they belong to; only the periods of
+    employees changed since are read. All periods are where that commit is no longer known.
+    """
+    table, sums = timeframe(spark, at), at.stored("headcount-sums")
+    head, last = table.head(), versions.latest(spark, sums)
+    changed = None if last is None else table.differences(last, head.number)
+    if changed is None:
+        parts = reports.headcount_parts(table.read(head))
+    else:
+        parts = reports.headcount_change(versions.read_latest(spark, sums, HEADCOUNT_SUMS), *changed)
+    if last != head.number:  # the number of a sum is the commit it belongs to
+        versions.write_next(parts.coalesce(1), sums, number=head.number)
+        parts = versions.read_latest(spark, sums, HEADCOUNT_SUMS)
+    out = parts.select("designation", "active_employees").withColumn("run_date", F.lit(f"{asof:%Y-%m-%d}"))
     path = at.stored("headcount")
     files.write_parquet(out, path, "overwrite", ["run_date"], dynamic=True)
     today = files.read_or_empty(spark, f"{path}/run_date={asof:%Y-%m-%d}", HEADCOUNT)
@@ -218,12 +240,17 @@ def report_headcount(spark: SparkSession, at: Places, asof: dt.date, publish: Pu
 def sync_strike_salaries(
     spark: SparkSession, at: Places, asof: dt.datetime, publish: Publish | None = None
 ) -> bool:
-    root = at.stored("strikes")
-    active = periods.read_actives(stored_timeframe(spark, at)).select("emp_id", "salary")
-    # Without what this very sync may have stored before: repeating it stores the same rows.
-    table = strike_stream.strike_table(spark, root, without=strike_stream.sync_origin(asof))
-    rows = strikes.sync_salaries(active, table)
-    changed = strike_stream.store_salaries(rows, root, asof)
+    """Give the strike table the salaries of open periods that have changed since the last sync.
+
+    Only the changes of the periods are read, where the table still knows them; repeating a sync
+    reads the same changes and stores the same rows.
+    """
+    root, table = at.stored("strikes"), timeframe(spark, at)
+    head, since = table.head(), strike_stream.synced(spark, root, asof)
+    fresh = None if since is None else table.changes(since, head.number)
+    active = periods.read_actives(table.read(head) if fresh is None else fresh).select("emp_id", "salary")
+    changed = strike_stream.store_salaries(lambda known: strikes.sync_salaries(active, known), root, asof)
+    strike_stream.note_synced(spark, root, asof, since, head.number)
     _publish(publish, "strikes", changed, "upsert")
     return True
 
@@ -334,7 +361,7 @@ def retire(spark: SparkSession, at: Places, keep: int = 2) -> None:
 
     For a time at which no job runs: a job that has begun may read what was newest then.
     """
-    for name in ("quota_over", "alerted"):
+    for name in ("quota_over", "alerted", "headcount-sums"):
         versions.retire_versions(spark, at.stored(name), keep)
     timeframe(spark, at).retire(keep)
     for name in ("leaves", "quota"):

@@ -18,7 +18,7 @@ from ..functions import columns as fc
 from ..operators import calendar, clean, leave, merge, messages, periods, reports, strikes
 from ..schemas import CALENDAR, EMPLOYEE, rung_names
 from ..session import scratch_path, tune
-from ..sources import files, versions
+from ..sources import files, layers, versions
 from ..streaming import messages as message_io
 from ..streaming import strike_stream
 from . import daily, jobs
@@ -635,6 +635,65 @@ def stream_restart(spark, d):
     return _stream(spark, d, 2)
 
 
+def _period_store(spark, d, most=2_000_000):
+    """A layered table of the periods of the first delivery, and how a further one is merged into it."""
+    rows = period_rows(spark, d)
+    first = periods.settle(rows.filter(F.col("delivery") == "F").drop("delivery"), BEST)
+    table = layers.Table(spark, scratch_path(spark, "layers"), first.schema, "emp_id", most=most)
+    table.write(lambda base: first)
+
+    def deliver(kind, meanwhile=None):
+        fresh = rows.filter(F.col("delivery") == kind).drop("delivery")
+        slots, todo = table.slots(fresh), [meanwhile] if meanwhile else []
+
+        def merged(base):
+            ids = fresh.select(F.col("emp_id").alias("_id")).distinct()
+            stored = table.read(base, slots).join(ids, F.col("emp_id") == F.col("_id"), "left_semi")
+            if todo:
+                todo.pop()()
+            return periods.merge_periods(stored, fresh, BEST)
+
+        table.write(merged, reads=slots)
+
+    return table, deliver
+
+
+def interleaved_deliveries(spark, d):
+    """Two deliveries at once: the second is merged and stored while the first has read and not stored."""
+    table, deliver = _period_store(spark, d)
+    deliver("P", meanwhile=lambda: deliver("O"))
+    return table.read()
+
+
+def split_store(spark, d):
+    """A store whose parts are split as deliveries make them outgrow a size."""
+    table, deliver = _period_store(spark, d, most=4000)
+    deliver("O")
+    deliver("P")
+    return table.read()
+
+
+def period_changes(spark, d):
+    """The periods of employees that the last delivery changed, from its layer and not from the whole table."""
+    table, deliver = _period_store(spark, d)
+    deliver("O")
+    since = table.head().number
+    deliver("P")
+    found = table.changes(since)
+    return table.read() if found is None else found
+
+
+def headcount_by_differences(spark, d):
+    """Head-count after three deliveries, from the sums of the first and the changes since."""
+    table, deliver = _period_store(spark, d)
+    since, parts = table.head().number, reports.headcount_parts(table.read())
+    deliver("O")
+    deliver("P")
+    changed = table.differences(since)
+    parts = reports.headcount_parts(table.read()) if changed is None else reports.headcount_change(parts, *changed)
+    return parts.select("designation", "active_employees").withColumn("run_date", F.lit("2002-01-01"))
+
+
 def _places(spark):
     return jobs.Places(scratch_path(spark, "raw"), scratch_path(spark, "store"))
 
@@ -765,7 +824,7 @@ QUERIES = [
     flag_messages, flag_messages_joined, message_tokens, encode_messages, decode_messages,
     csv_round_trip, csv_text_clean, csv_timeframe, active_partition, partition_overwrite, versioned_rewrite,
     alert_files, alert_files_two_runs, word_list, ingest_archive, stream_strikes, stream_restart,
-    daily_rerun, strike_out_store, leave_two_days, csv_no_header, empty_delivery, input_files,
+    interleaved_deliveries, split_store, period_changes, headcount_by_differences, daily_rerun, strike_out_store, leave_two_days, csv_no_header, empty_delivery, input_files,
 ]
 
 

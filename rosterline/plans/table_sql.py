@@ -357,6 +357,11 @@ SQL: dict[str, str] = {
                              CAST(CAST(o_orderdate AS DATE) + 30 AS DATE) AS end_date
                       FROM orders""",
     "timeframe_merge": _CHAIN,
+    "interleaved_deliveries": _CHAIN,
+    "split_store": _CHAIN,
+    "period_changes": _with(
+        f"SELECT {_COLUMNS} FROM chained WHERE emp_id IN (SELECT emp_id FROM period WHERE delivery = 'P')", "chained", "period"
+    ),
     "timeframe_merge_touched": _CHAIN,
     "timeframe_merge_struck": _with(
         """SELECT emp_id, designation, start_date, end_date, salary, order_id,
@@ -403,6 +408,12 @@ SQL: dict[str, str] = {
            FROM chained GROUP BY designation""",
         "chained",
     ),
+    "headcount_by_differences": _with(
+        """SELECT designation, count(*) FILTER (WHERE status = 'ACTIVE') AS active_employees,
+                  '2002-01-01' AS run_date
+           FROM chained GROUP BY designation""",
+        "chained",
+    ),
     "headcount_upsert": _with(
         f"""SELECT coalesce(o.designation, f.designation) AS designation,
                    coalesce(o.active_employees, f.active_employees) AS active_employees

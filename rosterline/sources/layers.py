@@ -97,9 +97,13 @@ class Table:
         newer = self._layers(layers, state)
         if not self.replaces:
             return self._in(base, slots).unionByName(self._in(newer.drop(LAYER), slots))
+        if not state.get("bases") and len(layers) == 1:
+            return self._in(newer, slots)
         last = newer.groupBy(F.col(self.key).alias("_key")).agg(F.max(LAYER).alias("_last"))
         same = F.col(self.key).eqNullSafe(F.col("_key"))
         newest = newer.join(last, same & (F.col(LAYER) == F.col("_last")), "left_semi").drop(LAYER)
+        if not bases:
+            return self._in(newest, slots)
         return self._in(base, slots).join(last, same, "left_anti").unionByName(self._in(newest, slots))
 
     def _in(self, df: DataFrame, slots: set[int] | None) -> DataFrame:
@@ -118,7 +122,7 @@ class Table:
         place = F.regexp_extract(F.col("_metadata.file_path"), "/rows/([0-9a-f]+)/", 1)
         number = F.create_map(*[F.lit(v) for x in layers for v in (x["place"], x["number"])])
         rows = rows.withColumn(LAYER, F.element_at(number, place))
-        folded = _folded(state["bases"])
+        folded = _folded(state.get("bases", {}))
         if any(folded):
             rows = rows.filter(F.col(LAYER) > _by_slot(self.key, folded).cast("int"))
         return rows
@@ -127,15 +131,18 @@ class Table:
         """The hash ranges of some keys: at most SLOTS numbers."""
         return {r[0] for r in df.select(slot_of(key or self.key).alias("slot")).distinct().collect()}
 
+    def slots_of(self, origin: str) -> set[int]:
+        """The hash ranges of an origin's layer, as its commit says."""
+        return {int(s) for x in self.head().state.get("layers", []) if x["origin"] == origin for s in x["slots"]}
+
     def changes(self, since: int, upto: int | None = None) -> DataFrame | None:
         """What layers brought after commit `since`: the rows, now, of the keys they touched; None where
-        a fold or `retire` has left no record of that time, and the whole table is to be read."""
+        the record does not go back so far, and the whole table is to be read. The record is that of the
+        layers over the base and of the last ones that folds have taken in, twice `layers`."""
         head = self.head(upto)
-        if since == head.number:
-            return empty_frame(self.spark, self.schema)
         if since < head.state.get("known", 0) or not head.state:
             return None
-        layers = [x for x in head.state["layers"] if x["commit"] > since and x["rows"]]
+        layers = self._since(head, since)
         if not layers:
             return empty_frame(self.spark, self.schema)
         newer = self._at([x["place"] for x in layers])
@@ -145,6 +152,24 @@ class Table:
         wanted = {int(s) for x in layers for s in x["slots"]}
         return self.read(head, wanted).join(touched, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi")
 
+    def _since(self, head: Commit, since: int) -> list[dict]:
+        """The layers of later commits, those that folds have taken in included."""
+        return [x for x in [*head.state.get("past", []), *head.state.get("layers", [])] if x["commit"] > since and x["rows"]]
+
+    def differences(self, since: int, upto: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+        """All rows, at commit `since` and now, of the keys that changed in between; None as in `changes`,
+        or where `retire` has removed that commit."""
+        after = self.changes(since, upto)
+        if after is None or since not in self.log.numbers():
+            return None
+        layers = self._since(self.head(upto), since)
+        if not layers:
+            return empty_frame(self.spark, self.schema), after
+        wanted = {int(s) for x in layers for s in x["slots"]}
+        keys = self._at([x["place"] for x in layers]).select(F.col(self.key).alias("_key")).distinct()
+        before = self.read(self.log.at(since), wanted).join(keys, F.col(self.key).eqNullSafe(F.col("_key")), "left_semi")
+        return before, after
+
     # --- writing ----------------------------------------------------------------------
 
     def write(self, compute: Callable[[Commit], DataFrame], origin: str | None = None, reads: set[int] | None = None) -> DataFrame:
@@ -169,10 +194,13 @@ class Table:
             def build(state: dict, commit: int) -> dict:
                 number = state.get("last", 0) + 1
                 others = [x for x in state.get("layers", []) if x["origin"] != layer["origin"]]
+                if origin is None and not others and not state.get("bases"):  # the first rows are the base
+                    base_of = {"": {"place": place, "upto": number, "rows": layer["rows"]}}
+                    return {"known": commit, "past": [], "bases": base_of, "layers": [], "last": number, "touched": sorted(counts)}
                 made = layer | {"number": number, "commit": commit}
-                return {"known": state.get("known", 0), "bases": state.get("bases", {}), "layers": [*others, made], "last": number, "touched": sorted(counts)}
+                return {"known": 0, "past": [], "bases": {}} | state | {"layers": [*others, made], "last": number, "touched": sorted(counts)}
 
-            self.log.append(build, base, set(reads) | set(counts) if reads is not None else set(counts))
+            self.log.append(build, base, set(reads or ()) | set(counts) if self.replaces else set())
             return stored
 
         stored = retried(attempt)
@@ -184,11 +212,11 @@ class Table:
         """The parts to fold: those of which layers hold a large share, all if there are many layers."""
         bases, layers = state.get("bases", {}), state.get("layers", [])
         changed = {p: sum(n for x in layers if x["number"] > b["upto"] for s, n in x["slots"].items() if _bits(int(s)).startswith(p)) for p, b in bases.items()}
+        many = len(layers) > self.layers
         if not bases:
-            return [""] if layers else []
-        if len(layers) > self.layers:
-            return [p for p, n in changed.items() if n]
-        return [p for p, n in changed.items() if n and n >= self.share * max(bases[p]["rows"], 1)]
+            return [""] if many or sum(x["rows"] for x in layers) > self.most else []
+        large = lambda p: len(p) < SLOT_BITS and bases[p]["rows"] + changed[p] > self.most
+        return [p for p, n in changed.items() if large(p) or n and (many or n >= self.share * bases[p]["rows"])]
 
     def fold(self, parts: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """Write the parts that are due (or given) anew with their layers; keep may drop rows of a log that nobody needs."""
@@ -227,9 +255,9 @@ class Table:
             all_ = left | bases
             upto_of = _folded(all_)
             kept = [x for x in state["layers"] if any(upto_of[int(s)] < x["number"] for s in x["slots"])]
-            done = [x["commit"] for x in state["layers"] if x not in kept]
-            known = max([state.get("known", 0), *done])
-            return {"known": known, "bases": all_, "layers": kept, "last": state["last"], "touched": []}
+            past = [*state.get("past", []), *[x for x in state["layers"] if x not in kept]]
+            known = max([state.get("known", 0), *[x["commit"] for x in past[: -2 * self.layers]]])
+            return {"known": known, "past": past[-2 * self.layers :], "bases": all_, "layers": kept, "last": state["last"], "touched": []}
 
         self.log.append(build, at, set())
 
@@ -239,7 +267,7 @@ class Table:
         used = set()
         for number in self.log.numbers():
             if found := self.log.at(number):
-                used |= {b["place"] for b in found.state.get("bases", {}).values()} | {x["place"] for x in found.state.get("layers", [])}
+                used |= {b["place"] for b in found.state.get("bases", {}).values()} | {x["place"] for x in self._since(found, -1)}
         for name in child_names(self.spark, f"{self.root}/rows"):
             if name not in {u.split("/")[0] for u in used}:
                 remove(self.spark, f"{self.root}/rows/{name}")

@@ -1,50 +1,47 @@
 """The strike stream: flagged messages to strike counts and reduced salaries.
 
-State lives in Parquet tables under one root. A micro-batch writes only its own
-directories, by overwriting them, so a batch that is replayed after a failure
-replaces its first attempt; what it reads excludes its own earlier output. Each step
-is computed from the table the step before wrote, never from a plan that would be
-evaluated again.
-
-    layout                                   block, limit and days of this root
-    flags/block=B/origin=.../bucket=N        flagged messages
-    strikes/block=B/origin=.../bucket=N      changed strike rows, by batch or by salary sync
-    struck_out/block=B/origin=...            employees who reached the limit
-    base/version=V/bucket=N                  strike rows, all batches before V folded
-    flag_base/version=V/bucket=N             recent flags, all batches before V folded
-    struck_base/version=V                    struck-out employees, all batches before V folded
-
-A block is a fixed number of batches. After each block its rows are folded into the
-next base version, and readers open the newest base and the blocks after it: what a
-batch lists does not grow with the age of the stream. A bucket is a hash of the
-employee: a batch reads the buckets of its senders only, so a small batch on a large
-store reads little of it.
+State lies under one root. Strike rows and flags are layered tables (`sources.layers`): a
+micro-batch writes one layer of each under its own name, so a batch that is replayed after a
+failure replaces its first attempt; what it reads leaves out its own earlier layer. It opens the
+parts and layers that can have its senders, by path, and lists nothing, so its cost follows the
+batch and neither the store nor its age. Each step is computed from the rows the step before
+wrote, never from a plan that would be evaluated again.
+
+    layout                         block, limit and days of this root
+    flags/, strikes/               layered tables: flagged messages, and strike rows by batch or salary sync
+    synced                         up to which commit of the periods the last salary sync has read
+    struck_out/block=B/origin=...  employees who reached the limit
+    struck_base/version=V          struck-out employees, all batches before V folded
+
+A block is a number of batches: so many layers lie over a base before they are folded into it, and
+parts that outgrow a size are split then.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions.columns import moment
-from ..operators.clean import best_per_key
 from ..operators.merge import changed_rows
 from ..operators.messages import Words, decode, flag, word_values
 from ..operators.strikes import count_flags, recent, score, struck_out
 from ..schemas import FLAG_DAYS, FLAGGED, MAX_STRIKES, STRIKE_FACTOR, STRUCK_OUT, strikes
-from ..sources.files import child_names, empty_frame, path_exists, remove, write_parquet
+from ..sources import layers
+from ..sources.commits import Commit, read_text, write_text
+from ..sources.files import child_names, empty_frame, path_exists, remove
 from ..sources.versions import latest, read_latest, retire_versions, versions, write_next
 
 # Batches per block, unless a root was made with another number.
 BLOCK = 100
-# Fixed value: hash buckets of the tables that a batch reads by employee.
-BUCKETS = 64
-BUCKET = StructField("bucket", IntegerType(), True)
+# Layers are folded by their number; before that only where they hold so many times a part's rows.
+SHARE = 4.0
 ORIGIN = StructField("origin", StringType(), True)
 
 
@@ -127,10 +124,6 @@ def layout(
     return known
 
 
-def bucket_of(key: str = "employee_id") -> Column:
-    return F.pmod(F.hash(F.col(key)), F.lit(BUCKETS)).cast("int")
-
-
 def strike_log_schema(limit: int) -> StructType:
     return StructType([*strikes(limit).fields, StructField("changed_at", TimestampType(), True)])
 
@@ -147,16 +140,9 @@ def _blocks(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in child_names(spark, path) if n.startswith("block="))
 
 
-def _only(df: DataFrame, buckets: Sequence[int] | None) -> DataFrame:
-    """The rows of some buckets; other directories are not opened."""
-    return df if buckets is None else df.filter(F.col("bucket").isin(list(buckets)))
-
-
-def _read_blocks(
-    spark: SparkSession, path: str, schema: StructType, first: int = 0, bucketed: bool = True
-) -> DataFrame:
-    """The rows of the blocks from the given number on, with their origin and bucket."""
-    full = StructType([*schema.fields, ORIGIN, *([BUCKET] if bucketed else [])])
+def _read_blocks(spark: SparkSession, path: str, schema: StructType, first: int = 0) -> DataFrame:
+    """The rows of the blocks from the given number on, with their origin."""
+    full = StructType([*schema.fields, ORIGIN])
     wanted = [f"{path}/{name}" for name in _blocks(spark, path) if name >= _block_name(first)]
     if not wanted:
         return empty_frame(spark, full)
@@ -164,56 +150,14 @@ def _read_blocks(
     return spark.read.schema(typed).option("basePath", path).parquet(*wanted).drop("block")
 
 
-def _since(folded: int | None, block: int) -> int:
-    """First block to read on top of a base.
-
-    One block more than needed: a salary sync may have written into the last folded
-    block while it was being folded. Rows that are read twice do no harm.
-    """
-    return max(0, (folded or 0) // block - 1)
-
-
-def _earlier(before: int | None) -> Column:
-    """Origins a batch may read: earlier batches, and all salary syncs."""
-    if before is None:
-        return F.lit(True)
-    return ~F.col("origin").startswith("stream-") | (F.col("origin") < _origin(before))
-
-
-def strike_log(
-    spark: SparkSession,
-    root: str,
-    limit: int | None = None,
-    block: int | None = None,
-    before: int | None = None,
-    buckets: Sequence[int] | None = None,
-    without: str | None = None,
-) -> DataFrame:
-    """Stored strike rows with their origin: the base and what came after it.
-
-    before leaves out the given batch and later ones, without one origin; buckets reads
-    only these.
-    """
-    made = layout(spark, root, block=block, limit=limit)
-    schema = StructType([*strike_log_schema(made.limit).fields, ORIGIN])
-    folded = latest(spark, f"{root}/base", before)
-    base = read_latest(spark, f"{root}/base", StructType([*schema.fields, BUCKET]), before)
-    newer = _read_blocks(
-        spark, f"{root}/strikes", strike_log_schema(made.limit), _since(folded, made.block)
-    ).filter(_earlier(before))
-    if without is not None:
-        newer = newer.filter(F.col("origin") != without)
-    return _only(base, buckets).unionByName(_only(newer, buckets)).drop("bucket")
+def strike_rows(spark: SparkSession, root: str, made: Layout) -> layers.Table:
+    """The strike rows, replaced by employee."""
+    return layers.Table(spark, f"{root}/strikes", strike_log_schema(made.limit), "employee_id", layers=made.block, share=SHARE)
 
 
-def _newest(log: DataFrame) -> DataFrame:
-    """The newest row of every employee; at the same time a salary sync comes after a batch."""
-    return best_per_key(log, ["employee_id"], ["changed_at", "origin"])
-
-
-def latest_rows(log: DataFrame, limit: int = MAX_STRIKES) -> DataFrame:
-    """The newest strike row of every employee in the log."""
-    return _newest(log).select(*strikes(limit).fieldNames())
+def flag_rows(spark: SparkSession, root: str, made: Layout) -> layers.Table:
+    """The flags, a log."""
+    return layers.Table(spark, f"{root}/flags", FLAGGED, "employee_id", replaces=False, layers=made.block, share=SHARE)
 
 
 def strike_table(
@@ -225,131 +169,118 @@ def strike_table(
 ) -> DataFrame:
     """The current strike table, or what it was without one origin."""
     made = layout(spark, root, block=block, limit=limit)
-    return latest_rows(strike_log(spark, root, without=without), made.limit)
+    return strike_rows(spark, root, made).read(without=without).select(*strikes(made.limit).fieldNames())
+
+
+def flag_log(spark: SparkSession, root: str, block: int | None = None) -> DataFrame:
+    """Stored flags: those that folds have kept, and what came after."""
+    return flag_rows(spark, root, layout(spark, root, block=block)).read()
 
 
 def struck_out_table(spark: SparkSession, root: str) -> DataFrame:
     """Everybody struck out so far."""
     folded = latest(spark, f"{root}/struck_base")
     first = (folded or 0) // layout(spark, root).block
-    newer = _read_blocks(spark, f"{root}/struck_out", STRUCK_OUT, first, bucketed=False)
+    newer = _read_blocks(spark, f"{root}/struck_out", STRUCK_OUT, first)
     base = read_latest(spark, f"{root}/struck_base", STRUCK_OUT)
     return base.select("employee_id").union(newer.select("employee_id")).distinct()
 
 
-def flag_log(
-    spark: SparkSession,
-    root: str,
-    block: int | None = None,
-    before: int | None = None,
-    buckets: Sequence[int] | None = None,
-) -> DataFrame:
-    """Stored flags: the recent ones of the base, and what came after it."""
-    made = layout(spark, root, block=block)
-    path = f"{root}/flag_base"
-    folded = latest(spark, path, before)
-    newer = _read_blocks(spark, f"{root}/flags", FLAGGED, (folded or 0) // made.block)
-    # Batches below the base version are in the base already.
-    newer = newer.filter((F.col("origin") >= _origin(folded or 0)) & _earlier(before))
-    base = read_latest(spark, path, StructType([*FLAGGED.fields, BUCKET]), before)
-    both = _only(base, buckets).unionByName(_only(newer.drop("origin"), buckets))
-    return both.select(*FLAGGED.fieldNames())
-
-
-def _store(
-    df: DataFrame, root: str, table: str, block: int, origin: str, schema: StructType, bucketed: bool = True
-) -> DataFrame:
-    """Write one origin of a table and return it as stored."""
-    path = f"{root}/{table}/{_block_name(block)}/origin={origin}"
-    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    if not bucketed:
-        typed.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(schema).parquet(path)
-    write_parquet(typed.withColumn("bucket", bucket_of()), path, "overwrite", ["bucket"], rebalance=True)
-    return df.sparkSession.read.schema(StructType([*schema.fields, BUCKET])).parquet(path)
-
-
 def sync_origin(asof: dt.datetime) -> str:
     """The origin of the salary sync of a moment; it sorts after those of batches."""
     return f"sync-{asof:%Y-%m-%dT%H%M%S.%f}"
 
 
 def store_salaries(
-    rows: DataFrame, root: str, asof: dt.datetime, limit: int | None = None
+    rows: DataFrame | Callable[[DataFrame], DataFrame], root: str, asof: dt.datetime, limit: int | None = None
 ) -> DataFrame:
     """Write the strike rows of a salary sync and return them as stored.
 
-    The rows are computed from the table without this origin, so that repeating a sync
-    replaces it. A row is not stamped earlier than the one it follows: a batch that was
-    stored between asof and now does not win over the sync that has seen it.
+    Rows given as a function are computed from the strike table without this origin, again if a
+    batch comes in between; so repeating a sync replaces it, and it loses no count. A row is not
+    stamped earlier than the one it follows.
     """
-    spark, origin = rows.sparkSession, sync_origin(asof)
-    made = layout(spark, root, limit=limit)
-    names = _blocks(spark, f"{root}/strikes")
-    block = int(names[-1].removeprefix("block=")) if names else 0
-    block = max(block, (latest(spark, f"{root}/base") or 0) // made.block)
-    seen = _newest(strike_log(spark, root, without=origin))
-    seen = seen.select(F.col("employee_id").alias("seen_id"), F.col("changed_at").alias("seen_at"))
-    stamped = rows.join(seen, F.col("employee_id") == F.col("seen_id"), "left")
-    stamped = stamped.withColumn("changed_at", F.greatest(moment(asof), "seen_at"))
-    out = _store(stamped, root, "strikes", block, origin, strike_log_schema(made.limit))
-    return out.drop("changed_at", "bucket")
-
-
-def fold_block(spark: SparkSession, job: StrikeStream, before: int, now: dt.datetime) -> None:
-    """Fold everything before a batch into new base versions, unless that is done already."""
-    root = job.root
-    if before not in versions(spark, f"{root}/base"):
-        newest = _newest(strike_log(spark, root, before=before)).withColumn("bucket", bucket_of())
-        write_next(newest, f"{root}/base", ["bucket"], rebalance=True, number=before)
-    if before not in versions(spark, f"{root}/flag_base"):
-        flags = recent(flag_log(spark, root, before=before), now, job.days)
-        flags = flags.withColumn("bucket", bucket_of())
-        write_next(flags, f"{root}/flag_base", ["bucket"], rebalance=True, number=before)
-    if before not in versions(spark, f"{root}/struck_base"):
-        write_next(struck_out_table(spark, root), f"{root}/struck_base", number=before)
+    spark = rows.sparkSession if isinstance(rows, DataFrame) else SparkSession.active()
+    origin, made = sync_origin(asof), layout(spark, root, limit=limit)
+    table = strike_rows(spark, root, made)
+
+    def stamped(at: Commit) -> DataFrame:
+        known = table.read(at, without=origin)
+        new = rows if isinstance(rows, DataFrame) else rows(known.select(*strikes(made.limit).fieldNames()))
+        seen = known.select(F.col("employee_id").alias("seen_id"), F.col("changed_at").alias("seen_at"))
+        joined = new.join(seen, F.col("employee_id") == F.col("seen_id"), "left")
+        return joined.withColumn("changed_at", F.greatest(moment(asof), "seen_at"))
+
+    return table.write(stamped, origin=origin).drop("changed_at")
+
+
+def synced(spark: SparkSession, root: str, asof: dt.datetime) -> int | None:
+    """Up to which commit of the periods syncs before this one have read; None before the first."""
+    path = f"{root}/synced"
+    if not path_exists(spark, path):
+        return None
+    last = json.loads(read_text(spark, path))
+    return last["since"] if last["origin"] == sync_origin(asof) else last["upto"]
+
+
+def note_synced(spark: SparkSession, root: str, asof: dt.datetime, since: int | None, upto: int) -> None:
+    """Remember it; with where it began, so that a repeated sync reads the same changes again."""
+    write_text(spark, f"{root}/synced", json.dumps({"origin": sync_origin(asof), "since": since, "upto": upto}))
+
+
+def fold_block(spark: SparkSession, job: StrikeStream, batch_id: int, now: dt.datetime) -> None:
+    """Fold what is due before a batch; layers of a batch that is replayed wait for the next."""
+    made, origin = Layout(job.block, job.limit, job.days), _origin(batch_id)
+    flags = flag_rows(spark, job.root, made)
+    if all(x["origin"] != origin for x in flags.head().state.get("layers", [])):
+        strike_rows(spark, job.root, made).fold()
+        flags.fold(keep=lambda rows: recent(rows, now, job.days))
+    if batch_id and batch_id % job.block == 0 and batch_id not in versions(spark, f"{job.root}/struck_base"):
+        write_next(struck_out_table(spark, job.root), f"{job.root}/struck_base", number=batch_id)
 
 
 def retire(spark: SparkSession, root: str, keep: int = 2) -> None:
-    """Remove folded state: all base versions but the newest `keep`, and the blocks none of them needs."""
-    block = layout(spark, root).block
-    for base, table in (("base", "strikes"), ("flag_base", "flags"), ("struck_base", "struck_out")):
-        retire_versions(spark, f"{root}/{base}", keep)
-        left = versions(spark, f"{root}/{base}")
-        needed = _since(left[0], block) if left else 0
-        for name in _blocks(spark, f"{root}/{table}"):
-            if name < _block_name(needed):
-                remove(spark, f"{root}/{table}/{name}")
+    """Remove folded state: what none of the newest `keep` commits or versions needs."""
+    made = layout(spark, root)
+    for table in (strike_rows(spark, root, made), flag_rows(spark, root, made)):
+        table.retire(keep)
+    retire_versions(spark, f"{root}/struck_base", keep)
+    left = versions(spark, f"{root}/struck_base")
+    for name in _blocks(spark, f"{root}/struck_out"):
+        if left and name < _block_name(left[0] // made.block):
+            remove(spark, f"{root}/struck_out/{name}")
 
 
 def strike_batch(batch: DataFrame, batch_id: int, job: StrikeStream) -> None:
     """One micro-batch of JSON messages."""
     spark, root = batch.sparkSession, job.root
     now = job.clock()
-    layout(spark, root, job.block, job.limit, job.days, create=True)
+    made = layout(spark, root, job.block, job.limit, job.days, create=True)
     block, origin = batch_id // job.block, _origin(batch_id)
-    if batch_id and batch_id % job.block == 0:
-        fold_block(spark, job, batch_id, now)
+    fold_block(spark, job, batch_id, now)
     found = flag(
         decode(batch), job.marked, job.vocab, now, fold=job.fold,
         inline_marked=job.inline_marked, inline_vocab=job.inline_vocab,
     )
-    arrived = _store(found, root, "flags", block, origin, FLAGGED)
-    # At most BUCKETS numbers; the tables are read in these buckets only.
-    buckets = [r[0] for r in arrived.select("bucket").distinct().collect()]
-    if not buckets:
+    flags, table = flag_rows(spark, root, made), strike_rows(spark, root, made)
+    arrived = flags.write(lambda _: found, origin=origin)
+    slots = flags.slots_of(origin)
+    if not slots:
         return
 
-    counts = count_flags(flag_log(spark, root, before=batch_id, buckets=buckets), arrived, now, job.days)
-    log = strike_log(spark, root, before=batch_id, buckets=buckets)
-    old = latest_rows(log.join(arrived.select("employee_id"), "employee_id", "left_semi"), job.limit)
-    new = score(old, counts, job.limit, job.factor, job.mode, job.exact)
-    rows = changed_rows(old, new, ["employee_id"]).withColumn("changed_at", moment(now))
-    changed = _store(rows, root, "strikes", block, origin, strike_log_schema(job.limit))
-    out = struck_out(changed, job.limit, exact=job.exact)
-    gone = _store(out, root, "struck_out", block, origin, STRUCK_OUT, bucketed=False)
+    def scored(at: Commit) -> DataFrame:
+        counts = count_flags(flags.read(slots=slots, without=origin), arrived, now, job.days)
+        known = table.read(at, slots, without=origin).select(*strikes(job.limit).fieldNames())
+        old = known.join(arrived.select("employee_id"), "employee_id", "left_semi")
+        new = score(old, counts, job.limit, job.factor, job.mode, job.exact)
+        return changed_rows(old, new, ["employee_id"]).withColumn("changed_at", moment(now))
+
+    changed = table.write(scored, origin=origin, reads=slots)
+    path = f"{root}/struck_out/{_block_name(block)}/origin={origin}"
+    struck_out(changed, job.limit, exact=job.exact).select("employee_id").write.mode("overwrite").parquet(path)
+    gone = spark.read.schema(STRUCK_OUT).parquet(path)
     if job.on_changes:
-        job.on_changes(changed.drop("changed_at", "bucket"), batch_id)
+        job.on_changes(changed.drop("changed_at"), batch_id)
     if job.on_struck:
         job.on_struck(gone, batch_id)
 

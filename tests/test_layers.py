@@ -154,8 +154,17 @@ def test_changes(spark, tmp_path):
     got = t.changes(start)
     assert sorted(map(tuple, got.collect())) == [("e1", 1), ("e2", 2), ("new", 2)]
     assert sorted(map(tuple, t.changes(start + 1).collect())) == [("e2", 2), ("new", 2)]
+    before, after = t.differences(start)
+    assert sorted(map(tuple, before.collect())) == [("e1", 0), ("e2", 0)]
+    assert sorted(map(tuple, after.collect())) == [("e1", 1), ("e2", 2), ("new", 2)]
     for n in range(4):
         put(t, [("e9", n)])
-    assert t.changes(start) is None  # folded: the reader takes the whole table
+    assert len(t.head().state["layers"]) <= 3  # folded, and still known
+    assert sorted(map(tuple, t.changes(start).collect())) == [("e1", 1), ("e2", 2), ("e9", 3), ("new", 2)]
+    for n in range(8):
+        put(t, [("e9", n)])
+    assert t.changes(start) is None  # too long ago: the reader takes the whole table
+    late = t.head().number
     t.retire(keep=1)
-    assert dict(held(t))["e9"] == 3 and len(t.log.numbers()) == 1
+    assert dict(held(t))["e9"] == 7 and len(t.log.numbers()) == 1
+    assert t.changes(late).collect() == [] and t.changes(late - 1) is not None

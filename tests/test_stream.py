@@ -111,9 +111,9 @@ def test_folding_changes_nothing(spark, setup):
     table = ss.strike_table(spark, root, block=2)
     assert {r[0]: r[-1] for r in table.collect()} == {"a": 5, "b": 0, "c": 9, "d": None}
     assert ss.flag_log(spark, root, block=2).count() == 5
-    # What the next batch opens: the newest base and the blocks after it.
-    opened = {f.split("block=")[1][:12] for f in ss.strike_log(spark, root, block=2).inputFiles() if "block=" in f}
-    assert opened == {f"{n:012d}" for n in (1, 2)}
+    made = ss.layout(spark, root)
+    for state in (ss.strike_rows(spark, root, made).head().state, ss.flag_rows(spark, root, made).head().state):
+        assert state["bases"] and len(state["layers"]) <= 3  # a block, and the batch since
 
 
 def test_a_salary_sync_between_batches_is_used(spark, setup):
@@ -226,18 +226,33 @@ def test_another_layout_is_refused(spark, setup):
         ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 1002, job)
 
 
-def test_a_small_batch_reads_its_buckets_only(spark, setup):
+def test_a_one_sender_batch_opens_its_files_only(spark, setup, monkeypatch):
+    """Through two splits: what such a batch opens does not grow with the store, and the table is the same."""
     root, job, _ = setup
     job.block = 2
-    many = spark.createDataFrame([(message(f"e{i}"),) for i in range(200)] + [(message("a"),)], "value string")
-    for k in range(3):
-        ss.strike_batch(many, k, job)
-    bucket = spark.createDataFrame([("a",)], "employee_id string").select(ss.bucket_of()).first()[0]
-    for log in (ss.strike_log(spark, root, buckets=[bucket]), ss.flag_log(spark, root, buckets=[bucket])):
-        assert "a" in {r.employee_id for r in log.select("employee_id").collect()}
-        plan = log._jdf.queryExecution().executedPlan().toString()
-        scans = [x for x in plan.splitlines() if "FileScan" in x]
-        assert scans and all("PartitionFilters: [" in x and "bucket" in x.split("PartitionFilters: [")[1] for x in scans)
+    monkeypatch.setattr(ss.layers.Table, "most", 40)
+    started = ss.strike_rows
+
+    def small(spark, root, made):
+        table = started(spark, root, made)
+        table.most = 40
+        return table
+
+    monkeypatch.setattr(ss, "strike_rows", small)
+    for n in range(3):
+        people = [(f"p{i}", 1000.0, *[None] * 10, 0) for i in range(n * 60, n * 60 + 60)]
+        ss.store_salaries(spark.createDataFrame(people, strike_schema()), root, NOW - dt.timedelta(days=20 - n))
+        ss.strike_batch(spark.createDataFrame([(message(f"p{i}"),) for i in range(n * 60 + 60)], "value string"), n, job)
+    ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 3, job)
+    ss.strike_batch(spark.createDataFrame([(message("a"),)], "value string"), 4, job)
+    table = small(spark, root, ss.layout(spark, root))
+    bases = table.head().state["bases"]
+    assert max(map(len, bases)) >= 2 and sum(b["rows"] for b in bases.values()) >= 180
+    slots = table.slots(spark.createDataFrame([("a",)], "employee_id string"))
+    opened, all_ = set(table.read(slots=slots).inputFiles()), set(table.read().inputFiles())
+    assert len({f.rpartition("/")[0] for f in opened}) <= 4 < len({f.rpartition("/")[0] for f in all_})
+    got = counts(spark, root)
+    assert got["a"] == 2 and [got[f"p{i}"] for i in (0, 59, 60, 119, 120, 179)] == [3, 3, 2, 2, 1, 1]
 
 
 def test_struck_out_people_are_folded(spark, setup):
