@@ -5,8 +5,8 @@ text are one leaf, neighbouring elements with the same label one node. The skele
 are merged into one tree, and its pages are aligned with that, by simple tree matching; a block
 that most pages with its leaf have there is template, what varies is a slot, and the slot with
 most text is where the host has its articles. This holds inside <article> and <main> too, which
-only weigh in the choice of the slot. Elements that say what they are (navigation, forms ...)
-are never content; words of class or id (sidebar, comments ...) say so unless the slot is inside.
+only weigh in the choice of the slot. Elements that say by tag, role, class or id what they are
+(navigation, forms, sidebar, comments ...) are not content unless the slot is inside.
 """
 
 from __future__ import annotations
@@ -40,19 +40,21 @@ HOLDERS = frozenset(
 ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
         "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 ENDS = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in ENDS.items()}
-# Elements, roles and words of class or id that are never the article.
-ASIDE_TAGS = frozenset(
-    "head script style noscript template nav footer aside form button select textarea iframe svg math object "
-    "dialog menu fieldset title canvas audio video map search".split()
-)
+# Elements whose text is never shown or never prose; elements, roles and words of
+# class or id that are not the article, unless the slot lies inside; of the words those that are
+# also found on parts of an article, which count only for blocks without a long paragraph.
+HIDDEN_TAGS = frozenset("head script style noscript template select textarea iframe svg math object title canvas audio video map".split())
+ASIDE_TAGS = frozenset("nav footer aside form button dialog menu fieldset search".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar "
-    "navigation menu submenu breadcrumb breadcrumbs sidebar widget widgets cookie cookies consent gdpr notice notices "
-    "alert popup modal overlay newsletter subscribe subscription signup signin login comment comments commentlist "
-    "disqus respond reply replies discussion footer masthead share sharing social related recommended recommendations "
-    "pagination pager toolbar skip search searchbox tags copyright legal disclaimer".split()
+    "navigation menu submenu breadcrumb breadcrumbs sidebar widget widgets cookie cookies consent gdpr "
+    "popup modal overlay newsletter subscribe subscription signup signin login comment comments commentlist "
+    "disqus respond reply replies footer masthead share sharing recommended recommendations "
+    "pagination pager toolbar skip search searchbox".split()
 )
+OPEN_WORDS = frozenset("discussion notice notices alert legal related tags social copyright disclaimer".split())
+PARAGRAPH = 200
 TOP_WORDS = frozenset("header topbar".split())
 
 TOKEN = re.compile(
@@ -70,8 +72,12 @@ MOST_PAIRS = 40_000
 # so many different pages.
 SAME, PAGES = 0.6, 4
 # In the choice of the slot, text in neither, in a <main> and in an <article> counts so often,
-# and text below an element with an aside word this much less.
-MARKS, NAMED = (1.0, 2.0, 4.0), 0.1
+# and text below an element that names itself otherwise this much less.
+MARKS, NAMED = (1.0, 1.5, 2.0), 0.1
+# On a host of fewer pages than this, blocks outside the slot are template if two pages share them.
+SMALL_HOST, TWO = 8, 2
+# What an element calls itself: nothing, not the article, perhaps not the article.
+NOTHING, ASIDE, OPEN = 0, 1, 2
 # Trees of so many tasks are merged at a time, and so many shapes are held before they are merged.
 FAN_IN, HELD = 64, 1000
 
@@ -79,7 +85,7 @@ FAN_IN, HELD = 64, 1000
 class Node:
     __slots__ = ("tag", "label", "children", "texts", "aside", "content", "mute", "named", "says")
 
-    def __init__(self, tag: str, label: str, aside: bool, content: int, named: bool = False, says: bool = False):
+    def __init__(self, tag: str, label: str, aside: bool, content: int, named: int = NOTHING, says: bool = False):
         self.tag, self.label, self.aside, self.content, self.named, self.says = tag, label, aside, content, named, says
         self.children: list[Node] = []
         self.texts: list[str] = []
@@ -87,11 +93,12 @@ class Node:
 
 
 def _start(tag: str, attributes: str, parent: Node) -> Node:
-    """An element; aside: it or one around it is never content; content: 2 in an article, 1 in main.
+    """An element; aside: it or one around it is never shown; content: 2 in an article, 1 in main.
 
-    named: it has an aside word itself; says: it is the one that says it is the article or main.
+    named: it says by its tag, role or an aside word that it is not the article; says: that it is
+    the article or main.
     """
-    label, aside, content, named, says = tag, parent.aside or tag in ASIDE_TAGS, parent.content, False, tag in ("article", "main")
+    label, aside, content, named, says = tag, parent.aside or tag in HIDDEN_TAGS, parent.content, int(tag in ASIDE_TAGS), tag in ("article", "main")
     names: set[str] = set()
     if attributes and not attributes.isspace():
         found = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(attributes)}
@@ -99,9 +106,9 @@ def _start(tag: str, attributes: str, parent: Node) -> Node:
         if names:
             label += "." + ".".join(sorted(names))
         if tag not in ("html", "body", "article", "main"):
-            named = bool(names & ASIDE_WORDS)
-            aside = aside or found.get("role", "").lower() in ASIDE_ROLES
-            aside = aside or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+            said = found.get("role", "").lower() in ASIDE_ROLES or found.get("aria-hidden", "").lower() == "true"
+            named = named or (ASIDE if said or names & ASIDE_WORDS else OPEN if names & OPEN_WORDS else NOTHING)
+            aside = aside or "display:none" in found.get("style", "").replace(" ", "").lower()
             aside = aside or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
         if found.get("role", "").lower() in ("main", "article"):
             content, says = max(content, 1), True
@@ -110,7 +117,7 @@ def _start(tag: str, attributes: str, parent: Node) -> Node:
     elif tag == "main":
         content = max(content, 1)
     if not content and tag not in ("html", "body"):
-        aside, named = aside or tag == "header", named or bool(names & TOP_WORDS)
+        named = ASIDE if tag == "header" or names & TOP_WORDS else named
     return Node(tag, label, aside, content, named, says)
 
 
@@ -203,11 +210,11 @@ def parse(page: str | None) -> Node:
             continue
         around = stack[-1]
         if around.tag not in FLOW and around.tag not in HOLDERS:  # an inline element is no node of its own
-            node.named, node.says = node.named or around.named and not node.says, node.says or around.says and not node.named
+            node.named, node.says = node.named or (NOTHING if node.says else around.named), node.says or around.says and not node.named
         if block:
             _holder(stack).children.append(node)
         else:  # text of an element inside a block that is never content is left out of the block
-            node.mute = around.mute or node.named or node.aside and not around.aside
+            node.mute = around.mute or bool(node.named) or node.aside and not around.aside
         stack.append(node)
     close(1)
     flush()
@@ -223,7 +230,7 @@ class Part:
 
     __slots__ = ("label", "parts", "blocks", "aside", "named", "says")
 
-    def __init__(self, label: str, aside: bool, named: bool = False, says: bool = False):
+    def __init__(self, label: str, aside: bool, named: int = NOTHING, says: bool = False):
         self.label, self.aside, self.named, self.says = label, aside, named, says
         self.parts: list[Part] = []
         self.blocks: list[tuple[str, bool, int]] = []
@@ -237,7 +244,7 @@ def _leaf_blocks(node: Node, inner: bool = False) -> list[tuple[str, bool, int]]
         return None
     found = []
     for child in node.children:
-        below = _leaf_blocks(child, inner or child.named)
+        below = _leaf_blocks(child, inner or bool(child.named))
         if below is None:
             return None
         found += below
@@ -415,7 +422,12 @@ def merged(trees: Iterable[list]) -> list:
 
 def pruned(tree: list) -> list:
     """The shape of a merged tree without nodes of so few pages that nothing in them can be template."""
-    return [tree[0], [pruned(t) for t in tree[1] if t[2] >= PAGES]]
+    least = PAGES if tree[2] >= SMALL_HOST else min(tree[2], TWO)
+
+    def cut(node: list) -> list:
+        return [node[0], [cut(t) for t in node[1] if t[2] >= least]]
+
+    return cut(tree)
 
 
 @lru_cache(64)
@@ -424,14 +436,14 @@ def _known(reference: str) -> Shape:
 
 
 def _leaves(tree: Part) -> list[tuple[Part, frozenset[int]]]:
-    """The leaves in page order, and the elements with an aside word around each, up to an article or main."""
+    """The leaves in page order, and the elements around each that are named otherwise, up to an article or main; OPEN ones negative."""
     found: list[tuple[Part, frozenset[int]]] = []
 
     def walk(part: Part, named: frozenset[int]) -> None:
         if part.says:
             named = frozenset()
         if part.named:
-            named = named | {id(part)}
+            named = named | {id(part) if part.named == ASIDE else -id(part)}
         if part.blocks:
             found.append((part, named))
         for p in part.parts:
@@ -468,20 +480,28 @@ def observations(page: str | None, reference: str) -> list[tuple[int, int | None
     return seen
 
 
-def _content(tree: Part, template: set[tuple[int, int]], slot: int, reference: str) -> list[str]:
-    """The blocks of the article, in page order: all that vary where the slot is."""
+def _content(tree: Part, template: set[tuple[int, int]], slot: int, reference: str, shared: set[tuple[int, int]] = frozenset()) -> list[str]:
+    """The blocks of the article, in page order: all that vary where the slot is.
+
+    shared: blocks of few pages, which are template outside the slot. An element with an open word is
+    one with an aside word unless it holds a long paragraph that varies.
+    """
     number = {id(p): k.number for p, k in pairs(tree_matching(tree, _known(reference))[1])}
-    fixed = {n for n, _ in template}
+    fixed = {n for n, _ in template | shared}
     open_: list[tuple[Part, frozenset[int], list[str]]] = []
     marked: list[tuple[int, str]] = []
+    prose: set[int] = set()
     for p, named in _leaves(tree):
         n = number.get(id(p))
         said = [(t, content) for t, aside, content in p.blocks if not aside]
         marked += [(content, t) for t, content in said if content and not named]
-        varying = [t for t, _ in said if n not in fixed or (n, _digest(t)) not in template]
+        varying = [t for t, _ in said if n not in fixed or (n, _digest(t)) not in template and (n == slot or (n, _digest(t)) not in shared)]
         if varying:
             open_.append((p, named, varying))
-    if not open_:  # copies of one article: what most pages share is the article
+            if max(map(len, varying)) >= PARAGRAPH:
+                prose |= {x for x in named if x < 0}
+    open_ = [(p, named - prose, varying) for p, named, varying in open_]
+    if not open_ or marked and all(named for _, named, _ in open_):  # copies of one article: what most pages share is the article
         return [t for content, t in marked if content == max(marked)[0]]
     best = next(((p, named) for p, named, _ in open_ if number.get(id(p)) == slot), None)
     if best is None:
@@ -564,8 +584,8 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
         for batch in batches:
             out = []
             for page, known, template, slot in zip(*[batch.column(c).to_pylist() for c in ("html", "shape", "template", "slot")], strict=True):
-                fixed = {(t["node"], t["said"]) for t in template or ()}
-                out.append("\n".join(_content(skeleton(parse(page)), fixed, slot if slot is not None else -1, known)))
+                fixed, shared = ({(t["node"], t["said"]) for t in template or () if t["few"] == few} for few in (False, True))
+                out.append("\n".join(_content(skeleton(parse(page)), fixed, slot if slot is not None else -1, known, shared)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(out, pa.string())], ["id", "url", "text"])
 
     with settings(pages.sparkSession):
@@ -580,16 +600,17 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
         counted = seen.distinct().groupBy("host", "node", "said").agg(
             F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.max("kind").alias("kind")
         )
-        counted = staged(counted.filter(F.col("said").isNull() | (F.col("pages") >= PAGES)), "counted")
+        counted = staged(counted.filter(F.col("said").isNull() | (F.col("pages") >= TWO)), "counted")
         leaves = counted.filter("said IS NULL").select("host", "node", F.col("pages").alias("of"), F.col("chars").alias("all"), "kind")
         fixed = counted.filter("said IS NOT NULL").drop("kind").join(leaves.select("host", "node", "of"), ["host", "node"])
-        fixed = fixed.filter(F.col("pages") >= SAME * F.col("of"))
-        less = fixed.groupBy("host", "node").agg(F.sum("chars").alias("less"))
+        enough = (F.col("pages") >= PAGES) | (F.col("of") < SMALL_HOST)
+        fixed = fixed.filter((F.col("pages") >= SAME * F.col("of")) & enough).withColumn("few", F.col("pages") < PAGES)
+        less = fixed.filter("NOT few").groupBy("host", "node").agg(F.sum("chars").alias("less"))
         left = leaves.join(less, ["host", "node"], "left").withColumn("chars", F.col("all") - F.coalesce("less", F.lit(0))).filter("chars > 0")
         best = left.groupBy("host", "kind").agg(F.sum("chars").alias("chars"), F.max_by("node", F.struct("chars", -F.col("node"))).alias("slot"))
         weights = F.array(*[F.lit(weight(k)) for k in range(6)])
         best = best.groupBy("host").agg(F.max_by("slot", F.struct(F.col("chars") * F.get(weights, F.col("kind").cast("int")), -F.col("kind"))).alias("slot"))
-        template = fixed.groupBy("host").agg(F.collect_list(F.struct("node", "said")).alias("template"))
+        template = fixed.groupBy("host").agg(F.collect_list(F.struct("node", "said", "few")).alias("template"))
         wrappers = staged(references.join(template, "host", "left").join(best, "host", "left"), "wrappers")
     done = rows.join(wrappers, "host").select("id", "url", "html", "shape", "template", "slot").mapInArrow(
         texts, f"id {kind}, url string, text string"

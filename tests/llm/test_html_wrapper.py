@@ -134,3 +134,68 @@ def test_merged_trees_hold_every_node():
     for p, s in zip(pages, shapes, strict=True):
         n, _ = w.tree_matching(w.skeleton(w.parse(p)), w.Shape(whole, [0]))
         assert n == json.dumps(s).count('"') // 2
+
+
+WORDS = "river stone cloud meadow harbour lantern copper willow thunder marble candle orchard".split()
+
+
+def prose(seed, n=60):
+    import random
+
+    rng = random.Random(seed)
+    return " ".join(rng.choices(WORDS, k=n)).capitalize() + f" {seed}."
+
+
+def extracted(spark, pages, host="h.example"):
+    rows = [(i, f"https://{host}/{i}", html) for i, html in enumerate(pages)]
+    found = w.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.page_id)]
+
+
+MENU = "<ul class='top'><li><a href='/'>Home</a></li><li><a href='/news'>News</a></li></ul>"
+
+
+@pytest.mark.parametrize("around", [
+    "<form id='aspnetForm'>{}</form>", "<fieldset>{}</fieldset>", "<dialog open>{}</dialog>", "<div aria-hidden='true'>{}</div>",
+    "<nav>{}", "<button>{}", "<aside>{}</aside>", "<div role='dialog'>{}</div>",
+])
+@pytest.mark.parametrize("inner", ["<article><p>{}</p><p>{}</p></article>", "<div class='story'><p>{}</p><p>{}</p></div>"])
+def test_an_element_around_the_whole_page_is_overruled(spark, around, inner):
+    body = [inner.format(prose(2 * i), prose(2 * i + 1)) for i in range(8)]
+    got = extracted(spark, [f"<html><body>{around.format(MENU + b)}</body></html>" for b in body])
+    assert got == [f"{prose(2 * i)}\n{prose(2 * i + 1)}" for i in range(8)]
+
+
+@pytest.mark.parametrize("name", ["discussion", "notice", "alert", "legal", "related"])
+def test_a_section_with_an_open_word_and_long_text_that_varies_is_content(spark, name):
+    pages = [f"<article><p>{prose(2 * i)}</p><section class='{name}'><h2>Part</h2><p>{prose(2 * i + 1)}</p></section></article>" for i in range(8)]
+    got = extracted(spark, [f"<html><body>{MENU}{p}</body></html>" for p in pages])
+    assert all(prose(2 * i) in t and prose(2 * i + 1) in t for i, t in enumerate(got))
+
+
+def test_short_notices_and_comments_go(spark):
+    extra = "<div class='notice'>Updated at {}:30</div><div class='comments'><p>" + "{}</p></div>"
+    pages = [f"<html><body>{MENU}<article><p>{prose(2 * i)}</p>{extra.format(i, prose(2 * i + 1))}</article></body></html>" for i in range(8)]
+    assert extracted(spark, pages) == [prose(2 * i) for i in range(8)]
+
+
+def test_many_teasers_beside_a_longer_body(spark):
+    teaser = lambda i, k: f"<article><h3>{prose(1000 + 10 * i + k, 6)}</h3></article>"
+    pages = [f"<html><body>{MENU}<div class='list'>{''.join(teaser(i, k) for k in range(6))}</div><div class='story'><p>{prose(2 * i)}</p><p>{prose(2 * i + 1)}</p></div></body></html>" for i in range(8)]
+    got = extracted(spark, pages)
+    assert all(prose(2 * i) in t and prose(2 * i + 1) in t for i, t in enumerate(got))
+
+
+@pytest.mark.parametrize("count", [2, 3])
+@pytest.mark.parametrize("inner", ["<article><p>{}</p></article>", "<div class='story'><p>{}</p></div>"])
+def test_a_host_of_few_pages_loses_its_menu_and_imprint(spark, count, inner):
+    imprint = "<div class='end'>Imprint: Example Press, 12 Harbour Street, all rights reserved.</div>"
+    pages = [f"<html><body>{MENU}{inner.format(prose(i))}{imprint}</body></html>" for i in range(count)]
+    assert extracted(spark, pages) == [prose(i) for i in range(count)]
+
+
+def test_a_very_long_page_and_hostile_markup(spark):
+    long = "".join(f"<p>{prose(i, 30)}</p>" for i in range(20_000))
+    odd = "<" * 5000 + "<div " * 300 + "a='" + "<p>&#x110000;&#xD800;&bogus;" + "</div>" * 400
+    got = extracted(spark, [f"<html><body><article>{long}</article></body></html>", odd, "<article>" * 3000, "\x00<p>\x00"])
+    assert got[0].count("\n") == 19_999 and all(isinstance(t, str) for t in got)
