@@ -60,7 +60,7 @@ def fit(sample: np.ndarray, largest: float, rows: int, seed: int = 7, rounds: in
     lists = min(MOST_LISTS, len(points), max(1, round(rows / LIST_SIZE)))
     centroids = points[rng.choice(len(points), lists, replace=False)].copy()
     for _ in range(rounds):
-        own = _squares(points, centroids).argmin(axis=1)
+        own = np.concatenate([_squares(points[low : low + TOGETHER], centroids).argmin(axis=1) for low in range(0, len(points), TOGETHER)])
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, points)
         counts = np.bincount(own, minlength=lists)
@@ -74,6 +74,13 @@ def _matrix(column, size: int) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most TOGETHER rows: bounds the tables of distances to the sample and the centroids."""
+    for batch in batches:
+        for low in range(0, len(batch), TOGETHER):
+            yield batch.slice(low, TOGETHER)
+
+
 def scan(index: Index, block: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int, epsilon: float):
     """For each query the rows of the block that may be among its k nearest by the tests.
 
@@ -149,7 +156,7 @@ def search(
         seed_ids = pa.array([r["id"] for r in chosen[:SEEDS]])
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 points = index.value.lifted(_matrix(batch.column("vector"), size))
                 own = _squares(points, index.value.centroids).argmin(axis=1)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], [*batch.schema.names, "list"])
@@ -162,7 +169,7 @@ def search(
         needed = min(total, max(share * total, k + 1))
 
         def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 asked_for = index.value.asked(_matrix(batch.column("vector"), size))
                 near = _squares(asked_for, index.value.centroids).argsort(axis=1, kind="stable")
                 before = np.cumsum(full[near], axis=1) - full[near]
@@ -176,7 +183,7 @@ def search(
                 )
 
         def seeded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 wanted, asking = _matrix(batch.column("vector"), size), batch.column("row").to_numpy()
                 near = _squares(index.value.asked(wanted), index.value.sample[:SEEDS]).argsort(axis=1, kind="stable")[:, : k + 1]
                 who, nth = np.nonzero(seed_rows[near] != asking[:, None])
