@@ -63,6 +63,21 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="rosterline-")
 
 
+# Folders this process has written tables of steps to.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/rosterline-{os.getpid()}-{uuid.uuid4().hex[:12]}/{name}"
+    _SCRATCH.append(f"{shared_dir(spark)}/rosterline-{os.getpid()}-{uuid.uuid4().hex[:12]}")
+    return f"{_SCRATCH[-1]}/{name}"
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the tables of steps that this process has written, once their results are stored; how many."""
+    from .sources.files import remove
+
+    folders = [_SCRATCH.pop() for _ in range(len(_SCRATCH))]
+    for folder in folders:
+        remove(spark, folder)
+    return len(folders)

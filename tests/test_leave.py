@@ -183,3 +183,16 @@ def test_quota_usage_prunes_partitions(spark, tmp_path):
     assert [tuple(r) for r in usage.collect()] == [("1", 1, 1, 100.0)]
     plan = usage._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_ids_that_are_no_numbers_have_their_quota(spark, rows):
+    from rosterline.operators import reports
+
+    day = lambda n: dt.date(2024, 1, n)
+    leaves = spark.createDataFrame([("A7", day(n), "ACTIVE") for n in range(2, 6)] + [("7", day(2), "ACTIVE"), ("007", day(3), "ACTIVE")], "emp_id string, date date, status string")
+    quota = spark.createDataFrame([("A7", 4, 2024), ("7", 10, 2024), ("007", 2, 2024)], "emp_id string, leave_quota int, year int")
+    usage = reports.quota_usage(leaves, quota, 2024, 2)
+    assert rows(usage, "emp_id", "leave_quota", "leave_percent") == [("007", 2, 50.0), ("7", 10, 10.0), ("A7", 4, 100.0)]
+    assert [r.emp_id for r in reports.over_quota(usage).collect()] == ["A7"]
+    numbers = quota.filter("emp_id = '7'").withColumn("emp_id", quota.emp_id.cast("int"))
+    assert rows(reports.quota_usage(leaves, numbers, 2024, 2), "emp_id", "leave_quota") == [("007", 10), ("7", 10), ("A7", None)]

@@ -200,3 +200,15 @@ def test_two_rewrites_of_one_part_lose_no_row(spark, tmp_path):
     assert len(tries) == 2 and held() == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("c", 9)]
     versions.retire_parts(spark, root)
     assert held() == [("a", 1), ("a", 2), ("a", 3), ("b", 1), ("c", 9)]
+
+
+def test_tables_of_steps_are_removed(spark):
+    from pathlib import Path
+
+    from rosterline.session import clear_scratch, scratch_path
+
+    clear_scratch(spark)
+    path = scratch_path(spark, "step")
+    spark.range(3).write.parquet(path)
+    assert Path(path.removeprefix("file://")).exists() and clear_scratch(spark) == 1
+    assert not Path(path.removeprefix("file://")).exists() and clear_scratch(spark) == 0
