@@ -17,6 +17,10 @@ from .staging import picked, settings
 # bits sorts out most n-grams that are none before the whole hash is looked up.
 LENGTHS = (4, 6, 8)
 BUCKET_BITS = 20
+# An n-gram that a text repeats is a further feature where it begins at least so many times a word.
+# The last two bits of a hash name the feature: 0 the n-gram, 1 and 2 these frequencies.
+FREQUENCIES = (1 / 128, 1 / 64)
+NAMES = np.uint64(3)
 # Characters looked at together; blocks overlap so that no n-gram is lost between them.
 BLOCK = 1 << 20
 # Fitting counts in a table of 2 ** COUNT_BITS first and then takes the hashes in so many slices.
@@ -31,9 +35,8 @@ def _normal(text: str | None) -> np.ndarray:
     return np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def hashes(text: str | None) -> Iterator[np.ndarray]:
-    """The hashes of all n-grams of a whole text, block by block."""
-    points = _normal(text)
+def hashes(points: np.ndarray) -> Iterator[np.ndarray]:
+    """The hashes of all n-grams of a whole text, block by block, each place once; the last two bits are 0."""
     for low in range(0, max(1, len(points)), BLOCK):
         mixed = points[low : low + BLOCK + LENGTHS[-1] - 1].astype(np.uint64) * np.uint64(MULTIPLIER)
         rolled = mixed.copy()
@@ -42,12 +45,21 @@ def hashes(text: str | None) -> Iterator[np.ndarray]:
                 break
             rolled = (rolled[:-1] ^ (rolled[:-1] >> np.uint64(29))) * np.uint64(MULTIPLIER) + mixed[n - 1 :]
             if n in LENGTHS:
-                yield rolled
+                yield rolled[:BLOCK] & ~NAMES
+
+
+def _named(found: list[np.ndarray], points: np.ndarray) -> np.ndarray:
+    """The distinct features, in order, of the n-grams found in a text."""
+    known, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+    words = max(1, int((points == 32).sum()) - 1)
+    repeated = [known[(counts > 1) & (counts >= f * words)] | np.uint64(i) for i, f in enumerate(FREQUENCIES, 1)]
+    return np.sort(np.concatenate([known, *repeated]))
 
 
 def buckets(text: str | None) -> np.ndarray:
     """The distinct features of a whole text, in order."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes(text)]))
+    points = _normal(text)
+    return _named(list(hashes(points)), points)
 
 
 @dataclass(frozen=True)
@@ -59,13 +71,11 @@ class ToxicityModel:
     intercept: float
 
     def _margin(self, text: str | None, likely: np.ndarray) -> float:
-        found = [np.zeros(0, np.int64)]
-        for part in hashes(text):
-            part = part[likely[part >> np.uint64(64 - BUCKET_BITS)]]
-            at = np.searchsorted(self.features, part)
-            at[at == len(self.features)] = 0
-            found.append(at[self.features[at] == part] if len(part) else found[0])
-        return float(self.weights[np.unique(np.concatenate(found))].sum(dtype=np.float64))
+        points = _normal(text)
+        found = _named([part[likely[part >> np.uint64(64 - BUCKET_BITS)]] for part in hashes(points)], points)
+        at = np.minimum(np.searchsorted(self.features, found), max(0, len(self.features) - 1))
+        hit = at[self.features[at] == found] if len(self.features) else at[:0]
+        return float(self.weights[hit].sum(dtype=np.float64))
 
     def scores(self, texts) -> np.ndarray:
         likely = np.zeros(1 << BUCKET_BITS, bool)
@@ -80,14 +90,25 @@ def blocks_of(text: str, chars: int) -> list[str]:
     return [text[low : low + chars] for low in range(0, max(1, len(text) - LENGTHS[-1] + 1), step)]
 
 
-def _frequent(texts: list[str], least: int) -> list[np.ndarray]:
-    """The features of each text without those that, by a table of counts, cannot be in `least` texts."""
+def _frequent(cut: list[list[str]], least: int) -> list[np.ndarray]:
+    """The features of each block of each text without those that, by a table of counts, cannot be in `least` texts."""
     shift = np.uint64(64 - COUNT_BITS)
     counts = np.zeros(1 << COUNT_BITS, np.int32)
-    for t in texts:
-        counts[np.unique(buckets(t) >> shift)] += 1
+    for blocks in cut:
+        counts[np.unique(np.concatenate([buckets(b) for b in blocks]) >> shift)] += 1
     enough = counts >= least
-    return [f[enough[f >> shift]] for f in map(buckets, texts)]
+    return [f[enough[f >> shift]] for blocks in cut for f in map(buckets, blocks)]
+
+
+def _first(rows: np.ndarray, cols: np.ndarray, text_of: np.ndarray, several: np.ndarray) -> np.ndarray:
+    """Whether an entry (block, feature) is the first of its text; only texts of several blocks need a look."""
+    out = np.ones(len(rows), bool)
+    look = np.flatnonzero(several[text_of[rows]])
+    if len(look):
+        _, at = np.unique(cols[look].astype(np.int64) * len(several) + text_of[rows[look]], return_index=True)
+        out[look] = False
+        out[look[at]] = True
+    return out
 
 
 def fit(
@@ -96,9 +117,10 @@ def fit(
 ) -> ToxicityModel | None:
     """A model from labelled texts, None if one of the labels is missing.
 
-    The log-count ratio of a feature compares in how many texts of either label it occurs
-    (add-one smoothed). Features in fewer than `least` texts, or whose ratio is within
-    `strength` standard errors of zero, are left out: otherwise thousands of chance features
+    A feature is an n-gram that occurs, or one that is repeated at a frequency of FREQUENCIES:
+    by chance a long text has most n-grams, but none too often. The log-count ratio of a feature
+    compares in how many texts of either label it occurs (add-one smoothed). Features in fewer than `least` texts, or whose ratio is within
+    `strength` standard errors of zero, are left out (a text counts once, in however many blocks): otherwise thousands of chance features
     would decide about long texts. The coefficients are fitted by accelerated gradient steps
     on the L2-penalised log-loss, with label 1 weighted to its `share`. A text of more than
     `chars` characters is fitted on in blocks that share its weight.
@@ -108,17 +130,20 @@ def fit(
     cut = [blocks_of(t, chars) for t in texts]
     y = np.repeat(np.array(labels, float), [len(c) for c in cut])
     each = np.repeat([1 / len(c) for c in cut], [len(c) for c in cut])
-    ones = y.sum()
-    zeros = len(y) - ones
-    found = _frequent([b for c in cut for b in c], least)
+    text_of = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+    several = np.array([len(c) > 1 for c in cut])
+    ones = sum(labels)
+    zeros = len(labels) - ones
+    found = _frequent(cut, least)
     features, ratios, at, of, n = [], [], [], [], 0
     for low in range(SLICES):  # a share of the hashes at a time, so that little is held at once
         edge = [np.uint64(low * (1 << 64) // SLICES), np.uint64((low + 1) * (1 << 64) // SLICES - 1)]
         parts = [f[np.searchsorted(f, edge[0]) : np.searchsorted(f, edge[1], "right")] for f in found]
         rows = np.repeat(np.arange(len(parts), dtype=np.int32), [len(f) for f in parts])
         known, cols = np.unique(np.concatenate(parts), return_inverse=True)
-        hot = y[rows] == 1
-        p, q = np.bincount(cols[hot], minlength=len(known)), np.bincount(cols[~hot], minlength=len(known))
+        hot, first = y[rows] == 1, _first(rows, cols, text_of, several)
+        p = np.bincount(cols[hot & first], minlength=len(known))
+        q = np.bincount(cols[~hot & first], minlength=len(known))
         ratio = np.log((p + 1) / (ones + 2)) - np.log((q + 1) / (zeros + 2))
         error = np.sqrt(1 / (p + 1) + 1 / (q + 1))
         use = (p + q >= least) & (np.abs(ratio) >= strength * error)

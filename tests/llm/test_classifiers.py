@@ -33,6 +33,32 @@ def test_held_out_documents(tables, module, label, folds, held):
         assert sum(r.predicted for r in out if r.quality == 1) >= 0.97 * sum(r.quality == 1 for r in out)
 
 
+def test_toxic_documents_of_every_language_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.score(docs, labels).join(labels, "doc_id").filter("held_out").select("lang", "toxic", "predicted").collect()
+    for lang in {r.lang for r in rows}:
+        found = [r.predicted for r in rows if r.lang == lang and r.toxic == 1]
+        assert len(found) < 10 or sum(found) >= 0.85 * len(found), lang
+    clean = [r.predicted for r in rows if r.toxic == 0]
+    assert sum(clean) <= 0.01 * len(clean)
+
+
+def test_words_that_plain_texts_have_by_chance_count_where_they_are_repeated():
+    rng = __import__("random").Random(7)
+    plain = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(n)]
+    some = lambda n, times: " ".join(rng.sample(plain(n) + ["grobian"] * times, n + times))
+    texts = [some(300, 1) for _ in range(300)] + [some(300, 9) for _ in range(60)]
+    model = toxicity.fit(texts, [0] * 300 + [1] * 60, 1 / 6)
+    assert max(model.scores([some(300, 1), some(20_000, 60)])) < 0.3
+    assert min(model.scores([some(300, 9), some(20_000, 600)])) >= 0.3
+
+
+def test_a_long_text_that_repeats_an_ngram_is_one_text():
+    texts = [f"plain words number {i}" for i in range(100)] + ["odd phrase " * 5000] + [f"you idiot number {i}" for i in range(50)]
+    model = toxicity.fit(texts, [0] * 100 + [1] * 51, 0.3, chars=100, strength=0)
+    assert not set(toxicity.buckets("odd phrase").tolist()) & set(model.features.tolist()) - set(toxicity.buckets(" ".join(texts[:100] + texts[101:])).tolist())
+
+
 @pytest.mark.parametrize("module, label, held", [(quality, "quality", 0), (toxicity, "toxic", 2)])
 def test_held_out_labels_are_not_learned(tables, module, label, held):
     docs, labels = tables
