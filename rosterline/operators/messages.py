@@ -51,6 +51,12 @@ def _has_only(tokens: Column, words: list[str]) -> Column:
     return F.forall(tokens, lambda w: w.isin(words)) if words else F.size(tokens) == 0
 
 
+def _words(rows: DataFrame, tokens: Column) -> DataFrame:
+    """(text_digest, word): each word of each row once."""
+    words = rows.select("text_digest", F.array_distinct(tokens).alias("words"))
+    return words.select("text_digest", F.explode("words").alias("word"))
+
+
 def keep_flagged(
     df: DataFrame,
     marked: Words,
@@ -65,10 +71,10 @@ def keep_flagged(
     The caller says how each list is used, whatever its length. Inline, it becomes literals
     of the plan, fetched when this is called, and is tested inside the row; that suits a
     short list that does not change. Otherwise it is joined, and read whenever the plan
-    runs: each distinct word travels with a digest of its text, never the text itself; the
-    words that are not in the vocabulary give the texts to leave out. All joins are anti or
-    semi joins of inputs that come straight from their exchanges, so Spark may split a
-    frequent word and a text that is repeated often.
+    runs: each word travels with a digest of its text, never the text itself. Marked words
+    come first, so that only the words of texts with one (few, as a rule) meet the vocabulary;
+    those that are not in it give the texts to leave out. All joins are anti or semi joins, so
+    Spark may split a frequent word and a text that is repeated often.
     """
     spark, tokens = df.sparkSession, word_tokens(text, fold)
     candidates = df.filter(F.col(text).isNotNull())
@@ -81,16 +87,14 @@ def keep_flagged(
 
     # Two steps: in one, Spark would take the digest again for every exploded word.
     candidates = candidates.withColumn("text_digest", F.sha2(F.col(text), 256))
-    words = candidates.select("text_digest", F.array_distinct(tokens).alias("words"))
-    words = words.select("text_digest", F.explode("words").alias("word")).distinct()
     kept = candidates
+    if not inline_marked:
+        hits = _words(kept, tokens).join(_frame(spark, marked), F.col("word") == F.col("listed"), "left_semi")
+        kept = kept.join(hits.select("text_digest"), "text_digest", "left_semi")
     if not inline_vocab:
         known = _frame(spark, vocab)
-        unknown = words.join(known, F.col("word") == F.col("listed"), "left_anti")
+        unknown = _words(kept, tokens).distinct().join(known, F.col("word") == F.col("listed"), "left_anti")
         kept = kept.join(unknown.select("text_digest"), "text_digest", "left_anti")
-    if not inline_marked:
-        hits = words.join(_frame(spark, marked), F.col("word") == F.col("listed"), "left_semi")
-        kept = kept.join(hits.select("text_digest"), "text_digest", "left_semi")
     return kept.select(*df.columns)
 
 

@@ -108,23 +108,23 @@ def quota_usage(
     compared as text where the quota's are text, so an id need not be a number; where they
     are numbers the leave's ids are read as such.
     """
-    ident = (lambda c: F.col(c)) if isinstance(quota.schema[key].dataType, StringType) else numeric_id
     day = F.col(date).cast("date")
     end = dt.date(year + 1, 1, 1) if month > 12 else dt.date(year, month, 1)
     wanted = (F.col(status) == ACTIVE) & (day >= dt.date(year, 1, 1)) & (day < end)
     if {"year", "month"} <= set(leaves.columns):
         wanted = (F.col("year") == year) & (F.col("month") < month) & wanted
-    taken = (
-        leaves.filter(wanted)
-        .groupBy(key)
-        .agg(F.count("*").alias("leaves_taken"))
-        .withColumn("quota_id", ident(key))
-    )
+    taken = leaves.filter(wanted).groupBy(key).agg(F.count("*").alias("leaves_taken"))
+    return against_quota(taken, quota, year, key)
+
+
+def against_quota(taken: DataFrame, quota: DataFrame, year: int, key: str = "emp_id") -> DataFrame:
+    """Days taken (key, leaves_taken) beside the quota of the year, and the percent (see `quota_usage`)."""
+    ident = (lambda c: F.col(c)) if isinstance(quota.schema[key].dataType, StringType) else numeric_id
     limits = quota.filter(F.col("year") == year).select(
         ident(key).alias("quota_id"), F.col("leave_quota").cast("int").alias("leave_quota")
     )
     percent = F.round(F.try_divide(F.col("leaves_taken"), F.col("leave_quota")) * 100, 2)
-    return taken.join(limits, "quota_id", "left").select(
+    return taken.withColumn("quota_id", ident(key)).join(limits, "quota_id", "left").select(
         key, "leaves_taken", "leave_quota", percent.alias("leave_percent")
     )
 

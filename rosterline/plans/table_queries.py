@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as fc
-from ..operators import calendar, clean, leave, merge, messages, periods, reports, strikes
+from ..operators import calendar, clean, leave, leave_masks, merge, messages, periods, reports, strikes
 from ..schemas import CALENDAR, EMPLOYEE, rung_names
 from ..session import scratch_path, tune
 from ..sources import files, layers, versions
@@ -347,6 +347,28 @@ def quota_usage(spark, d):
     return reports.quota_usage(leave_reconcile(spark, d), quota_rows(spark, d), 2024, 2)
 
 
+def _masks(spark, d):
+    return leave_masks.day_masks(leave_reconcile(spark, d), ["emp_id", "status"])
+
+
+def leave_day_masks(spark, d):
+    days = leave_masks.days_in([F.col(m) for m in leave_masks.MONTHS])
+    return _masks(spark, d).withColumn("days", days)
+
+
+def upcoming_leaves_masks(spark, d):
+    days = calendar.working_days(
+        calendar.date_range(spark, UPCOMING_FIRST, UPCOMING_LAST), event_holidays(spark, d)
+    )
+    return leave_masks.upcoming_leaves(
+        _masks(spark, d), days, UPCOMING_FIRST, UPCOMING_LAST, UPCOMING_PERCENT, run_date=UPCOMING_FIRST
+    )
+
+
+def quota_usage_masks(spark, d):
+    return leave_masks.quota_usage(_masks(spark, d), quota_rows(spark, d), 2024, 2)
+
+
 def quota_over(spark, d):
     return reports.over_quota(quota_usage(spark, d))
 
@@ -817,7 +839,7 @@ QUERIES = [
     date_range, working_days, non_working_days, calendar_load, quota_load,
     leave_intake, leave_reconcile, leave_reconcile_history,
     upcoming_leaves, upcoming_leaves_active, quota_usage, quota_over,
-    new_alerts, alert_history, alert_lines,
+    leave_day_masks, upcoming_leaves_masks, quota_usage_masks, new_alerts, alert_history, alert_lines,
     strike_counts, strike_counts_decayed, strike_counts_batch, rolling_flags,
     penalty_ladder, penalty_ladder_keep, changed_rows, salary_sync, strike_upsert,
     struck_out, struck_out_exact, merge_by_key, repeated_keys,

@@ -285,6 +285,20 @@ def _upcoming(condition: str) -> str:
     )
 
 
+def _masks() -> str:
+    """One row per employee, year and status with a number per month whose bits are its days."""
+    months = ", ".join(
+        f"CAST(coalesce(bit_or(CAST(1 AS BIGINT) << (day(date) - 1)) FILTER (WHERE month(date) = {k}), 0) AS INTEGER) AS m{k}"
+        for k in range(1, 13)
+    )
+    return _with(
+        f"""SELECT emp_id, status, CAST(year(date) AS INTEGER) AS year, {months},
+                   CAST(count(DISTINCT date) AS INTEGER) AS days
+            FROM reconciled GROUP BY emp_id, status, year(date)""",
+        "reconciled",
+    )
+
+
 _COLUMNS = "emp_id, designation, start_date, end_date, salary, order_id, status"
 
 _CHAIN = _with(f"SELECT {_COLUMNS} FROM chained", "chained")
@@ -449,6 +463,9 @@ SQL: dict[str, str] = {
     "upcoming_leaves": _upcoming("TRUE"),
     "upcoming_leaves_active": _upcoming("status = 'ACTIVE'"),
     "quota_usage": _with("SELECT * FROM usage", "usage"),
+    "leave_day_masks": _masks(),
+    "upcoming_leaves_masks": _upcoming("TRUE"),
+    "quota_usage_masks": _with("SELECT * FROM usage", "usage"),
     "quota_over": _with("SELECT * FROM over", "over"),
     "new_alerts": _with(
         "SELECT * FROM over WHERE emp_id NOT IN (SELECT emp_id FROM alerted)", "over", "alerted"
