@@ -18,7 +18,7 @@ from ..functions import columns as fc
 from ..operators import calendar, clean, leave, leave_masks, merge, messages, periods, reports, strikes
 from ..schemas import CALENDAR, EMPLOYEE, rung_names
 from ..session import scratch_path, tune
-from ..sources import files, layers, versions
+from ..sources import digests, files, layers, versions
 from ..streaming import messages as message_io
 from ..streaming import strike_stream
 from . import daily, jobs
@@ -443,6 +443,14 @@ def changed_rows(spark, d):
     return merge.changed_rows(old, penalty_ladder(spark, d), ["employee_id"])
 
 
+def changes_by_digests(spark, d):
+    """Two stored versions of the ladder; only buckets whose digests differ are read again."""
+    root = scratch_path(spark, "ladder")
+    for rows in (rungs_for(spark, d, counts_before(spark, d, MID_MONTH)), penalty_ladder(spark, d)):
+        digests.write(rows, root, ["employee_id"], buckets=64)
+    return digests.compare(spark, root, ["employee_id"])
+
+
 def salary_sync(spark, d):
     active = periods.read_actives(chained(spark, d))
     return _doubles(strikes.sync_salaries(active, penalty_ladder(spark, d)))
@@ -841,7 +849,7 @@ QUERIES = [
     upcoming_leaves, upcoming_leaves_active, quota_usage, quota_over,
     leave_day_masks, upcoming_leaves_masks, quota_usage_masks, new_alerts, alert_history, alert_lines,
     strike_counts, strike_counts_decayed, strike_counts_batch, rolling_flags,
-    penalty_ladder, penalty_ladder_keep, changed_rows, salary_sync, strike_upsert,
+    penalty_ladder, penalty_ladder_keep, changed_rows, changes_by_digests, salary_sync, strike_upsert,
     struck_out, struck_out_exact, merge_by_key, repeated_keys,
     flag_messages, flag_messages_joined, message_tokens, encode_messages, decode_messages,
     csv_round_trip, csv_text_clean, csv_timeframe, active_partition, partition_overwrite, versioned_rewrite,

@@ -507,6 +507,16 @@ SQL: dict[str, str] = {
         "ladder",
         "early_ladder",
     ),
+    "changes_by_digests": _with(
+        f"""SELECT n.*, 'changed' AS change FROM ladder n JOIN early_ladder o USING (employee_id)
+            WHERE {_differs()}
+            UNION ALL
+            SELECT *, 'added' FROM ladder WHERE employee_id NOT IN (SELECT employee_id FROM early_ladder)
+            UNION ALL
+            SELECT *, 'removed' FROM early_ladder WHERE employee_id NOT IN (SELECT employee_id FROM ladder)""",
+        "ladder",
+        "early_ladder",
+    ),
     "salary_sync": _with("SELECT * FROM synced", "synced"),
     "strike_upsert": _with(
         """SELECT * FROM synced
