@@ -52,6 +52,11 @@ def importable(spark) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
 
 
+def small_batches(spark, rows: int = 1000) -> None:
+    """Hand Python workers so many rows at a time: whole texts fill the buffers on both sides."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def small_table(spark, **columns: pa.Array) -> DataFrame:
     """A frame of a few values the driver holds; from an Arrow table, which needs no Python workers."""
     return spark.createDataFrame(pa.table(columns))
