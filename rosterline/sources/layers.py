@@ -43,8 +43,11 @@ def _bits(slot: int) -> str:
     return f"{slot:0{SLOT_BITS}b}"
 
 
-def _inside(part: str, slots: Iterable[int]) -> list[int]:
-    return [s for s in slots if _bits(s).startswith(part)]
+def _inside(part: str) -> range:
+    """The hash ranges whose first bits are the part's name: they follow each other."""
+    width = SLOTS >> len(part)
+    first = int(part or "0", 2) * width
+    return range(first, first + width)
 
 
 def _by_slot(key: str, values: Iterable) -> Column:
@@ -56,7 +59,7 @@ def _folded(bases: dict) -> list[int]:
     """Up to which layer the base has taken in each hash range."""
     upto = [0] * SLOTS
     for part, base in bases.items():
-        for s in _inside(part, range(SLOTS)):
+        for s in _inside(part):
             upto[s] = base["upto"]
     return upto
 
@@ -89,7 +92,9 @@ class Table:
         """The rows at a commit (the newest); slots opens only places that can have such keys, and
         returns their rows whole; without leaves out the layer of an origin."""
         state = (at or self.head()).state
-        bases = {p: b for p, b in state.get("bases", {}).items() if b["rows"] and (slots is None or _inside(p, slots))}
+        if slots is not None and len(slots) == SLOTS:
+            slots = None
+        bases = {p: b for p, b in state.get("bases", {}).items() if b["rows"] and (slots is None or not slots.isdisjoint(_inside(p)))}
         layers = [x for x in state.get("layers", []) if x["rows"] and x["origin"] != without and (slots is None or slots & set(map(int, x["slots"])))]
         base = self._at([b["place"] for b in bases.values()])
         if not layers:
@@ -99,9 +104,12 @@ class Table:
             return self._in(base, slots).unionByName(self._in(newer.drop(LAYER), slots))
         if not state.get("bases") and len(layers) == 1:
             return self._in(newer, slots)
-        last = newer.groupBy(F.col(self.key).alias("_key")).agg(F.max(LAYER).alias("_last"))
         same = F.col(self.key).eqNullSafe(F.col("_key"))
-        newest = newer.join(last, same & (F.col(LAYER) == F.col("_last")), "left_semi").drop(LAYER)
+        if len(layers) == 1:  # no layer lies over another: all its rows are the newest
+            last, newest = newer.select(F.col(self.key).alias("_key")).distinct(), newer.drop(LAYER)
+        else:
+            last = newer.groupBy(F.col(self.key).alias("_key")).agg(F.max(LAYER).alias("_last"))
+            newest = newer.join(last, same & (F.col(LAYER) == F.col("_last")), "left_semi").drop(LAYER)
         if not bases:
             return self._in(newest, slots)
         return self._in(base, slots).join(last, same, "left_anti").unionByName(self._in(newest, slots))
@@ -123,7 +131,7 @@ class Table:
         number = F.create_map(*[F.lit(v) for x in layers for v in (x["place"], x["number"])])
         rows = rows.withColumn(LAYER, F.element_at(number, place))
         folded = _folded(state.get("bases", {}))
-        if any(folded):
+        if max(folded) >= min(x["number"] for x in layers):
             rows = rows.filter(F.col(LAYER) > _by_slot(self.key, folded).cast("int"))
         return rows
 
@@ -211,12 +219,25 @@ class Table:
     def due(self, state: dict) -> list[str]:
         """The parts to fold: those of which layers hold a large share, all if there are many layers."""
         bases, layers = state.get("bases", {}), state.get("layers", [])
-        changed = {p: sum(n for x in layers if x["number"] > b["upto"] for s, n in x["slots"].items() if _bits(int(s)).startswith(p)) for p, b in bases.items()}
+        changed = self._changed(state, bases)
         many = len(layers) > self.layers
         if not bases:
             return [""] if many or sum(x["rows"] for x in layers) > self.most else []
-        large = lambda p: len(p) < SLOT_BITS and bases[p]["rows"] + changed[p] > self.most
-        return [p for p, n in changed.items() if large(p) or n and (many or n >= self.share * bases[p]["rows"])]
+        large = set(self._large(state, bases))
+        return [p for p, n in changed.items() if p in large or n and (many or n >= self.share * bases[p]["rows"])]
+
+    def _changed(self, state: dict, parts: Iterable[str]) -> dict[str, int]:
+        """How many rows layers hold of each part that its base has not taken in."""
+        upto, held = _folded(state.get("bases", {})), [0] * SLOTS
+        for x in state.get("layers", []):
+            for s, n in x["slots"].items():
+                held[int(s)] += n if x["number"] > upto[int(s)] else 0
+        return {p: sum(held[s] for s in _inside(p)) for p in parts}
+
+    def _large(self, state: dict, parts: Iterable[str]) -> list[str]:
+        """The parts that may have more than `most` rows, layers counted, and can still be split."""
+        bases, changed = state.get("bases", {}), self._changed(state, parts)
+        return [p for p, n in changed.items() if len(p) < SLOT_BITS and n + (bases[p]["rows"] if p in bases else 0) > self.most]
 
     def fold(self, parts: list[str] | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """Write the parts that are due (or given) anew with their layers; keep may drop rows of a log that nobody needs."""
@@ -224,27 +245,37 @@ class Table:
         parts = self.due(at.state) if parts is None else parts
         if not parts:
             return
-        slots, upto = {s for p in parts for s in _inside(p, range(SLOTS))}, at.state["last"]
-        rows = self.read(at, None if len(slots) == SLOTS else slots)
-        rows = keep(rows) if keep else rows
-        sizes = {s: 0 for s in slots}
-        sizes |= {r["slot"]: r["n"] for r in rows.groupBy(slot_of(self.key).alias("slot")).agg(F.count("*").alias("n")).collect()}
+        upto = at.state["last"]
+
+        def rows_of(some: list[str]) -> DataFrame:
+            rows = self.read(at, {s for p in some for s in _inside(p)})
+            return keep(rows) if keep else rows
+
+        # Only parts that a split may concern are counted before; the rest is once it is written.
+        large = self._large(at.state, parts)
+        sizes = [0] * SLOTS
+        if large:
+            for r in rows_of(large).groupBy(slot_of(self.key).alias("slot")).agg(F.count("*").alias("n")).collect():
+                sizes[r["slot"]] = r["n"]
         made: list[str] = []
         todo = list(parts)
         while todo:
             part = todo.pop()
-            split = len(part) < SLOT_BITS and sum(sizes[s] for s in _inside(part, slots)) > self.most
+            split = len(part) < SLOT_BITS and sum(sizes[s] for s in _inside(part)) > self.most
             (todo.extend((part + "0", part + "1")) if split else made.append(part))
-        place = uuid.uuid4().hex
+        place, rows = uuid.uuid4().hex, rows_of(parts)
         if len(made) == 1:
             places = {made[0]: place}
             rows.write.parquet(f"{self.root}/rows/{place}")
+            counts = {made[0]: self._at([place]).count()}
         else:
-            of = {s: part for part in made for s in _inside(part, slots)}
+            of = {s: part for part in made for s in _inside(part)}
             places = {p: f"{place}/part={p}" for p in made}
             rows = rows.withColumn("part", _by_slot(self.key, (of.get(s, "") for s in range(SLOTS))))
             rows.hint("rebalance", "part").write.partitionBy("part").parquet(f"{self.root}/rows/{place}")
-        bases = {p: {"place": places[p], "upto": upto, "rows": sum(sizes[s] for s in _inside(p, slots))} for p in made}
+            stored = self.spark.read.schema(rows.schema).parquet(f"{self.root}/rows/{place}")
+            counts = {r["part"]: r["n"] for r in stored.groupBy("part").agg(F.count("*").alias("n")).collect()}
+        bases = {p: {"place": places[p], "upto": upto, "rows": counts.get(p, 0)} for p in made}
         folded = {p: at.state.get("bases", {}).get(p) for p in parts}
 
         def build(state: dict, commit: int) -> dict:

@@ -168,3 +168,61 @@ def test_changes(spark, tmp_path):
     t.retire(keep=1)
     assert dict(held(t))["e9"] == 7 and len(t.log.numbers()) == 1
     assert t.changes(late).collect() == [] and t.changes(late - 1) is not None
+
+
+def test_one_layer_is_put_over_the_base_by_one_join(spark, tmp_path):
+    """No layer lies over another: its rows are read for their keys and as they are, without a search for the newest."""
+    t = table(spark, tmp_path, share=10)
+    put(t, [("a", 1), ("b", 1), (None, 1)])
+    put(t, [("a", 2), ("a", 3), (None, 2)])
+    plan = t.read(slots=set(range(layers.SLOTS)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "element_at" not in plan  # all hash ranges: no filter by them
+    assert held(t) == sorted([("a", 2), ("a", 3), ("b", 1), (None, 2)], key=repr)
+    put(t, [("a", 4)])
+    assert held(t) == sorted([("a", 4), ("b", 1), (None, 2)], key=repr)
+
+
+def test_a_fold_reads_parts_that_no_split_concerns_once(spark, tmp_path):
+    """Rows of such parts are counted as written; before, every fold computed them twice."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def noted(k):
+        seen.add(1)
+        return True
+
+    t = table(spark, tmp_path, replaces=False, most=50)
+    put(t, [(f"e{i}", 0) for i in range(100)], origin="x")
+    t.fold(keep=lambda rows: rows.filter(noted("k")))
+    assert seen.value == 200 and len(t.head().state["bases"]) > 1  # the first is to be split: counted and written
+    put(t, [(f"e{i}", 1) for i in range(4)], origin="y")
+    parts = [p for p, b in t.head().state["bases"].items() if b["rows"] + 4 <= 50]
+    rows = sum(b["rows"] for p, b in t.head().state["bases"].items() if p in parts)
+    new = sum(n for x in t.head().state["layers"] for s, n in x["slots"].items() if any(layers._bits(int(s)).startswith(p) for p in parts))
+    t.fold(parts, keep=lambda rows: rows.filter(noted("k")))
+    assert parts and seen.value == 200 + rows + new
+    assert sum(b["rows"] for p, b in t.head().state["bases"].items() if p in parts) == rows + new
+    assert len(held(t)) == 104
+
+
+def test_parts_that_cannot_be_split_are_kept_and_counted(spark, tmp_path):
+    """Hash ranges at full depth hold more than `most`; folds go on, an emptied part reads as none."""
+    t = table(spark, tmp_path, replaces=False, most=1, share=0.1)
+    put(t, [("a", i) for i in range(9)] + [("b", 0)], origin="x")
+    t.fold()
+    full = {p: b["rows"] for p, b in t.head().state["bases"].items() if b["rows"]}
+    assert sorted(full.values()) == [1, 9] and max(map(len, full)) == layers.SLOT_BITS
+    put(t, [("a", 9), ("b", 1)], origin="y")
+    t.fold()
+    assert sorted(b["rows"] for b in t.head().state["bases"].values() if b["rows"]) == [2, 10] and len(held(t)) == 12
+    t.fold(list(t.head().state["bases"]), keep=lambda rows: rows.filter("v < 0"))
+    assert held(t) == [] and not any(b["rows"] for b in t.head().state["bases"].values())
+
+
+def test_a_table_of_all_parts_is_listed_by_few_tasks(spark):
+    """One task for each of up to SLOTS parts took seconds a read."""
+    from rosterline.session import tune
+
+    assert int(tune(spark).conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 64
